@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from terraflux.llm import decontamination, exact_dedup
+from terraflux.llm import decontamination, exact_dedup, near_dedup, substring_dedup
 
 QUERIES = {
+    "op3_near_dedup": near_dedup.op3_near_dedup,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_decontamination": decontamination.op10_decontamination,
 }
 
 ORACLE_SQL = {
+    "op3_near_dedup": near_dedup.OP3_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op9_substring_dedup": substring_dedup.OP9_SQL,
     "op10_decontamination": decontamination.OP10_SQL,
 }
