@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from terraflux.llm import chat_format, decontamination, exact_dedup, html_text, mixing, near_dedup, quality, substring_dedup, url_filter
+from terraflux.llm import chat_format, decontamination, exact_dedup, html_text, mixing, near_dedup, pii, quality, substring_dedup, url_filter
 
 QUERIES = {
     "op1_chat_format": chat_format.op1_chat_format,
+    "op2_pii": pii.op2_pii,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_html_text": html_text.op5_html_text,
