@@ -1,13 +1,15 @@
 """Substring dedup by super-k-mer partitioning.
 
 The minimiser of a window of 13 words is the least hash of its 3-word parts. Consecutive windows with one minimiser
-travel as one packed string to that minimiser's bucket; there the windows are sorted by hash, equal ones confirmed by
-their bytes, and each distinct window gets the smallest doc_id that has it. A second scan of the documents looks its
-packed strings up among those with a shared window and covers the words to remove.
+travel as one packed string to that minimiser's bucket, those of one task for one bucket in one compressed row. There
+the windows are sorted by hash, equal ones confirmed by their bytes, and each distinct window gets the smallest doc_id
+that has it. A second scan of the documents looks its packed strings up among those with a shared window and covers
+the words to remove.
 
 Copies are merged before the shuffle (per packed string: smallest and largest doc_id), so a passage that a third of
-all documents share sends a row per task. A minimiser that many different windows share (found on a sample, which
-decides only where rows travel) sends its windows one by one, dealt by the window itself.
+all documents share sends one string per task. A minimiser that many different windows share sends its windows one by one,
+dealt by the window itself. A sample of the documents tells such minimisers and the number of buckets; it decides only
+where strings travel, not what is found.
 """
 
 from __future__ import annotations
@@ -18,20 +20,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terraflux.llm.common import cut, table
 from terraflux.llm.words import Words, chunks, mix
 
 N, PART = 13, 3
+#: Bytes of text whose packed strings are merged before they travel.
+MAP_BYTES = 8_000_000
 #: Windows in one packed string at most; longer runs of one minimiser are split.
 RUN = 256
-#: Share of the documents that is scanned for frequent minimisers, and the share of windows from which one is frequent.
-HOT_SAMPLE, HOT_SHARE = 0.02, 1 / 2000
-#: Packed bytes that are sorted at once.
-SORT_BYTES = 8_000_000
+#: Share of the documents that is scanned to plan the buckets, and packed bytes that a bucket should have.
+PLAN_SAMPLE, BUCKET_BYTES = 0.02, 4_000_000
+#: Minimisers that are sent window by window, at most (8 bytes each in every task): the most frequent ones.
+MAX_HOT = 1_000_000
+
+
+def _among(m: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Whether each of m is in the sorted array hot."""
+    if not len(hot):
+        return np.zeros(len(m), bool)
+    return hot[np.minimum(np.searchsorted(hot, m), len(hot) - 1)] == m
 
 
 def _minimisers(words: Words, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +62,7 @@ def _runs(m: np.ndarray, whole: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray
     same = np.zeros(len(m), bool)
     same[1:] = whole[1:] & whole[:-1] & (m[1:] == m[:-1])
     if len(hot):
-        same &= ~np.isin(m, hot)
+        same &= ~_among(m, hot)
     head = np.zeros(len(m), np.int64)
     heads = np.flatnonzero(~same)
     head[heads] = heads
@@ -71,8 +82,7 @@ def _packed(texts: list[bytes], hot: np.ndarray) -> tuple[Words, np.ndarray, np.
     starts, ends = _runs(m, whole, hot)
     route = m[starts]
     if len(hot) and len(starts):
-        single = np.isin(route, hot)
-        route = np.where(single, words.hashes(prefix, N)[starts], route)
+        route = np.where(_among(route, hot), words.hashes(prefix, N)[starts], route)
     return words, starts, np.searchsorted(words.first, starts, "right") - 1, route, words.slices(words.start[starts], words.end[ends + N - 1])
 
 
@@ -80,55 +90,77 @@ def _keys(packed: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, packed)), np.int64).reshape(-1, 2)
 
 
-def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list]:
-    """doc_ids and texts of the rows that have a doc_id."""
-    batch = batch.filter(batch.column(0).is_valid())
-    return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(1).to_pylist()
+def _texts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """doc_ids and texts of the rows that have a doc_id, some megabytes at a time."""
+    for batch in batches:
+        batch = batch.filter(batch.column(0).is_valid())
+        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for begin in range(0, len(ids), rows):
+            for first, texts in chunks(batch.column(1).slice(begin, rows).to_pylist()):
+                yield ids[begin + first : begin + first + len(texts)], texts
 
 
-def frequent_minimisers(docs: DataFrame, sample: float, share: float) -> np.ndarray:
-    """Minimisers whose packed strings are more than share of all on a sample: 1 / share of them at most."""
+def plan_buckets(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of buckets, and in order the minimisers that would fill a quarter of one or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, texts in chunks(_texts(batch)[1]):
-                route, packed = _packed(texts, np.empty(0, np.uint64))[3:]
-                # copies of one packed string are merged before they travel
-                once = np.array([route[i] for i in dict(zip(packed, range(len(packed)))).values()], np.uint64)
-                values, counts = np.unique(once, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["m", "n"])
-
-    counts = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(10_000)) < int(sample * 10_000)).mapInArrow(run, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
-    counts = cut(counts.filter("n > 1"), "sub-hot")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return np.array([r[0] for r in counts.filter(F.col("n") > max(64, total * share)).select("m").collect()], np.int64).view(np.uint64)
-
-
-def _pack(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(route, packed, lo, hi): packed strings, merged within each task's batches."""
+        for _, texts in _texts(batches):
+            route, packed = _packed(texts, np.empty(0, np.uint64))[3:]
+            # copies of one packed string are merged before they travel
+            once = dict(zip(packed, route.tolist()))
+            values, at = np.unique(np.fromiter(once.values(), np.uint64, len(once)), return_inverse=True)
+            size = np.bincount(at, np.fromiter(map(len, once), np.int64, len(once)), len(values)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(size)], ["m", "n"])
+
+    share = int(PLAN_SAMPLE * 10_000)
+    sizes = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(10_000)) < share).mapInArrow(run, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
+    sizes = cut(sizes.filter("n > 500"), "sub-plan")  # one string seldom tells anything
+    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(8, int(3 * total / BUCKET_BYTES))
+    hot = sizes.filter(F.col("n") > max(2000, BUCKET_BYTES * PLAN_SAMPLE / 4)).orderBy(F.desc("n"), "m").limit(MAX_HOT)
+    return buckets, np.sort(np.array([r[0] for r in hot.select("m").collect()], np.int64).view(np.uint64))
+
+
+def _pack(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, packed, docs): packed strings by line, and the smallest and largest doc_id of each, both compressed."""
+
+    def merged(seen: dict[bytes, list[int]]) -> pa.RecordBatch:
+        strings, (to, lo, hi) = list(seen), np.array(list(seen.values()), np.int64).T
+        order, pack = np.argsort(to, kind="stable"), zstandard.ZstdCompressor(3).compress
+        heads = np.flatnonzero(np.append(True, np.diff(to[order]) != 0))
+        out: tuple[list, list] = ([], [])
+        for own in np.split(order, heads[1:]):
+            out[0].append(pack(b"\n".join([strings[i] for i in own.tolist()]) + b"\n"))
+            out[1].append(pack(np.concatenate([np.diff(lo[own], prepend=0), hi[own] - lo[own]]).tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(to[order[heads]]), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], ["bucket", "packed", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, all_texts = _texts(batch)
-            for first, texts in chunks(all_texts):
-                _, _, row, route, packed = _packed(texts, hot)
-                doc, seen = ids[first + row], {}
-                at = np.fromiter((seen.setdefault(p, len(seen)) for p in packed), np.int64, len(packed))
-                lo, hi = np.full(len(seen), np.iinfo(np.int64).max), np.full(len(seen), np.iinfo(np.int64).min)
-                np.minimum.at(lo, at, doc)
-                np.maximum.at(hi, at, doc)
-                to = np.zeros(len(seen), np.uint64)
-                to[at] = route
-                yield pa.RecordBatch.from_arrays([pa.array(to.view(np.int64)), pa.array(list(seen), pa.binary()), pa.array(lo), pa.array(hi)], ["route", "packed", "lo", "hi"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "route long, packed binary, lo long, hi long")
-
-
-def _first_documents(packed: list[bytes], lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        seen: dict[bytes, list[int]] = {}  # bucket, smallest and largest doc_id of each packed string
+        size = 0
+        for ids, texts in _texts(batches):
+            _, _, row, route, packed = _packed(texts, hot)
+            for string, bucket, doc in zip(packed, (route % np.uint64(buckets)).tolist(), ids[row].tolist()):
+                if own := seen.get(string):
+                    if doc < own[1]:
+                        own[1] = doc
+                    if doc > own[2]:
+                        own[2] = doc
+                else:
+                    seen[string] = [bucket, doc, doc]
+            size += sum(map(len, texts))
+            if size >= MAP_BYTES and seen:
+                yield merged(seen)
+                seen, size = {}, 0
+        if seen:
+            yield merged(seen)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "bucket long, packed binary, docs binary")
+
+
+def _first_documents(words: Words, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(index, smallest doc_id of each window) of the packed strings with a window that two documents have."""
-    words = Words.of(packed)
     key = words.hashes(words.prefix(), N)
-    of = np.repeat(np.arange(len(packed)), np.diff(words.first))[: len(key)]
+    of = np.repeat(np.arange(len(lo)), np.diff(words.first))[: len(key)]
     at = np.flatnonzero(np.arange(len(key)) + N <= words.first[of + 1])
     order = at[np.argsort(key[at], kind="stable")]
     heads = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
@@ -140,8 +172,8 @@ def _first_documents(packed: list[bytes], lo: np.ndarray, hi: np.ndarray) -> lis
     shared[order] = np.repeat(least < most, sizes)
     many = np.repeat((sizes > 1) & (least < most), sizes)
     text = words.slices(words.start[order[many]], words.end[order[many] + N - 1])
-    group = np.repeat(np.arange(len(heads)), sizes)[many]
-    odd = {group[i] for i in range(1, len(text)) if group[i] == group[i - 1] and text[i] != text[i - 1]}
+    group = np.repeat(np.arange(len(heads)), sizes)[many].tolist()
+    odd = {g for g, before, t, u in zip(group[1:], group, text[1:], text) if g == before and t != u}
     for g in odd:  # different windows with one hash
         inside = order[heads[g] : heads[g] + sizes[g]]
         exact: dict[bytes, list[int]] = {}
@@ -157,52 +189,45 @@ def _first_documents(packed: list[bytes], lo: np.ndarray, hi: np.ndarray) -> lis
 def shared_windows(packed: DataFrame) -> DataFrame:
     """(ka, kb, firsts) of the packed strings with a shared window: their 128-bit digest, the smallest doc_id of each window."""
 
-    def sorted_(routes: list, texts: list, los: list, his: list) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        at = np.array([seen.setdefault(t, len(seen)) for t in texts], np.int64)
-        lo, hi = np.full(len(seen), np.iinfo(np.int64).max), np.full(len(seen), np.iinfo(np.int64).min)
-        np.minimum.at(lo, at, np.array(los, np.int64))
-        np.maximum.at(hi, at, np.array(his, np.int64))
-        strings = list(seen)
-        found = _first_documents(strings, lo, hi)
-        if found:
-            keys = _keys([strings[i] for i, _ in found])
-            offsets = np.concatenate([[0], np.cumsum([len(f) for _, f in found])]).astype(np.int32)
-            firsts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([f for _, f in found])))
+    def bucket(lines: list[bytes], docs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        words = Words.of_lines(b"".join(lines))
+        both = [np.frombuffer(d, np.int64).reshape(2, -1) for d in docs]
+        lo = np.concatenate([np.cumsum(b[0]) for b in both])
+        found = _first_documents(words, lo, lo + np.concatenate([b[1] for b in both]))
+        at = np.array([i for i, _ in found], np.int64)
+        strings = words.slices(words.start[words.first[at]], words.end[words.first[at + 1] - 1])
+        once = {s: f for s, (_, f) in zip(strings, found)}
+        if once:
+            keys = _keys(list(once))
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in once.values()])]).astype(np.int32)
+            firsts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(list(once.values()))))
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), firsts], ["ka", "kb", "firsts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list, list] = ([], [], [], [])
-        size = 0
+        open_ = zstandard.ZstdDecompressor()
+        now, lines, docs = None, [], []
         for batch in batches:
-            route = batch.column(0).to_numpy()
-            changes = np.flatnonzero(np.diff(route)) + 1
-            begin = 0
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for end in [*changes.tolist(), len(route)]:
-                if size >= SORT_BYTES and held[0][-1] != columns[0][begin]:  # only whole buckets
-                    yield from sorted_(*held)
-                    held, size = ([], [], [], []), 0
-                for to, column in zip(held, columns):
-                    to.extend(column[begin:end])
-                size += sum(map(len, columns[1][begin:end]))
-                begin = end
-        if held[0]:
-            yield from sorted_(*held)
-
-    return packed.repartition("route").sortWithinPartitions("route").mapInArrow(run, "ka long, kb long, firsts array<long>")
+            for i, number in enumerate(batch.column(0).to_pylist()):
+                if number != now and lines:
+                    yield from bucket(lines, docs)
+                    lines, docs = [], []
+                now = number
+                lines.append(open_.decompress(batch.column(1)[i].as_py()))
+                docs.append(open_.decompress(batch.column(2)[i].as_py()))
+        if lines:
+            yield from bucket(lines, docs)
+
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "ka long, kb long, firsts array<long>")
 
 
 def _occurrences(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     """(ka, kb, doc_id, at): the packed strings of each document and the word at which they begin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, all_texts = _texts(batch)
-            for first, texts in chunks(all_texts):
-                words, starts, row, _, packed = _packed(texts, hot)
-                keys = _keys(packed)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(ids[first + row]), pa.array(starts - words.first[row])], ["ka", "kb", "doc_id", "at"])
+        for ids, texts in _texts(batches):
+            words, starts, row, _, packed = _packed(texts, hot)
+            keys = _keys(packed)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(ids[row]), pa.array(starts - words.first[row])], ["ka", "kb", "doc_id", "at"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "ka long, kb long, doc_id long, at long")
 
@@ -216,26 +241,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     is; rows that repeat it with another text lose the words at the places of either. Other columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    hot = frequent_minimisers(docs, HOT_SAMPLE, HOT_SHARE)
-    shared = cut(shared_windows(_pack(docs, hot)), "sub-shared")
+    buckets, hot = plan_buckets(docs)
+    shared = cut(shared_windows(_pack(docs, hot, buckets)), "sub-shared")
     found = _occurrences(docs, hot).join(shared, ["ka", "kb"])
     found = found.select("doc_id", "at", F.transform("firsts", lambda f: f < F.col("doc_id")).alias("gone")).filter(F.exists("gone", lambda g: g))
     gone = cut(found.select("doc_id", F.struct(F.col("at"), F.col("gone").alias("windows")).alias("run")).groupBy("doc_id").agg(F.collect_set("run").alias("runs")), "sub-gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, runs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            texts, runs = batch.column(1), batch.column(2)
             n_words, n_removed, kept = [], [], []
-            for text, own in zip(texts, runs):
+            for text, own in ((t.as_py(), r.as_py()) for t, r in zip(texts, runs)):
                 words = (text or "").encode().split()
+                n_words.append(len(words))
+                if not own:
+                    n_removed.append(0)
+                    kept.append(b" ".join(words).decode())
+                    continue
                 covered = np.zeros(len(words) + 1, np.int64)
-                for r in own or ():
+                for r in own:
                     starts = r["at"] + np.flatnonzero(r["windows"])
                     starts = starts[starts + N <= len(words)]
                     np.add.at(covered, starts, 1)
                     np.add.at(covered, starts + N, -1)
                 stay = np.cumsum(covered)[: len(words)] == 0
-                n_words.append(len(words))
                 n_removed.append(int((~stay).sum()))
                 kept.append(b" ".join(w for w, s in zip(words, stay.tolist()) if s).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])

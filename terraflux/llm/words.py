@@ -9,18 +9,25 @@ import numpy as np
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-_P = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
-_P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_P = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
+_STEP = 4096
 
 
-def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, p in enumerate((_P, _P_INVERSE)):
-            steps = np.full(n, p, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+def _powers(base: int) -> tuple[np.ndarray, int]:
+    """base to the power of 0 .. 4095, and of 4096."""
+    out = np.full(_STEP, np.uint64(base), np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out), pow(base, _STEP, 1 << 64)
+
+
+_LOW, _HIGH = _powers(_P)
+_LOW_BACK, _HIGH_BACK = _powers(pow(_P, -1, 1 << 64))
+
+
+def _high(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base), np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(texts: list[str | None], size: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: list[str | None], size: int = 2_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, encoded texts) of runs of texts of about size bytes; null is empty."""
     first, held, n = 0, [], 0
     for i, text in enumerate(texts):
@@ -66,18 +73,30 @@ class Words:
         start = np.concatenate([[0], end[:-1] + 1]) if len(end) else end
         return Words(buf, start, end, np.searchsorted(start, np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])))
 
+    @staticmethod
+    def of_lines(raw: bytes) -> Words:
+        """Of texts that are words with one space between them, a line feed after each text."""
+        line = np.frombuffer(raw, np.uint8)
+        end = np.flatnonzero((line == 32) | (line == 10))
+        last = np.flatnonzero(line[end] == 10)
+        buf = line.copy()
+        buf[line == 10] = 32
+        return Words(buf, np.concatenate([[0], end[:-1] + 1]) if len(end) else end, end, np.concatenate([[0], last + 1]))
+
     def prefix(self) -> np.ndarray:
         """Prefix sums of a polynomial over the bytes."""
-        forward, _ = _grown(len(self.buf) + 1)
-        out = np.zeros(len(self.buf) + 1, np.uint64)
-        np.cumsum(self.buf.astype(np.uint64) * forward[: len(self.buf)], out=out[1:])
+        n = len(self.buf)
+        out = np.zeros(n + 1, np.uint64)
+        out[1:] = self.buf
+        out[1:] *= np.multiply.outer(_high(_HIGH, n // _STEP + 1), _LOW).reshape(-1)[:n]
+        np.cumsum(out[1:], out=out[1:])
         return out
 
     def hashes(self, prefix: np.ndarray, span: int = 1) -> np.ndarray:
         """A 64-bit hash of the bytes from each word to the end of the span-th, counting it; equal bytes, equal hash."""
-        _, back = _grown(len(self.buf) + 1)
         start, end = self.start[: len(self.start) - span + 1], self.end[span - 1 :]
-        return mix((prefix[end] - prefix[start]) * back[start] + (end - start).astype(np.uint64))
+        back = _high(_HIGH_BACK, len(self.buf) // _STEP + 1)[start // _STEP] * _LOW_BACK[start % _STEP]
+        return mix((prefix[end] - prefix[start]) * back + (end - start).astype(np.uint64))
 
     def slices(self, start: np.ndarray, end: np.ndarray) -> list[bytes]:
         whole = self.buf.tobytes()
