@@ -1,10 +1,13 @@
 """MinHash near-dedup: universal hash minima, banding, signature verification, full-set confirmation, components.
 
 Documents with the same shingle set are one class from the start, so copies cost nothing further. Classes that share
-a band bucket are compared with the bucket's least class first (a star, not all pairs). Members that the links found
-so far have put into one component need no comparison; what is left over of a bucket is compared across components.
+a band bucket are compared with one of them (a star, not all pairs): the least class first, then, round after round,
+another one drawn by hash with those that the links found so far have not put into its component. As a document shares many
+buckets with its near copies, a few rounds find a link for all but those that have none; only what then still stands
+in different components of a bucket is compared pair by pair.
 Every compared pair passes a signature check that a true link fails with a chance below 1e-9, then the comparison of
-full sets. With 32 bands of 4 minima a link at the threshold itself is missed with a chance of 5e-8.
+full sets. With 42 bands of 6 minima a link at the threshold itself is missed with a chance of 3e-6, one of similarity 0.85 with
+5e-10, and an unrelated pair that shares a passage (similarity 0.25) is seldom a candidate.
 """
 
 from __future__ import annotations
@@ -20,10 +23,14 @@ from pyspark.sql import functions as F
 from terraflux.llm.common import cut, table
 from terraflux.llm.components import connected_components
 
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 42, 6
 #: Six standard deviations below the agreement expected of a pair at the threshold.
 SIGMAS = 6
-STAR_ROUNDS = 2
+STAR_ROUNDS = 6
+#: The rest of the buckets is compared at once when that makes fewer pairs than this for each of their members.
+FEW_PAIRS = 4
+#: Ids of documents to compare that may be broadcast (16 bytes each); more are joined by a shuffle, which moves the texts.
+MAX_BROADCAST = 1_000_000
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -91,7 +98,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, pe
     agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same))
     near_size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     pairs = cut(pairs.filter(near_size).filter(agree >= least).select("a", "b", "n_a", "n_b"), "near-checked")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-wanted")
+    if wanted.count() <= MAX_BROADCAST:
+        wanted = F.broadcast(wanted)
     sets = cut(shingle_sets(docs.join(wanted, "doc_id", "left_semi"), k).dropDuplicates(["id"]), "near-sets")
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("items").alias(f"set_{side}")), side)
@@ -117,30 +126,32 @@ def near_dedup(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataF
 
     star = open_.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     links = tried = components = None
+    rest = False
     for turn in range(STAR_ROUNDS + 1):
         pairs = cut(star, "near-pairs")
-        if turn and pairs.isEmpty():
+        if not turn or not pairs.isEmpty():
+            found = _confirmed(pairs, docs, classes, shingle, percent)
+            if not turn or not found.isEmpty():
+                links = found if not turn else links.union(found)
+                components = connected_components(links)
+            tried = pairs if not turn else tried.union(pairs)
+        if rest:
             break
-        found = _confirmed(pairs, docs, classes, shingle, percent)
-        if turn == 0 or not found.isEmpty():
-            links = found if turn == 0 else links.union(found)
-            components = connected_components(links)
-        tried = pairs if turn == 0 else tried.union(pairs)
-        if turn == STAR_ROUNDS:
+        # what each bucket still has in different components, without the pivot that all others were compared with
+        placed = open_.filter("id <> pivot").select("bucket", "id").join(components.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+        drawn = F.min_by(F.struct(F.col("id").alias("pivot"), F.col("component").alias("own")), F.struct(F.xxhash64(F.lit(turn), "id"), "id"))
+        mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n"), drawn.alias("p")).filter("least <> most")
+        mixed = cut(mixed.select("bucket", "n", "p.pivot", "p.own"), "near-mixed")
+        members, possible = mixed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()
+        if not members:
             break
-        # what each bucket still has in different components, without the pivots that all others were compared with
-        placed = open_.join(components.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "pivot", F.coalesce("component", "id").alias("component"))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("bucket")
-        placed = cut(placed.filter("id <> pivot").join(mixed, "bucket", "left_semi"), "near-open")
-        if turn + 1 < STAR_ROUNDS:
-            next_ = cut(placed.groupBy("bucket").agg(F.min_by(F.struct(F.col("id").alias("pivot"), F.col("component").alias("own")), "id").alias("p")).select("bucket", "p.pivot", "p.own"), "near-pivots")
-            open_ = cut(placed.drop("pivot").join(next_, "bucket").select("bucket", "id", "pivot", "component", "own"), "near-buckets")
-            star = open_.filter("id <> pivot AND component <> own")
-            star = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-            open_ = open_.select("bucket", "id", "pivot")
-        else:
-            left, right = (placed.select("bucket", F.col("id").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
+        open_ = cut(placed.join(mixed.drop("n"), "bucket"), "near-buckets")
+        rest = turn + 1 == STAR_ROUNDS or possible <= FEW_PAIRS * members
+        if rest:
+            left, right = (open_.select("bucket", F.col("id").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
             star = left.join(right, "bucket").filter("a < b AND ca <> cb").select("a", "b").distinct()
+        else:
+            star = open_.filter("id <> pivot AND component <> own").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         star = star.join(tried, ["a", "b"], "left_anti")
 
     of_class = classes.select("ka", "kb", "id").join(components.withColumnRenamed("node", "id"), "id", "left").select("ka", "kb", F.coalesce("component", "id").alias("component"))

@@ -219,7 +219,7 @@ def pseudonymise(docs: DataFrame, *, key: str, restore: bool = False) -> DataFra
 
     A null text stays null and changes nothing. Repeated rows and nulls elsewhere are kept, other columns stay; a
     column of docs named changed is overwritten. Capitals in e-mail names are lower-cased first, as they mean nothing;
-    restore gives those back in lower case, all else exactly.
+    restore gives those back in lower case, all else exactly but the local parts that only a digest stands for.
     """
     found = F.regexp_extract_all(text_or_empty(), F.lit(FOUND), F.lit(0))
     rows = docs.withColumn("__m", found).withColumn("__new", F.transform("__m", lambda m: pseudonym(m, key, restore)))
