@@ -11,7 +11,7 @@ from terraflux.plans.filters import FAILING
 from terraflux.plans.registry import Views, duck, query
 
 
-@query("a1_aggregate_period", duck("v_raw", "SELECT site, CAST(ts AS DATE) AS date, avg(value) AS value, sum(event_id) AS event_id FROM v_raw GROUP BY ALL", "value"))
+@query("a1_aggregate_period", duck("v_raw", "SELECT site, CAST(ts AS DATE) AS date, avg(value) AS value, CAST(sum(event_id) AS BIGINT) AS event_id FROM v_raw GROUP BY ALL", "value"))
 def a1(v: Views) -> DataFrame:
     return agg.aggregate_period(v.v_raw.withColumn("event_id", F.col("event_id").cast("double")), ["site"], "ts", "day", {"value": "mean", "event_id": "sum"}).withColumn("event_id", F.col("event_id").cast("long"))
 

@@ -22,7 +22,7 @@ def p1(v: Views) -> DataFrame:
     return filters.select_variables(v.v_wide, {"day": "day", "site0": "howard", "site3": "gingin", "absent": "x"})
 
 
-@query("p2_constants", duck("v_wide", "SELECT day, site1, 101.3 AS ps, 'kPa' AS units FROM v_wide", "site1"))
+@query("p2_constants", duck("v_wide", "SELECT day, site1, CAST(101.3 AS DOUBLE) AS ps, 'kPa' AS units FROM v_wide", "site1"))
 def p2(v: Views) -> DataFrame:
     return filters.with_constants(v.v_wide.select("day", "site1"), {"ps": 101.3, "units": "kPa"})
 

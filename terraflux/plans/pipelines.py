@@ -184,7 +184,7 @@ def wide_site_met(temperature: DataFrame, humidity: DataFrame, rain: DataFrame,
 _LONG = " UNION ALL ".join(f"SELECT day, 'site{c}' AS site, site{c} AS x FROM v_wide" for c in CELLS)
 
 
-@query("c10_wide_site_met", duck("v_wide", f"SELECT day, site, x + 250 - 273.15 AS tas, x / 10000 AS huss, x / 1e6 * 10800 AS pr, 101300.0 AS ps, 611.2 * exp(17.62 * (x + 250 - 273.15) / (243.04 + (x + 250 - 273.15))) / 1000 - x / 10000 * 101.3 / ((1 - 0.622) * x / 10000 + 0.622) AS vpd FROM ({_LONG})", "tas huss pr vpd"))
+@query("c10_wide_site_met", duck("v_wide", f"SELECT day, site, x + 250 - 273.15 AS tas, x / 10000 AS huss, x / 1e6 * 10800 AS pr, CAST(101300 AS DOUBLE) AS ps, 611.2 * exp(17.62 * (x + 250 - 273.15) / (243.04 + (x + 250 - 273.15))) / 1000 - x / 10000 * 101.3 / ((1 - 0.622) * x / 10000 + 0.622) AS vpd FROM ({_LONG})", "tas huss pr vpd"))
 def c10(v: Views) -> DataFrame:
     names = [f"site{c}" for c in CELLS]
     each = lambda f: v.v_wide.select("day", *[f(F.col(n)).alias(n) for n in names])

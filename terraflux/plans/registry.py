@@ -46,6 +46,6 @@ def duck(views: str, select: str, r: str = "") -> str:
     """DuckDB text: the views (in order of need), the select, and the columns r rounded to six places."""
     if not r:
         return f"{with_views(*views.split())} {select}" if views else select
-    parts = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in r.split())
+    parts = ", ".join(f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in r.split())
     head = with_views(*views.split()) + "," if views else "WITH"
     return f"{head} q_ AS ({select}) SELECT * REPLACE ({parts}) FROM q_"
