@@ -162,6 +162,11 @@ def _conversion(source: str, target: str) -> tuple[float, int, float]:
     raise ValueError(f"no conversion from {source!r} to {target!r}")
 
 
+def register_conversion(source: str, target: str, factor: float, step_power: int = 0, offset: float = 0.0) -> None:
+    """D3: another unit conversion: value * factor * step ** step_power + offset, with a step_power of -1, 0 or 1."""
+    model.UNIT_CONVERSIONS[source, target] = (factor, step_power, offset)
+
+
 def convert(value: Column, source: str, target: str, step_seconds: Column | float = 1.0) -> Column:
     """Value in other units; conversions between amounts and rates depend on the step."""
     factor, power, offset = _conversion(source, target)

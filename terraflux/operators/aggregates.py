@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ AGGREGATORS = {
 }
 
 
+def register_aggregator(name: str, factory: Callable[[Column], Column]) -> None:
+    """Another aggregator by name: a function from a column to an aggregate expression."""
+    AGGREGATORS[name] = factory
+
+
 def missing_as_null(name: str) -> Column:
     return F.when(~F.isnan(name), F.col(name))
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraflux import model
 from terraflux.functions import scalars
+from terraflux.operators.sets import first_k
 
 
 def select_variables(df: DataFrame, mapping: dict[str, str], keep_only: bool = True) -> DataFrame:
@@ -87,12 +88,8 @@ def bounds_report(df: DataFrame, key: str, order: list[str], value: str, low: fl
     """Per key and direction, how many values are out of bounds, and the first k of them as "order=value" pairs in order."""
     side = F.when(F.isnan(value), None).when(F.col(value) < low, "below").when(F.col(value) > high, "above")
     out = df.withColumn("direction", side).filter("direction IS NOT NULL")
-    place = F.row_number().over(Window.partitionBy(key, "direction").orderBy(*order))
-    first = F.when(F.col("__place") <= k, F.struct("__place", F.format_string("%s=%.2f", F.col(order[-1]).cast("string"), F.col(value))))
-    return (
-        out.withColumn("__place", place).groupBy(key, "direction").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(first)).alias("first"))
-        .withColumn("first", F.array_join(F.transform("first", lambda s: s["col2"]), ";"))
-    )
+    shown = F.format_string("%s=%.2f", F.col(order[-1]).cast("string"), F.col(value))
+    return first_k(out.withColumn("__shown", shown), [key, "direction"], [*order, "__shown"], k, "first").withColumn("first", F.replace("first", F.lit(","), F.lit(";")))
 
 
 def convert_units(df: DataFrame, value: str, source: str, target: str, step: Column | float = 1.0) -> DataFrame:
@@ -115,3 +112,10 @@ def override_values(df: DataFrame, updates: DataFrame, keys: list[str], columns:
 def clamp(df: DataFrame, value: str, low: float | None, high: float | None) -> DataFrame:
     """Value within bounds; NaN and null stay."""
     return df.withColumn(value, scalars.clamp(F.col(value), low, high))
+
+
+def with_expressions(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    """Columns computed by SQL expressions, in order; a later one may use an earlier one."""
+    for name, text in expressions.items():
+        df = df.withColumn(name, F.expr(text))
+    return df

@@ -17,10 +17,13 @@ def order_observations(df: DataFrame, site: str, time: str) -> DataFrame:
 
 def first_k(df: DataFrame, keys: list[str], order: list[str], k: int, name: str) -> DataFrame:
     """Per key the number of rows and the first k values of the last order column, joined by commas."""
+    # the filter on the place lets each task keep k rows of a key before any are moved; the count is pre-aggregated
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    first = F.when(F.col("__place") <= k, F.struct("__place", F.col(order[-1]).cast("string").alias("v")))
-    rows = df.withColumn("__place", place).groupBy(*keys).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(first)).alias(name))
-    return rows.withColumn(name, F.array_join(F.col(name).getField("v"), ","))
+    first = df.withColumn("__place", place).filter(F.col("__place") <= k).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__place", F.col(order[-1]).cast("string").alias("v")))).alias(name))
+    first = first.withColumnsRenamed({c: f"__{c}" for c in keys})
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    same = reduce(Column.__and__, [counts[c].eqNullSafe(first[f"__{c}"]) for c in keys])
+    return counts.join(first, same).select(*keys, "n", F.array_join(F.col(name).getField("v"), ",").alias(name))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -120,3 +120,9 @@ def a22(v: Views) -> DataFrame:
 @query("a23_axes", duck("v_grid", "SELECT 'lon' AS axis, lon AS value, count(*) OVER () AS size FROM (SELECT DISTINCT lon FROM v_grid) UNION ALL SELECT 'lat', lat, count(*) OVER () FROM (SELECT DISTINCT lat FROM v_grid)", "value"))
 def a23(v: Views) -> DataFrame:
     return agg.axes(v.v_grid, ["lon", "lat"])
+
+
+@query("d1_aggregators", duck("v_daily", "SELECT cell, sqrt(avg(value * value)) AS quadratic_mean, count(value) AS n, max(value) - min(value) AS span FROM v_daily GROUP BY cell", "quadratic_mean span"))
+def d1(v: Views) -> DataFrame:
+    agg.register_aggregator("span", lambda c: F.max(c) - F.min(c))
+    return v.v_daily.groupBy("cell").agg(*[agg.AGGREGATORS[how](F.col("value")).alias(name) for name, how in (("quadratic_mean", "quadratic_mean"), ("n", "count"), ("span", "span"))])

@@ -212,3 +212,15 @@ def f17(v: Views) -> DataFrame:
 def f19(v: Views) -> DataFrame:
     text = F.expr("CASE p_partkey % 3 WHEN 0 THEN concat(p_size, 'cm') WHEN 1 THEN concat(p_size, ' m') ELSE ' ' END")
     return v.part.select("p_partkey", scalars.parse_height(text).alias("h"))
+
+
+@query("d3_unit_registry", duck("v_daily", "SELECT cell, day, value * 0.3048 AS value FROM v_daily", "value"))
+def d3(v: Views) -> DataFrame:
+    scalars.register_conversion("ft", "m", 0.3048)
+    return filters.convert_units(v.v_daily, "value", "ft", "m")
+
+
+@query("d4_expressions", duck("v_grid", "SELECT lon, lat, month, 0.611 * exp(17.27 * tas / (tas + 237.3)) AS esat, huss * ps / 0.622 / (0.611 * exp(17.27 * tas / (tas + 237.3))) AS share FROM v_grid", "esat share"))
+def d4(v: Views) -> DataFrame:
+    made = filters.with_expressions(v.v_grid, {"esat": "0.611D * exp(17.27D * tas / (tas + 237.3D))", "share": "huss * ps / 0.622D / esat"})
+    return made.select("lon", "lat", "month", "esat", "share")

@@ -151,3 +151,14 @@ def g4(v: Views) -> DataFrame:
 @query("g5_synthetic_years")
 def g5(v: Views) -> DataFrame:
     return gen.synthetic_years(v.v_daily, "cell", "day", "value", 3, 7, 0, 50)
+
+
+_ENDS = "SELECT cell, min(day) AS a, max(day) AS b, arg_min(value, day) AS x, arg_max(value, day) AS y FROM v_daily GROUP BY cell"
+
+
+@query("d2_padders", duck("v_daily", f"SELECT cell, 'constant' AS how, a::TIMESTAMP - INTERVAL 1 DAY AS t, 0.0 AS value FROM ({_ENDS}) UNION ALL SELECT cell, 'constant', b::TIMESTAMP + INTERVAL 1 DAY, 0.0 FROM ({_ENDS}) UNION ALL SELECT cell, 'nearest', a::TIMESTAMP - INTERVAL 1 DAY, x FROM ({_ENDS}) UNION ALL SELECT cell, 'nearest', b::TIMESTAMP + INTERVAL 1 DAY, y FROM ({_ENDS})", "value"))
+def d2(v: Views) -> DataFrame:
+    daily = v.v_daily.select("cell", F.col("day").cast("timestamp_ntz").alias("t"), "value")
+    span = daily.groupBy("cell").agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    padded = [win.pad_series(daily, "cell", "t", "value", how, 1, 1, 86400).withColumn("how", F.lit(how)) for how in ("constant", "nearest")]
+    return padded[0].union(padded[1]).join(span, "cell").filter("t < a OR t > b").select("cell", "how", "t", "value")
