@@ -54,9 +54,9 @@ def texts(spark, n, seed):
     return out
 
 
-@pytest.mark.parametrize("seed, few", [(1, 4), (2, 0)])
-def test_near_dedup_finds_every_link(spark, seed, few, monkeypatch):
-    monkeypatch.setattr(near_dedup, "FEW_PAIRS", few)  # 0: all star rounds before the rest
+@pytest.mark.parametrize("seed, rounds", [(1, 2), (2, 1)])
+def test_near_dedup_finds_every_link(spark, seed, rounds, monkeypatch):
+    monkeypatch.setattr(near_dedup, "STAR_ROUNDS", rounds)
     rows = texts(spark, 240, seed)
     sets = {i: set(zip(t.split(), t.split()[1:])) for i, t in rows}
     edges = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
