@@ -127,6 +127,13 @@ def s15(v: Views) -> DataFrame:
     return digests.join(whole.select("path", "content"), "path").select(F.sha2(F.expr("substring(content, 1, length(content) - 1)"), 256).alias("sha256")).groupBy("sha256").agg(F.count("*").alias("n"))
 
 
+@query("s15_file_digests_whole", "SELECT sha256(text) AS sha256, count(*) AS n FROM documents GROUP BY 1")
+def s15_whole(v: Views) -> DataFrame:
+    path = scratch(v.spark, "packed")
+    sinks.write_packed_texts(v.documents, "text", path)
+    return scans.packed_digests(v.spark, path).groupBy("sha256").agg(F.count("*").alias("n"))
+
+
 @query("s16_wide_to_long", duck("v_wide", " UNION ALL ".join(f"SELECT day, 'site{c}' AS site, site{c} AS value FROM v_wide" for c in CELLS), "value"))
 def s16(v: Views) -> DataFrame:
     return scans.wide_to_long(v.v_wide, ["day"], [f"site{c}" for c in CELLS], "site", "value")

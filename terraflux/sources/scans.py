@@ -96,6 +96,18 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"))
 
 
+def packed_digests(spark: SparkSession, path: str) -> DataFrame:
+    """S15 on files of write_packed_texts(): a row per text with its digest, null for a null text. The file's own digest must be the same on both reads."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
+    lines = F.split(F.expr("substring(string(content), 1, length(string(content)) - 1)"), "\x1e")  # without the last mark
+    plain = lambda s: F.replace(F.replace(s, F.lit("\x1f1"), F.lit("\x1e")), F.lit("\x1f0"), F.lit("\x1f"))
+    texts = F.transform(lines, lambda s: F.sha2(F.when(s != "\x1f2", plain(s)), 256))
+    own = files.filter("length > 0").select("path", F.sha2("content", 256).alias("own"), texts.alias("texts"))
+    seen = own.join(file_digests(spark, path), "path", "left")
+    same = F.assert_true(F.coalesce(F.col("own") == F.col("sha256"), F.lit(False)), F.concat(F.lit("file changed while it was read: "), F.col("path")))
+    return seen.filter(same.isNull()).select(F.explode("texts").alias("sha256"))
+
+
 def wide_to_long(df: DataFrame, keys: list[str], names: list[str], name: str, value: str) -> DataFrame:
     """A row per named column."""
     return df.unpivot(keys, names, name, value)

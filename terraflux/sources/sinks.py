@@ -44,3 +44,9 @@ def annual_text(df: DataFrame, year: str, value: str) -> DataFrame:
 
 def write_annual_text(df: DataFrame, year: str, value: str, path: str) -> None:
     annual_text(df, year, value).write.text(path)
+
+
+def write_packed_texts(df: DataFrame, text: str, path: str, per_file: int = 100) -> None:
+    """Files of up to per_file texts, each ended by 1E; a 1E of the text is 1F "1", its 1F is 1F "0", a null text is 1F "2"."""
+    marked = F.replace(F.replace(text, F.lit("\x1f"), F.lit("\x1f0")), F.lit("\x1e"), F.lit("\x1f1"))
+    df.select(F.coalesce(marked, F.lit("\x1f2")).alias("text")).write.option("maxRecordsPerFile", per_file).text(path, lineSep="\x1e")
