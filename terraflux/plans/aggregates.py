@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraflux.operators import aggregates as agg
 from terraflux.operators.filters import flag_fails
 from terraflux.plans.filters import FAILING
-from terraflux.plans.registry import Views, duck, query
+from terraflux.plans.registry import Views, duck, query, uncut
 
 
 @query("a1_aggregate_period", duck("v_raw", "SELECT site, CAST(ts AS DATE) AS date, avg(value) AS value, CAST(sum(event_id) AS BIGINT) AS event_id FROM v_raw GROUP BY ALL", "value"))
@@ -32,6 +32,11 @@ def a4(v: Views) -> DataFrame:
     return agg.resample_daily(v.v_raw.filter("event_id % 60 = 0"), "site", "ts", "value")
 
 
+@query("a4_resample_daily_whole", uncut("a4_resample_daily", " WHERE event_id % 60 = 0"))
+def a4_whole(v: Views) -> DataFrame:
+    return agg.resample_daily(v.v_raw, "site", "ts", "value")
+
+
 @query("a5_temporal_mean", duck("v_daily", "SELECT cell, avg(value) AS value FROM v_daily GROUP BY cell", "value"))
 def a5(v: Views) -> DataFrame:
     return agg.temporal_mean(v.v_daily, "cell", "value")

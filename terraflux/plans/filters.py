@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraflux import model
 from terraflux.functions import scalars
 from terraflux.operators import filters
-from terraflux.plans.registry import Views, duck, query
+from terraflux.plans.registry import Views, duck, query, uncut
 
 FAILING = ", ".join(map(str, sorted(model.FAILING_FLAGS)))
 
@@ -48,6 +48,11 @@ def p6(v: Views) -> DataFrame:
     return filters.clip_to_coverage(v.v_daily, reference, "day")
 
 
+@query("p6_clip_to_coverage_whole", uncut("p6_clip_to_coverage", " WHERE o_orderkey % 1000 = 0"))
+def p6_whole(v: Views) -> DataFrame:
+    return filters.clip_to_coverage(v.v_daily, v.orders.select(F.col("o_orderdate").cast("date").alias("day")), "day")
+
+
 @query("p7_valid_only", duck("v_series", "SELECT site, t, value FROM v_series WHERE value IS NOT NULL AND NOT isnan(value)", "value"))
 def p7(v: Views) -> DataFrame:
     return filters.valid_only(v.v_series, ["value"]).select("site", "t", "value")

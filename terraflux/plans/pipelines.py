@@ -12,7 +12,7 @@ from terraflux.operators import filters, joins, regrid, sets, tables
 from terraflux.operators import windows as win
 from terraflux.plans.filters import FAILING
 from terraflux.plans.fixtures import CELLS, series
-from terraflux.plans.registry import Views, duck, query
+from terraflux.plans.registry import Views, duck, query, uncut
 from terraflux.plans.windows import FILLED
 from terraflux.sources import scans, sinks
 
@@ -67,6 +67,12 @@ def c2(v: Views) -> DataFrame:
     return flux_observations(raw, "source", "umol/m2/s", "gC/m2")
 
 
+@query("c2_flux_observations_whole", uncut("c2_flux_observations", " AND event_id % 3 = 0"))
+def c2_whole(v: Views) -> DataFrame:
+    raw = v.v_raw.withColumn("source", F.concat(F.lit("f"), (F.col("event_id") % 2).cast("string"))).withColumn("site", F.expr(_SITE_OF))
+    return flux_observations(raw, "source", "umol/m2/s", "gC/m2")
+
+
 def leaf_area_observations(modis: DataFrame) -> DataFrame:
     """Good and plausible leaf areas, by site and date."""
     good = filters.range_guard(filters.bitflag_filter(modis, "qc"), "lai", 0, 10)

@@ -42,6 +42,15 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+def uncut(name: str, *cuts: str) -> str:
+    """The DuckDB text of a registered query without the given cuts."""
+    sql = SQL[name]
+    for cut in cuts:
+        assert cut in sql, cut
+        sql = sql.replace(cut, "")
+    return sql
+
+
 def duck(views: str, select: str, r: str = "") -> str:
     """DuckDB text: the views (in order of need), the select, and the columns r rounded to six places."""
     if not r:

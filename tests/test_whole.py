@@ -1,7 +1,10 @@
 """Queries over whole tables, on rows that a subset would lose."""
 
+import datetime as dt
 import hashlib
 
+import pytest
+
 from terraflux.plans import QUERIES
 
 
@@ -11,3 +14,28 @@ def test_digests_of_all_documents(spark, tmp_path):
     got = {r.sha256: r.n for r in QUERIES["s15_file_digests_whole"](spark, str(tmp_path)).collect()}
     want = [x if x is None else hashlib.sha256(x.encode()).hexdigest() for x in texts]
     assert got == {x: want.count(x) for x in want}
+
+
+def events(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "event_id long, event_type string, ts timestamp, value double").write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def test_daily_queries_read_all_events(spark, tmp_path):
+    day = lambda d: dt.datetime(2024, 1, d, 6)
+    # ids without a multiple of 3 or 60, flags 0 and 10, none of them failing; source f0
+    path = events(spark, tmp_path, [(8, "click", day(1), 2.0), (16, "click", day(1), 4.0), (34, "click", day(3), 5.0)])
+    a4 = QUERIES["a4_resample_daily_whole"](spark, path).orderBy("day").collect()
+    assert [(r.day.day, r.value) for r in a4] == [(1, 3.0), (2, None), (3, 5.0)]
+    c2 = QUERIES["c2_flux_observations_whole"](spark, path).orderBy("date").collect()
+    amount = 1e-6 * 12.011 * 2 * 86400
+    assert [(r.site, r.date.day) for r in c2] == [("HowardSprings", 1), ("HowardSprings", 3)]
+    assert [r.value for r in c2] == pytest.approx([3.0 * amount, 5.0 * amount], abs=1e-6)
+
+
+def test_coverage_is_that_of_all_orders(spark, tmp_path):
+    spark.createDataFrame([(7, dt.date(1996, 1, 2)), (8, dt.date(1996, 1, 4))], "o_orderkey long, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    items = [(1, 1, dt.date(1996, 1, d), 1.0) for d in range(1, 6)]
+    spark.createDataFrame(items, "l_suppkey long, l_linenumber int, l_shipdate date, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = QUERIES["p6_clip_to_coverage_whole"](spark, str(tmp_path))
+    assert sorted(r.day.day for r in got.collect()) == [2, 3, 4]
