@@ -112,6 +112,12 @@ def w15(v: Views) -> DataFrame:
     return win.complete_days(v.v_series.withColumn("t", F.col("t").cast("timestamp_ntz")).filter("i < 710"), "site", "t", "value", 3600)
 
 
+@query("w15_complete_days_whole", duck("v_hours", "SELECT site, t, value FROM v_hours UNION ALL SELECT site, t + INTERVAL 1 HOUR * k, value FROM (SELECT *, unnest(range(1, 24 - CAST(hour(t) AS INTEGER))) AS k FROM (SELECT *, max(t) OVER (PARTITION BY site) AS last FROM v_hours) WHERE t = last)", "value"))
+def w15_whole(v: Views) -> DataFrame:
+    """All hours with data; each site's last one is where its own events end."""
+    return win.complete_days(v.v_hours.withColumn("t", F.col("t").cast("timestamp_ntz")), "site", "t", "value", 3600)
+
+
 @query("w16_dedupe_sources", duck("v_raw", "SELECT site, source, event_id FROM (SELECT *, min(source) OVER (PARTITION BY site) AS first FROM (SELECT site, event_id, 'file' || (event_id % 3) AS source FROM v_raw)) WHERE source = first OR site = 'click'"))
 def w16(v: Views) -> DataFrame:
     raw = v.v_raw.select("site", F.concat(F.lit("file"), (F.col("event_id") % 3).cast("string")).alias("source"), "event_id")

@@ -39,3 +39,10 @@ def test_coverage_is_that_of_all_orders(spark, tmp_path):
     spark.createDataFrame(items, "l_suppkey long, l_linenumber int, l_shipdate date, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
     got = QUERIES["p6_clip_to_coverage_whole"](spark, str(tmp_path))
     assert sorted(r.day.day for r in got.collect()) == [2, 3, 4]
+
+
+def test_days_are_completed_after_any_length(spark, tmp_path):
+    start, n = dt.datetime(2024, 1, 1), 24 * 40 + 5  # far more than 710 hours, the last day has five
+    path = events(spark, tmp_path, [(i, "click", start + dt.timedelta(hours=i), float(i)) for i in range(n)])
+    got = {r.t: r.value for r in QUERIES["w15_complete_days_whole"](spark, path).collect()}
+    assert got == {start + dt.timedelta(hours=i): float(min(i, n - 1)) for i in range(24 * 41)}
