@@ -60,13 +60,19 @@ def monthly_to_daily(df: DataFrame, key: str, month: str, value: str) -> DataFra
     return interpolate_gaps(full, key, "__i", value).drop("__i")
 
 
-def neighbour_mean(df: DataFrame, key: str, index: str, value: str, n: int, reach: int) -> DataFrame:
-    """Missing values become the mean of the n nearest valid ones within reach positions; of two equally near the later comes first."""
-    rows = F.collect_list(F.struct(F.col(index).alias("i"), F.col(value).alias("v"))).over(Window.partitionBy(key).orderBy(index).rangeBetween(-reach, reach))
-    near = F.filter("__w", lambda s: s["v"].isNotNull())
+def neighbour_mean(df: DataFrame, key: str, index: str, value: str, n: int, reach: int | None = None) -> DataFrame:
+    """Missing values become the mean of the n nearest valid ones of the series; of two equally near the later comes first.
+
+    With fewer than n valid values they stay missing; with reach, also where n of them are not within reach positions.
+    Only the n valid values before and the n after can be the nearest, so a row's window goes by the rank of valid values.
+    """
+    valid = F.col(value).isNotNull()
+    rank = F.count(value).over(Window.partitionBy(key).orderBy(index).rowsBetween(Window.unboundedPreceding, 0))
+    rows = F.collect_list(F.when(valid, F.struct(F.col(index).alias("i"), F.col(value).alias("v")))).over(Window.partitionBy(key).orderBy("__r").rangeBetween(1 - n, n))
+    near = F.col("__w") if reach is None else F.filter("__w", lambda s: F.abs(s["i"] - F.col(index)) <= reach)
     ranked = F.array_sort(F.transform(near, lambda s: F.struct(F.abs(s["i"] - F.col(index)).alias("d"), (-s["i"]).alias("o"), s["v"].alias("v"))))
     mean = F.when(F.size(ranked) >= n, F.aggregate(F.slice(ranked, 1, n), F.lit(0.0), lambda a, s: a + s["v"]) / n)
-    return df.withColumn("__w", rows).withColumn(value, F.coalesce(value, mean)).drop("__w")
+    return df.withColumn("__r", rank).withColumn("__w", rows).withColumn(value, F.coalesce(value, mean)).drop("__r", "__w")
 
 
 def step_seconds(df: DataFrame, key: str, day: str) -> DataFrame:

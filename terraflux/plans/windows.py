@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraflux import model
 from terraflux.functions import generators as gen
 from terraflux.operators import windows as win
-from terraflux.plans.registry import Views, duck, query
+from terraflux.plans.registry import Views, duck, query, uncut
 
 #: Linear interpolation over nulls of q(key, x, y), as SQL.
 FILLED = """SELECT k, x, coalesce(y, py + (ny - py) / nullif(nx - px, 0) * (x - px), py, ny) AS y FROM (SELECT *,
@@ -45,6 +45,11 @@ def w4(v: Views) -> DataFrame:
     return win.neighbour_mean(v.v_series, "site", "i", "value", 4, 12).select("site", "i", "value")
 
 
+@query("w4_neighbour_mean_whole", uncut("w4_neighbour_mean", " AND b.i BETWEEN a.i - 12 AND a.i + 12"))
+def w4_whole(v: Views) -> DataFrame:
+    return win.neighbour_mean(v.v_series, "site", "i", "value", 4).select("site", "i", "value")
+
+
 @query("w5_step_seconds", duck("v_daily", "SELECT cell, day, coalesce(step, lag(step) OVER (PARTITION BY cell ORDER BY day), 0) AS step FROM (SELECT cell, day, CAST(date_diff('day', day, lead(day) OVER (PARTITION BY cell ORDER BY day)) * 86400 AS DOUBLE) AS step FROM v_daily)"))
 def w5(v: Views) -> DataFrame:
     return win.step_seconds(v.v_daily, "cell", "day").select("cell", "day", "step")

@@ -2,9 +2,11 @@
 
 import datetime as dt
 import hashlib
+import random
 
 import pytest
 
+from terraflux.operators import windows as win
 from terraflux.plans import QUERIES
 
 
@@ -46,3 +48,16 @@ def test_days_are_completed_after_any_length(spark, tmp_path):
     path = events(spark, tmp_path, [(i, "click", start + dt.timedelta(hours=i), float(i)) for i in range(n)])
     got = {r.t: r.value for r in QUERIES["w15_complete_days_whole"](spark, path).collect()}
     assert got == {start + dt.timedelta(hours=i): float(min(i, n - 1)) for i in range(24 * 41)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_neighbours_at_any_distance(spark, seed):
+    rng = random.Random(seed)
+    values = [1.0, 2.0] + [None] * 100 + [None if rng.random() < 0.5 else rng.uniform(-5, 5) for _ in range(40)] + [None] * 60
+    df = spark.createDataFrame([("a", i, x) for i, x in enumerate(values)] + [("few", i, x) for i, x in enumerate([1.0, None, 2.0, 3.0])], "site string, i int, value double")
+    out = win.neighbour_mean(df, "site", "i", "value", 4)
+    got = [r.value for r in out.filter("site = 'a'").orderBy("i").collect()]
+    valid = [i for i, x in enumerate(values) if x is not None]
+    near = lambda i: sorted(valid, key=lambda j: (abs(j - i), -j))[:4]
+    assert got == pytest.approx([sum(values[j] for j in near(i)) / 4 if x is None else x for i, x in enumerate(values)])
+    assert [r.value for r in out.filter("site = 'few'").orderBy("i").collect()] == [1.0, None, 2.0, 3.0]
