@@ -25,7 +25,7 @@ PATTERNS = {
     "iso_date": r"(?<![\d-])\d{4}-\d\d-\d\d(?![\d-])",
     "dmy_date": r"(?<![\d./])\d\d([./])\d\d\1\d{4}(?![\d/])",
     "ssn": r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+(])(?:\+1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\d)",
+    "phone": r"(?<![\d+(])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?![ -]?\d)",
 }
 KINDS = tuple(PATTERNS)
@@ -115,14 +115,23 @@ def _card(m: Column, key: str, restore: bool) -> Column:
 
 
 def _phone(m: Column, key: str, restore: bool) -> Column:
-    """Area and exchange keep a first digit of 2 to 9; a leading +1 stays."""
+    """Any area and exchange; each keeps a first digit of 2 to 9, or of 0 or 1; a leading +1 stays."""
 
     def of(d: Column) -> Column:
         own = F.right(d, F.lit(10))
-        # area (800) and the exchange's first two digits (80); its third and the line's four (100,000)
-        left = (_number(own, 1, 3) - 200) * 80 + _number(own, 4, 2) - 20
-        pair = _feistel(left, _number(own, 6, 5), F.lit(64_000), F.lit(100_000), key, "phone", restore)
-        new = _then(pair, lambda p: F.concat(_padded(F.floor(p["l"] / 80) + 200, 3), _padded(p["l"] % 80 + 20, 2), _padded(p["r"], 5)))
+        # area (800, or 200 below 200) and the exchange's first two digits (80, or 20); its third and the line's four (100,000)
+        area, head = _number(own, 1, 3), _number(own, 4, 2)
+        ranges = F.struct(
+            F.when(area >= 200, 200).otherwise(0).alias("area0"), F.when(area >= 200, 800).otherwise(200).alias("areas"),
+            F.when(head >= 20, 20).otherwise(0).alias("head0"), F.when(head >= 20, 80).otherwise(20).alias("heads"),
+        )
+
+        def within(g: Column) -> Column:
+            left = (area - g["area0"]) * g["heads"] + head - g["head0"]
+            pair = _feistel(left, _number(own, 6, 5), g["areas"] * g["heads"], F.lit(100_000), key, "phone", restore)
+            return _then(pair, lambda p: F.concat(_padded(F.floor(p["l"] / g["heads"]) + g["area0"], 3), _padded(p["l"] % g["heads"] + g["head0"], 2), _padded(p["r"], 5)))
+
+        new = _then(ranges, within)
         return _refill(m, F.concat(F.when(F.length(d) == 11, "1").otherwise(""), new))
 
     return _then(_digits(m), of)

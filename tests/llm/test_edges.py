@@ -170,6 +170,17 @@ def test_pii(spark):
     assert result(pii.pseudonymise(table, key="other"), "text") != result(out, "text")
 
 
+def test_pii_of_any_telephone_number(spark):
+    numbers = ["+1 (017) 555-7713", "+1 (132) 555-1352", "(988) 155-2485", "000-000-0000", "+1 988.055.2485", "199 199 9999"]
+    table = spark.createDataFrame([(i, f"tel {x} end") for i, x in enumerate(numbers)], "doc_id long, text string")
+    out = pii.pseudonymise(table, key="k")
+    shape = lambda x: re.sub(r"\d", "0", x)
+    for x, r in zip(numbers, out.orderBy("doc_id").collect()):
+        assert [(c.kind, c.before) for c in r.changed] == [("phone", x)] and x not in r.text
+        assert shape(r.text) == shape(f"tel {x} end") and r.text.startswith("tel +1") == x.startswith("+1")
+    assert result(pii.pseudonymise(out, key="k", restore=True), "text") == result(table, "text")
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(7 * 5).select((F.col("id") % 7).alias("l"), F.floor(F.col("id") / 7).alias("r"))
     done = pairs.select(pii._feistel(F.col("l"), F.col("r"), F.lit(7), F.lit(5), "k", "t", False).alias("p")).select("p.l", "p.r")
