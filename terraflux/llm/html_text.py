@@ -31,8 +31,8 @@ LONG, SHORT = 200, 70
 MANY_STOPS, SOME_STOPS = 0.30, 0.15
 MANY_LINKS = 0.33
 
-#: Elements whose content is no text of the page.
-HIDDEN = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button|head|title"
+#: Elements whose content is no text of the page. A head holds no others with text, so its end, which may be left out, is not sought.
+HIDDEN = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button|title"
 #: Elements that hold other blocks, and those of them whose blocks are never main text.
 CONTAINERS = frozenset("html body main article section div nav header footer aside form fieldset dialog menu ul ol dl table thead tbody tfoot tr figure blockquote details center".split())
 OUTSIDE = frozenset("nav footer aside form fieldset dialog menu".split())
@@ -47,11 +47,12 @@ MARKS = frozenset(
 )
 
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<hidden>{HIDDEN})(?=[\s/>])[^>]*+>.*?(?:</(?P=hidden)\s*+>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:{HIDDEN})(?=[\s/>])[^>]*+(?<=/)>|<(?P<hidden>{HIDDEN})(?=[\s/>])[^>]*+>.*?(?:</(?P=hidden)\s*+>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/!?a-z][^>]*+(?:>|\Z)",
     re.I | re.S,
 )
 _MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_CLASS = re.compile(r"\bclass\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _UNSEEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -77,8 +78,8 @@ def _is_marked(attrs: str) -> bool:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, empty ones left out."""
     out: list[Block] = []
-    # element, number, within article or main, outside the main text
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    # element, number, within article or main, outside the main text (1: by a class alone, which an article or main within resets)
+    stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
     parts: list[str] = []
     linked, in_link, number, heading, off = 0, False, 0, False, False
 
@@ -88,7 +89,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             _, own, content, outside = stack[-1]
             header = any(s[0] == "header" for s in stack)
-            out.append(Block(text, min(linked, len(text)), own, content, outside or off or (header and not (content and heading)), heading))
+            out.append(Block(text, min(linked, len(text)), own, content, outside > 0 or off or (header and not (content and heading)), heading))
         parts.clear()
         linked, in_link, heading, off = 0, False, False, False
 
@@ -124,7 +125,13 @@ def blocks(page: str) -> list[Block]:
                     number += 1
                     _, _, content, outside = stack[-1]
                     marked = name not in ("html", "body", "article", "main") and _is_marked(m["attrs"])
-                    stack.append((name, number, content or name in INSIDE, outside or name in OUTSIDE or marked))
+                    if name in OUTSIDE or (marked and _is_marked(_CLASS.sub("", m["attrs"]))):
+                        outside = 2
+                    elif marked:
+                        outside = max(outside, 1)
+                    elif outside == 1 and name in INSIDE and not _is_marked(m["attrs"]):
+                        outside = 0
+                    stack.append((name, number, content or name in INSIDE, outside))
             elif not ends:
                 heading = name in HEADINGS
                 off = _is_marked(m["attrs"])

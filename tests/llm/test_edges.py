@@ -221,3 +221,9 @@ def test_html(spark):
 @pytest.mark.parametrize("text", ["<" * 50_000, "<a " * 20_000, "<p class='" + "x" * 100_000, "<!--" * 20_000, "<div>" * 20_000 + "x"])
 def test_html_of_odd_pages_takes_little_time(text):
     html_text.main_text(text)
+
+
+@pytest.mark.parametrize("before", ["<html><head><title>t</title><body>", "<head><meta charset=utf-8><article>", "<head><script>x('<div>no</div>')</script><title>t</title></head>", "<body><svg/>", '<div class="layout with-sidebar"><article>', '<body><svg viewBox="0 0 1 1" />'])
+def test_html_with_open_head_or_empty_svg(before):
+    text = "This is the text of the page and it has all of the words that are in it. " * 6
+    assert html_text.main_text(f"{before}<p>{text}</p>") == text.strip()
