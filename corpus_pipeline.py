@@ -47,7 +47,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: The classifier is trained, which SQL does not express; tests hold the stages against brute force.
+#: The classifier is trained, which SQL does not express; tests check the stages' columns and how many rows stay, not each row.
 ORACLE_SQL = None
 
 
