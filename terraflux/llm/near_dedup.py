@@ -1,10 +1,22 @@
 """MinHash near-dedup: universal hash minima, banding, signature verification, full-set confirmation, components.
 
-Documents with the same shingle set are one class from the start, so copies cost nothing further. Classes that share
-a band bucket are compared with the bucket's least class first (a star, not all pairs). Members that the links found
-so far have put into one component need no comparison; what is left over of a bucket is compared across components.
-Every compared pair passes a signature check that a true link fails with a chance below 1e-9, then the comparison of
-full sets. With 42 bands of 6 minima a link at the threshold itself is missed with a chance of 3e-6, one of similarity 0.85 with
+Documents with the same shingle set are one class from the start, so copies cost nothing further. Each band bucket has
+a pivot, the member with the fullest buckets; all others are compared with it (a star, not all pairs). A compared
+pair passes a signature check that a true link fails with a chance below 1e-9, then the comparison of full sets.
+
+Links between two members x and y of a bucket that its star does not show are found by their differences from the
+pivot p. Let D(x) be the symmetric difference of the sets of x and p, and c = (100 - percent) / (100 + percent). A pair
+is linked if and only if its difference is at most c times the sum of its sizes, and the difference of x and y is
+|D(x)| + |D(y)| - 2 |D(x) & D(y)|. If x is not linked with p, then |D(x)| > c (|x| + |p|), so a link of x and y needs
+
+    2 |D(x) & D(y)|  >=  |D(x)| + |D(y)| - c (|x| + |y|)  >  |D(y)| - c (|y| - |p|)  >=  0,
+
+that is, more than about half of D(y). With the elements of D(y) in order, the rarest of the group first, the pair
+shares one of the first |D(y)| / 2 or so. An equi-join on (pivot, element) of these with the elements of the members
+that are not linked with p therefore loses no link, and members that differ from the pivot in ways of their own never
+meet. Members that the links found so far have put into one component are not compared again.
+
+With 42 bands of 6 minima a link at the threshold itself is missed with a chance of 3e-6, one of similarity 0.85 with
 5e-10, and an unrelated pair that shares a passage (similarity 0.25) is seldom a candidate.
 """
 
@@ -15,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraflux.llm.common import cut, table
@@ -24,8 +36,7 @@ from terraflux.llm.components import connected_components
 BANDS, ROWS = 42, 6
 #: Six standard deviations below the agreement expected of a pair at the threshold.
 SIGMAS = 6
-STAR_ROUNDS = 2
-#: Ids of documents to compare that may be broadcast (16 bytes each); more are joined by a shuffle, which moves the texts.
+#: Ids of documents that may be broadcast (16 bytes each); more are joined by a shuffle, which moves the texts.
 MAX_BROADCAST = 1_000_000
 
 
@@ -56,110 +67,177 @@ def minima(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int, n_hashes: int) -> DataFrame:
-    """(doc_id, n_shingles, ka, kb, sig): ka and kb are the 128-bit digest of the set."""
+    """(doc_id, fp, n_shingles, ka, kb, sig): fp is a hash of the text, ka and kb are the 128-bit digest of the set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _parameters(n_hashes)
         for batch in batches:
-            out = {"doc_id": batch["doc_id"], "n_shingles": [], "ka": [], "kb": [], "sig": []}
+            out = {"doc_id": batch["doc_id"], "fp": batch["fp"], "n_shingles": [], "ka": [], "kb": [], "sig": []}
             for text in batch["text"]:
                 found = shingles(text, k)
-                digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
+                ka, kb = _digest(found)
                 out["n_shingles"].append(len(found))
-                out["ka"].append(digest[0])
-                out["kb"].append(digest[1])
+                out["ka"].append(ka)
+                out["kb"].append(kb)
                 out["sig"].append(minima(found, a, b) if len(found) else None)
             yield pd.DataFrame(out)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_shingles long, ka long, kb long, sig array<int>")
+    read = docs.select(F.col("doc_id").cast("long"), _fingerprint().alias("fp"), "text")
+    return read.mapInPandas(run, "doc_id long, fp long, n_shingles long, ka long, kb long, sig array<int>")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(id, items): the full set of each document."""
+    """(ka, kb, items): the full set of each document and its digest."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["doc_id"], "items": [shingles(t, k).view(np.int64) for t in batch["text"]]})
+            sets = [shingles(t, k) for t in batch["text"]]
+            keys = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"ka": keys[:, 0], "kb": keys[:, 1], "items": [s.view(np.int64) for s in sets]})
+
+    return docs.select("text").mapInPandas(run, "ka long, kb long, items array<long>")
+
+
+def _digest(found: np.ndarray) -> np.ndarray:
+    return np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "id long, items array<long>")
+def _fingerprint() -> Column:
+    return F.xxhash64("text")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs(a, b) of classes whose full sets reach the threshold."""
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """pairs(a, b, ..) with n_a, n_b and near: whether sizes and signatures allow a link."""
     for side in ("a", "b"):
         pairs = pairs.join(classes.select(F.col("id").alias(side), F.col("sig").alias(f"sig_{side}"), F.col("n").alias(f"n_{side}")), side)
     width = BANDS * ROWS
     p = percent / 100
     least = int(width * p - SIGMAS * (width * p * (1 - p)) ** 0.5)
     agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same))
-    near_size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    pairs = cut(pairs.filter(near_size).filter(agree >= least).select("a", "b", "n_a", "n_b"), "near-checked")
-    wanted = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-wanted")
-    if wanted.count() <= MAX_BROADCAST:
-        wanted = F.broadcast(wanted)
-    sets = cut(shingle_sets(docs.join(wanted, "doc_id", "left_semi"), k).dropDuplicates(["id"]), "near-sets")
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("items").alias(f"set_{side}")), side)
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return cut(pairs.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), both.alias("both")).filter(100 * F.col("both") >= percent * (F.col("n") - F.col("both"))).select("a", "b"), "near-links")
+    return pairs.withColumn("near", _sizes_allow("n_a", "n_b", percent) & (agree >= least)).drop("sig_a", "sig_b")
 
 
-def near_dedup(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept.
+def _sizes_allow(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
-    Two documents are linked if 100 * intersection >= percent * union of their shingle sets. A null or wordless text
-    has an empty set and is linked with nothing; so is a row without doc_id, whose component_id is null and which is
-    kept. Rows that repeat a doc_id with the same text share its component and are all kept or all not. Columns
-    beside doc_id and text are ignored; an empty table gives an empty result.
-    """
-    rows = cut(sketches(docs, shingle, BANDS * ROWS), "near-rows")
-    linked = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = cut(linked.groupBy("ka", "kb").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.first("sig").alias("sig")), "near-classes")
+
+def _allowed(a: str, b: str, percent: int) -> Column:
+    """(100 + percent) times the most elements in which two linked sets of these sizes can differ."""
+    return (100 - percent) * (F.col(a) + F.col(b))
+
+
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs(a, b, n_a, n_b, ..) with d, the elements of one set only, and linked."""
+    for side in ("b", "a"):
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("items").alias(f"set_{side}")), side)
+    pairs = pairs.withColumn("d", F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a"))).drop("set_a", "set_b")
+    return pairs.withColumn("linked", (100 + percent) * F.size("d") <= _allowed("n_a", "n_b", percent))
+
+
+def _placed(links: DataFrame, open_: DataFrame) -> DataFrame:
+    """open_(id, ..) with the component that the links put each id into, itself if none."""
+    return open_.join(connected_components(links).withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def _across_pivots(open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in one group that may be linked, of open_(pivot, id, n_pivot, n, d, linked, component)."""
+    mixed = open_.groupBy("pivot").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.bool_and("linked").alias("all")).filter("lo <> hi AND NOT all").select("pivot")
+    open_ = cut(open_.join(mixed, "pivot", "left_semi").withColumn("n_d", F.size("d")), "near-open")
+    each = open_.select("pivot", "id", F.explode("d").alias("e"))
+    often = each.groupBy("pivot", "e").agg(F.count("*").alias("often")).filter("often > 1")
+    # an element of one member only meets nothing; it still comes before the others in the order
+    shared = each.join(often, ["pivot", "e"]).groupBy("pivot", "id").agg(F.array_sort(F.collect_list(F.struct("often", "e"))).getField("e").alias("shared"))
+    top = 100 + percent
+    room = F.expr(f"n * {100 - percent} div {percent}")  # most elements in which a linked partner can differ
+    half = F.expr(f"(n_d * {top} - {100 - percent} * (n - n_pivot)) div {2 * top}") + 1
+    ordered = open_.drop("d").join(shared, ["pivot", "id"]).withColumn("alone", F.col("n_d") - F.size("shared"))
+    ordered = ordered.withColumn("probe", F.col("n_d") - F.greatest(F.lit(1), F.col("n_d") - room) + 1).withColumn("head", F.col("n_d") - F.greatest(half, F.col("n_d") - room) + 1)
+    ordered = cut(ordered, "near-ordered")
+
+    def side(rows: DataFrame, length: str, name: str) -> DataFrame:
+        first = F.slice("shared", 1, F.greatest(F.lit(0), F.col(length) - F.col("alone")).cast("int"))
+        kept = ["id", "n", "n_d", "linked", "component", "head"]
+        out = rows.select("pivot", *[F.col(c).alias(f"{c}_{name}") for c in kept], "alone", F.posexplode(first).alias("at", "e"))
+        return out.withColumn(f"at_{name}", F.col("at") + F.col("alone")).drop("at", "alone")
+
+    pairs = side(ordered.filter("NOT linked"), "probe", "x").join(side(ordered, "head", "y"), ["pivot", "e"])
+    enough = 2 * top * F.least(F.expr("n_d_x - at_x"), F.expr("n_d_y - at_y")) >= top * F.expr("n_d_x + n_d_y") - _allowed("n_x", "n_y", percent)
+    once = F.expr("linked_y OR (id_x < id_y AND at_x < head_x)")
+    found = pairs.filter(F.col("component_x") != F.col("component_y")).filter(once).filter(_sizes_allow("n_x", "n_y", percent)).filter(enough)
+    return found.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+
+
+def _components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, component) of each class that is linked with another."""
     bands = F.array(*[F.xxhash64(F.lit(i), *[F.get("sig", F.lit(i * ROWS + j)) for j in range(ROWS)]) for i in range(BANDS)])
     members = classes.select("id", F.explode(bands).alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).filter("size > 1").select("bucket", "pivot")
-    open_ = cut(members.join(shared, "bucket").select("bucket", "id", "pivot"), "near-buckets")
-
-    star = open_.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links = tried = components = None
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = cut(star, "near-pairs")
-        if turn == 0 or not pairs.isEmpty():
-            found = _confirmed(pairs, docs, classes, shingle, percent)
-            if turn == 0 or not found.isEmpty():
-                links = found if turn == 0 else links.union(found)
-                components = connected_components(links)
-            tried = pairs if turn == 0 else tried.union(pairs)
-        if turn == STAR_ROUNDS:
-            break
-        # what each bucket still has in different components, without the pivots that all others were compared with
-        placed = open_.join(components.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "pivot", F.coalesce("component", "id").alias("component"))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most").select("bucket")
-        placed = cut(placed.filter("id <> pivot").join(mixed, "bucket", "left_semi"), "near-open")
-        if placed.isEmpty():
-            break
-        if turn + 1 < STAR_ROUNDS:
-            next_ = cut(placed.groupBy("bucket").agg(F.min_by(F.struct(F.col("id").alias("pivot"), F.col("component").alias("own")), "id").alias("p")).select("bucket", "p.pivot", "p.own"), "near-pivots")
-            open_ = cut(placed.drop("pivot").join(next_, "bucket").select("bucket", "id", "pivot", "component", "own"), "near-buckets")
-            star = open_.filter("id <> pivot AND component <> own")
-            star = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-            open_ = open_.select("bucket", "id", "pivot")
-        else:
-            left, right = (placed.select("bucket", F.col("id").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
-            star = left.join(right, "bucket").filter("a < b AND ca <> cb").select("a", "b").distinct()
-        star = star.join(tried, ["a", "b"], "left_anti")
-
-    of_class = classes.select("ka", "kb", "id").join(components.withColumnRenamed("node", "id"), "id", "left").select("ka", "kb", F.coalesce("component", "id").alias("component"))
-    of_class = cut(of_class, "near-components")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = cut(members.join(sizes, "bucket"), "near-buckets")
+    weights = members.groupBy("id").agg(F.sum("size").alias("weight"))
+    pivots = members.join(weights, "id").groupBy("bucket").agg(F.max_by("id", F.struct("weight", "id")).alias("pivot"))
+    star = cut(members.join(pivots, "bucket").filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "near-star")
+    groups = star.groupBy("a").agg((F.count("*") > 1).alias("many"))
+    pairs = cut(_near(star.join(groups, "a"), classes, percent).filter("near OR many"), "near-pairs")
+
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = cut(wanted.join(classes.select("id", "doc_id", "ka", "kb"), "id"), "near-wanted")
+    ids = wanted.select("doc_id").distinct()
+    if wanted.count() <= MAX_BROADCAST:
+        ids = F.broadcast(ids)
+    read = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
+    sets = cut(shingle_sets(read, k).join(wanted, ["ka", "kb"]).select("id", "items").dropDuplicates(["id"]), "near-sets")
+    differ = _differences(pairs, sets, percent).withColumn("d", F.when(F.col("many"), F.col("d")))
+    differ = cut(differ, "near-differences")
+
+    links = differ.filter("linked").select("a", "b")
+    open_ = differ.filter("many").select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.col("n_a").alias("n_pivot"), F.col("n_b").alias("n"), "d", "linked")
+    across = cut(_across_pivots(_placed(links, open_), percent), "near-across")
+    across = _near(across, classes, percent).filter("near")
+    more = cut(_differences(across, sets, percent).filter("linked").select("a", "b"), "near-links")
+    return connected_components(links.union(more)).withColumnRenamed("node", "id")
+
+
+def _judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id, fp, n_shingles, component_id, first of each row; first: its set is that of the component's first document."""
+    rows = cut(sketches(docs, shingle, BANDS * ROWS), "near-rows")
+    linked = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = linked.groupBy("ka", "kb").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    classes = cut(classes.withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    placed = cut(classes.select("id", "ka", "kb", "doc_id").join(_components(docs, classes, shingle, percent), "id"), "near-components")
+    firsts = placed.groupBy("component").agg(F.min(F.struct("doc_id", "id")).alias("first"))
+    of_class = placed.join(firsts, "component").select("ka", "kb", F.col("first.doc_id").alias("least"), (F.col("first.id") == F.col("id")).alias("first"))
+    of_class = cut(classes.select("ka", "kb", "doc_id").join(of_class, ["ka", "kb"], "left").select("ka", "kb", F.coalesce("least", "doc_id").alias("least"), F.coalesce("first", F.lit(True)).alias("first")), "near-classes-placed")
     own = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    out = rows.drop("sig").join(of_class, ["ka", "kb"], "left").withColumn("component_id", F.when(own, F.col("component")).otherwise(F.col("doc_id")))
+    out = rows.drop("sig").join(of_class, ["ka", "kb"], "left")
+    return out.select("doc_id", "fp", "n_shingles", F.when(own, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), F.when(own, F.col("first")).otherwise(True).alias("first"))
+
+
+def near_dedup(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id, kept (whether doc_id is component_id).
+
+    Two texts are linked if 100 * intersection >= percent * union of their shingle sets; component_id is the smallest
+    doc_id reachable. A null or wordless text has an empty set and is linked with nothing; so is a row without doc_id,
+    whose component_id is null and which is kept. Rows that repeat a doc_id with its text share its component; with
+    another text they are judged by that text alone. Columns beside doc_id and text are ignored; an empty table gives
+    an empty result.
+    """
+    out = _judged(docs, shingle, percent)
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """docs, all columns, with one document of each group of near copies: the one with the smallest doc_id."""
-    gone = near_dedup(docs, shingle=shingle, percent=percent).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """docs, all columns, with one document of each group of near copies: the one with the smallest doc_id.
+
+    Rows without doc_id or words stay. Rows that repeat a doc_id with its text stay or go together; those that repeat
+    it with another text are judged by that text. Helper columns cannot clash: the rows to drop are joined by alias.
+    """
+    judged = _judged(docs, shingle, percent)
+    gone = cut(judged.filter("doc_id <> component_id OR NOT first").select("doc_id", "fp").distinct(), "near-gone")
+    if gone.count() <= MAX_BROADCAST:
+        gone = F.broadcast(gone)
+    docs, gone = docs.alias("docs"), gone.alias("gone")
+    same = (F.col("docs.doc_id").cast("long") == F.col("gone.doc_id")) & (F.xxhash64("docs.text") == F.col("gone.fp"))
+    return docs.join(gone, same, "left_anti")
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

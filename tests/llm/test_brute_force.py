@@ -54,17 +54,46 @@ def texts(spark, n, seed):
     return out
 
 
-@pytest.mark.parametrize("seed, rounds", [(1, 2), (2, 1)])
-def test_near_dedup_finds_every_link(spark, seed, rounds, monkeypatch):
-    monkeypatch.setattr(near_dedup, "STAR_ROUNDS", rounds)
+def wanted_components(rows, k=2):
+    """Components by comparing every pair of texts."""
+    sets = {i: set(zip(*(t.split()[j:] for j in range(k)))) for i, t in rows}
+    return components_of([(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_dedup_finds_every_link(spark, seed):
     rows = texts(spark, 240, seed)
-    sets = {i: set(zip(t.split(), t.split()[1:])) for i, t in rows}
-    edges = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
-    want = components_of(edges)
+    want = wanted_components(rows)
     got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2)
     assert {r.doc_id: r.component_id for r in got.collect()} == {i: want.get(i, i) for i, _ in rows}
 
 
+@pytest.mark.parametrize("seed, k", [(3, 2), (4, 2), (5, 5)])
+def test_near_dedup_of_a_large_group(spark, seed, k):
+    """One group of near copies; a tenth of its members is far from the others, and some of those are near to each other:
+    edited alike, cut down alike, or longer by one passage. Such links do not run through any pivot."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+
+    def edited(words, n):
+        words = list(words)
+        for _ in range(n):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[], [f"e{rng.randrange(10**6)}"], [words[at], f"e{rng.randrange(10**6)}"]])
+        return words
+
+    rows = [edited(base, rng.randrange(0, 4)) for _ in range(270)] + [edited(base, rng.randrange(10, 22)) for _ in range(30)]
+    for _ in range(6):
+        far = rng.choice([edited(base, 14), base[: 120 - rng.randrange(25, 40)], base + [f"x{rng.randrange(9)}y{i}" for i in range(rng.randrange(30, 50))]])
+        rows += [edited(far, rng.randrange(0, 5)) for _ in range(4)]
+    rng.shuffle(rows)
+    rows = [(i, " ".join(words)) for i, words in enumerate(rows)]
+    want = wanted_components(rows, k)
+    assert len(set(want.values())) > 2
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), shingle=k)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: want.get(i, i) for i, _ in rows}
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_substring_dedup(spark, hot, monkeypatch):
     if hot:  # every minimiser counts as frequent: windows travel one by one

@@ -70,6 +70,25 @@ def test_near_dedup(spark):
     assert left.columns == docs(spark, ROWS).columns and 5 not in {r.doc_id for r in left.collect()}
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """A doc_id that stands on two texts: each row is judged by its own text."""
+    one, two = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    near = lambda words: " ".join([*words[:30], "z", *words[31:]])
+    rows = [(1, " ".join(one)), (5, near(one)), (5, near(two)), (7, " ".join(two)), (5, near(two)), (9, near(one) + " "), (9, " ".join(two))]
+    table = docs(spark, rows)
+    assert result(near_dedup.near_dedup(table, shingle=2), "doc_id", "component_id", "kept") == [(1, 1, True), (5, 1, False), (5, 5, True), (5, 5, True), (7, 5, False), (9, 1, False), (9, 5, False)]
+    assert result(near_dedup.drop_near_copies(table, shingle=2), "doc_id", "text") == [(1, rows[0][1]), (5, rows[2][1]), (5, rows[2][1])]
+    twice = docs(spark, [(1, " ".join(two)), (1, near(two))])
+    assert near_dedup.drop_near_copies(twice, shingle=2).count() == 1
+    shuffled = near_dedup.drop_near_copies(table.withColumnRenamed("key", "fp").withColumnRenamed("name", "gone"), shingle=2)
+    assert shuffled.count() == 3 and "fp" in shuffled.columns
+
+
+def test_near_dedup_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "MAX_BROADCAST", 0)
+    assert near_dedup.drop_near_copies(docs(spark, ROWS), shingle=2).count() == 7
+
+
 def test_decontamination(spark):
     bench = spark.createDataFrame([(1, "cat SAT on"), (2, None), (3, "?!"), (None, "it slept"), (4, " ".join(f"word{i}x{i % 13}" for i in range(20)))], "item_id long, text string")
     out = decontamination.decontaminate(docs(spark, ROWS), bench)
