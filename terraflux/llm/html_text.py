@@ -1,8 +1,10 @@
 """HTML main text by two-pass block rules.
 
 A page is cut into blocks at its block-level tags. The first pass classifies each block on its own: link density, length
-and the share of stop words, and the container that it stands in. Blocks too short to tell stay undecided; in the
-second pass they take the label of the nearest decided neighbours, those in the same container first.
+and the share of stop words, and the container that it stands in. Blocks too short to tell, or with few of the known stop
+words, stay undecided; in the second pass they take the label of the nearest decided neighbours, those in the same
+container first. Containers are told by their element or by a word of their class; what a class alone says does not
+hold for an article within, nor, on a page that would come out empty, for long blocks full of stop words.
 Each page is one row and is worked on alone, so nothing is shuffled.
 """
 
@@ -12,9 +14,9 @@ import html
 import re
 from bisect import bisect
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,26 +30,37 @@ STOP_WORDS = frozenset(
     al como con de del el ella en entre era es esta este ha hay la las le lo los más me mi no o para pero por que se sin sobre su sus también un una y ya""".split()
 )
 LONG, SHORT = 200, 70
+#: Pages that a worker holds as Python strings at a time.
+SLICE = 64
 MANY_STOPS, SOME_STOPS = 0.30, 0.15
 MANY_LINKS = 0.33
 
-#: Elements whose content is no text of the page. A head holds no others with text, so its end, which may be left out, is not sought.
-HIDDEN = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button|title"
-#: Elements that hold other blocks, and those of them whose blocks are never main text.
+#: Elements whose content is no text of the page; the first run to the end of the page if they are not closed, of the others
+#: the tag alone is then left out. A head holds no others with text, so its end, which may be left out, is not sought.
+RAW, HIDDEN = "script|style|textarea|title", "noscript|template|svg|math|iframe|object|canvas|audio|video|select|button"
+#: Elements that hold other blocks, and those of them whose blocks are never main text. A form may hold a whole page.
 CONTAINERS = frozenset("html body main article section div nav header footer aside form fieldset dialog menu ul ol dl table thead tbody tfoot tr figure blockquote details center".split())
-OUTSIDE = frozenset("nav footer aside form fieldset dialog menu".split())
+OUTSIDE = frozenset("nav footer aside fieldset dialog menu".split())
 INSIDE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = CONTAINERS | HEADINGS | frozenset("p li dt dd td th caption figcaption legend summary pre address hr option".split())
-#: Words of a class, id or role that say the same.
+#: Words of a class, id or role that say the same: the last word of a name, or the first one before words such as "box".
 MARKS = frozenset(
     """ad ads adv advert advertisement advertising adverts sponsor sponsored promo promotion banner sidebar aside widget menu nav navbar navigation breadcrumb breadcrumbs
     footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup comment comments replies disqus respond discussion
     related recommended share sharing social pagination pager search login toc contentinfo complementary dialog""".split()
 )
+#: Those of them that templates also put around an article, and words that a mark may have after it or that undo it before it.
+LAYOUT = frozenset("banner sidebar aside widget menu nav navbar navigation masthead modal overlay search login toc form".split())
+FILLERS = frozenset(
+    """container box wrapper wrap bar list lists item items link links section sections area block blocks body text content contents inner outer top bottom left right head header title
+    unit slot space holder panel pane group row column button buttons form field fields icon icons image main primary secondary site global desktop mobile thread tree meta author count post posts
+    article articles story stories news policy message""".split()
+)
+UNDONE = frozenset("with has no not without".split())
 
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:{HIDDEN})(?=[\s/>])[^>]*+(?<=/)>|<(?P<hidden>{HIDDEN})(?=[\s/>])[^>]*+>.*?(?:</(?P=hidden)\s*+>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*+>(?:(?<=/>)|.*?(?:</(?P=raw)\s*+>|\Z))|<(?P<hidden>{HIDDEN})(?=[\s/>])[^>]*+>"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/!?a-z][^>]*+(?:>|\Z)",
     re.I | re.S,
 )
@@ -65,31 +78,49 @@ class Block:
     content: bool
     outside: bool
     heading: bool
+    layout: bool  # outside by a class of the page's layout alone
+
+
+def _mark(name: str) -> set[str]:
+    """The marks that a class, id or role is made of; none if it is no mark as a whole."""
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    if not parts:
+        return set()
+    last = parts[-1] in MARKS and (len(parts) == 1 or parts[-2] not in UNDONE)
+    first = parts[0] in MARKS and all(p in MARKS or p in FILLERS or len(p) < 3 for p in parts[1:])
+    return MARKS.intersection(parts) if last or first else set()
 
 
-def _is_marked(attrs: str) -> bool:
+def _marks(attrs: str) -> set[str]:
+    """The marks of an element; "hidden" if it is not shown."""
     if "=" not in attrs and "hidden" not in attrs:
-        return False
+        return set()
     if _UNSEEN.search(attrs):
-        return True
-    return any(part.lower() in MARKS for m in _MARKED.finditer(attrs) for part in _PARTS.findall(m[1] or m[2] or m[3] or ""))
+        return {"hidden"}
+    return set().union(*[_mark(name) for m in _MARKED.finditer(attrs) for name in (m[1] or m[2] or m[3] or "").split()])
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, empty ones left out."""
     out: list[Block] = []
-    # element, number, within article or main, outside the main text (1: by a class alone, which an article or main within resets)
+    # element, number, within article or main, outside the main text (1: layout, 2: other class; an article or main within resets both; 3: surely)
     stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
     parts: list[str] = []
     linked, in_link, number, heading, off = 0, False, 0, False, False
+    last_end: dict[str, int] = {}
+
+    def ends_after(name: str, at: int) -> bool:
+        if name not in last_end:
+            last_end[name] = max((m.start() for m in re.finditer(rf"</{name}\s*>", page, re.I)), default=-1)
+        return last_end[name] >= at
 
     def close() -> None:
         nonlocal linked, in_link, heading, off
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             _, own, content, outside = stack[-1]
-            header = any(s[0] == "header" for s in stack)
-            out.append(Block(text, min(linked, len(text)), own, content, outside > 0 or off or (header and not (content and heading)), heading))
+            header = any(s[0] == "header" for s in stack) and not (content and heading)
+            out.append(Block(text, min(linked, len(text)), own, content, outside > 0 or off or header, heading, outside == 1 and not off and not header))
         parts.clear()
         linked, in_link, heading, off = 0, False, False, False
 
@@ -100,10 +131,14 @@ def blocks(page: str) -> list[Block]:
             linked += len(" ".join(text.split()))
 
     at = 0
-    for m in _TAG.finditer(page):
+    while m := _TAG.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
+        if hidden := m["hidden"]:
+            if not m[0].endswith("/>") and ends_after(hidden.lower(), at):
+                at = re.compile(rf"</{hidden}\s*>", re.I).search(page, at).end()
+            continue
         name = m["name"]
         if name is None:
             if m[0].startswith("<![CDATA["):
@@ -122,19 +157,25 @@ def blocks(page: str) -> list[Block]:
                     if depth:
                         del stack[depth:]
                 elif not m["attrs"].rstrip().endswith("/"):
+                    if name in INSIDE:  # an element that is not closed any more ends where an article begins
+                        open_ = next((i for i, s in enumerate(stack) if s[0] in OUTSIDE | {"header"} and not ends_after(s[0], at)), 0)
+                        if open_:
+                            del stack[open_:]
                     number += 1
                     _, _, content, outside = stack[-1]
-                    marked = name not in ("html", "body", "article", "main") and _is_marked(m["attrs"])
-                    if name in OUTSIDE or (marked and _is_marked(_CLASS.sub("", m["attrs"]))):
-                        outside = 2
-                    elif marked:
+                    marks = set() if name in ("html", "body", "article", "main") else _marks(m["attrs"])
+                    if name in OUTSIDE or (marks and _marks(_CLASS.sub("", m["attrs"]))):
+                        outside = 3
+                    elif marks:
+                        outside = max(outside, 1 if marks <= LAYOUT else 2)
+                    elif name == "form":
                         outside = max(outside, 1)
-                    elif outside == 1 and name in INSIDE and not _is_marked(m["attrs"]):
+                    elif outside in (1, 2) and name in INSIDE and not _marks(m["attrs"]):
                         outside = 0
                     stack.append((name, number, content or name in INSIDE, outside))
             elif not ends:
                 heading = name in HEADINGS
-                off = _is_marked(m["attrs"])
+                off = bool(_marks(m["attrs"]))
     if at < len(page):
         add(page[at:])
     close()
@@ -151,9 +192,7 @@ def _first_pass(block: Block) -> str:
         return "short"
     if stops >= MANY_STOPS:
         return "good" if n > LONG else "near"
-    if stops >= SOME_STOPS:
-        return "near"
-    return "short" if block.content else "bad"
+    return "near" if stops >= SOME_STOPS else "short"
 
 
 def _second_pass(found: list[Block], labels: list[str]) -> list[bool]:
@@ -193,6 +232,9 @@ def main_text(page: str | None) -> str:
     """The main text: blocks joined by an empty line; empty for a null page and one without main text."""
     found = blocks(page or "")
     keep = _second_pass(found, [_first_pass(b) for b in found])
+    if not any(keep) and any(b.layout for b in found):
+        found = [replace(b, outside=b.outside and not b.layout) for b in found]
+        keep = [_first_pass(b) == "good" for b in found]
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 
@@ -200,12 +242,14 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """One row per row of pages: page_id, url, text, n_chars. Null html is empty; nulls in page_id and url, repeated rows and
     pages of any length are kept as they are. Other columns are ignored; an empty table gives an empty result."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.assign(html=[main_text(page) for page in batch["html"]]).rename(columns={"html": "text"})
+            for begin in range(0, batch.num_rows, SLICE):  # a batch of long pages is read some at a time
+                own = batch.slice(begin, SLICE)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([main_text(page) for page in own.column(2).to_pylist()], pa.string())], ["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    read = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html").mapInPandas(run, "page_id string, url string, text string")
+    read = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html").mapInArrow(run, "page_id string, url string, text string")
     return read.select(F.col("page_id").cast(kind), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
