@@ -2,7 +2,8 @@
 
 Each position of a document is hashed over the next 13 words (and over each shorter length that a short item has)
 and looked up in the set; hits are verified on the words themselves. Everything from the split into words to the
-lookup is one generated stage without a shuffle; only hits leave it.
+lookup is one generated stage without a shuffle; only hits leave it. A benchmark with too many windows to broadcast is
+joined by a shuffle of the hashes alone; the words of the documents with a possible hit are then read again.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from terraflux.llm.common import ascii_lower, cut, table, text_or_empty
 
 N = 13
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before A-Z are lower-cased.
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Windows that may be broadcast (about 150 bytes each); a larger benchmark is joined by a shuffle on the hash.
 MAX_BROADCAST = 1_000_000
 
@@ -44,19 +47,30 @@ def _fingerprint() -> Column:
     return F.xxhash64(text_or_empty()).alias("fp")
 
 
+def _places(read: DataFrame, lengths: list[int]) -> DataFrame:
+    """read(doc_id, fp, w) at each place of its words: at, and the key of each length n of windows."""
+    w, at = F.col("w"), F.col("at")
+    # the outer form, as the inner one adds a filter that splits the text a second time
+    places = read.select("doc_id", "fp", "w", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)))).alias("at"))
+    if lengths in ([], [N]):
+        return places.select("*", F.lit(N).alias("n"), _key(w, at, N).alias("key"))
+    keys = F.array(*[F.struct(F.lit(k).alias("n"), _key(w, at, k).alias("key")) for k in lengths])
+    return places.select("*", F.explode_outer(keys).alias("k")).select("doc_id", "fp", "w", "at", "k.n", "k.key")
+
+
 def find_hits(docs: DataFrame, windows: DataFrame, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """(doc_id, fp, at, n, window): each place in a document where a benchmark window occurs. fp tells rows apart that share a doc_id."""
     wanted = cut(windows.select("n", "key", "window").distinct(), "decon-windows")
     lengths = sorted(r[0] for r in wanted.select("n").distinct().collect())  # at most 13 numbers
+    read = docs.select("doc_id", _fingerprint(), _words(text_or_empty()).alias("w"))
+    equal = _window(F.col("w"), F.col("at"), F.col("n")) == F.col("window")
     if wanted.count() <= max_broadcast:
-        wanted = F.broadcast(wanted)
-    w, at = F.col("w"), F.col("at")
-    # the outer form, as the inner one adds a filter that splits the text a second time
-    places = docs.select("doc_id", _fingerprint(), _words(text_or_empty()).alias("w")).select("doc_id", "fp", "w", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)))).alias("at"))
-    keys = F.array(*[F.struct(F.lit(k).alias("n"), _key(w, at, k).alias("key")) for k in lengths])
-    keyed = places.select("doc_id", "fp", "w", "at", F.lit(N).alias("n"), _key(w, at, N).alias("key")) if lengths in ([], [N]) else places.select("doc_id", "fp", "w", "at", F.explode_outer(keys).alias("k")).select("doc_id", "fp", "w", "at", "k.n", "k.key")
-    found = keyed.join(wanted, ["n", "key"]).filter(_window(w, at, F.col("n")) == F.col("window"))
-    return found.select("doc_id", "fp", "at", "n", "window")
+        return _places(read, lengths).join(F.broadcast(wanted), ["n", "key"]).filter(equal).select("doc_id", "fp", "at", "n", "window")
+    # hashes travel without the words; those of the documents that may have a hit are read a second time to verify it
+    possible = _places(read, lengths).select("doc_id", "fp", "at", "n", "key").join(wanted, ["n", "key"]).select("doc_id", "fp", F.struct("at", "n", "window").alias("hit"))
+    possible = cut(possible.groupBy("doc_id", "fp").agg(F.collect_set("hit").alias("hits")).withColumnsRenamed({"doc_id": "id", "fp": "f"}), "decon-possible")
+    again = read.join(possible, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("f"))).select("doc_id", "fp", "w", F.explode("hits").alias("hit"))
+    return again.select("doc_id", "fp", "w", "hit.*").filter(equal).drop("w").distinct()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -69,11 +83,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, max_broadcast: int =
     """
     windows = cut(benchmark_windows(benchmark), "decon-items")
     hits = cut(find_hits(docs, windows, max_broadcast), "decon-hits")
+    of_item = windows.select("window", F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"))
+    if windows.count() <= max_broadcast:  # so that a passage that very many documents hold is no key of a shuffle
+        of_item = F.broadcast(of_item)
     places = hits.select("doc_id", "fp", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("word")).distinct()
     n_hit = places.groupBy("doc_id", "fp").agg(F.count("*").alias("n_hit"))
-    items = hits.select("doc_id", "fp", "window").distinct().join(windows.select("window", F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")), "window").select("doc_id", "fp", "item").distinct()
+    items = hits.select("doc_id", "fp", "window").distinct().join(of_item, "window").select("doc_id", "fp", "item").distinct()
     ids = items.groupBy("doc_id", "fp").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items"))
-    base = docs.select(F.col("doc_id").alias("id"), _fingerprint().alias("f"), F.size(_words(text_or_empty())).cast("long").alias("n_words"))
+    base = docs.select(F.col("doc_id").alias("id"), _fingerprint().alias("f"), F.regexp_count(text_or_empty(), F.lit(RAW_WORD)).cast("long").alias("n_words"))
     for part in (n_hit, ids):
         base = base.join(part, base["id"].eqNullSafe(part["doc_id"]) & (base["f"] == part["fp"]), "left").drop("doc_id", "fp")
     none = F.lit(0).cast("long")
@@ -81,10 +98,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, max_broadcast: int =
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs, all columns, without the contaminated documents."""
-    bad = decontaminate(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__id"]) & (F.xxhash64(text_or_empty(docs["text"])) == bad["__fp"]), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """docs, all columns, without the contaminated documents; rows without doc_id or words and repeated rows are judged by
+    their own text. Helper columns cannot clash: the rows to drop are joined by alias."""
+    bad = decontaminate(docs, benchmark, max_broadcast=max_broadcast).filter("contaminated").select("doc_id", "fp").distinct()
+    bad = cut(bad, "decon-bad")
+    if bad.count() <= max_broadcast:
+        bad = F.broadcast(bad)
+    docs, bad = docs.alias("docs"), bad.alias("bad")
+    same = F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id")) & (F.xxhash64(text_or_empty(F.col("docs.text"))) == F.col("bad.fp"))
+    return docs.join(bad, same, "left_anti")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
