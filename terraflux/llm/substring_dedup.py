@@ -34,6 +34,8 @@ MAP_BYTES = 8_000_000
 RUN = 256
 #: Share of the documents that is scanned to plan the buckets, and packed bytes that a bucket should have.
 PLAN_SAMPLE, BUCKET_BYTES = 0.02, 4_000_000
+#: Buckets that a task takes one after another; a job of more than MAX_TASKS tasks gives each more of them.
+TASK_BUCKETS, MAX_TASKS = 8, 200_000
 #: Minimisers that are sent window by window, at most (8 bytes each in every task): the most frequent ones.
 MAX_HOT = 1_000_000
 
@@ -116,7 +118,7 @@ def plan_buckets(docs: DataFrame) -> tuple[int, np.ndarray]:
     sizes = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(10_000)) < share).mapInArrow(run, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
     sizes = cut(sizes.filter("n > 500"), "sub-plan")  # one string seldom tells anything
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, int(3 * total / BUCKET_BYTES))
+    buckets = max(64, int(3 * total / BUCKET_BYTES))
     hot = sizes.filter(F.col("n") > max(2000, BUCKET_BYTES * PLAN_SAMPLE / 4)).orderBy(F.desc("n"), "m").limit(MAX_HOT)
     return buckets, np.sort(np.array([r[0] for r in hot.select("m").collect()], np.int64).view(np.uint64))
 
@@ -186,8 +188,11 @@ def _first_documents(words: Words, lo: np.ndarray, hi: np.ndarray) -> list[tuple
     return [(i, first[words.first[i] : words.first[i + 1] - N + 1]) for i in hit.tolist()]
 
 
-def shared_windows(packed: DataFrame) -> DataFrame:
-    """(ka, kb, firsts) of the packed strings with a shared window: their 128-bit digest, the smallest doc_id of each window."""
+def shared_windows(packed: DataFrame, buckets: int) -> DataFrame:
+    """(ka, kb, firsts) of the packed strings with a shared window: their 128-bit digest, the smallest doc_id of each window.
+
+    Buckets are dealt to tasks in turn, as many tasks as the buckets need, so that none has more than its share.
+    """
 
     def bucket(lines: list[bytes], docs: list[bytes]) -> Iterator[pa.RecordBatch]:
         words = Words.of_lines(b"".join(lines))
@@ -217,7 +222,9 @@ def shared_windows(packed: DataFrame) -> DataFrame:
         if lines:
             yield from bucket(lines, docs)
 
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "ka long, kb long, firsts array<long>")
+    tasks = min(MAX_TASKS, max(1, -(-buckets // TASK_BUCKETS)))
+    dealt = packed.repartitionById(tasks, (F.col("bucket") % tasks).cast("int"))
+    return dealt.sortWithinPartitions("bucket").mapInArrow(run, "ka long, kb long, firsts array<long>")
 
 
 def _occurrences(docs: DataFrame, hot: np.ndarray) -> DataFrame:
@@ -242,7 +249,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     buckets, hot = plan_buckets(docs)
-    shared = cut(shared_windows(_pack(docs, hot, buckets)), "sub-shared")
+    shared = cut(shared_windows(_pack(docs, hot, buckets), buckets), "sub-shared")
     found = _occurrences(docs, hot).join(shared, ["ka", "kb"])
     found = found.select("doc_id", "at", F.transform("firsts", lambda f: f < F.col("doc_id")).alias("gone")).filter(F.exists("gone", lambda g: g))
     gone = cut(found.select("doc_id", F.struct(F.col("at"), F.col("gone").alias("windows")).alias("run")).groupBy("doc_id").agg(F.collect_set("run").alias("runs")), "sub-gone")
