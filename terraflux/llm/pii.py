@@ -1,34 +1,44 @@
 r"""PII pseudonyms by format-preserving Feistel networks.
 
-Card numbers (Luhn), telephone numbers, social security numbers, IPv4 and e-mail addresses and calendar dates are found
-by one pattern and validated. Each valid one is split into two numbers, which eight keyed Feistel rounds permute
-within the format: a card number stays a valid one of its issuer, a date a date in its notation. The same value has the same
-pseudonym in every document, and the key's holder can restore it (restore=True runs the rounds backwards).
-Everything is one projection over the documents; nothing is shuffled.
+Card numbers (Luhn), IBANs (mod 97), telephone numbers, social security numbers, IPv4, IPv6 and e-mail addresses,
+calendar dates and secrets (a value with a digit after a word such as token or password) are found by one pattern and
+validated. Each valid one is split into two numbers, which eight keyed Feistel rounds permute within the format: a card
+number stays a valid one of its issuer, a date a date in its notation, a hexadecimal token one of its length. Long
+values are permuted in pieces. The same value has the same pseudonym in every document, and the key's holder can restore
+it (restore=True runs the rounds backwards). Everything is one projection over the documents; nothing is shuffled.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraflux.llm.common import LOWER, UPPER, table, text_or_empty
+from terraflux.llm.common import LOWER, table, text_or_empty
 
 ROUNDS = 8
-#: The query's key; a real one comes from a secret store.
-KEY = "terraflux-demo-key"
+#: The query's key is the session's configuration of this name; where that is unset, as in tests, a fixed one.
+KEY_CONF, KEY = "spark.terraflux.pii.key", "terraflux-demo-key"
 
+#: What stands before a secret.
+_NAMED = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|private[_-]?key)[\"']?\s?[=:]\s?[\"']?"
 #: Patterns by kind, in the order in which they are tried at each place. All repetitions are bounded, so that a search is linear.
 PATTERNS = {
+    "secret": rf"(?<![A-Za-z]){_NAMED}(?=[A-Za-z_+/=.-]{{0,64}}\d)[A-Za-z0-9_+/=.-]{{8,256}}",
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
+    "ipv6": r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){2,7}(?![\w:.])",
     "iso_date": r"(?<![\d-])\d{4}-\d\d-\d\d(?![\d-])",
     "dmy_date": r"(?<![\d./])\d\d([./])\d\d\1\d{4}(?![\d/])",
     "ssn": r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])",
+    "abroad": r"(?<![\d+(])\+(?!1[ .(-])[1-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{1,12})){1,8}(?!\d)",
     "phone": r"(?<![\d+(])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?![ -]?\d)",
 }
 KINDS = tuple(PATTERNS)
+#: The date pattern refers to its own group, the only one.
 FOUND = "|".join(PATTERNS.values())
 #: First day of the permuted dates and their number, 400 * 365: 1800-01-01 to 2199-09-24.
 FIRST_DAY, YEARS, DAYS = "1800-01-01", 400, 365
@@ -38,18 +48,19 @@ def _kind(m: Column) -> Column:
     """Patterns differ in their characters, so a shape tells which of them matched."""
     digits = F.length(F.regexp_replace(m, r"\D", ""))
     return (
-        F.when(F.contains(m, F.lit("@")), "email").when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip").when(m.rlike(r"^\d{4}-\d\d-\d\d$"), "iso_date")
-        .when(m.rlike(r"^\d\d[./]\d\d[./]\d{4}$"), "dmy_date").when(m.rlike(r"^\d{3}-\d\d-\d{4}$"), "ssn").when(digits >= 13, "card").otherwise("phone")
+        F.when(m.rlike(f"^{_NAMED}"), "secret").when(F.contains(m, F.lit("@")), "email").when(m.rlike("^[A-Z]{2}[0-9]{2}"), "iban").when(F.contains(m, F.lit(":")), "ipv6")
+        .when(m.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip").when(m.rlike(r"^\d{4}-\d\d-\d\d$"), "iso_date").when(m.rlike(r"^\d\d[./]\d\d[./]\d{4}$"), "dmy_date")
+        .when(m.rlike(r"^\d{3}-\d\d-\d{4}$"), "ssn").when(m.rlike(r"^\+(?!1[ .(-])"), "abroad").when(digits >= 13, "card").otherwise("phone")
     )
 
 
-def _draw(key: str, kind: str, n: Column, value: Column) -> Column:
+def _draw(key: str, kind: str | Column, n: Column, value: Column) -> Column:
     """The keyed round function: 60 bits."""
-    seen = F.concat_ws("|", F.lit(key), F.lit(kind), n.cast("string"), value.cast("string"))
+    seen = F.concat_ws("|", F.lit(key), F.lit(kind) if isinstance(kind, str) else kind, n.cast("string"), value.cast("string"))
     return F.conv(F.substr(F.sha2(seen, 256), F.lit(1), F.lit(15)), 16, 10).cast("long")
 
 
-def _feistel(left: Column, right: Column, a: Column, b: Column, key: str, kind: str, restore: bool) -> Column:
+def _feistel(left: Column, right: Column, a: Column, b: Column, key: str, kind: str | Column, restore: bool) -> Column:
     """A keyed permutation of (left, right) in 0..a-1 and 0..b-1; restore undoes it."""
     start = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
     a, b = a.cast("long"), b.cast("long")
@@ -84,17 +95,63 @@ def _padded(value: Column, n: int | Column) -> Column:
     return F.lpad(value.cast("string"), F.lit(n) if isinstance(n, int) else n, F.lit("0"))
 
 
-def _refill(m: Column, digits: Column) -> Column:
-    """m with its digits replaced, in order; what stands between them stays."""
+def _put(m: Column, new: Column, slot) -> Column:  # noqa: ANN001
+    """m with its characters in slots replaced by those of new, in order and in their case; what stands between them stays."""
     start = F.struct(F.lit(1).alias("i"), F.lit("").alias("o"))
 
     def step(s: Column, c: Column) -> Column:
-        number = c.between("0", "9")
-        return F.struct((s["i"] + F.when(number, 1).otherwise(0)).alias("i"), F.concat(s["o"], F.when(number, F.substr(digits, s["i"], F.lit(1))).otherwise(c)).alias("o"))
+        drawn = F.substr(new, s["i"], F.lit(1))
+        return F.struct((s["i"] + F.when(slot(c), 1).otherwise(0)).alias("i"), F.concat(s["o"], F.when(slot(c) & c.between("A", "Z"), F.upper(drawn)).when(slot(c), drawn).otherwise(c)).alias("o"))
 
     return F.aggregate(F.split(m, ""), start, step)["o"]
 
 
+def _is_digit(c: Column) -> Column:
+    return c.between("0", "9")
+
+
+def _is_letter(c: Column) -> Column:
+    return c.between("a", "z") | c.between("A", "Z")
+
+
+def _refill(m: Column, digits: Column) -> Column:
+    return _put(m, digits, _is_digit)
+
+
+#: Digits of a half by base, so that it fits 63 bits.
+HALF = {10: 9, 16: 14, 26: 12, 36: 11}
+
+
+def _permuted(x: Column, base: int, kind: str, key: str, restore: bool) -> Column:
+    """A string of digits of a base (10, 16, 36; 26: a to z) permuted in pieces of two halves each."""
+    digits = "0123456789abcdefghijklmnop"
+    to = lambda s: F.coalesce(F.conv(F.translate(s, LOWER, digits) if base == 26 else s, base, 10).cast("long"), F.lit(0))
+    power = lambda n: F.conv(F.rpad(F.lit("1"), n + 1, F.lit("0")), base, 10).cast("long")
+
+    def back(v: Column, n: Column) -> Column:
+        text = F.when(n > 0, F.lpad(F.lower(F.conv(v.cast("string"), 10, base)), n, F.lit("0"))).otherwise("")
+        return F.translate(text, digits, LOWER) if base == 26 else text
+
+    def piece(part: Column, i: Column) -> Column:
+        n = F.length(part)
+        half = F.floor(n / 2).cast("int")
+        pair = _feistel(to(F.substr(part, F.lit(1), half)), to(F.substr(part, half + 1)), power(half), power(n - half), key, F.concat(F.lit(kind), i.cast("string")), restore)
+        return _then(pair, lambda p: F.concat(back(p["l"], half), back(p["r"], n - half)))
+
+    n = F.length(x)
+    k = F.ceil(n / (2 * HALF[base])).cast("int")
+    at = lambda i: F.floor(i * n / k).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), k - 1), lambda i: _then(F.substr(x, at(i) + 1, at(i + 1) - at(i)), lambda part: piece(part, i)))
+    return F.when(n > 0, F.array_join(pieces, "")).otherwise(x)
+
+
+def _by_class(x: Column, kind: str, key: str, restore: bool) -> Column:
+    """The letters and the digits of x permuted among themselves; capitals stay in their places, other characters too."""
+    letters = _permuted(F.lower(F.regexp_replace(x, "[^A-Za-z]", "")), 26, f"{kind} letters", key, restore)
+    digits = _permuted(F.regexp_replace(x, "[^0-9]", ""), 10, f"{kind} digits", key, restore)
+    return _then(_then(letters, lambda new: _put(x, new, _is_letter)), lambda half: _then(digits, lambda new: _put(half, new, _is_digit)))
+
+
 def _ten_to(n: Column) -> Column:
     return F.rpad(F.lit("1"), n + 1, F.lit("0")).cast("long")
 
@@ -177,46 +234,62 @@ def _date(m: Column, pattern: str, key: str, restore: bool) -> Column:
 
 
 def _email(m: Column, key: str, restore: bool) -> Column:
-    """The letters (up to 24, lower-cased) and the digits (up to 18) of the local part are permuted; its other characters and the domain stay.
+    """The letters and the digits of the local part are permuted; its other characters and the domain stay."""
+    return _then(F.substring_index(m, "@", 1), lambda local: F.concat(_by_class(local, "local", key, restore), F.substr(m, F.instr(m, "@"))))
+
+
+def _secret(m: Column, key: str, restore: bool) -> Column:
+    """The value: hexadecimal, or small letters and digits, of 32 or more characters as a whole; else letters and digits apart.
 
-    A local part with more of either, or without any two of one kind, gets its letters and digits from a keyed digest.
+    A long value that is no hexadecimal one gets a hexadecimal pseudonym, which restore cannot tell, in one of 10^11 cases.
     """
-    base26, from26 = "0123456789abcdefghijklmnop", LOWER
-    zeros = lambda n: F.rpad(F.lit("1"), n + 1, F.lit("0"))
 
-    def permuted(x: Column, base: int, kind: str) -> Column:
-        n = F.length(x)
-        half = F.floor(n / 2).cast("int")
-        to = lambda s: F.conv(F.translate(s, from26, base26) if base == 26 else s, base, 10).cast("long")
-        back = lambda v, k: F.translate(F.lpad(F.lower(F.conv(v.cast("string"), 10, base)), k, F.lit("0")), base26, from26) if base == 26 else _padded(v, k)
-        pair = _feistel(to(F.substr(x, F.lit(1), half)), to(F.substr(x, half + 1)), F.conv(zeros(half), base, 10), F.conv(zeros(n - half), base, 10), key, kind, restore)
-        return F.when(n >= 2, _then(pair, lambda p: F.concat(back(p["l"], half), back(p["r"], n - half)))).otherwise(x)
+    def of(value: Column) -> Column:
+        whole = F.when(value.rlike("^[0-9a-f]{32,}$"), _permuted(value, 16, "hex", key, restore)).when(value.rlike("^[0-9a-z]{32,}$"), _permuted(value, 36, "base36", key, restore))
+        return F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(value)), whole.otherwise(_by_class(value, "secret", key, restore)))
+
+    return _then(F.regexp_replace(m, f"^{_NAMED}", ""), of)
+
+
+def _abroad(m: Column, key: str, restore: bool) -> Column:
+    """Eight to fifteen digits after a plus sign; the first two stay."""
+    new = lambda d: F.concat(F.substr(d, F.lit(1), F.lit(2)), _permuted(F.substr(d, F.lit(3)), 10, "abroad", key, restore))
+    return _then(_digits(m), lambda d: F.when(F.length(d).between(8, 15), _then(new(d), lambda n: _refill(m, n))).otherwise(m))
+
+
+def _ipv6(m: Column, key: str, restore: bool) -> Column:
+    """Eight groups, or fewer with one "::" among them; every group keeps its length. Restored letters are small ones."""
+    groups = F.regexp_count(m, F.lit("[^:]+"))
+    gaps = F.regexp_count(m, F.lit("::"))
+    valid = ((groups == 8) & (gaps == 0)) | ((groups < 8) & (gaps == 1))
+    slot = lambda c: c != ":"
+    return F.when(valid, _then(_permuted(F.lower(F.replace(m, F.lit(":"), F.lit(""))), 16, "ipv6", key, restore), lambda new: _put(m, new, slot))).otherwise(m)
 
-    def of(local: Column) -> Column:
-        letters, digits = F.regexp_replace(local, "[^a-z]", ""), F.regexp_replace(local, "[^0-9]", "")
-        fits = (F.length(letters) <= 24) & (F.length(digits) <= 18) & ((F.length(letters) >= 2) | (F.length(digits) >= 2))
-        both = F.struct(permuted(letters, 26, "letters").alias("a"), permuted(digits, 10, "digits").alias("d"))
-        start = F.struct(F.lit(1).alias("i"), F.lit(1).alias("j"), F.lit("").alias("o"))
 
-        def fill(new: Column) -> Column:
-            def step(s: Column, c: Column) -> Column:
-                letter, digit = c.between("a", "z"), c.between("0", "9")
-                out = F.when(letter, F.substr(new["a"], s["i"], F.lit(1))).when(digit, F.substr(new["d"], s["j"], F.lit(1))).otherwise(c)
-                return F.struct((s["i"] + F.when(letter, 1).otherwise(0)).alias("i"), (s["j"] + F.when(digit, 1).otherwise(0)).alias("j"), F.concat(s["o"], out).alias("o"))
+def _iban(m: Column, key: str, restore: bool) -> Column:
+    """Letters and digits of the account are permuted apart, the country stays, the check digits are those of the new account."""
 
-            return F.aggregate(F.split(local, ""), start, step)["o"]
+    def check(country: Column, account: Column) -> Column:
+        """98 less the remainder of account, country and 00, letters counting from 10, as two digits."""
+        value = lambda c: F.when(_is_digit(c), c.cast("int")).otherwise(F.ascii(c) - 55)
+        rest = F.aggregate(F.split(F.concat(account, country, F.lit("00")), ""), F.lit(0), lambda r, c: (r * F.when(_is_digit(c), 10).otherwise(100) + value(c)) % 97)
+        return _padded(98 - rest, 2)
 
-        masked = F.concat(F.lit("x"), F.substr(F.sha2(F.concat_ws("|", F.lit(key), F.lit("local"), local), 256), F.lit(1), F.lit(16)))
-        return F.concat(F.when(fits, _then(both, fill)).otherwise(masked), F.substr(m, F.instr(m, "@")))
+    def of(x: Column) -> Column:
+        country, own, account = F.substr(x, F.lit(1), F.lit(2)), F.substr(x, F.lit(3), F.lit(2)), F.substr(x, F.lit(5))
+        new = _then(_by_class(account, "iban", key, restore), lambda n: F.concat(country, check(country, n), n))
+        return F.when(check(country, account) == own, _then(new, lambda n: _put(m, n, lambda c: c != " "))).otherwise(m)
 
-    return _then(F.translate(F.substring_index(m, "@", 1), UPPER, LOWER), of)
+    return _then(F.replace(m, F.lit(" "), F.lit("")), of)
 
 
 def pseudonym(m: Column, key: str, restore: bool = False) -> Column:
     """The pseudonym of one match; what does not validate stays as it is."""
-    k = _kind(m)
-    out = F.when(k == "email", _email(m, key, restore)).when(k == "ip", _ip(m, key, restore)).when(k == "iso_date", _date(m, "yyyy-MM-dd", key, restore))
-    return out.when(k == "dmy_date", _dmy(m, key, restore)).when(k == "ssn", _ssn(m, key, restore)).when(k == "card", _card(m, key, restore)).otherwise(_phone(m, key, restore))
+    of = {
+        "secret": _secret(m, key, restore), "email": _email(m, key, restore), "iban": _iban(m, key, restore), "ip": _ip(m, key, restore), "ipv6": _ipv6(m, key, restore),
+        "iso_date": _date(m, "yyyy-MM-dd", key, restore), "dmy_date": _dmy(m, key, restore), "ssn": _ssn(m, key, restore), "abroad": _abroad(m, key, restore), "card": _card(m, key, restore),
+    }
+    return _then(_kind(m), lambda k: reduce(lambda rest, kind: F.when(k == kind, of[kind]).otherwise(rest), reversed(of), _phone(m, key, restore)))
 
 
 def _dmy(m: Column, key: str, restore: bool) -> Column:
@@ -226,22 +299,27 @@ def _dmy(m: Column, key: str, restore: bool) -> Column:
 def pseudonymise(docs: DataFrame, *, key: str, restore: bool = False) -> DataFrame:
     """docs with text replaced, and changed: an array of (kind, before, after) of its replaced values in order.
 
-    A null text stays null and changes nothing. Repeated rows and nulls elsewhere are kept, other columns stay; a
-    column of docs named changed is overwritten. Capitals in e-mail names are lower-cased first, as they mean nothing;
-    restore gives those back in lower case, all else exactly but the local parts that only a digest stands for.
+    A null text stays null and changes nothing. Repeated rows and nulls elsewhere are kept, other columns stay whatever
+    their names; a column of docs named changed is overwritten. An empty table gives an empty result.
     """
-    found = F.regexp_extract_all(text_or_empty(), F.lit(FOUND), F.lit(0))
-    rows = docs.withColumn("__m", found).withColumn("__new", F.transform("__m", lambda m: pseudonym(m, key, restore)))
-    parts = F.split(F.col("text"), FOUND, -1)
-    joined = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(F.col("__new"), i), F.lit("")))), "")
-    pairs = F.zip_with("__m", "__new", lambda a, b: F.struct(_kind(a).alias("kind"), a.alias("before"), b.alias("after")))
-    changed = F.filter(pairs, lambda p: p["before"] != p["after"])
-    return rows.withColumn("changed", changed).withColumn("text", F.when(F.size("__m") == 0, F.col("text")).otherwise(joined)).drop("__m", "__new")
+    none = F.array().cast("array<string>")
+    # every pattern needs a digit or an at sign
+    found = F.when(text_or_empty().rlike("[0-9@]"), F.regexp_extract_all(text_or_empty(), F.lit(FOUND), F.lit(0))).otherwise(none)
+    rows = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    rows = rows.select("row", "found", F.transform("found", lambda m: pseudonym(m, key, restore)).alias("new"))
+    parts = F.split(F.col("row.text"), FOUND, -1)
+    joined = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(F.col("new"), i), F.lit("")))), "")
+    pairs = F.filter(F.zip_with("found", "new", lambda a, b: F.struct(a.alias("before"), b.alias("after"))), lambda p: p["before"] != p["after"])
+    changed = F.transform(pairs, lambda p: F.struct(_kind(p["before"]).alias("kind"), p["before"].alias("before"), p["after"].alias("after")))
+    text = F.when(F.size("found") == 0, F.col("row.text")).otherwise(joined)
+    return rows.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != "changed"], changed.alias("changed"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=KEY)
-    return docs.select("doc_id", *[_count(kind) for kind in KINDS], F.length(text_or_empty()).cast("long").alias("n_chars"), F.sha2(text_or_empty(), 256).alias("text_sha256"))
+    """Per document the number of changed values, in all and of each kind, and length and digest of the new text."""
+    docs = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get(KEY_CONF, KEY))
+    counts = [F.size("changed").cast("long").alias("n_changed"), *map(_count, KINDS)]
+    return docs.select("doc_id", *counts, F.length(text_or_empty()).cast("long").alias("n_chars"), F.sha2(text_or_empty(), 256).alias("text_sha256"))
 
 
 def _count(kind: str) -> Column:
