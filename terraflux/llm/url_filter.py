@@ -24,8 +24,10 @@ RULES = (
 WORDS, BITS_PER_KEY = 8, 16
 #: Blocks that may be broadcast (72 bytes each); a larger filter is joined by a shuffle on the block.
 MAX_BROADCAST = 500_000
-#: Host labels whose pages make up the query's list.
-LISTED_LABELS = ("spam-farm", "cheap-pills", "casino-win")
+#: URLs of the list that may be broadcast (about 100 bytes each).
+MAX_LISTED = 300_000
+#: The query's list: canonical URLs with one of these labels in their host, or whose md5 digest begins below this.
+LISTED_LABELS, LISTED_BELOW = ("spam-farm", "cheap-pills", "casino-win"), "55"
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
 
 
@@ -72,38 +74,45 @@ def bloom(listed: DataFrame, blocks: int) -> DataFrame:
     return listed.select(block.alias("block"), *[b.alias(f"b{i}") for i, b in enumerate(bits)]).groupBy("block").agg(*[F.bit_or(f"b{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
-def filter_urls(pages: DataFrame, listed: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
+def filter_urls(pages: DataFrame, listed: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, *, max_blocks: int = MAX_BROADCAST, max_listed: int = MAX_LISTED) -> DataFrame:
     """One row per row of pages: page_id, host, path, rule, verdict.
 
     listed(listed_url) holds canonical URLs to block; nulls in it and repeats count for nothing. A url that no rule
     fits is blocked if it is listed, else allowed; a null url, or one without "://", has empty host and path, fits no
-    rule and is allowed. Page rows repeat as they are; columns beside page_id and url are ignored.
+    rule and is allowed. Page rows repeat as they are; columns beside page_id and url are ignored. A list, or its
+    filter, too large to broadcast is joined by a shuffle, to which only the rows go that the step before left open.
     """
     listed = cut(listed.select("listed_url").filter("listed_url IS NOT NULL").distinct(), "url-list")
-    blocks = max(1, -(-listed.count() * BITS_PER_KEY // (64 * WORDS)))
+    n = listed.count()
+    blocks = max(1, -(-n * BITS_PER_KEY // (64 * WORDS)))
     kept = cut(bloom(listed, blocks), "url-bloom")
-    if blocks <= MAX_BROADCAST:
-        kept = F.broadcast(kept)
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = best_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("by_rule"), canonical(F.col("url"), F.col("host"), F.col("path")).alias("canonical"))
-    columns = ["page_id", "host", "path", "rule"]
-    ruled = rows.filter("rule IS NOT NULL").select(*columns, F.col("by_rule").alias("verdict"))
+    rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), canonical(F.col("url"), F.col("host"), F.col("path")).alias("canonical"))
     block, bits = _bits(F.col("canonical"), blocks)
-    open_ = rows.filter("rule IS NULL").withColumn("block", block).join(kept, "block", "left")
     hit = reduce(Column.__and__, [F.col(f"w{i}").bitwiseAND(b) == b for i, b in enumerate(bits)])
-    open_ = open_.withColumn("possible", F.coalesce(hit, F.lit(False)) & F.col("canonical").isNotNull())
-    clear = open_.filter("NOT possible").select(*columns, F.lit("allow").alias("verdict"))
-    checked = open_.filter("possible").join(listed, F.col("canonical") == F.col("listed_url"), "left")
-    return ruled.union(clear).union(checked.select(*columns, F.when(F.col("listed_url").isNotNull(), "block").otherwise("allow").alias("verdict")))
-
-
-def listed_urls(pages: DataFrame, labels: tuple[str, ...] = LISTED_LABELS) -> DataFrame:
-    """The query's list: the canonical URLs of all pages with one of these labels in their host."""
+    is_open = F.col("rule").isNull() & F.col("canonical").isNotNull()
+    columns = ["page_id", "host", "path", "rule"]
+    found = F.when(F.col("listed_url").isNotNull(), "block").otherwise("allow")
+    if blocks <= max_blocks and n <= max_listed:
+        tested = rows.withColumn("block", F.when(is_open, block)).join(F.broadcast(kept), "block", "left").withColumn("key", F.when(hit, F.col("canonical")))
+        return tested.join(F.broadcast(listed), F.col("key") == F.col("listed_url"), "left").select(*columns, F.coalesce("verdict", found).alias("verdict"))
+    rows = cut(rows, "url-rows")
+    tested = rows.filter(is_open).withColumn("block", block).join(F.broadcast(kept) if blocks <= max_blocks else kept, "block", "left")
+    tested = cut(tested.select(*columns, "canonical", F.coalesce(hit, F.lit(False)).alias("possible")), "url-tested")
+    closed = rows.filter(~is_open).select(*columns, F.coalesce("verdict", F.lit("allow")).alias("verdict"))
+    clear = tested.filter("NOT possible").select(*columns, F.lit("allow").alias("verdict"))
+    checked = tested.filter("possible").join(listed, F.col("canonical") == F.col("listed_url"), "left").select(*columns, found.alias("verdict"))
+    return closed.union(clear).union(checked)
+
+
+def listed_urls(pages: DataFrame, labels: tuple[str, ...] = LISTED_LABELS, below: str = LISTED_BELOW) -> DataFrame:
+    """The query's list: of the canonical URLs of all pages those with one of these labels in their host, and a third of the others, drawn by digest."""
     host, path = host_and_path(F.col("url"))
-    named = pages.select("url", host.alias("host"), path.alias("path")).filter(F.arrays_overlap(F.split("host", r"\."), F.array(*map(F.lit, labels))))
-    return named.select(canonical(F.col("url"), F.col("host"), F.col("path")).alias("listed_url"))
+    named = pages.select("url", host.alias("host"), path.alias("path"))
+    named = named.select("host", canonical(F.col("url"), F.col("host"), F.col("path")).alias("listed_url"))
+    return named.filter(F.arrays_overlap(F.split("host", r"\."), F.array(*map(F.lit, labels))) | (F.md5("listed_url") < below)).select("listed_url")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +136,7 @@ WITH p AS (
     || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
          lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))), '&'), ''), '') END AS canonical FROM h
 ), l AS (
-  SELECT DISTINCT canonical FROM c WHERE list_has_any(string_split(host, '.'), ['spam-farm', 'cheap-pills', 'casino-win'])
+  SELECT DISTINCT canonical FROM c WHERE list_has_any(string_split(host, '.'), ['spam-farm', 'cheap-pills', 'casino-win']) OR md5(canonical) < '55'
 ), b AS (
   SELECT c.*, (SELECT arg_max(r, length(rule)) FROM r WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS best FROM c
 )
