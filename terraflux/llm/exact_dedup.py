@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from terraflux.llm.common import WHITE, cut, table, text_or_empty
 
 BLOCK_CHARS = 2048
+#: Rows to drop that may be broadcast (16 bytes each); more are joined by a shuffle, which moves the texts.
+MAX_BROADCAST = 1_000_000
 
 
 def _key(block: Column, seed: int) -> Column:
@@ -30,36 +32,26 @@ def _named(distinct: DataFrame, order: list[str], keep: list[str], tag: str) ->
     return cut(distinct.sortWithinPartitions(*order).select(*keep, F.monotonically_increasing_id().alias("name")), tag)
 
 
-def _first_names(texts: DataFrame, block_chars: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with the keys of their blocks, and the name of each key."""
-    blocks = F.when(F.col("norm") == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all("norm", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0)))
-    rows = cut(
-        texts.select(
-            F.monotonically_increasing_id().alias("row_id"), "doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"),
-            F.transform(blocks, lambda b: _key(b, seed)).alias("keys"),
-        ),
-        "dedup-rows",
-    )
-    distinct = texts.select(F.explode(blocks).alias("block")).withColumn("key", _key(F.col("block"), seed)).select("key.a", "key.b", "block").distinct()
+def _first_names(rows: DataFrame, seed: int) -> tuple[int, DataFrame]:
+    """The seed and the name of the key of each distinct block of rows(blocks, ..)."""
+    distinct = rows.select(F.explode("blocks").alias("block")).withColumn("key", _key(F.col("block"), seed)).select("key.a", "key.b", "block").distinct()
     names = _named(distinct, ["block"], ["a", "b"], "dedup-blocks")
     if names.groupBy("a", "b").count().filter("count > 1").limit(1).count():
-        return _first_names(texts, block_chars, seed + 1)
-    return rows, names
-
+        return _first_names(rows, seed + 1)
+    return seed, names
 
-def exact_dedup(docs: DataFrame, *, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Of rows whose texts are equal without white space, the one with the most code points in its own text stays, then
-    the smallest doc_id. Null and empty texts are one group. A null doc_id comes after all others; of repeated rows
-    exactly one stays. Columns beside doc_id and text are ignored. An empty table gives an empty result.
-    """
+def _judged(docs: DataFrame, block_chars: int) -> DataFrame:
+    """What exact_dedup() returns, and fp, a hash of the text as it is."""
     text = text_or_empty()
-    texts = docs.select("doc_id", F.length(text).cast("long").alias("n_chars"), F.regexp_replace(text, f"{WHITE}+", "").alias("norm"))
-    rows, names = _first_names(texts, block_chars, 1)
-    n = rows.agg(F.max(F.size("keys"))).first()[0] or 1
+    texts = docs.select("doc_id", F.xxhash64("text").alias("fp"), F.length(text).cast("long").alias("n_chars"), F.regexp_replace(text, f"{WHITE}+", "").alias("norm"))
+    blocks = F.when(F.col("norm") == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all("norm", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0)))
+    # texts are cut into blocks once and written; all that follows reads these
+    rows = cut(texts.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "fp", "n_chars", F.sha2("norm", 256).alias("text_sha256"), blocks.alias("blocks")), "dedup-rows")
+    seed, names = _first_names(rows, 1)
+    n = rows.agg(F.max(F.size("blocks"))).first()[0] or 1
     now = (
-        rows.select("row_id", F.size("keys").alias("n"), F.posexplode("keys").alias("pos", "key"))
+        rows.select("row_id", F.size("blocks").alias("n"), F.posexplode(F.transform("blocks", lambda b: _key(b, seed))).alias("pos", "key"))
         .select("row_id", "n", "pos", "key.a", "key.b").join(names, ["a", "b"]).select("row_id", "n", "pos", "name")
     )
     done, level = [], 0
@@ -76,20 +68,40 @@ def exact_dedup(docs: DataFrame, *, block_chars: int = BLOCK_CHARS) -> DataFrame
         names = _named(pairs.select("l", "r").distinct(), ["l", "r"], ["l", "r"], "dedup-names")
         n, level = -(-n // 2), level + 1
         now = pairs.join(names, ["l", "r"]).select("row_id", F.ceil(F.col("n") / 2).cast("int").alias("n"), F.col("at").alias("pos"), "name")
-    named = cut(rows.drop("keys").join(reduce(DataFrame.union, done), "row_id"), "dedup-named")
+    named = cut(rows.drop("blocks").join(reduce(DataFrame.union, done), "row_id"), "dedup-named")
     best = F.min(F.struct((-F.col("n_chars")).alias("fewer"), F.col("doc_id").isNull().alias("none"), "doc_id", "row_id"))
     groups = cut(named.groupBy("level", "name").agg(best.alias("best"), F.count("*").alias("group_size")), "dedup-groups")
     return named.join(groups, ["level", "name"]).select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256"
+        "doc_id", "fp", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256"
     )
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that exact_dedup() keeps, with all their columns."""
-    marked = docs.withColumn("__sha", F.sha2(F.regexp_replace(text_or_empty(), f"{WHITE}+", ""), 256))
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept_sha"))
-    joined = marked.join(kept, marked["doc_id"].eqNullSafe(kept["__id"]) & (marked["__sha"] == kept["__kept_sha"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+def exact_dedup(docs: DataFrame, *, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Of rows whose texts are equal without white space, the one with the most code points in its own text stays, then
+    the smallest doc_id. Null and empty texts are one group. A null doc_id comes after all others; of repeated rows
+    exactly one stays. Columns beside doc_id and text are ignored. An empty table gives an empty result.
+    """
+    return _judged(docs, block_chars).drop("fp")
+
+
+def drop_copies(docs: DataFrame, *, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """The rows of docs that exact_dedup() keeps, with all their columns.
+
+    Rows to drop are told by doc_id and a hash of the text, so that the texts need no second shuffle while these are
+    few. A row that stays and is repeated with its doc_id and text stays once. Helper columns cannot clash: the rows
+    are joined by alias.
+    """
+    judged = cut(_judged(docs, BLOCK_CHARS).groupBy("doc_id", "fp").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).filter("NOT kept OR n > 1"), "dedup-judged")
+    near = F.broadcast if judged.count() <= max_broadcast else (lambda x: x)
+    same = F.col("docs.doc_id").eqNullSafe(F.col("judged.doc_id")) & (F.xxhash64("docs.text") == F.col("judged.fp"))
+    docs = docs.alias("docs")
+    once = docs.join(near(judged.alias("judged")), same, "left_anti")
+    repeated = judged.filter("kept")
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(docs.join(near(repeated.alias("judged")), same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
