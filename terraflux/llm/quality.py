@@ -129,12 +129,14 @@ def score(docs: DataFrame, w: np.ndarray, bias: float) -> DataFrame:
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs, all columns, without the documents that the classifier rejects."""
+    """docs, all columns whatever their names, without the documents that the classifier rejects.
+
+    Null and empty texts score the bias alone; repeated rows stay or go together; without any label all rows stay.
+    """
     w, bias = fit(docs, labels)
-    columns = [c for c in docs.columns if c != "text"]
-    scored = docs.select(*columns, "text", F.col("text").alias("__scored"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema.fields[:-1])
-    return scored.mapInArrow(partial(_scores, w=w, bias=bias), f"{kinds}, score double").filter("score >= 0.5").select(*docs.columns)
+    scored = docs.select(F.struct("*").alias("row"), "text")
+    kind = docs.schema.simpleString()
+    return scored.mapInArrow(partial(_scores, w=w, bias=bias), f"row {kind}, score double").filter("score >= 0.5").select("row.*")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

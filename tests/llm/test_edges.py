@@ -1,6 +1,9 @@
 """Nulls in any column, empty and long texts, ties, repeated rows, empty tables and extra columns for every operator."""
 
+import datetime
 import hashlib
+import html as html_of
+import os
 import re
 
 import pytest
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 
 from terraflux.llm import chat_format, decontamination, exact_dedup, html_text, mixing, near_dedup, pii, quality, substring_dedup, url_filter
 
+needs_tables = pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are not here")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, count long, name string, level int"
 LONG = " ".join(f"word{i % 997}x{i % 13}" for i in range(60_000))
 
@@ -40,7 +44,11 @@ def test_exact_dedup(spark):
         assert r.text_sha256 == hashlib.sha256(norm(text).encode()).hexdigest()
     assert sum(r.kept for r in out.collect()) == len(groups)
     assert exact_dedup.exact_dedup(docs(spark, [])).count() == 0
-    assert exact_dedup.drop_copies(docs(spark, ROWS)).count() == len(groups)
+    want = {(r.doc_id, r.text_sha256) for r in out.collect() if r.kept}
+    for limit in (10, 0):
+        left = exact_dedup.drop_copies(docs(spark, ROWS), max_broadcast=limit)
+        assert left.columns == docs(spark, ROWS).columns and sorted(((r.doc_id, hashlib.sha256(norm(r.text).encode()).hexdigest()) for r in left.collect()), key=repr) == sorted(want, key=repr)
+    assert exact_dedup.drop_copies(docs(spark, [])).count() == 0
 
 
 def test_exact_dedup_survives_equal_keys(spark, monkeypatch):
@@ -161,6 +169,9 @@ def test_url_filter(spark):
     assert got[2] == ("www.foo.net", "/de/1", "net/de/", "allow") and got[3][2:] == ("example.net/de/8", "block") and got[4][3] == "block"
     assert got[5][3] == got[6][3] == got[None][3] == "block" and got[7][3] == "allow"
     assert got[8] == got[9] == ("", "", None, "allow") and got[11][2] is None and got[12] == ("", "", None, "allow")
+    columns = ("page_id", "host", "path", "rule", "verdict")
+    for limits in ({"max_blocks": 0}, {"max_listed": 0}, {"max_blocks": 0, "max_listed": 0}):  # by shuffles
+        assert result(url_filter.filter_urls(pages, listed, **limits), *columns) == result(url_filter.filter_urls(pages, listed), *columns)
     assert url_filter.filter_urls(pages, listed.filter("false")).filter("rule IS NULL AND verdict = 'block'").count() == 0
     assert url_filter.filter_urls(pages.filter("false"), listed).count() == 0
 
@@ -200,6 +211,116 @@ def test_pii_of_any_telephone_number(spark):
     assert result(pii.pseudonymise(out, key="k", restore=True), "text") == result(table, "text")
 
 
+PRIVATE = {
+    "secret": ['token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', "password: Hunter2-abc", "API_KEY=sk_live_9aB3xY77", "secret='0123456789abcdefghijklmnopqrstuvwxyz'"],
+    "email": ["a@example.com", "Anna.Maria7@b.co", "x1@y.org", "abcdefghijklmnopqrstuvwxyzabcdefghij99@long.example.net", "1234567890123456789012@n.io"],
+    "iban": ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606"],
+    "ipv6": ["2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1ff:fe23:4567:890a"],
+    "abroad": ["+49 30 5557713", "+44 (0)20 7946 0958".replace("(0)", ""), "+33 1 23 45 67 89", "+3581234567"],
+}
+PLAIN = ["at 12:34:56 o'clock", "DE00370400440532013000", "the token: Vereinigung", "AB12 is a code", "1:2:3:4", "+1 2"]
+
+
+def test_pii_of_every_kind(spark):
+    rows = [(i, f"see {x} end", kind) for i, (kind, x) in enumerate((k, x) for k in PRIVATE for x in PRIVATE[k])]
+    table = spark.createDataFrame([(*r, "m", "n") for r in rows], "doc_id long, text string, kind string, __m string, new string")
+    out = pii.pseudonymise(table, key="k")
+    shape = lambda x: re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub(r"\d", "0", x)))
+    for (_, text, kind), r in zip(rows, out.orderBy("doc_id").collect()):
+        assert [c.kind for c in r.changed] == [kind] and (r["__m"], r.new) == ("m", "n"), text
+        assert len(r.text) == len(text) and r.text != text
+        if "04db" in text:
+            assert re.fullmatch('see token = "[0-9a-f]{40}" end', r.text)
+        elif kind == "iban":
+            x = re.sub("[^A-Z0-9]", "", r.text.removeprefix("see ").removesuffix(" end"))
+            assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1 and shape(r.text) == shape(text)
+        elif kind in ("email", "abroad"):
+            assert shape(r.text) == shape(text)
+    assert result(pii.pseudonymise(out, key="k", restore=True), "text") == result(table, "text")
+    clean = spark.createDataFrame([(i, x) for i, x in enumerate(PLAIN)], "doc_id long, text string")
+    assert pii.pseudonymise(clean, key="k").filter("size(changed) > 0").count() == 0
+
+
+def plain_feistel(left, right, a, b, key, kind):
+    for n in range(pii.ROUNDS):
+        draw = lambda v: int(hashlib.sha256(f"{key}|{kind}|{n}|{v}".encode()).hexdigest()[:15], 16)  # noqa: B023, E731
+        left, right = ((left + draw(right)) % a, right) if n % 2 == 0 else (left, (right + draw(left)) % b)
+    return left, right
+
+
+def plain_permuted(x, base, kind, key):
+    digits, k, out = "0123456789abcdefghijklmnopqrstuvwxyz", -(-len(x) // (2 * pii.HALF[base])), ""
+    if base == 26:
+        x = "".join(digits[ord(c) - 97] for c in x)
+    number = lambda s: int(s, base) if s else 0
+    for i in range(k):
+        part = x[i * len(x) // k : (i + 1) * len(x) // k]
+        half = len(part) // 2
+        for v, n in zip(plain_feistel(number(part[:half]), number(part[half:]), base**half, base ** (len(part) - half), key, f"{kind}{i}"), (half, len(part) - half)):
+            text = ""
+            for _ in range(n):
+                text, v = digits[v % base] + text, v // base
+            out += text
+    return "".join(chr(97 + digits.index(c)) for c in out) if base == 26 else out
+
+
+def plain_by_class(x, kind, key):
+    letters = iter(plain_permuted("".join(c for c in x if c.isalpha()).lower(), 26, f"{kind} letters", key))
+    digits = iter(plain_permuted("".join(c for c in x if c.isdigit()), 10, f"{kind} digits", key))
+    return "".join(next(digits) if c.isdigit() else c if not c.isalpha() else next(letters).upper() if c.isupper() else next(letters) for c in x)
+
+
+def test_pii_against_plain_python(spark):
+    """The same rounds written out in Python, for each way of splitting a value."""
+    day = lambda x: (datetime.date.fromisoformat(x) - datetime.date.fromisoformat(pii.FIRST_DAY)).days
+
+    def date(x):
+        left, right = plain_feistel(*divmod(day(x), pii.DAYS), pii.YEARS, pii.DAYS, "k", "date")
+        return str(datetime.date.fromisoformat(pii.FIRST_DAY) + datetime.timedelta(left * pii.DAYS + right))
+
+    def ip(x):
+        p = [int(c) for c in x.split(".")]
+        left, right = plain_feistel(p[0] * 256 + p[1], p[2] * 256 + p[3], 65536, 65536, "k", "ip")
+        return ".".join(map(str, (*divmod(left, 256), *divmod(right, 256))))
+
+    def ssn(x):
+        area, group, serial = map(int, x.split("-"))
+        left, right = plain_feistel((area - (2 if area > 666 else 1)) * 99 + group - 1, serial - 1, 898 * 99, 9999, "k", "ssn")
+        area = left // 99 + 1
+        return f"{area + (area >= 666):03}-{left % 99 + 1:02}-{right + 1:04}"
+
+    def card(x):
+        half = (len(x) - 2) // 2
+        rest = len(x) - 2 - half
+        left, right = plain_feistel(int(x[1 : 1 + half]), int(x[1 + half : -1]), 10**half, 10**rest, "k", "card")
+        head = f"{x[0]}{left:0{half}}{right:0{rest}}"
+        total = sum(sum(divmod(int(c) * (2 if i % 2 == 0 else 1), 10)) for i, c in enumerate(reversed(head)))
+        return head + str(-total % 10)
+
+    def phone(x):
+        d = re.sub(r"\D", "", x)[-10:]
+        area, head = int(d[:3]), int(d[3:5])
+        area0, areas = (200, 800) if area >= 200 else (0, 200)
+        head0, heads = (20, 80) if head >= 20 else (0, 20)
+        left, right = plain_feistel((area - area0) * heads + head - head0, int(d[5:]), areas * heads, 100_000, "k", "phone")
+        new = f"{left // heads + area0:03}{left % heads + head0:02}{right:05}"
+        return f"+1 ({new[:3]}) {new[3:6]}-{new[6:]}"
+
+    def email(x):
+        local, host = x.split("@")
+        return plain_by_class(local, "local", "k") + "@" + host
+
+    value = lambda x: x.split('"')[1]
+    want = {x: f(x) for f, own in (
+        (date, ["2024-02-29", "1999-12-31"]), (ip, ["70.123.182.155", "0.0.0.1"]), (ssn, ["123-45-6789", "667-01-0001"]), (card, ["4041894974608795", "378282246310005"]),
+        (phone, ["+1 (988) 555-2485", "+1 (017) 055-7713"]), (email, PRIVATE["email"]),
+        (lambda x: x.replace(value(x), plain_permuted(value(x), 16, "hex", "k")), PRIVATE["secret"][:1]),
+        (lambda x: "password: " + plain_by_class(x[10:], "secret", "k"), PRIVATE["secret"][1:2]),
+    ) for x in own}
+    table = spark.createDataFrame([(i, x) for i, x in enumerate(want)], "doc_id long, text string")
+    assert [r.text for r in pii.pseudonymise(table, key="k").orderBy("doc_id").collect()] == list(want.values())
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(7 * 5).select((F.col("id") % 7).alias("l"), F.floor(F.col("id") / 7).alias("r"))
     done = pairs.select(pii._feistel(F.col("l"), F.col("r"), F.lit(7), F.lit(5), "k", "t", False).alias("p")).select("p.l", "p.r")
@@ -237,7 +358,45 @@ def test_html(spark):
     assert html_text.extract_text(pages.filter("false")).count() == 0
 
 
-@pytest.mark.parametrize("text", ["<" * 50_000, "<a " * 20_000, "<p class='" + "x" * 100_000, "<!--" * 20_000, "<div>" * 20_000 + "x"])
+GOOD = "This is the text of the page and it has all of the words that are in it. " * 6
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<p>{GOOD}</p><p>Karl Ratzek, Berlin, Oderstrasse 17, Telefon 030 5557713, Vorsitzender, Abteilung Nord</p>", f"{GOOD.strip()}\n\nKarl Ratzek, Berlin, Oderstrasse 17, Telefon 030 5557713, Vorsitzender, Abteilung Nord"),
+    (f"<nav><ul><li><a href=/>Home</a><article><h1>T</h1><p>{GOOD}</article><footer>f</footer>", f"T\n\n{GOOD.strip()}"),
+    (f"<aside><article><p>Teaser</p></article></aside><article><p>{GOOD}</article>", GOOD.strip()),
+    (f'<div class="search-page"><p>{GOOD}</p></div>', GOOD.strip()),
+    (f'<div class="search"><p>{GOOD}</p><p>a</p></div>', GOOD.strip()),
+    (f'<div class="no-sidebar has-menu"><p>{GOOD}</p></div><div class="site-sidebar"><p>{GOOD}</p></div>', GOOD.strip()),
+    (f'<form id="aspnetForm"><article><p>{GOOD}</p></article></form>', GOOD.strip()),
+    (f"<form><p>{GOOD}</p></form>", GOOD.strip()),
+    (f"<button>Go<p>{GOOD}</p>", f"Go\n\n{GOOD.strip()}"),
+    (f"<p>{GOOD}</p><button>Go</button><select><option>1</select>", GOOD.strip()),
+    (f'<div class="comment-list"><p>{GOOD}</p></div><div class="ad-300x250"><p>{GOOD}</p></div><div class="cookie-banner"><p>{GOOD}</p></div>', ""),
+    ("<ul><li>" + "<li>".join([GOOD] * 3), "\n\n".join([GOOD.strip()] * 3)),
+    ("<p>Zażółć gęślą jaźń i pobiegł przez łąkę, a potem wrócił nad rzekę oraz zasnął pod starym dębem.</p>" * 3, "\n\n".join(["Zażółć gęślą jaźń i pobiegł przez łąkę, a potem wrócił nad rzekę oraz zasnął pod starym dębem."] * 3)),
+])
+def test_html_keeps_the_article(page, want):
+    assert html_text.main_text(page) == want
+
+
+@needs_tables
+def test_html_of_whole_tables(spark):
+    """All given pages against a plain reading of their template: the blocks of the article, tags off and references decoded."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+
+    def plain(page):
+        article = re.search(r"<article>(.*)</article>", page, re.S)[1]
+        parts = re.split(r"</?(?:p|h1|h2|ul|ol|li|table|tr|td|blockquote|pre|div|section)\b[^>]*>", re.sub(r"<(script|style|aside|form)\b.*?</\1>|<!--.*?-->", "", article, flags=re.S))
+        return "\n\n".join(x for x in (" ".join(html_of.unescape(re.sub(r"<[a-z/][^>]*>", "", re.sub(r"<br\s*/?>", " ", p))).split()) for p in parts) if x)
+
+    rows = [r for r in pages.collect() if len(re.findall("<article>", r.html or "")) == 1 and "</article>" in r.html]
+    assert len(rows) > 0.9 * len(got)
+    assert [r.page_id for r in rows if got[r.page_id] != plain(r.html)] == []
+
+
+@pytest.mark.parametrize("text", ["<button>" * 20_000, "<select><p>" * 10_000, "<nav>" * 3_000 + "<article>" * 3_000, "<" * 50_000, "<a " * 20_000, "<p class='" + "x" * 100_000, "<!--" * 20_000, "<div>" * 20_000 + "x"])
 def test_html_of_odd_pages_takes_little_time(text):
     html_text.main_text(text)
 
