@@ -61,6 +61,23 @@ def from_year_day(year: Column, day: Column, base: int = 1) -> Column:
     return F.date_add(F.make_date(year, F.lit(1), F.lit(1)), (day - base).cast("int"))
 
 
+def make_time(*, text: Column | None = None, pattern: str | None = None, year: Column | None = None, doy: Column | None = None, month: Column | None = None, day: Column | None = None,
+              hour: Column | None = None, minute: Column | None = None, second: Column | None = None, base: int = 1) -> Column:
+    """a timestamp without zone of text in a pattern, of a year and its day (counted from base), or of a year, month and day.
+
+    Hours, minutes and seconds are 0 if not given; with a day of the year they count too. What does not parse is null.
+    """
+    if text is not None:
+        if pattern is None or year is not None:
+            raise ValueError("text goes with a pattern and nothing else")
+        return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    if year is None or (doy is None) == (month is None or day is None):
+        raise ValueError("a time needs a year and either its day or month and day")
+    date = F.date_add(F.make_date(year, F.lit(1), F.lit(1)), (doy - base).cast("int")) if doy is not None else F.try_make_timestamp_ntz(year, month, day, F.lit(0), F.lit(0), F.lit(0))
+    part = lambda c: F.lit(0) if c is None else c.cast("int")
+    return date.cast("timestamp_ntz") + F.make_dt_interval(hours=part(hour), mins=part(minute), secs=part(second).cast("decimal(18,6)"))
+
+
 def cf_decode(value: Column, unit: str, epoch: str) -> Column:
     """"unit since epoch" to a timestamp without zone."""
     return F.expr(f"timestamp_ntz'{epoch}'") + F.make_dt_interval(secs=(value * _SECONDS[unit]).cast("decimal(18,6)"))
@@ -89,6 +106,12 @@ def calendar_parts(time: Column) -> dict[str, Column]:
     }
 
 
+def steps_between(start: Column, end: Column, minutes: int) -> Column:
+    """the number of whole steps of some minutes from start to end; negative if end is earlier."""
+    seconds = F.timestamp_diff("SECOND", start.cast("timestamp_ntz"), end.cast("timestamp_ntz"))
+    return (seconds / (minutes * 60)).cast("bigint")
+
+
 def saturation(t: Column, constants: str = "sonntag") -> Column:
     """kPa over water at t degrees Celsius."""
     a, b, c = model.MAGNUS[constants]

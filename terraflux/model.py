@@ -6,31 +6,77 @@ given as they are, in natural order.
 
 from __future__ import annotations
 
-#: Quality flags that pass, with what they say; a flag in neither table is unknown and passes.
-PASSING_FLAGS = {
-    0: "passed all checks",
-    10: "linear correction applied",
-    15: "air temperature from sonic temperature",
-    20: "driver filled from alternate data",
-    21: "covariance replaced by the unrotated one",
-    22: "soil moisture set to a default",
-    30: "flux filled by a neural network",
-    31: "flux not filled by a neural network",
+#: The quality flags of tower data, whether they pass, and the public definition's own words. A flag that is not
+#: listed is unknown and passes.
+QC_FLAGS = {
+    # levels 1 to 3
+    0: (True, "Data has passed all QC checks"),
+    1: (False, "Data missing from L1 Excel spreadsheet"),
+    2: (False, "Failed range check"),
+    3: (False, "Failed CSAT check, Diag_CSAT flag!=0 (do_CSATcheck)"),
+    4: (False, "Failed 7500 check, Diag_7500 flag!=0 plus dependencies on AGC_7500, Ah_7500_Sd, Cc_7500_Sd, AhAh, CcCc (do_7500check)"),
+    5: (False, "Failed diurnal check"),
+    6: (False, "Date/time range excluded"),
+    7: (False, "Hour range excluded"),
+    8: (False, "Value of -9999 found with QC flag value of 0"),
+    9: (False, "Fre set to missing when (Fsd>threshold) or (ustar<threshold)"),
+    10: (True, "Linear correction or linear drift correction applied to data"),
+    11: (False, "Dependent data rejected during 2D coordinate rotation"),
+    12: (False, "Data rejected due to dependencies when calculating Massman frequency corrections (MassmanStandard)"),
+    13: (False, "Fh rejected during conversion of Fhv to Fh (FhvtoFh)"),
+    14: (False, "Fc rejected during WPL correction due to dependencies (Fc_WPLcov/Fe_WPL/Fe_WPLcov)"),
+    15: (True, "Ta calculated from CSAT Tv rejected due to dependencies (TaFromTv)"),
+    16: (False, "Data rejected at L3 due to failed range check (do_qcchecks)"),
+    17: (False, "Data rejected at L3 due to failed diurnal check (do_qcchecks)"),
+    18: (False, "Ustar below threshold (FilterUstar)"),
+    19: (False, "Data rejected during coordination of gaps in flux series"),
+    20: (True, "GapFilling: Driver gap filled using alternate data CONFLICT: same code used by ReplaceRotatedCovariance"),
+    21: (True, "Missing rotated covariance replaced with non-rotated value CONFLICT: same code used in gfalternate_main"),
+    22: (True, "Soil moisture set to default value in CorrectFgForStorage"),
+    30: (True, "GapFilling: Flux Gap Filled by ANN (SOLO)"),
+    31: (True, "GapFilling: Flux Gap not Filled by ANN"),
+    35: (False, "Data replaced by alternate value when difference between data and alternate value exceeds threshold (ReplaceWhenDiffExceedsRange)"),
+    38: (False, "Data rejected at L4 due to failed range check (do_qcchecks)"),
+    39: (False, "Data rejected at L4 due to failed diurnal check (do_qcchecks)"),
+    40: (False, "Gap filled from climatology"),
+    41: (False, "No value available from GapFillUsingClimatology"),
+    50: (False, "Gap filled by interpolation"),
+    51: (False, "Fsd below threshold when calculating albedo"),
+    52: (False, "Hour outside range 1000 to 1400 when calculating albedo"),
+    60: (False, "Flux data generated by GapFillFluxFromDayRatio"),
+    61: (False, "Stomatal resistance less than 0 (get_stomatalresistance)"),
+    62: (False, "Fe less than threshold when calculating stomatal resistance (get_stomatalresistance)"),
+    63: (False, "Fsd less than threshold when calculating stomatal resistance (get_stomatalresistance)"),
+    64: (False, "Wind speed = 0 when calculating stomatal resistance (get_stomatalresistance)"),
+    70: (False, "Partitioning Night: Re computed from exponential temperature response curves"),
+    80: (False, "Partitioning Day: GPP/Re computed from light-response curves, GPP = Re - Fc"),
+    81: (False, "Partitioning Day: GPP night mask"),
+    82: (False, "Partitioning Day: Fc > Re, GPP = 0, Re = Fc"),
+    # level 4
+    400: (False, "Reserved"),
+    410: (False, "Gap filled using automatic weather station (AWS) data."),
+    420: (False, "Gap filled using ACCESS-G numerical weather prediction (NWP) data."),
+    430: (False, "Gap filled using ECMWF Re-Analysis Interim (ERAI) data."),
+    440: (False, "Gap filled using ECMWF Re-Analysis 5 (ERA5) data."),
+    450: (False, "Gap filled using climatology, interpolated daily (default)"),
+    460: (False, "Gap filled using climatology, monthly (not implemented)"),
+    470: (False, "Gap filled using Marginal Distribution Sampling (MDS)"),
+    # level 5
+    500: (False, "Reserved"),
+    501: (False, "Reserved"),
+    502: (False, "Fco2 masked by turbulence filter (flag only used in intermediate variable Fco2_filtered)"),
+    510: (False, "Flux gap filled using SOLO neural network (windowed)"),
+    520: (False, "Flux gap filled using SOLO neural network (long gaps)"),
+    570: (False, "Flux gap filled using Marginal Distribution Sampling (MDS)"),
+    # level 6
+    600: (False, "Reserved"),
+    601: (False, "ER observation masked because Fco2 flag not in [0, 10]"),
+    602: (False, "ER observation masked because it is day time"),
+    610: (False, "ER estimated by SOLO neural network from nocturnal, u*-filtered NEE"),
+    620: (False, "ER estimated using Lloyd & Taylor (1994) from nocturnal, u*-filtered NEE"),
+    630: (False, "ER estimated using Lasslop et al (2010) from nocturnal, u*-filtered NEE (E0) and both daytime and nighttime NEE (alpha, beta0, VPD0, k, rb)"),
 }
-
-FAILING_FLAGS = {
-    1: "missing at level 1", 2: "range check", 3: "sonic check", 4: "gas analyser check", 5: "diurnal check", 6: "dates excluded", 7: "hours excluded",
-    8: "missing value with flag 0", 9: "radiation or turbulence threshold", 11: "coordinate rotation", 12: "frequency correction", 13: "heat flux conversion",
-    14: "density correction", 16: "range check at level 3", 17: "diurnal check at level 3", 18: "turbulence below threshold", 19: "gap coordination",
-    35: "difference to the alternate exceeds threshold", 38: "range check at level 4", 39: "diurnal check at level 4", 40: "filled from climatology",
-    41: "no climatology value", 50: "filled by interpolation", 51: "radiation below albedo threshold", 52: "hour outside albedo window", 60: "filled from day ratio",
-    61: "negative stomatal resistance", 62: "latent heat below threshold", 63: "radiation below threshold", 64: "no wind", 70: "night respiration curve",
-    80: "day light response", 81: "night mask", 82: "day uptake exceeds respiration", 400: "reserved", 410: "filled from a weather station",
-    420: "filled from weather prediction", 430: "filled from interim reanalysis", 440: "filled from reanalysis", 450: "filled from daily climatology",
-    460: "filled from monthly climatology", 470: "filled by marginal distribution", 500: "reserved", 501: "reserved", 502: "turbulence mask",
-    510: "windowed neural network", 520: "long-gap neural network", 570: "flux filled by marginal distribution", 600: "reserved", 601: "respiration masked by flag",
-    602: "respiration masked by day", 610: "respiration by neural network", 620: "respiration by night curve", 630: "respiration by light response",
-}
+FAILING_FLAGS = frozenset(flag for flag, (passed, _) in QC_FLAGS.items() if not passed)
 
 KELVIN = 273.15
 SECONDS_PER_DAY = 86_400

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraflux.functions.scalars import basal_area, leaf_area, midpoint
+from terraflux.model import FAILING_FLAGS
 
 #: Aggregators by name; each takes a column and skips missing values.
 AGGREGATORS = {
@@ -88,16 +89,23 @@ def plot_statistics(stems: DataFrame, area: str = "area_m2") -> DataFrame:
     """A row per plot and visit: live and dead biomass (kg/m2, a sum of 0 is missing), mean and 90th-percentile height (m),
     quadratic mean and 90th-percentile diameter (m), basal area (m2/ha) and the visit's middle date.
 
-    Percentiles are exact and interpolated; a group holds the stems of one plot visit.
+    Of plot, start_visit and end_visit, a column with any null is no part of the key; the plot and the first dates of a
+    group are given all the same. Without an end the date is the start, without a start the end; a table in which all
+    three have nulls gives no rows. Percentiles are exact and interpolated; a group holds the stems of one plot visit.
     """
-    groups = stems.groupBy("plot", "start_visit", "end_visit").agg(
-        F.min(area).alias("__area"), F.sum("live_kg").alias("live"), F.sum("dead_kg").alias("dead"), F.avg("height_m").alias("height"),
+    keys = ("plot", "start_visit", "end_visit")
+    holes = stems.agg(*[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"__no_{c}") for c in keys])  # one row
+    stems = stems.join(F.broadcast(holes)).filter("NOT (__no_plot AND __no_start_visit AND __no_end_visit)")
+    own = [F.when(~F.col(f"__no_{c}"), F.col(c)).alias(f"__{c}") for c in keys]
+    groups = stems.groupBy(*own, *[f"__no_{c}" for c in keys[1:]]).agg(
+        *[F.min(c).alias(c) for c in keys], F.min(area).alias("__area"), F.sum("live_kg").alias("live"), F.sum("dead_kg").alias("dead"), F.avg("height_m").alias("height"),
         AGGREGATORS["quadratic_mean"](F.col("diameter_cm")).alias("diameter"), F.percentile("height_m", F.lit(0.9)).alias("height_90"),
         F.percentile("diameter_cm", F.lit(0.9)).alias("diameter_90"), F.sum(basal_area(F.col("diameter_cm"))).alias("basal"),
     )
     per_area = lambda c: F.nullif(F.col(c) / F.col("__area"), F.lit(0.0)).alias(c)
+    date = F.when(F.col("__no_end_visit"), F.col("start_visit")).when(F.col("__no_start_visit"), F.col("end_visit")).otherwise(midpoint(F.col("start_visit"), F.col("end_visit")))
     return groups.select(
-        "plot", midpoint(F.col("start_visit"), F.col("end_visit")).alias("date"), per_area("live"), per_area("dead"), "height", (F.col("diameter") / 100).alias("diameter"),
+        "plot", date.alias("date"), per_area("live"), per_area("dead"), "height", (F.col("diameter") / 100).alias("diameter"),
         "height_90", (F.col("diameter_90") / 100).alias("diameter_90"), (F.col("basal") * 10_000 / F.col("__area")).alias("basal"),
     )
 
@@ -124,6 +132,19 @@ def coverage_counts(df: DataFrame, key: str, time: str, fails: Column) -> DataFr
     return counts.withColumn("per_day", F.col("rows") / F.col("days"))
 
 
+def failing_counts(df: DataFrame, key: str, flag: str) -> DataFrame:
+    """Per key and failing flag its rows and their share of all rows of the key, in percent."""
+    counts = df.groupBy(key, F.col(flag).try_cast("int").alias(flag)).agg(F.count("*").alias("n"))
+    totals = counts.groupBy(F.col(key).alias("__key")).agg(F.sum("n").alias("__all"))
+    failing = counts.filter(F.col(flag).isin(*FAILING_FLAGS)).join(totals, F.col(key).eqNullSafe(F.col("__key")))
+    return failing.select(key, flag, "n", (100.0 * F.col("n") / F.col("__all")).alias("percent"))
+
+
+def gridpoints(df: DataFrame, keys: list[str], lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Per key the size of its grid: distinct longitudes times distinct latitudes."""
+    return df.groupBy(*keys).agg((F.count_distinct(lon) * F.count_distinct(lat)).alias("gridpoints"))
+
+
 def coverage(df: DataFrame, key: str, time: str) -> DataFrame:
     """The first and last period of each key."""
     return df.groupBy(key).agg(F.min(time).alias("first"), F.max(time).alias("last"))

@@ -45,26 +45,28 @@ def attach_attributes(df: DataFrame, attributes: DataFrame, keys: list[str]) ->
     return df.join(attributes, keys, "left")
 
 
+#: Bins of an axis, each with about as many of its values; a point meets the values of one bin and one from either side.
+AXIS_BINS = 256
+
+
 def nearest_on_axis(points: DataFrame, key: str, value: str, axis: DataFrame, out: str) -> DataFrame:
-    """(key, out): the axis value nearest to each point's, the smaller of two equally near.
+    """(key, out): the axis value nearest to each point's, the smaller of two equally near; null for an empty axis or a null point.
 
-    An axis is binned by its widest gap, so that only the values of three bins are compared with a point; points beyond
-    its ends are moved to them.
+    Bins end at quantiles of the axis, so that gaps and far values do not fill one of them; each also gets the last value
+    before it and the first one after it.
     """
-    values = axis.select(F.col(axis.columns[0]).cast("double").alias("v")).distinct()
-    low, high, n = values.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    values = axis.select(F.col(axis.columns[0]).cast("double").alias("v")).dropna().distinct()
+    n, edges = values.agg(F.count("*"), F.percentile_approx("v", [i / AXIS_BINS for i in range(1, AXIS_BINS)], 10_000)).first()
     if not n:
         return points.select(key, F.lit(None).cast("double").alias(out))
-    width = max((high - low) / max(n - 1, 1), 1e-9)
-    gap = values.select(F.floor((F.col("v") - low) / width).alias("b")).distinct()  # occupied bins of mean width
-    from pyspark.sql import Window
-
-    widest = gap.select((F.col("b") - F.lag("b").over(Window.partitionBy(F.lit(0)).orderBy("b"))).alias("d")).agg(F.max("d")).first()[0] or 1
-    width *= widest + 1
-    inside = F.least(F.greatest(F.col(value), F.lit(low)), F.lit(high))
-    probe = points.select(key, F.col(value).alias("__x"), F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: F.floor((inside - low) / width) + d)).alias("bin"))
-    bins = values.withColumn("bin", F.floor((F.col("v") - low) / width))
-    return probe.join(F.broadcast(bins) if n <= MAX_BROADCAST else bins, "bin").groupBy(key).agg(F.min_by("v", F.struct(F.abs(F.col("v") - F.col("__x")), "v")).alias(out))
+    ends = F.array(*map(F.lit, sorted(set(edges))))
+    bin_of = lambda x: F.size(F.filter(ends, lambda e: e <= x))
+    own = values.withColumn("bin", bin_of(F.col("v")))
+    sides = own.groupBy("bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))  # a row per bin
+    near = own.select("bin", "v").union(sides.select(F.col("bin") + 1, "hi")).union(sides.select(F.col("bin") - 1, "lo"))
+    probe = points.select(key, F.col(value).cast("double").alias("__x"), F.when(F.col(value).isNotNull(), bin_of(F.col(value))).alias("bin"))
+    found = probe.join(F.broadcast(near) if n <= MAX_BROADCAST else near, "bin", "left").groupBy(key)
+    return found.agg(F.min_by("v", F.struct(F.abs(F.col("v") - F.col("__x")), "v")).alias(out))
 
 
 def nearest_cell(points: DataFrame, key: str, cells: DataFrame) -> DataFrame:
@@ -126,7 +128,7 @@ def missing_periods(catalog: DataFrame, variable: str, period: str, start: int,
 
 def qc_explain(df: DataFrame, flag: str) -> DataFrame:
     """(flag, n, passed, description); unknown flags pass and have no description."""
-    rows = [(f, True, d) for f, d in model.PASSING_FLAGS.items()] + [(f, False, d) for f, d in model.FAILING_FLAGS.items()]
+    rows = [(flag, *said) for flag, said in model.QC_FLAGS.items()]
     table = df.sparkSession.createDataFrame(rows, f"`{flag}` int, passed boolean, description string")  # 69 rows
     counts = df.groupBy(F.col(flag).cast("int").alias(flag)).agg(F.count("*").alias("n"))
     return counts.join(F.broadcast(table), flag, "left").withColumn("passed", F.coalesce("passed", F.lit(True)))

@@ -10,20 +10,33 @@ def _index(x: str | object, x0: float, dx: float) -> object:
     return F.floor((x - (x0 - dx / 2)) / dx)
 
 
-def regrid_conservative(df: DataFrame, keys: list[str], value: str, res: float, x0: float, dx: float, y0: float, dy: float) -> DataFrame:
+def target_axis(df: DataFrame, column: str, res: float, x0: float, dx: float) -> DataFrame:
+    """The centres on one axis of the target cells that regrid_conservative() fills, from the source's own few coordinates."""
+    half = res / 2
+    source = df.select(F.col(column).alias("__s")).distinct()
+    at = source.withColumn("__i", F.explode(F.sequence(_index(F.col("__s") - half, x0, dx), _index(F.col("__s") + half, x0, dx))))
+    centre = x0 + F.col("__i") * dx
+    wide = F.least(F.col("__s") + half, centre + dx / 2) - F.greatest(F.col("__s") - half, centre - dx / 2)
+    return at.filter(wide > 1e-9).select(centre.alias(column)).distinct()
+
+
+def regrid_conservative(df: DataFrame, keys: list[str], value: str | list[str], res: float, x0: float, dx: float, y0: float, dy: float) -> DataFrame:
     """The mean of the source cells of size res that overlap each target cell, weighted by the area of the overlap.
 
-    Target cells have centres x0 + i * dx, y0 + j * dy; (keys, lon, lat, value). Missing source values have no weight.
+    Target cells have centres x0 + i * dx, y0 + j * dy; (keys, lon, lat, value), or several values at once. Missing source
+    values have no weight; a target cell without any has no row.
     """
+    values = [value] if isinstance(value, str) else value
     half = res / 2
     lo_x, hi_x, lo_y, hi_y = F.col("lon") - half, F.col("lon") + half, F.greatest(F.col("lat") - half, F.lit(-90.0)), F.least(F.col("lat") + half, F.lit(90.0))
-    out = df.filter(F.col(value).isNotNull()).withColumn("__i", F.explode(F.sequence(_index(lo_x, x0, dx), _index(hi_x, x0, dx))))
+    out = df.dropna("all", subset=values).withColumn("__i", F.explode(F.sequence(_index(lo_x, x0, dx), _index(hi_x, x0, dx))))
     out = out.withColumn("__j", F.explode(F.sequence(_index(lo_y, y0, dy), _index(hi_y, y0, dy))))
     cx, cy = x0 + F.col("__i") * dx, y0 + F.col("__j") * dy
     wide = F.least(hi_x, cx + dx / 2) - F.greatest(lo_x, cx - dx / 2)
     high = F.sin(F.radians(F.least(hi_y, cy + dy / 2))) - F.sin(F.radians(F.greatest(lo_y, cy - dy / 2)))
     out = out.withColumn("__w", wide * high).filter("__w > 1e-12")
-    return out.groupBy(*keys, "__i", "__j").agg((F.sum(F.col("__w") * F.col(value)) / F.sum("__w")).alias(value)).select(*keys, (x0 + F.col("__i") * dx).alias("lon"), (y0 + F.col("__j") * dy).alias("lat"), value)
+    means = [(F.sum(F.col("__w") * F.col(v)) / F.sum(F.when(F.col(v).isNotNull(), F.col("__w")))).alias(v) for v in values]
+    return out.groupBy(*keys, "__i", "__j").agg(*means).select(*keys, (x0 + F.col("__i") * dx).alias("lon"), (y0 + F.col("__j") * dy).alias("lat"), *values)
 
 
 def regrid_bilinear(df: DataFrame, keys: list[str], value: str, x0: float, dx: float, y0: float, dy: float, targets: DataFrame) -> DataFrame:

@@ -59,6 +59,8 @@ def pending(catalog: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return catalog.join(done.select(*keys), keys, "left_anti")
 
 
-def split_by_year(df: DataFrame, time: str) -> DataFrame:
-    """Df with the year that write.partitionBy("year") splits it by."""
-    return df.withColumn("year", F.year(time))
+def split_by_year(df: DataFrame, time: str, path: str, tasks: int | None = None) -> None:
+    """A folder year=... per year under path, Parquet; the rows of a year are dealt to tasks by its month, so that few files result."""
+    by = [F.col("year"), F.month(time)]
+    dealt = df.withColumn("year", F.year(time))
+    (dealt.repartition(tasks, *by) if tasks else dealt.repartition(*by)).write.partitionBy("year").parquet(path)

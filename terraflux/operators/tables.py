@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraflux.functions.scalars import parse_lengths
+from terraflux.functions.scalars import parse_lengths, to_metres
+
+#: What parse_lengths() reads as a single length.
+PLAIN_LENGTH = r"^[ \t]*-?([0-9]*\.?[0-9]+)[ \t]*(mm|km|au|cm|m)[ \t]*$"
 
 
 def plot_area(df: DataFrame, plot: str, length: str, width: str) -> DataFrame:
@@ -18,7 +21,9 @@ def plot_area(df: DataFrame, plot: str, length: str, width: str) -> DataFrame:
 
     def metres(c: str) -> Column:
         patch = F.when(F.col(f"__{c}.n") == 1, F.col(f"__{c}.v")).otherwise(F.raise_error(F.concat(F.lit(f"no single {c} of plot "), F.col(plot).cast("string"))).cast("string"))
-        return F.get(parse_lengths(F.when(F.col(c).isNotNull(), F.col(c)).otherwise(patch)), F.lit(0))
+        text = F.when(F.col(c).isNotNull(), F.col(c)).otherwise(patch)
+        plain = F.regexp_extract(text, PLAIN_LENGTH, 1)  # one length with its unit, as nearly all are
+        return F.when(plain != "", to_metres(plain.cast("double"), F.regexp_extract(text, PLAIN_LENGTH, 2))).otherwise(F.get(parse_lengths(text), F.lit(0)))
 
     return out.withColumn("area_m2", metres(length) * metres(width)).drop(f"__{length}", f"__{width}")
 

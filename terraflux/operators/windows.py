@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraflux.functions.scalars import align_time
+
 
 def _position(order: Column | str) -> Column:
     return F.col(order) if isinstance(order, str) else order
 
 
-def interpolate_gaps(df: DataFrame, key: str, order: str, value: str, block: str | None = None) -> DataFrame:
+def interpolate_gaps(df: DataFrame, key: str, order: str, value: str, block: str | None = None, empty: str = "error") -> DataFrame:
     """Nulls become linear interpolations of the finite values around them, at the ends the nearest finite value.
 
-    order is numeric. A NaN is no support and stays NaN; a series without any finite value stays null. With block, a
-    column that splits each series into consecutive runs, no task holds more than a run: each run's first and last
-    finite values are found first and handed to its neighbours.
+    order is numeric. A NaN is no support and stays NaN. A series with nulls and without any finite value stops the job,
+    or stays as it is if empty is "keep". With block, a column that splits each series into consecutive runs, no task
+    holds more than a run: each run's first and last finite values are found first and handed to its neighbours.
     """
     known = F.when(F.col(value).isNotNull() & ~F.isnan(value), F.struct(F.col(order).cast("double").alias("x"), F.col(value).alias("y")))
     df = df.withColumn("__k", known)
@@ -32,19 +34,22 @@ def interpolate_gaps(df: DataFrame, key: str, order: str, value: str, block: str
     df = df.withColumn("__p", before).withColumn("__n", after)
     slope = (F.col("__n.y") - F.col("__p.y")) / F.nullif(F.col("__n.x") - F.col("__p.x"), F.lit(0.0))
     line = F.col("__p.y") + slope * (F.col(order) - F.col("__p.x"))
-    return df.withColumn(value, F.coalesce(value, line, "__p.y", "__n.y")).drop("__k", "__p", "__n", "__prev", "__next")
+    none = [] if empty == "keep" else [F.raise_error(F.concat(F.lit("no valid value to interpolate from in series "), F.col(key).cast("string"))).cast("double")]
+    return df.withColumn(value, F.coalesce(value, line, "__p.y", "__n.y", *none)).drop("__k", "__p", "__n", "__prev", "__next")
 
 
 def fill_time_gaps(df: DataFrame, key: str, time: str, value: str, seconds: int) -> DataFrame:
-    """The full regular range of each series, missing steps interpolated; repeated equal rows count once.
+    """The full regular range of each series, missing steps interpolated day by day; repeated equal rows count once.
 
-    conflicts() lists the times with different values, of which the smallest is taken here.
+    A time with different values, or with a value and a null, stops the job; conflicts() lists such times.
     """
-    once = df.groupBy(key, time).agg(F.min(value).alias(value))
+    agree = (F.count(value) == 0) | ((F.count(value) == F.count("*")) & (F.min(value) == F.max(value)))
+    refused = F.raise_error(F.concat(F.lit("different values at one time of series "), F.col(key).cast("string"))).cast("double")
+    once = df.groupBy(key, time).agg(F.min(value).alias(value), agree.alias("__same")).select(key, time, F.when(F.col("__same"), F.col(value)).otherwise(refused).alias(value))
     span = once.groupBy(key).agg(F.min(time).alias("a"), F.max(time).alias("b"))
     grid = span.select(key, F.explode(F.sequence("a", "b", F.expr(f"interval {seconds} seconds"))).alias(time))
-    full = grid.join(once, [key, time], "left").withColumn("__i", F.unix_timestamp(F.col(time).cast("timestamp")))
-    return interpolate_gaps(full, key, "__i", value).drop("__i")
+    full = grid.join(once, [key, time], "left").withColumn("__i", F.unix_timestamp(F.col(time).cast("timestamp"))).withColumn("__day", F.to_date(time))
+    return interpolate_gaps(full, key, "__i", value, "__day").drop("__i", "__day")
 
 
 def conflicts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -57,7 +62,7 @@ def monthly_to_daily(df: DataFrame, key: str, month: str, value: str) -> DataFra
     span = df.groupBy(key).agg(F.min(month).alias("a"), F.last_day(F.max(month)).alias("b"))
     days = span.select(key, F.explode(F.sequence("a", "b")).alias("day"))
     full = days.join(df.select(key, F.col(month).alias("day"), value), [key, "day"], "left").withColumn("__i", F.datediff("day", F.lit("1970-01-01").cast("date")))
-    return interpolate_gaps(full, key, "__i", value).drop("__i")
+    return interpolate_gaps(full.withColumn("__year", F.year("day")), key, "__i", value, "__year").drop("__i", "__year")
 
 
 def neighbour_mean(df: DataFrame, key: str, index: str, value: str, n: int, reach: int | None = None) -> DataFrame:
@@ -98,18 +103,92 @@ def inspect_time(df: DataFrame, key: str, time: str) -> DataFrame:
     )
 
 
-def apply_boundary(df: DataFrame, key: str, time: str, value: str, start: str = "ignore", end: str = "ignore", max_pad: int = 1, pad: str = "nearest", constant: float = 0.0) -> DataFrame:
-    """Whole years at either end: "ignore", "trim" (drop the incomplete year), "pad" (add up to max_pad steps) or "error".
+def _refusal(key: str, start: str, end: str, max_pad: int) -> Column:
+    """Of an inspect_time() row: why its series cannot be given whole years, null if it can."""
+    name = F.concat(F.lit(" in series "), F.col(key).cast("string"))
+    return (
+        F.when(F.col("n") < 2, F.concat(F.lit("a single step"), name)).when(~F.col("positive"), F.concat(F.lit("a repeated time"), name))
+        .when(~F.col("divides_day"), F.concat(F.lit("a step that does not divide a day"), name)).when(~F.col("uniform"), F.concat(F.lit("uneven steps"), name))
+        .when(F.lit(start == "error") & (F.col("missing_start") > 0), F.concat(F.lit("missing steps at the start"), name))
+        .when(F.lit(start == "pad") & (F.col("missing_start") > max_pad), F.concat(F.lit("more missing steps at the start than may be added"), name))
+        .when(F.lit(end == "error") & (F.col("missing_end") > 0), F.concat(F.lit("missing steps at the end"), name))
+    )
 
-    pad and constant are those of pad_series(). A series that needs more padding than max_pad, or any with "error", stops the job.
+
+def time_plan(df: DataFrame, key: str, time: str, minutes: int, start: str = "pad", end: str = "ignore", max_pad: int = 1) -> DataFrame:
+    """Per series how to come to whole years and to output steps of some minutes: first, last, step, n0 and n1 steps to
+    add, y0 and y1 years to drop, ratio of input steps in an output step, and begin, the first time of the output.
+
+    start and end are "ignore", "trim", "pad" (at the start up to max_pad steps) or "error". A series with a single step,
+    repeated times, uneven steps, a step that does not divide a day or the output step, or a boundary that its mode
+    refuses, stops the job; an empty table is an error at once.
     """
+    if df.isEmpty():
+        raise ValueError("no time steps")
     plan = inspect_time(df, key, time)
+    ratio = F.lit(minutes * 60) / F.col("step")
+    refused = F.coalesce(_refusal(key, start, end, max_pad), F.when(ratio != F.floor(ratio), F.concat(F.lit("an output step that is no multiple of the input step in series "), F.col(key).cast("string"))))
+    plan = plan.withColumn("ratio", F.when(refused.isNull(), F.floor(ratio)).otherwise(F.raise_error(refused).cast("bigint")))
+    cut0, cut1 = F.lit(start == "trim") & (F.col("missing_start") > 0), F.lit(end == "trim") & (F.col("missing_end") > 0)
+    n0, n1 = F.when(F.lit(start == "pad"), F.col("missing_start")).otherwise(0), F.when(F.lit(end == "pad"), F.col("missing_end")).otherwise(0)
+    shift = lambda steps: F.col("first") + F.make_dt_interval(secs=(steps * F.col("step")).cast("decimal(18,6)"))
+    next_year = F.make_timestamp_ntz(F.year("first") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    whole = F.ceil(F.timestamp_diff("SECOND", F.col("first").cast("timestamp_ntz"), next_year) / F.col("step"))
+    return plan.select(
+        key, "first", "last", "step", "ratio", n0.cast("int").alias("n0"), n1.cast("int").alias("n1"), F.when(cut0, F.year("first")).alias("y0"), F.when(cut1, F.year("last")).alias("y1"),
+        F.when(cut0, shift(whole)).otherwise(shift(-n0)).alias("begin"),
+    )
 
-    def wrong(mode: str, missing: str) -> Column:
-        return (F.col(missing) > 0) if mode == "error" else (F.col(missing) > max_pad) if mode == "pad" else F.lit(False)
 
-    refuse = F.assert_true(~(wrong(start, "missing_start") | wrong(end, "missing_end")), F.concat(F.lit("incomplete year in series "), F.col(key).cast("string")))
-    plan = plan.withColumn("__ok", F.coalesce(refuse.cast("string"), F.lit("")))
+def apply_plan(df: DataFrame, plan: DataFrame, key: str, time: str, pads: dict[str, tuple[str, float]]) -> DataFrame:
+    """The rows that a time_plan() keeps and those that it adds; pads maps a column to how its added values are drawn
+    ("nearest", or "constant" and the constant). Other columns are left out."""
+    on = plan.select(F.col(key).alias("__key"), "y0", "y1", "n0", "n1", "step", F.col("first").alias("__first"), F.col("last").alias("__last"))
+    rows = df.join(on, F.col(key) == F.col("__key"))
+    kept = rows.filter((F.col("y0").isNull() | (F.year(time) > F.col("y0"))) & (F.col("y1").isNull() | (F.year(time) < F.col("y1"))))
+
+    def steps(edge: str, n: str, sign: int) -> Column:
+        here = (F.col(time) == F.col(edge)) & (F.col(n) > 0)
+        return F.when(here, F.transform(F.sequence(F.lit(1), F.greatest(F.col(n), F.lit(1))), lambda k: k * sign)).otherwise(F.array().cast("array<int>"))
+
+    at = F.explode(F.concat(steps("__first", "n0", -1), steps("__last", "n1", 1)))
+    added = rows.withColumn("__k", at)
+    drawn = [(F.lit(float(pads[c][1])) if pads[c][0] == "constant" else F.col(c)).alias(c) for c in pads]
+    added = added.select(key, (F.col(time) + F.make_dt_interval(secs=(F.col("__k") * F.col("step")).cast("decimal(18,6)"))).alias(time), *drawn)
+    return kept.select(key, time, *pads).union(added)
+
+
+def align_series(df: DataFrame, key: str, time: str, mode: str, minutes: int) -> DataFrame:
+    """F8: times of a series of steps of some minutes moved to the nearest half hour ("half_hour") or hour ("strict_hour"), or left ("none").
+
+    Any other mode, and strict_hour with steps below an hour, is an error. A series whose moved times repeat or are
+    not evenly spaced any more stops the job.
+    """
+    quantum = {"none": None, "half_hour": 30, "strict_hour": 60}
+    if mode not in quantum:
+        raise ValueError(f"no such alignment: {mode!r}")
+    if mode == "strict_hour" and minutes < 60:
+        raise ValueError("alignment to the hour needs steps of an hour or more")
+    if mode != "none":
+        df = df.withColumn(time, align_time(F.col(time), quantum[mode]).cast(df.schema[time].dataType))
+    seconds = F.unix_timestamp(F.col(time).cast("timestamp"))
+    check = df.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("n"), F.count_distinct(time).alias("m"), (F.max(seconds) - F.min(seconds)).alias("span"), F.count_distinct(F.pmod(seconds, F.lit(minutes * 60))).alias("phases"))
+    name = F.concat(F.lit(" in series "), F.col("__key").cast("string"))
+    # as many distinct times, on one phase, as the span has steps: evenly spaced
+    refused = F.when(F.col("n") != F.col("m"), F.concat(F.lit("alignment repeats times"), name)).when((F.col("phases") > 1) | (F.col("span") != (F.col("n") - 1) * minutes * 60), F.concat(F.lit("alignment makes uneven steps"), name))
+    check = check.select("__key", F.when(refused.isNull(), True).otherwise(F.raise_error(refused).cast("boolean")).alias("__ok"))
+    return df.join(check, F.col(key) == F.col("__key")).filter("__ok").drop("__key", "__ok")
+
+
+def apply_boundary(df: DataFrame, key: str, time: str, value: str, start: str = "ignore", end: str = "ignore", max_pad: int = 1, pad: str = "nearest", constant: float = 0.0) -> DataFrame:
+    """Whole years at either end: "ignore", "trim" (drop the incomplete year), "pad" (add up to max_pad steps) or "error".
+
+    pad and constant are those of pad_series(). A series that needs more padding than max_pad, any incomplete one with
+    "error", and one with a single, repeated or uneven step or one that does not divide a day, stops the job.
+    """
+    plan = inspect_time(df, key, time)
+    refused = F.coalesce(_refusal(key, start, end, max_pad), F.when(F.lit(end == "pad") & (F.col("missing_end") > max_pad), F.concat(F.lit("more missing steps at the end than may be added in series "), F.col(key).cast("string"))))
+    plan = plan.withColumn("__ok", F.when(refused.isNull(), "").otherwise(F.raise_error(refused).cast("string")))
     n0 = F.when(F.lit(start == "pad"), F.col("missing_start")).otherwise(0)
     n1 = F.when(F.lit(end == "pad"), F.col("missing_end")).otherwise(0)
     cut0 = F.lit(start == "trim") & (F.col("missing_start") > 0)
@@ -238,12 +317,16 @@ def spline_weights(month_starts: list[float], at: list[float]) -> list[tuple[int
     return out
 
 
+def monthly_weights(leap: bool = False, step_days: int = 1) -> list[tuple[int, int, float]]:
+    """(knot, step, weight) of a year of steps from mid-January; knots are the middles of the months from October to the March after next."""
+    days = [31, 30, 31, 31, 29 if leap else 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31, 31, 29 if leap else 28, 31]
+    middles = [sum(days[: i + 1]) - 15.5 for i in range(18)]
+    return spline_weights(middles, [middles[3] + step_days * i for i in range(int((middles[15] - middles[3]) / step_days))])
+
+
 def spline_monthly(df: DataFrame, key: str, year: str, month: str, value: str, leap: bool = False, step_days: int = 1, low: float = 0.01, high: float = 12.0) -> DataFrame:
     """Daily values of monthly ones by a cubic spline through the months' middles, per year with its own last and first three months
     around it, within low and high. (key, year, step, value) with step in days from mid-January."""
-    days = [31, 30, 31, 31, 29 if leap else 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31, 31, 29 if leap else 28, 31]  # October to March
-    middles = [sum(days[: i + 1]) - 15.5 for i in range(18)]
-    at = [middles[3] + step_days * i for i in range(int((middles[15] - middles[3]) / step_days))]
-    weights = df.sparkSession.createDataFrame(spline_weights(middles, at), "knot int, step int, w double")  # at most 18 rows a step
+    weights = df.sparkSession.createDataFrame(monthly_weights(leap, step_days), "knot int, step int, w double")  # at most 18 rows a step
     knots = df.withColumn("knot", F.explode(F.filter(F.array(F.col(month) + 2, F.col(month) - 10, F.col(month) + 14), lambda k: k.between(0, 17))))
     return knots.join(F.broadcast(weights), "knot").groupBy(key, year, "step").agg(F.least(F.greatest(F.sum(F.col("w") * F.col(value)), F.lit(low)), F.lit(high)).alias(value))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraflux.operators import aggregates as agg
 from terraflux.operators.filters import flag_fails
 from terraflux.plans.filters import FAILING
-from terraflux.plans.registry import Views, duck, query, uncut
+from terraflux.plans.registry import Views, duck, query
 
 
 @query("a1_aggregate_period", duck("v_raw", "SELECT site, CAST(ts AS DATE) AS date, avg(value) AS value, CAST(sum(event_id) AS BIGINT) AS event_id FROM v_raw GROUP BY ALL", "value"))
@@ -26,14 +26,9 @@ def a3(v: Views) -> DataFrame:
     return agg.aggregate_multi(v.v_series.withColumn("value", F.col("value") / 7), ["site"], "t", "day", {"tas": ("value", "mean"), "pr": ("value", "sum"), "tasmin": ("value", "min"), "tasmax": ("value", "max")})
 
 
-@query("a4_resample_daily", duck("v_raw", """SELECT d.site, d.day, avg(value) AS value FROM (SELECT site, CAST(unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM v_raw WHERE event_id % 60 = 0 GROUP BY site) d
-  LEFT JOIN (SELECT * FROM v_raw WHERE event_id % 60 = 0) r ON r.site = d.site AND CAST(r.ts AS DATE) = d.day GROUP BY ALL""", "value"))
+@query("a4_resample_daily", duck("v_raw", """SELECT d.site, d.day, avg(value) AS value FROM (SELECT site, CAST(unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM v_raw GROUP BY site) d
+  LEFT JOIN v_raw r ON r.site = d.site AND CAST(r.ts AS DATE) = d.day GROUP BY ALL""", "value"), also="a4_resample_daily_whole")
 def a4(v: Views) -> DataFrame:
-    return agg.resample_daily(v.v_raw.filter("event_id % 60 = 0"), "site", "ts", "value")
-
-
-@query("a4_resample_daily_whole", uncut("a4_resample_daily", " WHERE event_id % 60 = 0"))
-def a4_whole(v: Views) -> DataFrame:
     return agg.resample_daily(v.v_raw, "site", "ts", "value")
 
 
@@ -73,6 +68,13 @@ def a11(v: Views) -> DataFrame:
     return agg.plot_statistics(v.v_stems.withColumn("area_m2", F.lit(400.0)))
 
 
+@query("a11_open_visits", duck("v_stems", """SELECT plot, start_visit AS date, nullif(sum(live_kg) / 400, 0) AS live, nullif(coalesce(sum(dead_kg), 0) / 400, 0) AS dead, avg(height_m) AS height, sqrt(avg(diameter_cm * diameter_cm)) / 100 AS diameter,
+  quantile_cont(height_m, 0.9) AS height_90, quantile_cont(diameter_cm, 0.9) / 100 AS diameter_90, sum(pi() * pow(diameter_cm / 200, 2)) * 10000 / 400 AS basal FROM v_stems GROUP BY plot, start_visit""", "live dead height diameter height_90 diameter_90 basal"))
+def a11_open(v: Views) -> DataFrame:
+    """Visits of which some have no end: the end is no part of the key, and the date is the start."""
+    return agg.plot_statistics(v.v_stems.withColumn("area_m2", F.lit(400.0)).withColumn("end_visit", F.when(F.col("transect") != 2, F.col("end_visit"))))
+
+
 @query("a12_transect_biomass", duck("v_stems", "SELECT start_visit, coalesce(sum(live_kg / 400), 0) / count(DISTINCT transect) AS live_kg, coalesce(sum(dead_kg / 400), 0) / count(DISTINCT transect) AS dead_kg FROM v_stems GROUP BY start_visit", "live_kg dead_kg"))
 def a12(v: Views) -> DataFrame:
     return agg.transect_biomass(v.v_stems.withColumn("area", F.lit(400.0)), "start_visit", "transect", "area", ["live_kg", "dead_kg"])
@@ -93,6 +95,16 @@ def a15(v: Views) -> DataFrame:
     return agg.coverage_counts(v.v_raw, "site", "ts", flag_fails(F.col("qc")))
 
 
+@query("a15_failing_flags", duck("v_raw", f"SELECT site, qc, count(*) AS n, 100.0 * count(*) / max(total) AS percent FROM (SELECT *, count(*) OVER (PARTITION BY site) AS total FROM v_raw) WHERE qc IN ({FAILING}) GROUP BY site, qc", "percent"))
+def a15_flags(v: Views) -> DataFrame:
+    return agg.failing_counts(v.v_raw, "site", "qc")
+
+
+@query("a15_gridpoints", duck("v_grid", "SELECT month, count(DISTINCT lon) * count(DISTINCT lat) AS gridpoints FROM v_grid GROUP BY month"))
+def a15_grid(v: Views) -> DataFrame:
+    return agg.gridpoints(v.v_grid, ["month"])
+
+
 @query("a16_coverage", duck("v_daily", "SELECT cell, min(day) AS first, max(day) AS last FROM v_daily GROUP BY cell"))
 def a16(v: Views) -> DataFrame:
     return agg.coverage(v.v_daily, "cell", "day")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from terraflux import model
 from terraflux.functions import scalars
 from terraflux.operators import filters
-from terraflux.plans.registry import Views, duck, query, uncut
+from terraflux.operators import windows as win
+from terraflux.plans.registry import Views, duck, query
 
 FAILING = ", ".join(map(str, sorted(model.FAILING_FLAGS)))
 
@@ -42,14 +43,8 @@ def p5(v: Views) -> DataFrame:
     return filters.scale_in_years(v.v_daily, "day", "value", 0.5, 1997, 1999)
 
 
-@query("p6_clip_to_coverage", duck("v_daily", "SELECT cell, day, value FROM v_daily WHERE day BETWEEN (SELECT min(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderkey % 1000 = 0) AND (SELECT max(CAST(o_orderdate AS DATE)) FROM orders WHERE o_orderkey % 1000 = 0)", "value"))
+@query("p6_clip_to_coverage", duck("v_daily", "SELECT cell, day, value FROM v_daily WHERE day BETWEEN (SELECT min(CAST(o_orderdate AS DATE)) FROM orders) AND (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)", "value"), also="p6_clip_to_coverage_whole")
 def p6(v: Views) -> DataFrame:
-    reference = v.orders.filter("o_orderkey % 1000 = 0").select(F.col("o_orderdate").cast("date").alias("day"))
-    return filters.clip_to_coverage(v.v_daily, reference, "day")
-
-
-@query("p6_clip_to_coverage_whole", uncut("p6_clip_to_coverage", " WHERE o_orderkey % 1000 = 0"))
-def p6_whole(v: Views) -> DataFrame:
     return filters.clip_to_coverage(v.v_daily, v.orders.select(F.col("o_orderdate").cast("date").alias("day")), "day")
 
 
@@ -150,10 +145,16 @@ def f5(v: Views) -> DataFrame:
     return v.v_sites.select("site", scalars.location_key(F.col("lon"), F.col("lat")).alias("file"))
 
 
-@query("f6_make_time", duck("v_daily", "SELECT cell, day, CAST(make_date(CAST(year(day) AS BIGINT), 1, 1) + CAST(dayofyear(day) - 1 AS INTEGER) AS DATE) AS made, strptime(strftime(day, '%d/%m/%Y') || ' 06:30', '%d/%m/%Y %H:%M') AS read FROM v_daily"))
+@query("f6_make_time", duck("v_daily", """SELECT cell, day, day AS made, strptime(strftime(day, '%d/%m/%Y') || ' 06:30', '%d/%m/%Y %H:%M') AS read, make_timestamp(year(day), month(day), day(day), cell, 0, 0) AS hourly,
+  make_timestamp(year(day), month(day), day(day), cell, cell * 5, cell * 3) AS exact, CAST(day AS TIMESTAMP) + INTERVAL 1 HOUR * cell AS counted FROM v_daily"""))
 def f6(v: Views) -> DataFrame:
-    read = F.to_timestamp_ntz(F.concat(F.date_format("day", "dd/MM/yyyy"), F.lit(" 06:30")), F.lit("dd/MM/yyyy HH:mm"))
-    return v.v_daily.select("cell", "day", scalars.from_year_day(F.year("day"), F.dayofyear("day")).alias("made"), read.alias("read"))
+    day, cell = F.col("day"), F.col("cell").cast("int")
+    ymd = {"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)}
+    return v.v_daily.select(
+        "cell", "day", scalars.make_time(year=F.year(day), doy=F.dayofyear(day)).cast("date").alias("made"),
+        scalars.make_time(text=F.concat(F.date_format("day", "dd/MM/yyyy"), F.lit(" 06:30")), pattern="dd/MM/yyyy HH:mm").alias("read"), scalars.make_time(**ymd, hour=cell).alias("hourly"),
+        scalars.make_time(**ymd, hour=cell, minute=cell * 5, second=cell * 3).alias("exact"), scalars.make_time(year=F.year(day), doy=F.dayofyear(day) - 1, hour=cell, base=0).alias("counted"),
+    )
 
 
 @query("f7_cf_time", duck("v_series", "SELECT site, t, date_diff('second', TIMESTAMP '2000-01-01', t) / 3600.0 AS hours, t + INTERVAL 0 SECOND AS back, date_diff('second', TIMESTAMP '2020-01-01', t) / 86400.0 AS days FROM v_series", "hours days"))
@@ -168,9 +169,16 @@ def f8(v: Views) -> DataFrame:
     return v.v_raw.select("event_id", scalars.align_time(F.date_trunc("second", "ts").cast("timestamp_ntz"), 30).cast("timestamp_ntz").alias("half"))
 
 
-@query("f9_calendar_parts", duck("v_daily", "SELECT cell, day, year(day) AS year, dayofyear(day) - 1 AS doy0, dayofyear(day) AS doy1, 0 AS hour, day = date_trunc('year', day) AS is_year_start, make_date(CAST(year(day) AS BIGINT) + 1, 1, 1) AS next_year FROM v_daily"))
+@query("f8_align_series", duck("v_series", "SELECT site, t, value FROM v_series", "value"))
+def f8_series(v: Views) -> DataFrame:
+    """Hours that are seven minutes late, moved back to the hour."""
+    late = v.v_series.select("site", (F.col("t") + F.expr("INTERVAL 7 MINUTE")).cast("timestamp_ntz").alias("t"), "value")
+    return win.align_series(late, "site", "t", "strict_hour", 60)
+
+
+@query("f9_calendar_parts", duck("v_daily", "SELECT cell, day, year(day) AS year, dayofyear(day) - 1 AS doy0, dayofyear(day) AS doy1, 0 AS hour, day = date_trunc('year', day) AS is_year_start, make_date(CAST(year(day) AS BIGINT) + 1, 1, 1) AS next_year, CAST(trunc(date_diff('second', TIMESTAMP '1998-01-01', CAST(day AS TIMESTAMP)) / (1000 * 60)) AS BIGINT) AS steps FROM v_daily"))
 def f9(v: Views) -> DataFrame:
-    return v.v_daily.select("cell", "day", *[c.alias(n) for n, c in scalars.calendar_parts(F.col("day")).items()])
+    return v.v_daily.select("cell", "day", *[c.alias(n) for n, c in scalars.calendar_parts(F.col("day")).items()], scalars.steps_between(F.lit("1998-01-01"), F.col("day"), 1000).alias("steps"))
 
 
 _ESAT = lambda a, b, c, t: f"{a} * exp({b} * {t} / ({c} + {t})) / 1000"

@@ -10,6 +10,7 @@ from terraflux.functions import generators as gen
 from terraflux.operators import joins, regrid, sets
 from terraflux.plans.fixtures import BOX  # noqa: F401
 from terraflux.plans.registry import Views, duck, query
+from terraflux.sources.scratch import scratch
 
 
 @query("j1_merge_variables", duck("v_grid", "SELECT lon, lat, month, tas, huss, ps FROM (SELECT lon, lat, month, tas FROM v_grid WHERE tas > 5) FULL JOIN (SELECT lon, lat, month, huss FROM v_grid WHERE month(month) < 9) USING (lon, lat, month) FULL JOIN (SELECT lon, lat, month, ps FROM v_grid) USING (lon, lat, month)", "tas huss ps"))
@@ -67,6 +68,12 @@ def j9(v: Views) -> DataFrame:
     return joins.on_axis(v.v_hours, noon, ["t"]).select("site", "t", "value")
 
 
+@query("j9_off_axis", duck("v_hours", "SELECT site, t, value FROM v_hours WHERE t NOT IN (SELECT DISTINCT date_trunc('day', ts) + INTERVAL 12 HOUR FROM events)", "value"))
+def j9_off(v: Views) -> DataFrame:
+    noon = v.events.select((F.date_trunc("day", "ts") + F.expr("interval 12 hours")).alias("t"))
+    return joins.off_axis(v.v_hours, noon, ["t"]).select("site", "t", "value")
+
+
 @query("j10_missing_steps", duck("v_series v_hours", "SELECT g.site, g.t FROM (SELECT site, unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS t FROM v_hours GROUP BY site) g ANTI JOIN v_hours h ON g.site = h.site AND g.t = h.t"))
 def j10(v: Views) -> DataFrame:
     return joins.missing_steps(v.v_hours, "site", "t", "1 hour")
@@ -78,7 +85,7 @@ def j11(v: Views) -> DataFrame:
     return joins.missing_periods(files, "var", "period", 1995, 2002)
 
 
-_FLAGS = "(VALUES " + ", ".join([f"({f}, TRUE, '{d}')" for f, d in model.PASSING_FLAGS.items()] + [f"({f}, FALSE, '{d}')" for f, d in model.FAILING_FLAGS.items()]) + ") f(qc, passed, description)"
+_FLAGS = "(VALUES " + ", ".join("({}, {}, '{}')".format(flag, passed, said.replace("'", "''")) for flag, (passed, said) in model.QC_FLAGS.items()) + ") f(qc, passed, description)"
 
 
 @query("j12_qc_explain", duck("v_raw", f"SELECT r.qc, n, coalesce(passed, TRUE) AS passed, description FROM (SELECT qc, count(*) AS n FROM v_raw GROUP BY qc) r LEFT JOIN {_FLAGS} ON r.qc = f.qc"))
@@ -138,7 +145,10 @@ def u4(v: Views) -> DataFrame:
 
 @query("u5_split_by_year", duck("v_daily", "SELECT cell, day, value, year(day) AS year FROM v_daily", "value"))
 def u5(v: Views) -> DataFrame:
-    return sets.split_by_year(v.v_daily, "day")
+    """Written by year and read back; the year comes from the folders."""
+    path = scratch(v.spark, "years")
+    sets.split_by_year(v.v_daily, "day", path)
+    return v.spark.read.parquet(path).select("cell", "day", "value", F.col("year").cast("int").alias("year"))
 
 
 _CONSERVATIVE = """SELECT month, x AS lon, y AS lat, sum(w * tas) / sum(w) AS tas FROM (SELECT month, tas, x, y, (least(lon + 0.25, x + 0.6) - greatest(lon - 0.25, x - 0.6)) * (sin(radians(least(lat + 0.25, y + 0.6))) - sin(radians(greatest(lat - 0.25, y - 0.6)))) AS w

@@ -6,119 +6,163 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terraflux import model
-from terraflux.functions import scalars
+from terraflux.functions import generators, scalars
 from terraflux.operators import aggregates as agg
 from terraflux.operators import filters, joins, regrid, sets, tables
 from terraflux.operators import windows as win
 from terraflux.plans.filters import FAILING
-from terraflux.plans.fixtures import CELLS, series
-from terraflux.plans.registry import Views, duck, query, uncut
-from terraflux.plans.windows import FILLED
+from terraflux.plans.fixtures import CELLS
+from terraflux.plans.registry import Views, duck, query
+from terraflux.plans.windows import FILLED, spline_sql
 from terraflux.sources import scans, sinks
+from terraflux.sources.scratch import scratch
 
-#: Forcing variables: aggregator, units in and out, bounds in the units out.
+#: Forcing variables: aggregator, padding and its constant, units in and out, bounds in the units out.
 FORCING = {
-    "tav": ("mean", "degC", "K", 173.15, 373.15),
-    "prec": ("sum", "mm", "kg m-2", 0.0, 1e4),
-    "insol": ("mean", "W/m2", "W m-2", 0.0, 1e5),
+    "tav": ("mean", "nearest", 0.0, "degC", "K", 173.15, 373.15),
+    "prec": ("sum", "constant", 0.0, "mm", "kg m-2", 0.0, 1e4),
+    "insol": ("mean", "nearest", 0.0, "W/m2", "W m-2", 0.0, 1e5),
 }
 
 
-def site_forcing(raw: DataFrame, ratio: int, minutes: int, variables: dict[str, tuple] = FORCING) -> DataFrame:
-    """(site, t, a column per variable): flags masked, gaps filled, steps grouped, units converted, values clamped, times aligned.
+def site_forcing(raw: DataFrame, step: int, minutes: int, variables: dict[str, tuple] = FORCING, *, start: str = "pad", end: str = "ignore", max_pad: int = 1, align: str = "none") -> DataFrame:
+    """(site, t, a column per variable) in steps of some minutes.
 
-    raw is (site, ts, value, qc). Masked hours are interpolated day by day, so no task holds more than a day of a site.
+    raw is (site, ts, value, qc) with times on a grid of step minutes. W6 time_plan() inspects each site's times, P8 masks
+    failing values, W1 fills gaps day by day, W7 and W8 trim or pad to whole years (each variable in its own way), A2
+    groups steps by their place after the beginning, P14 converts units, P12 clamps, F8 aligns. Only the inspection
+    looks at a whole site at once, its times alone.
     """
     masked = filters.qc_mask(raw, "value", "qc")
-    hours = masked.groupBy("site", F.date_trunc("hour", "ts").alias("t")).agg(F.avg("value").alias("value"))
-    filled = win.interpolate_gaps(series(hours).withColumn("day", F.to_date("t")), "site", "i", "value", block="day")
-    # the position on the regular axis tells the group, so that the groups need no window
-    grouped = filled.withColumn("g", F.floor(F.col("i") / ratio)).groupBy("site", "g").agg(F.min("t").alias("t"), F.count("*").alias("n"), *[agg.AGGREGATORS[v[0]](F.col("value")).alias(name) for name, v in variables.items()]).filter(F.col("n") == ratio)
-    step = float(ratio * minutes * 60)
-    out = grouped.select("site", scalars.align_time(F.col("t").cast("timestamp_ntz"), 30).cast("timestamp_ntz").alias("t"), *variables)
-    return out.withColumns({name: scalars.clamp(scalars.convert(F.col(name), a, b, step), lo, hi) for name, (_, a, b, lo, hi) in variables.items()})
-
+    seen = masked.groupBy("site", F.col("ts").alias("t")).agg(F.avg("value").alias("value"))
+    spans = seen.groupBy("site").agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    series = generators.time_grid(spans, ["site"], "a", "b", f"{step} minutes").join(seen, ["site", "t"], "left")
+    plan = win.time_plan(series, "site", "t", minutes, start, end, max_pad)
+    placed = series.withColumn("i", F.unix_timestamp(F.col("t").cast("timestamp"))).withColumn("day", F.to_date("t"))
+    filled = win.interpolate_gaps(placed, "site", "i", "value", block="day").select("site", "t", *[F.col("value").alias(name) for name in variables])
+    whole = win.apply_plan(filled, plan, "site", "t", {name: (v[1], v[2]) for name, v in variables.items()})
+    begun = whole.join(plan.select("site", "begin", "ratio", "step"), "site")
+    place = F.floor(F.timestamp_diff("SECOND", "begin", "t") / (F.col("step") * F.col("ratio")))
+    grouped = begun.groupBy("site", "ratio", place.alias("g")).agg(F.min("t").alias("t"), F.count("*").alias("n"), *[agg.AGGREGATORS[v[0]](F.col(name)).alias(name) for name, v in variables.items()])
+    out = grouped.filter("n = ratio").select("site", "t", *variables)
+    out = out.withColumns({name: scalars.clamp(scalars.convert(F.col(name), v[3], v[4], minutes * 60.0), v[5], v[6]) for name, v in variables.items()})
+    return win.align_series(out, "site", "t", align, minutes)
+
+
+#: Times ten days earlier and five minutes late, so that a year begins within the data and alignment has work to do.
+_SHIFTED = "date_trunc('hour', ts) - INTERVAL 10 DAY + INTERVAL 5 MINUTE"
+_MASKED = f"(SELECT site, {_SHIFTED} AS t, avg(CASE WHEN NOT coalesce(qc IN ({FAILING}), FALSE) THEN value END) AS value FROM v_raw GROUP BY 1, 2)"
+_AXIS = f"(SELECT site, unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS t FROM {_MASKED} GROUP BY site)"
+_FILLED = FILLED.format(q=f"(SELECT s.site AS k, epoch(s.t) AS x, m.value AS y FROM {_AXIS} s LEFT JOIN {_MASKED} m ON s.site = m.site AND s.t = m.t)")
+_WHOLE = f"""f_ AS (SELECT k AS site, make_timestamp(CAST(x * 1000000 AS BIGINT)) AS t, y, y AS p FROM ({_FILLED})), e_ AS (SELECT site, min(t) AS a, max(t) AS b, arg_max(y, t) AS last FROM f_ GROUP BY site),
+  k_ AS (SELECT f_.* FROM f_ JOIN e_ USING (site) WHERE year(t) > year(a) OR a < date_trunc('year', a) + INTERVAL 1 HOUR
+    UNION ALL SELECT site, unnest(generate_series(b + INTERVAL 1 HOUR, date_trunc('year', b) + INTERVAL 1 YEAR - INTERVAL 55 MINUTE, INTERVAL 1 HOUR)) AS t, last, 0.0 FROM e_),
+  g_ AS (SELECT *, floor((epoch(t) - min(epoch(t)) OVER (PARTITION BY site)) / 10800) AS g FROM k_)"""
+
+
+@query("c1_site_forcing", duck("v_raw", "SELECT site, min(t) - INTERVAL 5 MINUTE AS t, greatest(least(avg(y) + 273.15, 373.15), 173.15) AS tav, greatest(least(sum(p), 1e4), 0.0) AS prec, greatest(least(avg(y), 1e5), 0.0) AS insol FROM g_ GROUP BY site, g HAVING count(*) = 3", "tav prec insol").replace(", q_ AS (", f", {_WHOLE}, q_ AS (", 1))
+def c1(v: Views) -> DataFrame:
+    """Three-hourly forcing: the incomplete first year trimmed, the last one padded."""
+    raw = v.v_raw.withColumn("ts", F.expr(_SHIFTED).cast("timestamp_ntz"))
+    return site_forcing(raw, 60, 180, start="trim", end="pad", align="half_hour")
 
-_MASKED = f"(SELECT site, date_trunc('hour', ts) AS t, avg(CASE WHEN NOT coalesce(qc IN ({FAILING}), FALSE) THEN value END) AS value FROM v_raw GROUP BY 1, 2)"
-_FILLED = FILLED.format(q=f"(SELECT s.site AS k, s.i AS x, m.value AS y FROM v_series s LEFT JOIN {_MASKED} m ON s.site = m.site AND s.t = m.t)")
 
+def flux_observations(sources: list[DataFrame], source: str, source_units: str, target_units: str) -> DataFrame:
+    """Daily means of rows that pass, as amounts over the time to the next day, under canonical site names.
 
-@query("c1_site_forcing", duck("v_series v_raw", f"SELECT s.site, min(s.t) AS t, greatest(least(avg(y) + 273.15, 373.15), 173.15) AS tav, greatest(least(sum(y), 1e4), 0.0) AS prec, greatest(least(avg(y), 1e5), 0.0) AS insol FROM v_series s JOIN ({_FILLED}) f ON s.site = f.k AND s.i = f.x GROUP BY s.site, s.i // 3 HAVING count(*) = 3", "tav prec insol"))
-def c1(v: Views) -> DataFrame:
-    return site_forcing(v.v_raw, 3, 60)
+    Each source table is worked on alone (P9, A1, W5, P14, F1); of their union (U2) a site keeps its first source (W16).
+    """
 
+    def daily(raw: DataFrame) -> DataFrame:
+        means = agg.aggregate_period(filters.qc_drop(raw, "qc"), ["site", source], "ts", "day", {"value": "mean"})
+        stepped = win.step_seconds(means.withColumn("__series", F.concat_ws("/", "site", source)), "__series", "date")
+        return filters.convert_units(stepped, "value", source_units, target_units, F.col("step")).withColumn("site", scalars.normalise_site(F.col("site")))
 
-def flux_observations(raw: DataFrame, source: str, source_units: str, target_units: str) -> DataFrame:
-    """Daily means of rows that pass, as amounts over the time to the next day, under canonical site names."""
-    daily = agg.aggregate_period(filters.qc_drop(raw, "qc"), ["site", source], "ts", "day", {"value": "mean"})
-    stepped = win.step_seconds(daily.withColumn("__series", F.concat_ws("/", "site", source)), "__series", "date")
-    out = filters.convert_units(stepped, "value", source_units, target_units, F.col("step")).withColumn("site", scalars.normalise_site(F.col("site")))
-    return win.dedupe_sources(out, "site", source, model.DUPLICATE_SITES_ALLOWED).select("site", source, "date", "value")
+    return win.dedupe_sources(sets.union_sites([daily(raw) for raw in sources]), "site", source, model.DUPLICATE_SITES_ALLOWED).select("site", source, "date", "value")
 
 
 _SITE_OF = "CASE site WHEN 'click' THEN 'AU-How' WHEN 'view' THEN 'Tum' WHEN 'error' THEN 'wallaby creek' ELSE site END"
 _NAME_OF = "CASE site WHEN 'click' THEN 'HowardSprings' WHEN 'view' THEN 'Tumbarumba' WHEN 'error' THEN 'WallabyCreek' ELSE site END"
+_FLUXES = f"""SELECT site, source, date, value * (1e-6 * 12.011) * coalesce(step, prev, 0) AS value FROM (SELECT *, min(source) OVER (PARTITION BY site) AS first, lag(step) OVER (PARTITION BY site, source ORDER BY date) AS prev FROM (
+  SELECT *, date_diff('day', date, lead(date) OVER (PARTITION BY site, source ORDER BY date)) * 86400 AS step FROM (SELECT {_NAME_OF} AS site, 'f' || (event_id % 2) AS source, CAST(ts AS DATE) AS date, avg(value) AS value FROM v_raw WHERE NOT coalesce(qc IN ({FAILING}), FALSE) GROUP BY 1, 2, 3))) WHERE source = first"""
 
 
-@query("c2_flux_observations", duck("v_raw", f"""SELECT site, source, date, value * (1e-6 * 12.011) * coalesce(step, prev, 0) AS value FROM (SELECT *, min(source) OVER (PARTITION BY site) AS first, lag(step) OVER (PARTITION BY site, source ORDER BY date) AS prev FROM (
-  SELECT *, date_diff('day', date, lead(date) OVER (PARTITION BY site, source ORDER BY date)) * 86400 AS step FROM (SELECT {_NAME_OF} AS site, 'f' || (event_id % 2) AS source, CAST(ts AS DATE) AS date, avg(value) AS value FROM v_raw WHERE NOT coalesce(qc IN ({FAILING}), FALSE) AND event_id % 3 = 0 GROUP BY 1, 2, 3))) WHERE source = first""", "value"))
-def c2(v: Views) -> DataFrame:
-    raw = v.v_raw.filter("event_id % 3 = 0").withColumn("source", F.concat(F.lit("f"), (F.col("event_id") % 2).cast("string"))).withColumn("site", F.expr(_SITE_OF))
-    return flux_observations(raw, "source", "umol/m2/s", "gC/m2")
+def _flux_tables(v: Views) -> list[DataFrame]:
+    raw = v.v_raw.withColumn("source", F.concat(F.lit("f"), (F.col("event_id") % 2).cast("string"))).withColumn("site", F.expr(_SITE_OF))
+    return [raw.filter(F.col("source") == name) for name in ("f0", "f1")]
 
 
-@query("c2_flux_observations_whole", uncut("c2_flux_observations", " AND event_id % 3 = 0"))
-def c2_whole(v: Views) -> DataFrame:
-    raw = v.v_raw.withColumn("source", F.concat(F.lit("f"), (F.col("event_id") % 2).cast("string"))).withColumn("site", F.expr(_SITE_OF))
-    return flux_observations(raw, "source", "umol/m2/s", "gC/m2")
+@query("c2_flux_observations", duck("v_raw", _FLUXES, "value"), also="c2_flux_observations_whole")
+def c2(v: Views) -> DataFrame:
+    return flux_observations(_flux_tables(v), "source", "umol/m2/s", "gC/m2")
 
 
 def leaf_area_observations(modis: DataFrame) -> DataFrame:
-    """Good and plausible leaf areas, by site and date."""
+    """Good and plausible leaf areas of canonical site names; order_observations() puts them in order."""
     good = filters.range_guard(filters.bitflag_filter(modis, "qc"), "lai", 0, 10)
     named = good.withColumn("site", scalars.normalise_site(F.col("id").cast("string")))
-    return sets.order_observations(filters.select_variables(named, {"site": "site", "date": "date", "lai": "lai"}), "site", "date")
+    return filters.select_variables(named, {"site": "site", "date": "date", "lai": "lai"})
 
 
 @query("c3_leaf_area", duck("v_modis", "SELECT CAST(id AS VARCHAR) AS site, date, lai FROM v_modis WHERE qc & 204 = 0 AND lai BETWEEN 0 AND 10", "lai"))
 def c3(v: Views) -> DataFrame:
-    return leaf_area_observations(v.v_modis)
+    return sets.order_observations(leaf_area_observations(v.v_modis), "site", "date")
 
 
-def raster_samples(sites: DataFrame, raster: DataFrame, value: str, scale: float, fills: tuple) -> DataFrame:
-    """C4: the scaled value of each site's nearest cell at all times, fill codes missing and left out."""
-    near = joins.nearest_cell(sites, "site", raster.select("lon", "lat").distinct()).select("site", F.col("cell_lon").alias("lon"), F.col("cell_lat").alias("lat"))
+def raster_samples(sites: DataFrame, raster: DataFrame, axes: tuple[DataFrame, DataFrame], value: str, scale: float, fills: tuple) -> DataFrame:
+    """C4: the scaled value of each site's nearest cell at all times, fill codes missing and left out.
+
+    axes are the rasters' own longitudes and latitudes, given once, so that no raster is read to find them.
+    """
+    near = joins.nearest_on_axis(sites, "site", "lon", axes[0], "lon").join(joins.nearest_on_axis(sites, "site", "lat", axes[1], "lat"), "site")
     sampled = raster.join(joins.small(near), ["lon", "lat"])
-    return sets.order_observations(filters.valid_only(filters.unpack(sampled, value, scale, 0.0, fills), [value]).select("site", "month", value), "site", "month")
+    return filters.valid_only(filters.unpack(sampled, value, scale, 0.0, fills), [value]).select("site", "date", value)
 
 
 _NEAR = "(SELECT site, arg_min(x, (abs(x - lon), x)) AS x, arg_min(y, (abs(y - lat), y)) AS y FROM v_sites, (SELECT DISTINCT lon AS x FROM v_grid) a, (SELECT DISTINCT lat AS y FROM v_grid) b GROUP BY site)"
 
 
-@query("c4_raster_samples", duck("v_sites v_grid", f"SELECT site, month, code * 0.01 AS gpp FROM {_NEAR} JOIN (SELECT *, CASE WHEN tas < 0 THEN 65535.0 ELSE round(tas * 100) END AS code FROM v_grid) ON lon = x AND lat = y WHERE code <> 65535", "gpp"))
+@query("c4_raster_samples", duck("v_sites v_grid", f"SELECT site, month AS date, code * 0.01 AS gpp FROM {_NEAR} JOIN (SELECT *, CASE WHEN tas < 0 THEN 65535.0 ELSE round(tas * 100) END AS code FROM v_grid) ON lon = x AND lat = y WHERE code <> 65535", "gpp"))
 def c4(v: Views) -> DataFrame:
-    raster = v.v_grid.select("lon", "lat", "month", F.when(F.col("tas") < 0, 65535.0).otherwise(F.round(F.col("tas") * 100)).alias("gpp"))
-    return raster_samples(v.v_sites, raster, "gpp", 0.01, (65535.0, 65534.0))
+    """Rasters of one month each, whose date stands in the name alone."""
+    path = scratch(v.spark, "rasters")
+    name = F.concat(F.lit("GPP_"), F.date_format("month", "yyyy"), F.lpad(F.dayofyear("month").cast("string"), 3, "0"), F.lit("_Mean"))
+    rows = v.v_grid.select("lon", "lat", F.when(F.col("tas") < 0, 65535.0).otherwise(F.round(F.col("tas") * 100)).alias("gpp"), name.alias("name"))
+    rows.repartition("name").write.partitionBy("name").parquet(path)
+    raster = v.spark.read.parquet(path).drop("name").select("lon", "lat", "gpp", scans.date_of_name(scans.scanned_name(1)).alias("date"))
+    axes = (v.v_grid.select("lon").distinct(), v.v_grid.select("lat").distinct())
+    return sets.order_observations(raster_samples(v.v_sites, raster, axes, "gpp", 0.01, (65535.0, 65534.0)), "site", "date")
+
+
+METRICS = ["live", "dead", "height", "height_90", "diameter", "diameter_90", "basal"]
 
 
 def inventory(stems: DataFrame) -> DataFrame:
-    """Plot-visit statistics of stems with their own or their plot's dimensions; plots without live biomass are left out."""
+    """Plot-visit statistics of stems with their own or their plot's dimensions; visits without any metric are left out."""
     stats = agg.plot_statistics(tables.plot_area(stems, "plot", "length", "width"))
-    return sinks.metric_frame(stats, ["plot", "date"], ["live", "dead", "height", "diameter", "basal"])
+    return sinks.metric_frame(stats, ["plot", "date"], METRICS)
 
 
-@query("c5_inventory", duck("v_stems", "SELECT plot, start_visit + 7 AS date, nullif(sum(live_kg) / 500, 0) AS live, nullif(coalesce(sum(dead_kg), 0) / 500, 0) AS dead, avg(height_m) AS height, sqrt(avg(diameter_cm * diameter_cm)) / 100 AS diameter, sum(pi() * pow(diameter_cm / 200, 2)) * 20 AS basal FROM v_stems GROUP BY plot, start_visit, end_visit", "live dead height diameter basal"))
+@query("c5_inventory", duck("v_stems", "SELECT plot, start_visit + 7 AS date, nullif(sum(live_kg) / 500, 0) AS live, nullif(coalesce(sum(dead_kg), 0) / 500, 0) AS dead, avg(height_m) AS height, quantile_cont(height_m, 0.9) AS height_90, sqrt(avg(diameter_cm * diameter_cm)) / 100 AS diameter, quantile_cont(diameter_cm, 0.9) / 100 AS diameter_90, sum(pi() * pow(diameter_cm / 200, 2)) * 20 AS basal FROM v_stems GROUP BY plot, start_visit, end_visit", " ".join(METRICS)))
 def c5(v: Views) -> DataFrame:
     return inventory(v.v_stems.withColumn("length", F.when(F.col("transect") % 2 == 0, F.lit("50 m"))).withColumn("width", F.lit("1000 cm")))
 
 
-def gridded_site_climate(grid: DataFrame, sites: DataFrame) -> DataFrame:
-    """Variables regridded to 1.2 degrees, the nearest cell of each site, temperature in K and vapour pressure deficit."""
-    parts = [regrid.regrid_conservative(grid, ["month"], c, 0.5, 110, 1.2, -40, 1.2).withColumns({"lon": F.round("lon", 6), "lat": F.round("lat", 6)}) for c in ("tas", "huss", "ps")]
-    wide = joins.merge_variables(["month", "lon", "lat"], *parts)
-    near = joins.nearest_cell(sites, "site", wide.select("lon", "lat").distinct()).select("site", F.col("cell_lon").alias("lon"), F.col("cell_lat").alias("lat"))
-    out = wide.join(joins.small(near), ["lon", "lat"]).withColumn("vpd", scalars.vpd(F.col("tas"), F.col("huss"), F.col("ps")))
-    return filters.convert_units(out, "tas", "degC", "K").select("site", "month", "tas", "vpd")
+def gridded_site_climate(parts: list[tuple[DataFrame, str]], sites: DataFrame, scale: float, fills: tuple) -> DataFrame:
+    """(site, month, tas in K, vpd) at the nearest cell of a grid of 1.2 degrees.
+
+    parts are the grids of consecutive periods with their units of temperature, humidity packed. P16 unpacks it, U1 puts
+    the parts one after another, A20 regrids all variables at once, J5 finds the cells from the target grid's own axes.
+    """
+    unpacked = [(filters.unpack(df, "huss", scale, 0.0, fills), units) for df, units in parts]
+    grid = sets.concat_time(unpacked, "tas")
+    axes = [regrid.target_axis(grid, c, 0.5, x0, 1.2).select(F.round(c, 6).alias(c)) for c, x0 in (("lon", 110), ("lat", -40))]
+    near = joins.small(joins.nearest_on_axis(sites, "site", "lon", axes[0], "lon").join(joins.nearest_on_axis(sites, "site", "lat", axes[1], "lat"), "site"))
+    wide = regrid.regrid_conservative(grid, ["month"], ["tas", "huss", "ps"], 0.5, 110, 1.2, -40, 1.2).withColumns({"lon": F.round("lon", 6), "lat": F.round("lat", 6)})
+    out = wide.join(near, ["lon", "lat"])
+    kelvin = filters.convert_units(out, "tas", "degC", "K").select("site", "month", "tas")
+    vpd = out.select("site", "month", scalars.vpd(F.col("tas"), F.col("huss"), F.col("ps")).alias("vpd"))
+    return joins.merge_variables(["site", "month"], kelvin, vpd)
 
 
 _REGRID = """(SELECT month, round(x, 6) AS x, round(y, 6) AS y, sum(w * tas) / sum(w) AS tas, sum(w * huss) / sum(w) AS huss, sum(w * ps) / sum(w) AS ps FROM (SELECT month, tas, huss, ps, x, y, (least(lon + 0.25, x + 0.6) - greatest(lon - 0.25, x - 0.6)) * (sin(radians(least(lat + 0.25, y + 0.6))) - sin(radians(greatest(lat - 0.25, y - 0.6)))) AS w
@@ -128,7 +172,12 @@ _REGRID = """(SELECT month, round(x, 6) AS x, round(y, 6) AS y, sum(w * tas) / s
 @query("c6_gridded_site_climate", duck("v_sites v_grid", f"""SELECT site, month, tas + 273.15 AS tas, 611.2 * exp(17.62 * tas / (243.12 + tas)) / 1000 - huss * ps / ((1 - 0.622) * huss + 0.622) AS vpd FROM {_REGRID} g
   JOIN (SELECT site, arg_min(x, (abs(x - lon), x)) AS sx, arg_min(y, (abs(y - lat), y)) AS sy FROM v_sites, (SELECT DISTINCT x FROM {_REGRID}) a, (SELECT DISTINCT y FROM {_REGRID}) b GROUP BY site) ON g.x = sx AND g.y = sy""", "tas vpd"))
 def c6(v: Views) -> DataFrame:
-    return gridded_site_climate(v.v_grid, v.v_sites)
+    """Two periods, the second in K; the site table is written cell by cell (S12) and read back."""
+    grid = v.v_grid.withColumn("huss", F.col("huss") * 1000)
+    parts = [(grid.filter("year(month) < 1998"), "degC"), (grid.filter("year(month) >= 1998").withColumn("tas", F.col("tas") + 273.15), "K")]
+    path = scratch(v.spark, "climate")
+    sinks.write_cell_major(gridded_site_climate(parts, v.v_sites, 0.001, (-9999.0,)), path, "site", "month")
+    return scans.scan_series(v.spark, path, ["site", "month", "tas", "vpd"])
 
 
 def region_statistics(grid: DataFrame, edges: DataFrame, time: str, value: str) -> DataFrame:
@@ -164,19 +213,57 @@ def c8(v: Views) -> DataFrame:
     return soil_cells(v.v_layers.withColumns({c: F.col(c).cast("double") for c in ("d0", "d1")}))
 
 
-def benchmark_table(sources: list[tuple[str, DataFrame]], site: str, day: str) -> DataFrame:
-    """All observations on one axis: a row per site and day that any source has, a column per source."""
-    return joins.merge_variables([site, day], *[df.withColumnRenamed("value", name) for name, df in sources])
-
+def benchmark_table(fluxes: DataFrame, leaves: DataFrame, greenness: DataFrame, layers: DataFrame, water: DataFrame, inventories: DataFrame) -> DataFrame:
+    """All observations on one axis: a row for each site and day between a site's first and last flux, a column per variable.
 
-@query("c9_benchmark_table", duck("v_raw v_modis", f"""SELECT site, day, nee, lai, soil FROM (SELECT CAST(event_id % 150 AS VARCHAR) AS site, CAST(ts AS DATE) AS day, avg(value) AS nee FROM v_raw WHERE NOT coalesce(qc IN ({FAILING}), FALSE) GROUP BY 1, 2)
-  FULL JOIN (SELECT CAST(id AS VARCHAR) AS site, date AS day, avg(lai) AS lai FROM v_modis WHERE qc & 204 = 0 AND lai BETWEEN 0 AND 10 GROUP BY 1, 2) USING (site, day) FULL JOIN (SELECT CAST(id AS VARCHAR) AS site, date AS day, max(qc) / 256 AS soil FROM v_modis GROUP BY 1, 2) USING (site, day)""", "nee lai soil"))
+    Inputs are (site, day, ..): fluxes nee, leaves lai, greenness ndvi (replicates are averaged, A13), layers the soil
+    layers of each site as an array (F20 names their columns), water (site, day, name, value) by layer, inventories
+    (site, date and metrics, C5). J8 puts them on the axis; what lies outside is left out.
+    """
+    names = tables.explode_layers(layers, "site", "layers").select("site", "name", F.col("column").alias("variable"))
+    soil = water.join(joins.small(names), ["site", "name"])
+    columns = [r[0] for r in names.select("variable").distinct().orderBy("variable").collect()]  # the few depths of all sites
+    long = lambda df, day, value, name: df.select("site", F.col(day).alias("day"), F.lit(name).alias("variable"), F.col(value).alias("value"))
+    parts = [
+        long(fluxes, "date", "value", "nee"), long(agg.mean_by_date(leaves, ["site", "date"], "lai"), "date", "lai", "lai"),
+        long(agg.mean_by_date(greenness, ["site", "date"], "ndvi"), "date", "ndvi", "ndvi"), soil.select("site", "day", "variable", "value"),
+    ]
+    metrics = ["height", "diameter", "live", "dead"]
+    parts += [scans.wide_to_long(inventories.select("site", F.col("date").alias("day"), *metrics), ["site", "day"], metrics, "variable", "value")]
+    spans = fluxes.groupBy("site").agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    axis = generators.time_grid(spans, ["site"], "a", "b", "1 day", "day")
+    return joins.align_to_grid(axis, sets.union_sites(parts), ["site", "day"], "variable", "value", ["nee", "lai", "ndvi", *columns, *metrics])
+
+
+#: The sites of other tables' rows by number, and what the library calls them.
+_CODE = lambda x: f"CASE {x} % 3 WHEN 0 THEN 'AU-How' WHEN 1 THEN 'AU-Tum' ELSE 'AU-Wac' END"
+_SITE = lambda x: f"CASE {x} % 3 WHEN 0 THEN 'HowardSprings' WHEN 1 THEN 'Tumbarumba' ELSE 'WallabyCreek' END"
+_VISIT = "DATE '2024-01-03' + CAST(plot % 20 AS INTEGER)"
+_DEPTHS = {"Sws_0": 5.0, "Sws_1": 15.0, "Sws_2": 100.0}
+_COLUMN = "CASE event_id % 3 WHEN 0 THEN 'swvol_5' WHEN 1 THEN 'swvol_15' ELSE 'swvol_100' END"
+
+
+@query("c9_benchmark_table", duck("v_raw v_modis v_stems", f"""SELECT a.site, a.day, nee, lai, ndvi, swvol_100, swvol_15, swvol_5, height, diameter, live, dead
+  FROM (SELECT site, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS day FROM ({_FLUXES}) GROUP BY site) a
+  LEFT JOIN (SELECT site, date AS day, avg(value) AS nee FROM ({_FLUXES}) GROUP BY 1, 2) n USING (site, day)
+  LEFT JOIN (SELECT {_SITE('id')} AS site, date AS day, avg(lai) FILTER (qc & 204 = 0 AND lai BETWEEN 0 AND 10) AS lai, avg(lai / 10) AS ndvi FROM v_modis GROUP BY 1, 2) l USING (site, day)
+  LEFT JOIN (SELECT site, day, avg(value) FILTER (c = 'swvol_100') AS swvol_100, avg(value) FILTER (c = 'swvol_15') AS swvol_15, avg(value) FILTER (c = 'swvol_5') AS swvol_5
+    FROM (SELECT {_NAME_OF} AS site, CAST(ts AS DATE) AS day, {_COLUMN} AS c, avg(value / 200) AS value FROM v_raw GROUP BY 1, 2, 3) GROUP BY 1, 2) s USING (site, day)
+  LEFT JOIN (SELECT {_SITE('plot')} AS site, day, avg(height) AS height, avg(diameter) AS diameter, avg(live) AS live, avg(dead) AS dead FROM (
+    SELECT plot, {_VISIT} + 2 AS day, nullif(sum(live_kg) / 500, 0) AS live, nullif(coalesce(sum(dead_kg), 0) / 500, 0) AS dead, avg(height_m) AS height, sqrt(avg(diameter_cm * diameter_cm)) / 100 AS diameter
+    FROM v_stems GROUP BY plot) GROUP BY 1, 2) i USING (site, day)""", "nee lai ndvi swvol_100 swvol_15 swvol_5 height diameter live dead"))
 def c9(v: Views) -> DataFrame:
-    raw = filters.qc_drop(v.v_raw.withColumn("site", (F.col("event_id") % 150).cast("string")), "qc")
-    nee = agg.aggregate_period(raw, ["site"], "ts", "day", {"value": "mean"}).withColumnRenamed("date", "day")
-    lai = agg.mean_by_date(leaf_area_observations(v.v_modis), ["site", "date"], "lai").select("site", F.col("date").alias("day"), F.col("lai").alias("value"))
-    soil = v.v_modis.groupBy(F.col("id").cast("string").alias("site"), F.col("date").alias("day")).agg((F.max("qc") / 256).alias("value"))
-    return benchmark_table([("nee", nee), ("lai", lai), ("soil", soil)], "site", "day")
+    """Stems are taken as visited in the month of the events, so that the axis meets them."""
+    modis = v.v_modis.withColumn("id", F.expr(_CODE("id")))
+    leaves = leaf_area_observations(modis)
+    green = modis.select(scalars.normalise_site(F.col("id")).alias("site"), "date", (F.col("lai") / 10).alias("ndvi"))
+    raw = v.v_raw.withColumn("site", scalars.normalise_site(F.expr(_SITE_OF)))
+    layer = F.concat(F.lit("Sws_"), (F.col("event_id") % 3).cast("string"))
+    water = raw.groupBy("site", F.to_date("ts").alias("day"), layer.alias("name")).agg(F.avg(F.col("value") / 200).alias("value"))
+    own = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(depth).alias("depth")) for name, depth in _DEPTHS.items()])
+    stems = v.v_stems.withColumns({"start_visit": F.expr(_VISIT), "end_visit": F.expr(f"{_VISIT} + 4"), "length": F.lit("50 m"), "width": F.lit("1000 cm")})
+    plots = inventory(stems).withColumn("site", scalars.normalise_site(F.expr(_CODE("plot"))))
+    return benchmark_table(flux_observations(_flux_tables(v), "source", "umol/m2/s", "gC/m2"), leaves, green, raw.select("site").distinct().withColumn("layers", own), water, plots)
 
 
 def wide_site_met(temperature: DataFrame, humidity: DataFrame, rain: DataFrame, names: list[str], pressure_pa: float, step: float) -> DataFrame:
@@ -197,17 +284,34 @@ def c10(v: Views) -> DataFrame:
     return wide_site_met(each(lambda x: x + 250), each(lambda x: x / 10_000), each(lambda x: x / 1e6), names, 101_300.0, 10_800.0)
 
 
-def land_surface_table(daily: DataFrame, cover: DataFrame) -> DataFrame:
-    """C11: whole years of daily temperature in K with the day's leaf area, splined from monthly cover."""
-    years = filters.convert_units(win.full_years_only(daily, "cell", "day"), "value", "degC", "K").withColumn("year", F.year("day"))
+def land_surface_table(met: DataFrame, cover: DataFrame, seconds: int) -> DataFrame:
+    """C11: (cell, t, tas, lai): temperature in K with the day's leaf area, splined from monthly cover.
+
+    met is (cell, t, value) in steps of some seconds. W15 completes the last day, W14 keeps whole years, P14 converts;
+    A22 and W17 make daily leaf areas of the cover, and J1 merges the two tables.
+    """
+    whole = win.complete_days(met, "cell", "t", "value", seconds)
+    years = filters.convert_units(win.full_years_only(whole.withColumn("day", F.to_date("t")), "cell", "day"), "value", "degC", "K")
     monthly = agg.lai_from_cover(cover, ["cell", "year", "month"], "wood", "grass", "forest").select("cell", "year", "month", "lai")
     leaves = win.spline_monthly(monthly, "cell", "year", "month", "lai")
-    stepped = years.withColumn("step", F.datediff("day", F.make_date(F.col("year"), F.lit(1), F.lit(16))))
-    return stepped.join(leaves, ["cell", "year", "step"], "left").select("cell", "day", F.col("value").alias("tas"), "lai")
+    placed = years.select("cell", "t", F.year("day").alias("year"), F.datediff("day", F.make_date(F.year("day"), F.lit(1), F.lit(16))).alias("step"))
+    lai = placed.join(leaves, ["cell", "year", "step"]).select("cell", "t", "lai")
+    return joins.merge_variables(["cell", "t"], years.select("cell", "t", F.col("value").alias("tas")), lai)
+
+
+_MET = "SELECT cell, CAST(day AS TIMESTAMP) AS t, value FROM v_daily UNION ALL SELECT cell, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR, value * 1.1 FROM (SELECT *, max(day) OVER (PARTITION BY cell) AS last FROM v_daily) WHERE day < last"
+_COVER = "SELECT cell, year(day) AS year, month(day) AS month, greatest(-ln(1 - avg(value) / 60) / 0.5, 0.01) * 0.6 + greatest(-ln(1 - avg(value) / 100) / 0.5, 0.01) * 0.4 AS lai FROM v_daily GROUP BY ALL"
 
 
-@query("c11_land_surface_table")
+@query("c11_land_surface_table", duck("v_daily", f"""SELECT m.cell, m.t, m.value + 273.15 AS tas, s.lai FROM (
+  SELECT *, min(t) OVER (PARTITION BY cell) AS a, max(t) OVER (PARTITION BY cell) AS b FROM ({_MET} UNION ALL SELECT cell, CAST(max(day) AS TIMESTAMP) + INTERVAL 12 HOUR, arg_max(value, day) FROM v_daily GROUP BY cell)) m
+  LEFT JOIN ({spline_sql(f"({_COVER})", "cell", "lai")}) s ON s.cell = m.cell AND s.year = year(m.t) AND s.step = date_diff('day', make_date(year(m.t), 1, 16), CAST(m.t AS DATE))
+  WHERE CAST(a AS DATE) <= make_date(year(t), 1, 1) AND CAST(b AS DATE) >= make_date(year(t), 12, 31)""", "tas lai"))
 def c11(v: Views) -> DataFrame:
+    """Half-days; each cell's last day lacks its second half."""
     daily = v.v_daily
+    last = daily.groupBy("cell").agg(F.max("day").alias("last"))
+    morning = daily.select("cell", F.col("day").cast("timestamp_ntz").alias("t"), "value")
+    evening = daily.join(last, "cell").filter("day < last").select("cell", (F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOUR")).alias("t"), F.col("value") * 1.1)
     cover = daily.groupBy("cell", F.year("day").alias("year"), F.month("day").alias("month")).agg((F.avg("value") / 60).alias("wood"), (F.avg("value") / 100).alias("grass"), F.lit(0.6).alias("forest"))
-    return land_surface_table(daily, cover)
+    return land_surface_table(morning.union(evening), cover, 43_200)

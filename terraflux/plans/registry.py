@@ -30,27 +30,19 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*[(F.round(f"`{c}`", places) + F.lit(0.0)).alias(c) if kind in ("double", "float") else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
-def query(name: str, sql: str | None = None) -> Callable:
-    """Registers f(views) under a name."""
+def query(name: str, sql: str | None = None, also: str = "") -> Callable:
+    """Registers f(views) under a name, and under a second one that it had before."""
 
     def add(f: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: rounded(f(Views(spark, sf_dir)))
-        if sql:
-            SQL[name] = sql
+        for each in filter(None, (name, also)):
+            QUERIES[each] = lambda spark, sf_dir: rounded(f(Views(spark, sf_dir)))
+            if sql:
+                SQL[each] = sql
         return f
 
     return add
 
 
-def uncut(name: str, *cuts: str) -> str:
-    """The DuckDB text of a registered query without the given cuts."""
-    sql = SQL[name]
-    for cut in cuts:
-        assert cut in sql, cut
-        sql = sql.replace(cut, "")
-    return sql
-
-
 def duck(views: str, select: str, r: str = "") -> str:
     """DuckDB text: the views (in order of need), the select, and the columns r rounded to six places."""
     if not r:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,9 +66,18 @@ def s6(v: Views) -> DataFrame:
     return scans.scan_sites(v.spark, path)
 
 
-@query("s7_file_facts", duck("v_files", "SELECT var, name, 'tas' AS variable, name[19:24] AS start, name[26:31] AS \"end\" FROM v_files"))
+@query("s7_file_facts", duck("v_files", """SELECT var, name, 'tas' AS variable, name[19:24] AS start, name[26:31] AS "end", CAST(NULL AS VARCHAR) AS site, CAST(NULL AS DATE) AS date FROM v_files
+  UNION ALL SELECT event_type, n, split_part(n, '_', 1), NULL, NULL, event_type, CAST(d AS DATE) FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d, event_type || '_L6_' || strftime(ts, '%Y%j') || '.csv' AS n FROM events)
+  UNION ALL SELECT event_type, n, split_part(n, '_', 1), NULL, NULL, NULL, CAST(d AS DATE) FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d, 'x_' || event_type || '_' || strftime(ts, '%Y%m%d') || '.csv' AS n FROM events)"""))
 def s7(v: Views) -> DataFrame:
-    return scans.with_file_facts(v.v_files)
+    """Names of three kinds, as folders that rows are written to; the facts come from the scan's own paths."""
+    path = scratch(v.spark, "named")
+    days = v.events.select(F.col("event_type").alias("var"), F.col("ts").cast("date").alias("d")).distinct()
+    named = [F.concat("var", F.lit("_L6_"), F.date_format("d", "yyyyDDD"), F.lit(".csv")), F.concat(F.lit("x_"), "var", F.lit("_"), F.date_format("d", "yyyyMMdd"), F.lit(".csv"))]
+    files = reduce(DataFrame.union, [days.select("var", name.alias("name")) for name in named], v.v_files.select("var", "name"))
+    files.repartition("name").withColumn("path", F.col("name")).write.partitionBy("path").parquet(path)
+    seen = v.spark.read.parquet(path).select("var", scans.scanned_name(1).alias("name"))
+    return scans.with_file_facts(seen, "name", scans.FILE_FACTS | {"site": scans.SITE_FACT}).withColumn("date", scans.date_of_name(F.col("name")))
 
 
 @query("s8_add_time_column", duck("v_files", "SELECT var, name, make_date(CAST(name[19:22] AS BIGINT), CAST(name[23:24] AS BIGINT), 1) AS time FROM v_files"))
@@ -87,12 +98,16 @@ def s10(v: Views) -> DataFrame:
     return scans.scan_csv(v.spark, path, "lon double, lat double, month date, tas double", sep="\t")
 
 
-@query("s11_metric_tables", duck("v_stems", "SELECT start_visit AS date, plot, dead_kg, CASE WHEN height_m > 10 THEN height_m END AS height_m FROM v_stems WHERE dead_kg IS NOT NULL OR height_m > 10", "dead_kg height_m"))
+_METRICS = "SELECT 'dead_height' AS file, start_visit AS date, plot, dead_kg, CASE WHEN height_m > 10 THEN height_m END AS height_m FROM v_stems WHERE dead_kg IS NOT NULL OR height_m > 10 UNION ALL SELECT 'dead', start_visit, plot, dead_kg, NULL FROM v_stems WHERE dead_kg IS NOT NULL"
+
+
+@query("s11_metric_tables", duck("v_stems", _METRICS, "dead_kg height_m"))
 def s11(v: Views) -> DataFrame:
     path = scratch(v.spark, "metrics")
     stems = v.v_stems.select(F.col("start_visit").alias("date"), "plot", "dead_kg", F.when(F.col("height_m") > 10, F.col("height_m")).alias("height_m"))
     sinks.write_metric_tables(stems, ["date", "plot"], {"dead_height": ["dead_kg", "height_m"], "dead": ["dead_kg"]}, path)
-    return scans.scan_csv(v.spark, f"{path}/dead_height", "date date, plot bigint, dead_kg double, height_m double")
+    both = scans.scan_csv(v.spark, f"{path}/dead_height", "date date, plot bigint, dead_kg double, height_m double").withColumn("file", F.lit("dead_height"))
+    return both.unionByName(scans.scan_csv(v.spark, f"{path}/dead", "date date, plot bigint, dead_kg double").withColumn("file", F.lit("dead")), allowMissingColumns=True)
 
 
 @query("s12_write_cell_major", duck("v_series", "SELECT site, t, value FROM v_series", "value"))
@@ -117,18 +132,9 @@ def s14(v: Views) -> DataFrame:
     return v.spark.read.text(path)
 
 
-@query("s15_file_digests", "SELECT sha256(text) AS sha256, count(*) AS n FROM documents WHERE doc_id % 20 = 0 GROUP BY 1")
+@query("s15_file_digests", "SELECT sha256(text) AS sha256, count(*) AS n FROM documents GROUP BY 1", also="s15_file_digests_whole")
 def s15(v: Views) -> DataFrame:
-    path = scratch(v.spark, "files")
-    texts = v.documents.filter("doc_id % 20 = 0").select("doc_id", "text")  # a file for each of these
-    texts.write.partitionBy("doc_id").text(path, lineSep="\x1e")
-    digests = scans.file_digests(v.spark, path).filter("path LIKE '%.txt'")
-    whole = v.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
-    return digests.join(whole.select("path", "content"), "path").select(F.sha2(F.expr("substring(content, 1, length(content) - 1)"), 256).alias("sha256")).groupBy("sha256").agg(F.count("*").alias("n"))
-
-
-@query("s15_file_digests_whole", "SELECT sha256(text) AS sha256, count(*) AS n FROM documents GROUP BY 1")
-def s15_whole(v: Views) -> DataFrame:
+    """Every document, up to a hundred in a file."""
     path = scratch(v.spark, "packed")
     sinks.write_packed_texts(v.documents, "text", path)
     return scans.packed_digests(v.spark, path).groupBy("sha256").agg(F.count("*").alias("n"))

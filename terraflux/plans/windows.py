@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraflux import model
 from terraflux.functions import generators as gen
 from terraflux.operators import windows as win
-from terraflux.plans.registry import Views, duck, query, uncut
+from terraflux.plans.registry import Views, duck, query
 
 #: Linear interpolation over nulls of q(key, x, y), as SQL.
 FILLED = """SELECT k, x, coalesce(y, py + (ny - py) / nullif(nx - px, 0) * (x - px), py, ny) AS y FROM (SELECT *,
@@ -40,13 +40,8 @@ def w3(v: Views) -> DataFrame:
 
 
 @query("w4_neighbour_mean", duck("v_series", """SELECT site, i, coalesce(value, CASE WHEN len(near) >= 4 THEN list_avg(list_transform(near[1:4], lambda s: s.v)) END) AS value FROM (
-  SELECT a.site, a.i, a.value, list({'v': b.value} ORDER BY abs(b.i - a.i), -b.i) FILTER (b.value IS NOT NULL) AS near FROM v_series a JOIN v_series b ON a.site = b.site AND b.i BETWEEN a.i - 12 AND a.i + 12 GROUP BY a.site, a.i, a.value)""", "value"))
+  SELECT a.site, a.i, a.value, list({'v': b.value} ORDER BY abs(b.i - a.i), -b.i) FILTER (b.value IS NOT NULL) AS near FROM v_series a JOIN v_series b ON a.site = b.site GROUP BY a.site, a.i, a.value)""", "value"), also="w4_neighbour_mean_whole")
 def w4(v: Views) -> DataFrame:
-    return win.neighbour_mean(v.v_series, "site", "i", "value", 4, 12).select("site", "i", "value")
-
-
-@query("w4_neighbour_mean_whole", uncut("w4_neighbour_mean", " AND b.i BETWEEN a.i - 12 AND a.i + 12"))
-def w4_whole(v: Views) -> DataFrame:
     return win.neighbour_mean(v.v_series, "site", "i", "value", 4).select("site", "i", "value")
 
 
@@ -112,13 +107,8 @@ def w14(v: Views) -> DataFrame:
     return win.full_years_only(v.v_daily, "cell", "day")
 
 
-@query("w15_complete_days", duck("v_series", "SELECT site, t, value FROM v_series WHERE i < 710 UNION ALL SELECT site, t + INTERVAL 1 HOUR * k, value FROM (SELECT *, unnest(range(1, 24 - CAST(hour(t) AS INTEGER))) AS k FROM v_series WHERE i = 709)", "value"))
+@query("w15_complete_days", duck("v_hours", "SELECT site, t, value FROM v_hours UNION ALL SELECT site, t + INTERVAL 1 HOUR * k, value FROM (SELECT *, unnest(range(1, 24 - CAST(hour(t) AS INTEGER))) AS k FROM (SELECT *, max(t) OVER (PARTITION BY site) AS last FROM v_hours) WHERE t = last)", "value"), also="w15_complete_days_whole")
 def w15(v: Views) -> DataFrame:
-    return win.complete_days(v.v_series.withColumn("t", F.col("t").cast("timestamp_ntz")).filter("i < 710"), "site", "t", "value", 3600)
-
-
-@query("w15_complete_days_whole", duck("v_hours", "SELECT site, t, value FROM v_hours UNION ALL SELECT site, t + INTERVAL 1 HOUR * k, value FROM (SELECT *, unnest(range(1, 24 - CAST(hour(t) AS INTEGER))) AS k FROM (SELECT *, max(t) OVER (PARTITION BY site) AS last FROM v_hours) WHERE t = last)", "value"))
-def w15_whole(v: Views) -> DataFrame:
     """All hours with data; each site's last one is where its own events end."""
     return win.complete_days(v.v_hours.withColumn("t", F.col("t").cast("timestamp_ntz")), "site", "t", "value", 3600)
 
@@ -129,7 +119,13 @@ def w16(v: Views) -> DataFrame:
     return win.dedupe_sources(raw, "site", "source", (*model.DUPLICATE_SITES_ALLOWED, "click"))
 
 
-@query("w17_spline_monthly")
+def spline_sql(monthly: str, key: str, value: str) -> str:
+    """DuckDB: (key, year, step, value) of spline_monthly() on monthly(key, year, month, value), its weights as a table."""
+    weights = ", ".join(f"({k}, {s}, {w!r})" for k, s, w in win.monthly_weights())
+    return f"""SELECT {key}, year, step, least(greatest(sum(w * {value}), 0.01), 12.0) AS {value} FROM (SELECT *, unnest([month + 2, month - 10, month + 14]) AS knot FROM {monthly}) JOIN (VALUES {weights}) w(knot, step, w) USING (knot) GROUP BY {key}, year, step"""
+
+
+@query("w17_spline_monthly", duck("v_daily", spline_sql("(SELECT cell, year(day) AS year, month(day) AS month, avg(value) / 10 AS lai FROM v_daily GROUP BY ALL)", "cell", "lai"), "lai"))
 def w17(v: Views) -> DataFrame:
     monthly = v.v_daily.groupBy("cell", F.year("day").alias("year"), F.month("day").alias("month")).agg((F.avg("value") / 10).alias("lai"))
     return win.spline_monthly(monthly, "cell", "year", "month", "lai")
@@ -137,11 +133,9 @@ def w17(v: Views) -> DataFrame:
 
 @query("g1_time_grid", duck("v_raw", "SELECT site, unnest(generate_series(min(date_trunc('day', ts)), max(date_trunc('day', ts)), INTERVAL 30 MINUTE)) AS t FROM v_raw GROUP BY site"))
 def g1(v: Views) -> DataFrame:
-    days = v.v_raw.select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("t"))
-    first_last = v.v_raw.groupBy("site").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     day = lambda c: F.date_trunc("day", c).cast("timestamp_ntz")
-    grid = gen.axis_of(days, "t", "30 minutes")
-    return first_last.join(grid, F.col("t").between(day("a"), day("b"))).select("site", "t")
+    spans = v.v_raw.groupBy("site").agg(day(F.min("ts")).alias("a"), day(F.max("ts")).alias("b"))
+    return gen.time_grid(spans, ["site"], "a", "b", "30 minutes")
 
 
 @query("g2_month_grid", duck("v_daily", "SELECT CAST(unnest(generate_series(date_trunc('month', min(day)), date_trunc('month', max(day)), INTERVAL 1 MONTH)) AS DATE) AS month FROM v_daily"))
@@ -159,7 +153,12 @@ def g4(v: Views) -> DataFrame:
     return gen.repeat_first_year(v.v_daily, "cell", "day", 3)
 
 
-@query("g5_synthetic_years")
+_DRAWN = "sqrt(-2 * ln(u1)) * cos(2 * pi() * u2)"
+
+
+@query("g5_synthetic_years", duck("v_daily", f"""SELECT cell, day, value FROM v_daily UNION ALL SELECT cell, CAST(make_date(CAST(y AS BIGINT), 1, 1) + CAST(doy - 1 AS INTEGER) AS DATE), greatest(least(mean + sd * {_DRAWN}, 50.0), 0.0)
+  FROM (SELECT *, (CAST('0x' || m[1:13] AS BIGINT) + 0.5) / 4503599627370496 AS u1, (CAST('0x' || m[17:29] AS BIGINT) + 0.5) / 4503599627370496 AS u2 FROM (SELECT *, md5('7|' || cell || '|' || y || '|' || doy) AS m
+  FROM (SELECT cell, dayofyear(day) AS doy, avg(value) AS mean, coalesce(stddev_pop(value), 0) AS sd FROM v_daily GROUP BY 1, 2 HAVING doy <= 365) JOIN (SELECT cell, unnest(range(min(year(day)) - 3, min(year(day)))) AS y FROM v_daily GROUP BY cell) USING (cell)))""", "value"))
 def g5(v: Views) -> DataFrame:
     return gen.synthetic_years(v.v_daily, "cell", "day", "value", 3, 7, 0, 50)
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraflux.functions.scalars import make_time
+
 
 def scan_series(spark: SparkSession, path: str | list[str], variables: list[str]) -> DataFrame:
     """The named columns of one or many files; others are not read."""
@@ -66,12 +68,26 @@ def scan_sites(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return rows.filter("lon IS NOT NULL AND lat IS NOT NULL").filter(F.when(valid, True).otherwise(F.raise_error(F.concat(F.lit("coordinates out of range: "), F.col("site"))).cast("boolean")))
 
 
-#: Named parts of file names: pattern and (column, group, type).
+#: Named parts of file names, the first group of each pattern: names such as tas_..._199501-199501.nc and Site_L6_2004.csv.
 FILE_FACTS = {
     "variable": r"^([A-Za-z0-9]+)_",
     "start": r"_(\d{6})-\d{6}\.",
     "end": r"_\d{6}-(\d{6})\.",
 }
+SITE_FACT = r"^([A-Za-z]+)(?:_L\d|_\d{4})"
+
+
+def scanned_name(level: int = 0) -> Column:
+    """The name of the file that a row was read from, or of its folder so many levels up (of a key=name folder the name)."""
+    part = F.element_at(F.split(F.url_decode("_metadata.file_path"), "/"), -1 - level)
+    return F.regexp_replace(part, r"^[A-Za-z_]+=", "")
+
+
+def date_of_name(name: Column) -> Column:
+    """The date of a name with year and day of the year (2000057), or year, month and day (20000226); null if it has neither."""
+    year_day, day = F.regexp_extract(name, r"(?:^|\D)(\d{7})(?:\D|$)", 1), F.regexp_extract(name, r"(?:^|\D)(\d{8})(?:\D|$)", 1)
+    of_day = make_time(year=F.nullif(F.substr(year_day, F.lit(1), F.lit(4)), F.lit("")).cast("int"), doy=F.nullif(F.substr(year_day, F.lit(5), F.lit(3)), F.lit("")).cast("int"))
+    return F.coalesce(of_day.cast("date"), F.to_date(F.try_to_timestamp(F.nullif(day, F.lit("")), F.lit("yyyyMMdd"))))
 
 
 def with_file_facts(df: DataFrame, name: str | Column = "name", patterns: dict[str, str] | None = None) -> DataFrame:
@@ -120,7 +136,8 @@ def arrays_to_long(df: DataFrame, keys: list[str], axis: str, values: str, index
 
 def long_to_arrays(df: DataFrame, keys: list[str], axis: str, value: str, full: DataFrame) -> DataFrame:
     """A dense array per key over all values of the axis table full, missing ones null, in the axis' order."""
-    grid = df.select(*keys).distinct().crossJoin(F.broadcast(full.select(axis).distinct()))  # one coordinate of a grid
+    axis_values = full.agg(F.collect_set(axis).alias("__axis"))  # one row with the values of one coordinate
+    grid = df.select(*keys).distinct().join(F.broadcast(axis_values)).withColumn(axis, F.explode("__axis")).drop("__axis")
     dense = grid.join(df, [*keys, axis], "left")
     return dense.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(axis, value))).alias("x")).select(*keys, F.col("x").getField(axis).alias(axis), F.col("x").getField(value).alias(value))
 

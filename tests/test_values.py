@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terraflux.functions import scalars
 from terraflux.operators import filters, tables
+from terraflux.sources import scans
 
 
 def series(spark, values):
@@ -103,6 +104,26 @@ def test_times_and_places(spark):
     assert spark.range(1).select(x.alias("x"), y.alias("y")).first() == pytest.approx((0.0, 0.0), abs=1e-9)
 
 
+def test_made_times(spark):
+    i = lambda *x: [F.lit(v) for v in x]
+    y, m, d, h, n, sec = i(2004, 2, 29, 7, 5, 9)
+    row = spark.range(1).select(
+        scalars.make_time(year=y, doy=F.lit(366)).alias("a"), scalars.make_time(year=y, doy=F.lit(59), base=0).alias("b"), scalars.make_time(year=y, month=m, day=d, hour=h).alias("c"),
+        scalars.make_time(year=y, month=m, day=d, hour=h, minute=n, second=sec).alias("d"), scalars.make_time(text=F.lit("29/02/2004 07:05"), pattern="dd/MM/yyyy HH:mm").alias("e"),
+        scalars.make_time(text=F.lit("x"), pattern="dd/MM/yyyy").alias("f"), scalars.make_time(year=y, month=F.lit(13), day=d).alias("g"), scalars.steps_between(F.lit("2004-02-28 00:00:00"), F.lit("2004-02-29 00:50:00"), 30).alias("n"),
+    ).first()
+    assert [str(x) for x in (row.a, row.b, row.c, row.d, row.e)] == ["2004-12-31 00:00:00", "2004-02-29 00:00:00", "2004-02-29 07:00:00", "2004-02-29 07:05:09", "2004-02-29 07:05:00"]
+    assert row.f is None and row.g is None and row.n == 49
+    with pytest.raises(ValueError):
+        scalars.make_time(year=y)
+
+
+def test_dates_of_names(spark):
+    names = ["GPP_2000057_Mean.tif", "x_20040229.csv", "tas_199501-199501.nc", "Site_L6_2001365.csv", ""]
+    got = spark.createDataFrame([(n,) for n in names], "name string").select(scans.date_of_name(F.col("name")).alias("d"))
+    assert [str(r.d) for r in got.collect()] == ["2000-02-26", "2004-02-29", "None", "2001-12-31", "None"]
+
+
 def test_plot_area_falls_back_on_its_plot(spark):
     df = spark.createDataFrame([(1, "20 m", "10 m"), (1, None, "10 m"), (2, "5 m", None), (2, "5 m", "100 cm")], "plot int, length string, width string")
     assert sorted(r.area_m2 for r in tables.plot_area(df, "plot", "length", "width").collect()) == [5, 5, 200, 200]
