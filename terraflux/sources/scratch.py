@@ -8,10 +8,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where that is unset, as in tests on one machine, a new one of our own.
+
+    On a cluster a local folder is of no use to the executors, so that an unset one is an error there.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="terraflux-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of spark.checkpoint.dir; where that is unset (tests) in one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="terraflux-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, below one of this application, which clear_scratch() deletes."""
+    return f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what this application has put into the shared folder. Results that are not written yet read from there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _own(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/terraflux-{spark.sparkContext.applicationId}"
