@@ -5,7 +5,8 @@ user, <s>..</s> for the assistant, [ROLE]role[TEXT]..[/ROLE] for any other role.
 does not come back from the parser as it is, is escaped: backslashes are doubled, then one backslash is put into each
 mark after its bracket. As doubled runs are even, the single one tells marks in texts from real ones, and reading
 takes it out again. The parsed turns of each conversation are compared with the source; on a difference all its turns
-are escaped, and a conversation that still differs stops the job.
+are escaped, which needs no second time, as an escaped text holds no mark and each of its own runs is even. A
+conversation that still differed would come out with a null text and an error of its own.
 """
 
 from __future__ import annotations
@@ -69,21 +70,23 @@ def _returns(formatted: Column, turns: Column) -> Column:
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss): a row per conv_id with its text and the spans (begin from 0, n) of the assistant's texts.
+    """(conv_id, formatted, loss, error): a row per conv_id with its text, the spans (begin from 0, n) of the assistant's texts
+    and null, or what is wrong.
 
     Turns go by turn, then role and text, nulls first; repeated rows are turns of their own. Null texts and roles are
-    empty strings, an unknown role keeps its name, and rows without conv_id are one conversation. Other columns are
-    ignored; an empty table gives an empty result. A conversation is one value, so its turns meet in one row.
+    empty strings, an unknown role keeps its name, and each row without conv_id is a conversation of one turn. Other
+    columns are ignored; an empty table gives an empty result. A conversation is one value, so its turns meet in one row.
     """
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     plain = _block(F.col("role"), F.col("text"))
     clear = ~F.col("text").rlike(r"[\[<]" + TAIL) & (unescape(F.col("text")) == F.col("text"))
     rows = rows.withColumn("safe", _block(F.col("role"), escape(F.col("text")))).withColumn("block", F.when(clear, plain).otherwise(F.col("safe")))
-    chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "block", "safe"))).alias("turns"))
+    lone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    chats = rows.groupBy("conv_id", lone.alias("lone")).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "block", "safe"))).alias("turns"))
     for name in ("block", "safe"):
         chats = chats.withColumn(name, F.array_join(F.col("turns").getField(name), ""))
     formatted = F.when(_returns(F.col("block"), F.col("turns")), F.col("block")).when(_returns(F.col("safe"), F.col("turns")), F.col("safe"))
-    chats = chats.select("conv_id", F.coalesce(formatted, F.raise_error(F.lit("a conversation does not come back from its own format")).cast("string")).alias("formatted"))
+    chats = chats.select("conv_id", formatted.alias("formatted")).withColumn("error", F.when(F.col("formatted").isNull(), "does not come back from its own format"))
 
     places = F.transform(blocks(F.col("formatted")), lambda b: F.struct(_turn(b).alias("t"), F.length(b).alias("length")))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,n:int>>").alias("spans"))
@@ -94,7 +97,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
             F.when(p["t"]["role"] == "assistant", F.array_append(s["spans"], F.struct((s["at"] + p["t"]["begin"]).alias("begin"), p["t"]["n"].alias("n")))).otherwise(s["spans"]).alias("spans"),
         ),
     )
-    return chats.select("conv_id", "formatted", spans["spans"].alias("loss"))
+    return chats.select("conv_id", "formatted", spans["spans"].alias("loss"), "error")
 
 
 def digests(chats: DataFrame) -> DataFrame:

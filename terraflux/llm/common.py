@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraflux.sources.scratch import scratch
+
 #: The white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,24 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="terraflux-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends here, a lost executor costs nothing above it.
 
-    Parquet rather than checkpoint(): compressed, and the planner sees the true size of what follows.
+    Parquet rather than checkpoint(): compressed, and the planner sees the true size of what follows. Results read from
+    these files; clear_scratch() deletes them once the results are written.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(text: str | Column = "text") -> Column:

@@ -67,22 +67,34 @@ def budgets(leaves: DataFrame, budget: tuple[int, int], max_epochs: int, weights
     return leaves.join(above.withColumnRenamed("budget", "alloc"), list(LEVELS)).drop("cap")
 
 
-def mix(docs: DataFrame, *, domain: Column | None = None, budget: tuple[int, int] = BUDGET, max_epochs: int = MAX_EPOCHS, weights: dict[str, dict[str, int]] = WEIGHTS, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, *, domains: DataFrame | None = None, budget: tuple[int, int] = BUDGET, max_epochs: int = MAX_EPOCHS, weights: dict[str, dict[str, int]] = WEIGHTS, seed: str = SEED, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """A row for each reading of a document: doc_id, domain, lang, source, epoch (from 0), n_tokens.
 
+    domains(source, domain) is a table of at most max_broadcast rows, each source once; sources that it lacks are of the
+    domain "". Without it domain_of() tells the domains.
+
     Tokens are words between ASCII white space. Null languages and sources are leaves named "". A document without
-    tokens costs nothing and is read where the order reaches it; a null text has none. A null doc_id is ordered as
-    "". Repeated rows are documents of their own. Other columns are ignored; an empty table gives an empty result.
+    tokens costs nothing and is read where the order reaches it; a null text has none. A row without doc_id is ordered by
+    a digest of its text. Repeated rows are documents of their own. A table without lang or source counts as one of nulls.
+    Other columns are ignored; an empty table gives an empty result. The windows go over the sums of a leaf's ranges, at
+    most 65,536 rows, and over the documents of the one range in which its budget ends.
     """
-    source = F.coalesce("source", F.lit(""))
+    named = lambda c: F.coalesce(F.col(c), F.lit("")) if c in docs.columns else F.lit("")
+    source = named("source")
     tokens = F.regexp_count(text_or_empty(), F.lit(f"[^{WHITE[1:]}+")).cast("long")
-    rows = cut(docs.select("doc_id", (domain_of(source) if domain is None else F.coalesce(domain, F.lit(""))).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"), tokens.alias("n_tokens")), "mix-rows")
+    rows = docs.select("doc_id", domain_of(source).alias("domain"), named("lang").alias("lang"), source.alias("source"), tokens.alias("n_tokens"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.md5(text_or_empty()))).alias("order"))
+    if domains is not None:
+        if domains.limit(max_broadcast + 1).count() > max_broadcast:
+            raise ValueError(f"more than {max_broadcast} sources with a domain")
+        known = domains.select(F.coalesce("source", F.lit("")).alias("source"), F.col("domain").alias("known"))
+        rows = rows.join(F.broadcast(known), "source", "left").withColumn("domain", F.coalesce("known", F.lit(""))).drop("known")
+    rows = cut(rows, "mix-rows")
     leaves = cut(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
     plan = budgets(leaves, budget, max_epochs, weights).filter("alloc > 0")
     plan = cut(plan.withColumn("whole", F.floor(F.col("alloc") / F.col("tokens")).cast("int")).withColumn("rest", F.col("alloc") - F.col("whole") * F.col("tokens")).select(*LEVELS, "whole", "rest"), "mix-plan")
-    small = plan.count() <= MAX_BROADCAST
+    small = plan.count() <= max_broadcast
     near = F.broadcast if small else (lambda x: x)
-    keyed = rows.join(near(plan), list(LEVELS)).withColumn("place", F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    keyed = rows.join(near(plan), list(LEVELS)).withColumn("place", F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), "order")))
     keyed = keyed.withColumn("range", F.substr("place", F.lit(1), F.lit(4)))
     sums = keyed.groupBy(*LEVELS, "rest", "range").agg(F.sum("n_tokens").alias("n"))
     up_to = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("range").rowsBetween(Window.unboundedPreceding, 0))

@@ -1,7 +1,10 @@
 """Operators against brute force on the smallest tables, and accuracy where there is no exact answer."""
 
+import math
 import os
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +127,95 @@ def test_substring_dedup(spark, hot, monkeypatch):
     assert got == want
 
 
+def plain_ftrl(examples, epochs):
+    """One example at a time, sums of gradients and of their squares in dicts."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + math.sqrt(n.get(i, 0.0))) / quality.ALPHA + quality.L2)
+
+    for _ in range(epochs):
+        for slots, label in examples:
+            x = {int(s): c / math.sqrt(len(slots)) for s, c in Counter(slots.tolist()).items()}
+            x[-1] = 1.0
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / quality.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_against_plain_python():
+    rng = random.Random(6)
+    good, bad = [[f"{c}{i}" for i in range(60)] for c in "gb"]
+    texts_ = [(" ".join(rng.choice(good if i % 2 else bad if rng.random() < 0.7 else good) for _ in range(rng.randrange(1, 40))).encode(), i % 2) for i in range(300)]
+    slots, first = quality.features([t for t, _ in texts_])
+    examples = [(slots[first[i] : first[i + 1]], label) for i, (_, label) in enumerate(texts_)]
+    w, bias = quality.train(examples, 3)
+    want = plain_ftrl(examples, 3)
+    assert abs(bias - want.pop(-1)) < 1e-9
+    assert {i for i, v in enumerate(w) if v} == {i for i, v in want.items() if v}
+    assert max(abs(w[i] - v) for i, v in want.items()) < 1e-9
+
+
+def shingled(text, k):
+    words = (text or "").translate({c: c + 32 for c in range(65, 91)}).split()
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} if words else set()
+
+
+def hits(text, windows, lengths):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    hit = {i + k for n in lengths for i in range(len(words) - n + 1) if tuple(words[i : i + n]) in windows for k in range(n)}
+    return len(words), len(hit)
+
+
+@needs_tables
+def test_stages_against_brute_force(spark):
+    """Every stage at its production parameters on the documents of a table and on the cases that tables seldom have: nulls,
+    empty and repeated rows, an extra column."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp string"
+    rows = [(*r, "x") for r in spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS).orderBy("doc_id").collect()]
+    rows += [(None, "orphan", None, None, None, None), (10**6, None, None, "src1", 0, None), (10**6 + 1, "", "en", None, 0, None), rows[0], rows[1]]
+    docs_ = spark.createDataFrame(rows, schema)
+    kept = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    pairs = [(r[0], r[1]) for r in rows]
+
+    w, bias = quality.fit(docs_, spark.read.parquet(f"{SF}/labels.parquet"))
+    scored = {(r.doc_id, r.text) for r in docs_.join(quality.score(docs_, w, bias).filter("predicted = 1").select(F.col("doc_id").alias("d")).distinct(), F.col("doc_id").eqNullSafe(F.col("d"))).collect()}
+    assert kept(stages["quality"](spark, docs_, SF)) == sorted((p for p in pairs if p in scored), key=repr)
+
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    best = {}
+    for i, t in pairs:
+        order = (-len(t or ""), i is None, i or 0)
+        best[norm(t)] = min(best.get(norm(t), (order, i, t)), (order, i, t), key=lambda b: b[0])
+    exact = stages["exact_dedup"](spark, docs_, SF)
+    assert exact.columns == docs_.columns and kept(exact) == sorted(((i, t) for _, i, t in best.values()), key=repr)
+
+    sets = {i: shingled(t, 5) for i, t in pairs if i is not None and shingled(t, 5)}
+    groups = components_of([(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    assert len(set(groups.values())) > 3
+    assert kept(stages["near_dedup"](spark, docs_, SF)) == sorted((p for p in pairs if groups.get(p[0], p[0]) == p[0]), key=repr)
+
+    items = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").translate({c: c + 32 for c in range(65, 91)})) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    windows = {tuple(x[i : i + min(13, len(x))]) for x in items if x for i in range(len(x) - min(13, len(x)) + 1)}
+    lengths = {len(x) for x in windows}
+    clean = [p for p in pairs if not (lambda n, h: h > 0 and 20 * h >= n)(*hits(p[1], windows, lengths))]
+    assert 0 < len(pairs) - len(clean) and kept(stages["decontamination"](spark, docs_, SF)) == sorted(clean, key=repr)
+    assert stages["mixing"](spark, docs_, SF).count() > 0
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs_.filter("false"), SF)
+        assert none.count() == 0 and (name == "mixing" or none.columns == docs_.columns), name
+
+
 @needs_tables
 def test_quality_on_the_held_out_third(spark):
     scored = quality.op8_quality(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").filter("held_out")

@@ -154,7 +154,9 @@ def test_chat_format(spark):
     own = "".join(x or "" for x in marks)
     assert (by[1].loss_chars, by[1].loss_sha256) == (len(own), hashlib.sha256(own.encode()).hexdigest()) and said
     assert by[50].n_turns == 3 and by[51].loss_chars == 0
-    assert chat_format.format_chats(told.filter("false")).count() == 0
+    assert chat_format.format_chats(told.filter("false")).count() == 0 and chats.filter("error IS NOT NULL").count() == 0
+    lone = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
+    assert result(chat_format.digests(chat_format.format_chats(lone)), "conv_id", "n_turns", "loss_chars") == [(None, 1, 0), (None, 1, 1)]
 
 
 def test_url_filter(spark):
@@ -341,6 +343,11 @@ def test_mixing(spark):
     lots = mixing.mix(table, budget=(10, 1), max_epochs=2)
     assert lots.agg(F.max("epoch")).first()[0] == 1 and lots.agg(F.sum("n_tokens")).first()[0] == 2 * total
     assert mixing.mix(docs(spark, [])).count() == 0
+    assert result(mixing.mix(table, budget=(1, 2), max_broadcast=0), "doc_id", "epoch", "n_tokens") == result(out, "doc_id", "epoch", "n_tokens")
+    named = mixing.mix(table, domains=spark.createDataFrame([("src0", "web"), ("src1", "books")], "source string, domain string"), budget=(1, 1))
+    assert {(r.source, r.domain) for r in named.collect()} == {("src0", "web"), ("src1", "books"), ("src2", ""), ("", "")}
+    bare = mixing.mix(table.select("doc_id", "text"), budget=(1, 1))
+    assert bare.agg(F.sum("n_tokens")).first()[0] == total and {(r.domain, r.lang, r.source) for r in bare.collect()} == {("community", "", "")}
 
 
 def test_html(spark):
