@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,36 +66,49 @@ def minima(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+#: Texts that a worker holds as Python strings at a time.
+SLICE = 500
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE):
+            yield batch.slice(begin, SLICE)
+
+
 def sketches(docs: DataFrame, k: int, n_hashes: int) -> DataFrame:
     """(doc_id, fp, n_shingles, ka, kb, sig): fp is a hash of the text, ka and kb are the 128-bit digest of the set."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _parameters(n_hashes)
-        for batch in batches:
-            out = {"doc_id": batch["doc_id"], "fp": batch["fp"], "n_shingles": [], "ka": [], "kb": [], "sig": []}
-            for text in batch["text"]:
-                found = shingles(text, k)
-                ka, kb = _digest(found)
-                out["n_shingles"].append(len(found))
-                out["ka"].append(ka)
-                out["kb"].append(kb)
-                out["sig"].append(minima(found, a, b) if len(found) else None)
-            yield pd.DataFrame(out)
+        for batch in _slices(batches):
+            sizes, keys, sigs = [], [], []
+            for text in batch.column(2):
+                found = shingles(text.as_py(), k)
+                sizes.append(len(found))
+                keys.append(_digest(found))
+                sigs.append(minima(found, a, b) if len(found) else None)
+            keys = np.array(keys, np.int64).reshape(-1, 2)
+            ends = np.cumsum([0] + [0 if s is None else n_hashes for s in sigs]).astype(np.int32)
+            none = pa.array([s is None for s in sigs], pa.bool_())
+            sig = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([s for s in sigs if s is not None] or [np.empty(0, np.int32)])), mask=none)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), sig], ["doc_id", "fp", "n_shingles", "ka", "kb", "sig"])
 
     read = docs.select(F.col("doc_id").cast("long"), _fingerprint().alias("fp"), "text")
-    return read.mapInPandas(run, "doc_id long, fp long, n_shingles long, ka long, kb long, sig array<int>")
+    return read.mapInArrow(run, "doc_id long, fp long, n_shingles long, ka long, kb long, sig array<int>")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     """(ka, kb, items): the full set of each document and its digest."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingles(t, k) for t in batch["text"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            sets = [shingles(text.as_py(), k) for text in batch.column(0)]
             keys = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"ka": keys[:, 0], "kb": keys[:, 1], "items": [s.view(np.int64) for s in sets]})
+            items = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), items], ["ka", "kb", "items"])
 
-    return docs.select("text").mapInPandas(run, "ka long, kb long, items array<long>")
+    return docs.select("text").mapInArrow(run, "ka long, kb long, items array<long>")
 
 
 def _digest(found: np.ndarray) -> np.ndarray:

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,23 +89,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, epoch
     chosen = F.broadcast(usable.withColumn("place", order).filter(F.col("place") < share * 1_000_000))  # max_train rows of 20 bytes
     sample = docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("shard", F.col("place") % SHARDS)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["place", "doc_id", "text"])
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.select(["place", "doc_id", "text", "quality"]).sort_by([("place", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
         examples = []
-        labels_ = rows["quality"].tolist()
-        for begin, texts in chunks(rows["text"].tolist()):
+        labels_ = rows["quality"].to_pylist()
+        for begin, texts in chunks(rows["text"].to_pylist()):
             slots, first = features(texts)
             examples += [(slots[first[i] : first[i + 1]], labels_[begin + i]) for i in range(len(texts))]
         w, bias = train(examples, epochs)
         at = np.flatnonzero(w)
-        return pd.DataFrame({"slot": np.append(at, -1), "w": np.append(w[at], bias)})
+        return pa.table({"slot": pa.array(np.append(at, -1), pa.int32()), "w": np.append(w[at], bias)})
 
-    parts = sample.groupBy("shard").applyInPandas(run, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w"), F.count("*").alias("n")).toPandas()
-    shards = max(1, int(parts.loc[parts["slot"] == -1, "n"].sum()))
+    summed = sample.groupBy("shard").applyInArrow(run, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w"), F.count("*").alias("n"))
+    found = summed.toArrow()  # at most a row per slot
+    slot, total, n = (found[c].to_numpy() for c in ("slot", "w", "n"))
+    shards = max(1, int(n[slot == -1].sum()))
     w = np.zeros(1 << BITS, np.float32)
-    inner = parts[parts["slot"] >= 0]
-    w[inner["slot"]] = inner["w"] / shards
-    return w, float(parts.loc[parts["slot"] == -1, "w"].sum() / shards)
+    w[slot[slot >= 0]] = total[slot >= 0] / shards
+    return w, float(total[slot == -1].sum() / shards)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], w: np.ndarray, bias: float) -> Iterator[pa.RecordBatch]:
