@@ -46,7 +46,7 @@ def fill_time_gaps(df: DataFrame, key: str, time: str, value: str, seconds: int)
     agree = (F.count(value) == 0) | ((F.count(value) == F.count("*")) & (F.min(value) == F.max(value)))
     refused = F.raise_error(F.concat(F.lit("different values at one time of series "), F.col(key).cast("string"))).cast("double")
     once = df.groupBy(key, time).agg(F.min(value).alias(value), agree.alias("__same")).select(key, time, F.when(F.col("__same"), F.col(value)).otherwise(refused).alias(value))
-    span = once.groupBy(key).agg(F.min(time).alias("a"), F.max(time).alias("b"))
+    span = df.groupBy(key).agg(F.min(time).alias("a"), F.max(time).alias("b"))
     grid = span.select(key, F.explode(F.sequence("a", "b", F.expr(f"interval {seconds} seconds"))).alias(time))
     full = grid.join(once, [key, time], "left").withColumn("__i", F.unix_timestamp(F.col(time).cast("timestamp"))).withColumn("__day", F.to_date(time))
     return interpolate_gaps(full, key, "__i", value, "__day").drop("__i", "__day")

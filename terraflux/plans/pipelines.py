@@ -129,7 +129,7 @@ def c4(v: Views) -> DataFrame:
     name = F.concat(F.lit("GPP_"), F.date_format("month", "yyyy"), F.lpad(F.dayofyear("month").cast("string"), 3, "0"), F.lit("_Mean"))
     rows = v.v_grid.select("lon", "lat", F.when(F.col("tas") < 0, 65535.0).otherwise(F.round(F.col("tas") * 100)).alias("gpp"), name.alias("name"))
     rows.repartition("name").write.partitionBy("name").parquet(path)
-    raster = v.spark.read.parquet(path).drop("name").select("lon", "lat", "gpp", scans.date_of_name(scans.scanned_name(1)).alias("date"))
+    raster = v.spark.read.schema("lon double, lat double, gpp double").parquet(path).select("lon", "lat", "gpp", scans.date_of_name(scans.scanned_name(1)).alias("date"))
     axes = (v.v_grid.select("lon").distinct(), v.v_grid.select("lat").distinct())
     return sets.order_observations(raster_samples(v.v_sites, raster, axes, "gpp", 0.01, (65535.0, 65534.0)), "site", "date")
 

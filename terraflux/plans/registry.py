@@ -26,8 +26,11 @@ class Views:
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles to six places, as on the SQL side; -0.0 becomes 0.0."""
-    return df.select(*[(F.round(f"`{c}`", places) + F.lit(0.0)).alias(c) if kind in ("double", "float") else F.col(f"`{c}`") for c, kind in df.dtypes])
+    """Doubles to six places, as on the SQL side; -0.0 becomes 0.0.
+
+    Sums of doubles differ in their last bits with the order of rows; what so lies on either side of a tie is moved off it.
+    """
+    return df.select(*[(F.round(F.col(f"`{c}`") + F.lit(1e-9), places) + F.lit(0.0)).alias(c) if kind in ("double", "float") else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
 def query(name: str, sql: str | None = None, also: str = "") -> Callable:
@@ -47,6 +50,6 @@ def duck(views: str, select: str, r: str = "") -> str:
     """DuckDB text: the views (in order of need), the select, and the columns r rounded to six places."""
     if not r:
         return f"{with_views(*views.split())} {select}" if views else select
-    parts = ", ".join(f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in r.split())
+    parts = ", ".join(f"round(CAST({c} AS DOUBLE) + 1e-9, 6) + 0.0 AS {c}" for c in r.split())
     head = with_views(*views.split()) + "," if views else "WITH"
     return f"{head} q_ AS ({select}) SELECT * REPLACE ({parts}) FROM q_"

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def test_time_gaps_and_conflicts(spark):
     assert [r.value for r in got] == pytest.approx([1, 2, 3.75, 5.5, 7.25, 9])
     for other in ([1.5], [None]):
         clash = rows.union(hourly(spark, other).selectExpr("site", "t", "CAST(value AS DOUBLE) AS value") if other[0] else hourly(spark, [0.0]).withColumn("value", F.lit(None).cast("double")))
-        with pytest.raises(PySparkException, match="different values"):
+        with pytest.raises((PySparkException, Py4JError), match="different values"):  # the latter if two tasks stop at once
             win.fill_time_gaps(clash, "site", "t", "value", 3600).collect()
 
 
