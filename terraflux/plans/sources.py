@@ -68,13 +68,13 @@ def s6(v: Views) -> DataFrame:
 
 @query("s7_file_facts", duck("v_files", """SELECT var, name, 'tas' AS variable, name[19:24] AS start, name[26:31] AS "end", CAST(NULL AS VARCHAR) AS site, CAST(NULL AS DATE) AS date FROM v_files
   UNION ALL SELECT event_type, n, split_part(n, '_', 1), NULL, NULL, event_type, CAST(d AS DATE) FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) AS d, event_type || '_L6_' || strftime(ts, '%Y%j') || '.csv' AS n FROM events)
-  UNION ALL SELECT event_type, n, split_part(n, '_', 1), NULL, NULL, NULL, CAST(d AS DATE) FROM (SELECT DISTINCT 'all' AS event_type, CAST(ts AS DATE) AS d, 'x_' || strftime(ts, '%Y%m%d') || '.csv' AS n FROM events)"""))
+  UNION ALL SELECT 'all', n, NULL, NULL, NULL, NULL, CAST(d AS DATE) FROM (SELECT DISTINCT CAST(ts AS DATE) AS d, 'x-' || strftime(ts, '%Y%m%d') || '.csv' AS n FROM events)"""))
 def s7(v: Views) -> DataFrame:
     """Names of three kinds, as folders that rows are written to; the facts come from the scan's own paths."""
     path = scratch(v.spark, "named")
     days = v.events.select(F.col("event_type").alias("var"), F.col("ts").cast("date").alias("d")).distinct()
     yearly = days.select("var", F.concat("var", F.lit("_L6_"), F.date_format("d", "yyyyDDD"), F.lit(".csv")).alias("name"))
-    daily = days.select(F.lit("all").alias("var"), F.concat(F.lit("x_"), F.date_format("d", "yyyyMMdd"), F.lit(".csv")).alias("name")).distinct()
+    daily = days.select(F.lit("all").alias("var"), F.concat(F.lit("x-"), F.date_format("d", "yyyyMMdd"), F.lit(".csv")).alias("name")).distinct()
     files = reduce(DataFrame.union, [yearly, daily], v.v_files.select("var", "name"))
     files.repartition("name").write.partitionBy("name").text(path)
     seen = v.spark.read.schema("value string").text(path).select(F.col("value").alias("var"), scans.scanned_name(1).alias("name"))
