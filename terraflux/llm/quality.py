@@ -22,6 +22,8 @@ from terraflux.llm.words import Words, chunks, mix
 BITS = 18
 #: Labelled documents that training takes at most (by the hash of their id, so give or take a few), and their shards.
 MAX_TRAIN, SHARDS, EPOCHS = 24_000, 4, 3
+#: Bytes of text that training takes at most (likewise); fewer documents are drawn if they are long. A shard needs about eight times its texts.
+MAX_TRAIN_BYTES = 96_000_000
 #: Learning rate and its offset, L1 and L2 of the leader's regularisation.
 ALPHA, BETA, L1, L2 = 0.1, 1.0, 0.05, 0.1
 
@@ -78,16 +80,21 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Weights and bias learned from at most about max_train labelled documents outside the held-out third.
+def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, max_bytes: int = MAX_TRAIN_BYTES, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+    """Weights and bias learned from at most about max_train labelled documents, of max_bytes in all, outside the held-out third.
 
     Null labels are left out. Without any labelled row all weights are 0.
     """
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna().filter(~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     share = min(1.0, max_train / max(1, usable.count()))
     order = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1_000_000))
-    chosen = F.broadcast(usable.withColumn("place", order).filter(F.col("place") < share * 1_000_000))  # max_train rows of 20 bytes
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("shard", F.col("place") % SHARDS)
+
+    def drawn(share: float) -> DataFrame:
+        chosen = F.broadcast(usable.withColumn("place", order).filter(F.col("place") < share * 1_000_000))  # max_train rows of 20 bytes
+        return docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("shard", F.col("place") % SHARDS)
+
+    size = drawn(share).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    sample = drawn(share * min(1.0, max_bytes / max(1, size)))
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.select(["place", "doc_id", "text", "quality"]).sort_by([("place", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])

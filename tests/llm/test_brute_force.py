@@ -220,9 +220,10 @@ def test_stages_against_brute_force(spark):
 def test_quality_on_the_held_out_third(spark):
     scored = quality.op8_quality(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").filter("held_out")
     rows = scored.select("quality", "predicted").collect()
-    assert sum(r.quality == r.predicted for r in rows) / len(rows) > 0.9
+    # measured: 1.0 and 1.0 here, 0.996 and 0.974 on the table of sf0.1
+    assert sum(r.quality == r.predicted for r in rows) / len(rows) > 0.98
     junk = [r for r in rows if r.quality == 0]
-    assert sum(r.predicted == 0 for r in junk) / len(junk) > 0.6
+    assert sum(r.predicted == 0 for r in junk) / len(junk) > 0.92
 
 
 @needs_tables

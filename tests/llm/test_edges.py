@@ -134,6 +134,8 @@ def test_quality(spark):
     assert all(out[i].predicted == 1 for i, _ in good) and all(out[i].predicted == 0 for i, _ in bad)
     kept = quality.drop_low_quality(table, labels)
     assert kept.columns == table.columns and kept.filter("doc_id >= 100 AND doc_id < 900").count() == 0
+    few = quality.fit(table, labels, max_bytes=400)
+    assert 0 < (few[0] != 0).sum() < (quality.fit(table, labels)[0] != 0).sum()
     none = quality.score(table, *quality.fit(table, labels.filter("false"))).collect()
     assert {r.score for r in none} == {0.5}
     assert quality.score(docs(spark, []), *quality.fit(docs(spark, []), labels)).count() == 0
