@@ -92,7 +92,23 @@ def inspect_time(df: DataFrame, key: str, time: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(time)
     seconds = F.unix_timestamp(F.col(time).cast("timestamp"))
     steps = df.select(key, time, (seconds - F.lag(seconds).over(w)).alias("d"))
-    out = steps.groupBy(key).agg(F.min(time).alias("first"), F.max(time).alias("last"), F.count("*").alias("n"), F.min("d").alias("step"), F.max("d").alias("__max"))
+    return _inspection(steps.groupBy(key).agg(F.min(time).alias("first"), F.max(time).alias("last"), F.count("*").alias("n"), F.min("d").alias("step"), F.max("d").alias("__max")), key)
+
+
+def inspect_grid(df: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
+    """W6 of series with gaps and a known step, by aggregates alone: n counts the steps from first to last, and a series is
+    uniform if all its times are whole steps from the first."""
+    at = F.unix_timestamp(F.col(time).cast("timestamp"))
+    on_grid = F.count_distinct(F.pmod(at, F.lit(seconds))) == 1
+    out = df.groupBy(key).agg(
+        F.min(time).alias("first"), F.max(time).alias("last"), (F.floor((F.max(at) - F.min(at)) / seconds) + 1).alias("n"),
+        F.lit(seconds).cast("bigint").alias("step"), F.when(on_grid, F.lit(seconds)).otherwise(-1).cast("bigint").alias("__max"),
+    )
+    return _inspection(out, key)
+
+
+def _inspection(out: DataFrame, key: str) -> DataFrame:
+    """(key, first, last, n, step, __max) with what inspect_time() says of them."""
     ends = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
     year = lambda c, plus: F.unix_timestamp(F.make_timestamp(F.year(c) + plus, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
     ok = F.col("step") > 0
@@ -125,7 +141,11 @@ def time_plan(df: DataFrame, key: str, time: str, minutes: int, start: str = "pa
     """
     if df.isEmpty():
         raise ValueError("no time steps")
-    plan = inspect_time(df, key, time)
+    return plan_of(inspect_time(df, key, time), key, minutes, start, end, max_pad)
+
+
+def plan_of(plan: DataFrame, key: str, minutes: int, start: str = "pad", end: str = "ignore", max_pad: int = 1) -> DataFrame:
+    """time_plan() of what inspect_time() or inspect_grid() tells."""
     ratio = F.lit(minutes * 60) / F.col("step")
     refused = F.coalesce(_refusal(key, start, end, max_pad), F.when(ratio != F.floor(ratio), F.concat(F.lit("an output step that is no multiple of the input step in series "), F.col(key).cast("string"))))
     plan = plan.withColumn("ratio", F.when(refused.isNull(), F.floor(ratio)).otherwise(F.raise_error(refused).cast("bigint")))

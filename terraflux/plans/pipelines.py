@@ -28,16 +28,16 @@ FORCING = {
 def site_forcing(raw: DataFrame, step: int, minutes: int, variables: dict[str, tuple] = FORCING, *, start: str = "pad", end: str = "ignore", max_pad: int = 1, align: str = "none") -> DataFrame:
     """(site, t, a column per variable) in steps of some minutes.
 
-    raw is (site, ts, value, qc) with times on a grid of step minutes. W6 time_plan() inspects each site's times, P8 masks
-    failing values, W1 fills gaps day by day, W7 and W8 trim or pad to whole years (each variable in its own way), A2
-    groups steps by their place after the beginning, P14 converts units, P12 clamps, F8 aligns. Only the inspection
-    looks at a whole site at once, its times alone.
+    raw is (site, ts, value, qc) with times on a grid of step minutes; a site with others stops the job. W6 inspects each
+    site's times by aggregates, P8 masks failing values, W1 fills gaps day by day, W7 and W8 trim or pad to whole years
+    (each variable in its own way), A2 groups steps by their place after the beginning, P14 converts units, P12 clamps,
+    F8 aligns. No task needs a whole site.
     """
     masked = filters.qc_mask(raw, "value", "qc")
     seen = masked.groupBy("site", F.col("ts").alias("t")).agg(F.avg("value").alias("value"))
-    spans = seen.groupBy("site").agg(F.min("t").alias("a"), F.max("t").alias("b"))
-    series = generators.time_grid(spans, ["site"], "a", "b", f"{step} minutes").join(seen, ["site", "t"], "left")
-    plan = win.time_plan(series, "site", "t", minutes, start, end, max_pad)
+    found = win.inspect_grid(seen, "site", "t", step * 60)
+    plan = win.plan_of(found, "site", minutes, start, end, max_pad)
+    series = generators.time_grid(found, ["site"], "first", "last", f"{step} minutes").join(seen, ["site", "t"], "left")
     placed = series.withColumn("i", F.unix_timestamp(F.col("t").cast("timestamp"))).withColumn("day", F.to_date("t"))
     filled = win.interpolate_gaps(placed, "site", "i", "value", block="day").select("site", "t", *[F.col("value").alias(name) for name in variables])
     whole = win.apply_plan(filled, plan, "site", "t", {name: (v[1], v[2]) for name, v in variables.items()})

@@ -102,6 +102,13 @@ def test_uneven_and_empty_axes_are_refused(spark):
         win.time_plan(uneven.filter("false"), "site", "t", 60)
 
 
+def test_inspection_of_series_with_gaps(spark):
+    gaps = hourly(spark, [1.0, 2.0], "2000-01-01 01:05:00").union(hourly(spark, [3.0], "2000-01-01 09:05:00"))
+    row = win.inspect_grid(gaps, "site", "t", 3600).first()
+    assert (row.n, row.step, row.uniform, row.divides_day, row.missing_start) == (9, 3600, True, True, 1)
+    assert not win.inspect_grid(gaps.union(hourly(spark, [3.0], "2000-01-01 05:20:00")), "site", "t", 3600).first().uniform
+
+
 def at_minutes(spark, minutes):
     return spark.createDataFrame([("a", dt.datetime(2000, 1, 1) + dt.timedelta(minutes=m), 1.0) for m in minutes], "site string, t timestamp_ntz, value double")
 
