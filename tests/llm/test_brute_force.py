@@ -71,7 +71,7 @@ def test_near_dedup_finds_every_link(spark, seed):
     assert {r.doc_id: r.component_id for r in got.collect()} == {i: want.get(i, i) for i, _ in rows}
 
 
-@pytest.mark.parametrize("seed, k", [(3, 2), (4, 2), (5, 5)])
+@pytest.mark.parametrize("seed, k", [(3, 2), (5, 5)])
 def test_near_dedup_of_a_large_group(spark, seed, k):
     """One group of near copies; a tenth of its members is far from the others, and some of those are near to each other:
     edited alike, cut down alike, or longer by one passage. Such links do not run through any pivot."""
