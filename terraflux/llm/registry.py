@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from terraflux.llm import chat_format, decontamination, exact_dedup, html_text, merkle, mixing, near_dedup, pii, quality, quality_rules, substring_dedup, url_filter
+from terraflux.llm import chat_format, decontamination, exact_dedup, html_text, merkle, mixing, near_dedup, pii, quality, quality_rules, substring_dedup, url_filter, whitening
 
 QUERIES = {
     "op1_chat_format": chat_format.op1_chat_format,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_decontamination": decontamination.op10_decontamination,
+    "op11_whitening": whitening.op11_whitening,
     "op12_merkle": merkle.op12_merkle,
     "op13_quality_rules": quality_rules.op13_quality_rules,
 }
