@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from terraflux import model
+from terraflux.functions import calendars
 
 
 def lookup(col: Column, table: dict[str, str]) -> Column:
@@ -78,12 +79,17 @@ def make_time(*, text: Column | None = None, pattern: str | None = None, year: C
     return date.cast("timestamp_ntz") + F.make_dt_interval(hours=part(hour), mins=part(minute), secs=part(second).cast("decimal(18,6)"))
 
 
-def cf_decode(value: Column, unit: str, epoch: str) -> Column:
-    """"unit since epoch" to a timestamp without zone."""
+def cf_decode(value: Column, unit: str, epoch: str, calendar: str | None = None) -> Column:
+    """"unit since epoch" to a timestamp without zone; of a named calendar to the parts of calendars.decode()."""
+    if calendar is not None:
+        return calendars.decode(value, f"{unit} since {epoch}", calendar)
     return F.expr(f"timestamp_ntz'{epoch}'") + F.make_dt_interval(secs=(value * _SECONDS[unit]).cast("decimal(18,6)"))
 
 
-def cf_encode(time: Column, unit: str, epoch: str) -> Column:
+def cf_encode(time: Column, unit: str, epoch: str, calendar: str | None = None) -> Column:
+    """a timestamp, or with a calendar the parts of a date of it, to "unit since epoch"."""
+    if calendar is not None:
+        return calendars.encode(time, f"{unit} since {epoch}", calendar)
     return F.timestamp_diff("SECOND", F.expr(f"timestamp_ntz'{epoch}'"), time) / _SECONDS[unit]
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terraflux import model
-from terraflux.functions import scalars
+from terraflux.functions import calendars, scalars
 from terraflux.operators import filters
 from terraflux.operators import windows as win
 from terraflux.plans.registry import Views, duck, query
@@ -164,6 +166,42 @@ def f7(v: Views) -> DataFrame:
     return coded.withColumn("back", scalars.cf_decode(F.col("hours"), "hours", "2000-01-01"))
 
 
+_CUM = {28: [0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334], 29: [0, 31, 60, 91, 121, 152, 182, 213, 244, 274, 305, 335]}
+_CALENDAR_SQL = f"""
+WITH n AS (SELECT o_orderkey, date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS n, o_orderkey % 24 AS hour FROM orders),
+y AS (
+  SELECT *, '360_day' AS calendar, 1990 + n // 360 AS year, n % 360 AS doy, NULL AS cum, n + 50400 AS own FROM n
+  UNION ALL SELECT *, 'noleap', 1990 + n // 365, n % 365, {_CUM[28]}, n + 51100 FROM n
+  UNION ALL SELECT *, 'all_leap', 1990 + n // 366, n % 366, {_CUM[29]}, n + 51240 FROM n
+  UNION ALL SELECT o_orderkey, n, hour, 'julian', 1988 + 4 * (t // 1461) + CASE WHEN t % 1461 < 366 THEN 0 ELSE 1 + (t % 1461 - 366) // 365 END,
+    CASE WHEN t % 1461 < 366 THEN t % 1461 ELSE (t % 1461 - 366) % 365 END, CASE WHEN t % 1461 < 366 THEN {_CUM[29]} ELSE {_CUM[28]} END, n + 51135 FROM (SELECT *, n + 731 AS t FROM n)
+  UNION ALL SELECT *, 'standard', year(DATE '1990-01-01' + CAST(n AS INTEGER)), dayofyear(DATE '1990-01-01' + CAST(n AS INTEGER)) - 1,
+    CASE WHEN year(DATE '1990-01-01' + CAST(n AS INTEGER)) % 4 = 0 THEN {_CUM[29]} ELSE {_CUM[28]} END, n + 51134 FROM n
+), m AS (
+  SELECT *, CASE WHEN cum IS NULL THEN doy // 30 + 1 ELSE len(list_filter(cum, lambda c: c <= doy)) END AS month FROM y
+), d AS (
+  SELECT *, CASE WHEN cum IS NULL THEN doy % 30 + 1 ELSE doy - cum[month] + 1 END AS day FROM m
+)
+SELECT o_orderkey, calendar, CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, CAST(day AS INTEGER) AS day, CAST(hour AS INTEGER) AS hour, CAST(doy + 1 AS INTEGER) AS doy,
+       round(own + hour / 24.0 + 1e-9, 6) AS own_days,
+       CASE WHEN day <= 28 OR month <> 2 OR (day = 29 AND year % 4 = 0) THEN round(date_diff('day', DATE '1850-01-01', make_date(year, month, least(day, CASE WHEN month = 2 THEN 29 ELSE 31 END))) + hour / 24.0 + 1e-9, 6) END AS civil_days
+FROM d
+""".replace("make_date(year, month, least(day, CASE WHEN month = 2 THEN 29 ELSE 31 END))", "(make_date(year, month, 1) + CAST(day - 1 AS INTEGER))")
+
+
+@query("f7_calendars", _CALENDAR_SQL)
+def f7_calendars(v: Views) -> DataFrame:
+    """Hours since 1990 read in five calendars, written in days since 1850, and as the same date of the civil calendar where that has it."""
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1990-01-01").cast("date"))
+    hours = v.orders.select("o_orderkey", (days * 24 + F.col("o_orderkey") % 24).cast("double").alias("hours"))
+    since, to = "hours since 1990-01-01", "days since 1850-01-01 00:00:00"
+    read = [
+        hours.select("o_orderkey", F.lit(c).alias("calendar"), calendars.decode(F.col("hours"), since, c).alias("p"), calendars.rebase(F.col("hours"), since, c, to).alias("own_days"), calendars.rebase(F.col("hours"), since, c, to, "standard").alias("civil_days"))
+        .withColumn("doy", calendars.day_of_year(F.col("p"), c)) for c in ("360_day", "noleap", "all_leap", "julian", "standard")
+    ]
+    return reduce(DataFrame.union, read).select("o_orderkey", "calendar", "p.year", "p.month", "p.day", "p.hour", "doy", "own_days", "civil_days")
+
+
 @query("f8_align_time", duck("v_raw", "SELECT event_id, date_trunc('day', ts) + INTERVAL 1 MINUTE * CAST(round_even(date_diff('second', date_trunc('day', ts), ts) / 1800.0, 0) * 30 AS INTEGER) AS half FROM v_raw"))
 def f8(v: Views) -> DataFrame:
     return v.v_raw.select("event_id", scalars.align_time(F.date_trunc("second", "ts").cast("timestamp_ntz"), 30).cast("timestamp_ntz").alias("half"))
