@@ -4,7 +4,8 @@ A page is cut into blocks at its block-level tags. The first pass classifies eac
 and the share of stop words, and the container that it stands in. Blocks too short to tell, or with few of the known stop
 words, stay undecided; in the second pass they take the label of the nearest decided neighbours, those in the same
 container first. Containers are told by their element or by a word of their class; what a class alone says does not
-hold for an article within, nor, on a page that would come out empty, for long blocks full of stop words.
+hold for an article within, nor, on a page that would come out empty, for long blocks full of stop words. What stands
+under a heading such as "3 comments" is no main text, nor is what stands beside an article that holds most good text.
 Each page is one row and is worked on alone, so nothing is shuffled.
 """
 
@@ -30,7 +31,7 @@ STOP_WORDS = frozenset(
     al como con de del el ella en entre era es esta este ha hay la las le lo los más me mi no o para pero por que se sin sobre su sus también un una y ya""".split()
 )
 LONG, SHORT = 200, 70
-#: Pages that a worker holds as Python strings at a time.
+#: Pages whose texts a worker hands on at a time.
 SLICE = 64
 MANY_STOPS, SOME_STOPS = 0.30, 0.15
 MANY_LINKS = 0.33
@@ -47,7 +48,7 @@ BLOCKS = CONTAINERS | HEADINGS | frozenset("p li dt dd td th caption figcaption
 #: Words of a class, id or role that say the same: the last word of a name, or the first one before words such as "box".
 MARKS = frozenset(
     """ad ads adv advert advertisement advertising adverts sponsor sponsored promo promotion banner sidebar aside widget menu nav navbar navigation breadcrumb breadcrumbs
-    footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup comment comments replies disqus respond discussion
+    footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup comment comments replies disqus respond discussion utterances giscus isso reviews ratings message messages guestbook
     related recommended share sharing social pagination pager search login toc contentinfo complementary dialog""".split()
 )
 #: Those of them that templates also put around an article, and words that a mark may have after it or that undo it before it.
@@ -70,6 +71,30 @@ _UNSEEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|d
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+#: Headings above what readers say. They mute what follows in their container: to its end or, in an article, main or body,
+#: to the next heading of their level.
+_COMMENTS = re.compile(
+    r"\W*(?:\d+\s+)?(?:(?:reader|user|leser|latest|all|recent)s?['’]?\s+)?(?:comments?|kommentare?|leserkommentare|commentaires?|comentarios?)(?:\s*[(:].{0,12})?\W*(?:\d+\W*)?"
+    r"|\W*\d+\s+(?:responses?|replies|thoughts|antworten|réponses|respuestas)\b.{0,80}"
+    r"|\W*(?:leave|post|write|add|join|schreibe?n?|laisse[rz]?|deja|escribe)\s.{0,20}\b(?:reply|comments?|response|discussion|conversation|kommentar|commentaire|réponse|comentario|respuesta)\b.{0,40}",
+    re.I,
+)
+
+
+@dataclass
+class Open:
+    """A container that is open. content: within article or main. outside: outside the main text (1: layout, 2: other
+    class; an article or main within resets both; 3: surely). headers: open header elements, itself included. muted: the
+    level of the heading of comments that its blocks stand under, 0 for none."""
+
+    name: str
+    number: int = 0
+    content: bool = False
+    outside: int = 0
+    headers: int = 0
+    muted: int = 0
+
+
 @dataclass
 class Block:
     text: str
@@ -103,10 +128,10 @@ def _marks(attrs: str) -> set[str]:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, empty ones left out."""
     out: list[Block] = []
-    # element, number, within article or main, outside the main text (1: layout, 2: other class; an article or main within resets both; 3: surely)
-    stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+    stack = [Open("")]
+    places: dict[str, list[int]] = {}  # of each element's open ones in the stack
     parts: list[str] = []
-    linked, in_link, number, heading, off = 0, False, 0, False, False
+    linked, in_link, number, heading, off = 0, False, 0, 0, False
     last_end: dict[str, int] = {}
 
     def ends_after(name: str, at: int) -> bool:
@@ -118,11 +143,21 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked, in_link, heading, off
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, own, content, outside = stack[-1]
-            header = any(s[0] == "header" for s in stack) and not (content and heading)
-            out.append(Block(text, min(linked, len(text)), own, content, outside > 0 or off or header, heading, outside == 1 and not off and not header))
+            top = stack[-1]
+            if heading and len(text) < 120 and _COMMENTS.fullmatch(text):
+                top.muted = top.muted or heading
+            elif heading and heading <= top.muted and top.name in ("", "html", "body", "article", "main"):
+                top.muted = 0
+            header = top.headers > 0 and not (top.content and heading)
+            surely = off or header or top.muted > 0
+            out.append(Block(text, min(linked, len(text)), top.number, top.content, top.outside > 0 or surely, heading > 0, top.outside == 1 and not surely))
         parts.clear()
-        linked, in_link, heading, off = 0, False, False, False
+        linked, in_link, heading, off = 0, False, 0, False
+
+    def leave(depth: int) -> None:
+        """Closes all containers from a place in the stack on."""
+        while len(stack) > depth:
+            places[stack.pop().name].pop()
 
     def add(text: str) -> None:
         nonlocal linked
@@ -153,16 +188,16 @@ def blocks(page: str) -> list[Block]:
             close()
             if name in CONTAINERS:
                 if ends:
-                    depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-                    if depth:
-                        del stack[depth:]
+                    if places.get(name):
+                        leave(places[name][-1])
                 elif not m["attrs"].rstrip().endswith("/"):
                     if name in INSIDE:  # an element that is not closed any more ends where an article begins
-                        open_ = next((i for i, s in enumerate(stack) if s[0] in OUTSIDE | {"header"} and not ends_after(s[0], at)), 0)
-                        if open_:
-                            del stack[open_:]
+                        unclosed = [places[x][0] for x in (*OUTSIDE, "header") if places.get(x) and not ends_after(x, at)]
+                        if unclosed:
+                            leave(min(unclosed))
                     number += 1
-                    _, _, content, outside = stack[-1]
+                    top = stack[-1]
+                    outside = 3 if top.muted else top.outside
                     marks = set() if name in ("html", "body", "article", "main") else _marks(m["attrs"])
                     if name in OUTSIDE or (marks and _marks(_CLASS.sub("", m["attrs"]))):
                         outside = 3
@@ -172,9 +207,10 @@ def blocks(page: str) -> list[Block]:
                         outside = max(outside, 1)
                     elif outside in (1, 2) and name in INSIDE and not _marks(m["attrs"]):
                         outside = 0
-                    stack.append((name, number, content or name in INSIDE, outside))
+                    places.setdefault(name, []).append(len(stack))
+                    stack.append(Open(name, number, top.content or name in INSIDE, outside, top.headers + (name == "header")))
             elif not ends:
-                heading = name in HEADINGS
+                heading = int(name[1]) if name in HEADINGS else 0
                 off = bool(_marks(m["attrs"]))
     if at < len(page):
         add(page[at:])
@@ -231,7 +267,11 @@ def _second_pass(found: list[Block], labels: list[str]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The main text: blocks joined by an empty line; empty for a null page and one without main text."""
     found = blocks(page or "")
-    keep = _second_pass(found, [_first_pass(b) for b in found])
+    labels = [_first_pass(b) for b in found]
+    good = {inside: sum(len(b.text) for b, label in zip(found, labels) if label == "good" and b.content == inside) for inside in (True, False)}
+    if good[True] > good[False]:  # the page marks its article, and most of its good text stands there: nothing else is main text
+        labels = [label if b.content else "bad" for b, label in zip(found, labels)]
+    keep = _second_pass(found, labels)
     if not any(keep) and any(b.layout for b in found):
         found = [replace(b, outside=b.outside and not b.layout) for b in found]
         keep = [_first_pass(b) == "good" for b in found]
@@ -246,7 +286,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE):  # a batch of long pages is read some at a time
                 own = batch.slice(begin, SLICE)
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([main_text(page) for page in own.column(2).to_pylist()], pa.string())], ["page_id", "url", "text"])
+                texts = pa.array((main_text(page.as_py()) for page in own.column(2)), pa.string())  # one page at a time is a Python string
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), texts], ["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
     read = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html").mapInArrow(run, "page_id string, url string, text string")
