@@ -28,6 +28,8 @@ from terraflux.llm.common import cut, table
 from terraflux.llm.words import Words, chunks, mix
 
 N, PART = 13, 3
+#: The seed of Spark's xxhash64().
+SPARK_SEED = 42
 #: Bytes of text whose packed strings are merged before they travel.
 MAP_BYTES = 8_000_000
 #: Windows in one packed string at most; longer runs of one minimiser are split.
@@ -228,15 +230,16 @@ def shared_windows(packed: DataFrame, buckets: int) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(ka, kb, doc_id, at): the packed strings of each document and the word at which they begin."""
+    """(ka, kb, doc_id, fp, at): the packed strings of each document, xxhash64 of its text and the word at which they begin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _texts(batches):
             words, starts, row, _, packed = _packed(texts, hot)
             keys = _keys(packed)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(ids[row]), pa.array(starts - words.first[row])], ["ka", "kb", "doc_id", "at"])
+            fps = np.fromiter((xxhash.xxh64_intdigest(t, SPARK_SEED) for t in texts), np.uint64, len(texts)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(ids[row]), pa.array(fps[row]), pa.array(starts - words.first[row])], ["ka", "kb", "doc_id", "fp", "at"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "ka long, kb long, doc_id long, at long")
+    return docs.select("doc_id", "text").mapInArrow(run, "ka long, kb long, doc_id long, fp long, at long")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -244,15 +247,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A word goes if a window of 13 words that covers it also starts in a document with a smaller doc_id, judged on the
     whole input. Null and wordless texts have no words; texts of fewer than 13 words lose none. A row without doc_id
-    is no source and loses nothing. doc_id names a document: rows that repeat it with its text are all treated as it
-    is; rows that repeat it with another text lose the words at the places of either. Other columns are ignored; an empty table gives an empty result.
+    is no source and loses nothing. Rows that repeat a doc_id are judged each by its own text, and are no sources for one
+    another. Other columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     buckets, hot = plan_buckets(docs)
     shared = cut(shared_windows(_pack(docs, hot, buckets), buckets), "sub-shared")
     found = _occurrences(docs, hot).join(shared, ["ka", "kb"])
-    found = found.select("doc_id", "at", F.transform("firsts", lambda f: f < F.col("doc_id")).alias("gone")).filter(F.exists("gone", lambda g: g))
-    gone = cut(found.select("doc_id", F.struct(F.col("at"), F.col("gone").alias("windows")).alias("run")).groupBy("doc_id").agg(F.collect_set("run").alias("runs")), "sub-gone")
+    found = found.select("doc_id", "fp", "at", F.transform("firsts", lambda f: f < F.col("doc_id")).alias("gone")).filter(F.exists("gone", lambda g: g))
+    gone = cut(found.select("doc_id", "fp", F.struct(F.col("at"), F.col("gone").alias("windows")).alias("run")).groupBy("doc_id", "fp").agg(F.collect_set("run").alias("runs")), "sub-gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +279,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 kept.append(b" ".join(w for w, s in zip(words, stay.tolist()) if s).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return docs.join(gone, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return docs.withColumn("fp", F.xxhash64("text")).join(gone, ["doc_id", "fp"], "left").select("doc_id", "text", "runs").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
