@@ -10,6 +10,7 @@ it (restore=True runs the rounds backwards). Everything is one projection over t
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from terraflux.llm.common import LOWER, table, text_or_empty
 
 ROUNDS = 8
-#: The query's key is the session's configuration of this name; where that is unset, as in tests, a fixed one.
+#: The query's key is the session's configuration of this name; where that is unset, and the session is a local one, as in
+#: tests, a fixed one. On a cluster an unset key is an error: with a known one anybody can undo the pseudonyms.
 KEY_CONF, KEY = "spark.terraflux.pii.key", "terraflux-demo-key"
 
 #: What stands before a secret.
@@ -315,9 +317,18 @@ def pseudonymise(docs: DataFrame, *, key: str, restore: bool = False) -> DataFra
     return rows.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != "changed"], changed.alias("changed"))
 
 
+def session_key(spark: SparkSession) -> str:
+    key = spark.conf.get(KEY_CONF, "")
+    if key:
+        return key
+    if not re.match(r"local(-cluster)?(\[|$)", spark.sparkContext.master):
+        raise RuntimeError(f"{KEY_CONF} must hold the key of the pseudonyms")
+    return KEY
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the number of changed values, in all and of each kind, and length and digest of the new text."""
-    docs = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get(KEY_CONF, KEY))
+    docs = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=session_key(spark))
     counts = [F.size("changed").cast("long").alias("n_changed"), *map(_count, KINDS)]
     return docs.select("doc_id", *counts, F.length(text_or_empty()).cast("long").alias("n_chars"), F.sha2(text_or_empty(), 256).alias("text_sha256"))
 
