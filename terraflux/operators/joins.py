@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraflux import model
@@ -49,51 +49,116 @@ def attach_attributes(df: DataFrame, attributes: DataFrame, keys: list[str]) ->
 AXIS_BINS = 256
 
 
-def nearest_on_axis(points: DataFrame, key: str, value: str, axis: DataFrame, out: str) -> DataFrame:
-    """(key, out): the axis value nearest to each point's, the smaller of two equally near; null for an empty axis or a null point.
+def nearest_values(points: DataFrame, key: str, value: str, axis: DataFrame, period: float | None = None) -> DataFrame:
+    """(key, nearest, below, above, at_below, at_above, at) of each point on an axis of values.
+
+    nearest is the axis value nearest to the point's, the smaller of two equally near; below and above are those on
+    either side (both the same on a value of the axis), and at_below, at_above and at where they and the point stand. With
+    a period values a whole period apart are the same, and neighbours are sought across its ends. Nulls for an empty axis or a null point.
 
     Bins end at quantiles of the axis, so that gaps and far values do not fill one of them; each also gets the last value
     before it and the first one after it.
     """
-    values = axis.select(F.col(axis.columns[0]).cast("double").alias("v")).dropna().distinct()
+    outs = ["nearest", "below", "above", "at_below", "at_above", "at"]
+    values = axis.select(F.col(axis.columns[0]).cast("double").alias("own")).dropna().distinct()
+    x = F.col(value).cast("double")
+    if period:  # the axis three times over, and points within the middle one
+        once = F.pmod("own", F.lit(float(period)))
+        values = values.withColumn("v", F.explode(F.array(once - float(period), once, once + float(period))))
+        x = F.pmod(x, F.lit(float(period)))
+    else:
+        values = values.withColumn("v", F.col("own"))
     n, edges = values.agg(F.count("*"), F.percentile_approx("v", [i / AXIS_BINS for i in range(1, AXIS_BINS)], 10_000)).first()
     if not n:
-        return points.select(key, F.lit(None).cast("double").alias(out))
+        return points.select(key, *[F.lit(None).cast("double").alias(c) for c in outs])
     ends = F.array(*map(F.lit, sorted(set(edges))))
     bin_of = lambda x: F.size(F.filter(ends, lambda e: e <= x))
     own = values.withColumn("bin", bin_of(F.col("v")))
-    sides = own.groupBy("bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))  # a row per bin
-    near = own.select("bin", "v").union(sides.select(F.col("bin") + 1, "hi")).union(sides.select(F.col("bin") - 1, "lo"))
-    probe = points.select(key, F.col(value).cast("double").alias("__x"), F.when(F.col(value).isNotNull(), bin_of(F.col(value))).alias("bin"))
+    first, last = (side(F.struct("v", "own")) for side in (F.min, F.max))
+    sides = own.groupBy("bin").agg(first.alias("lo"), last.alias("hi"))  # a row per bin
+    near = own.select("bin", "v", "own").union(sides.select(F.col("bin") + 1, "hi.*")).union(sides.select(F.col("bin") - 1, "lo.*"))
+    probe = points.select(key, x.alias("__x"), F.when(x.isNotNull(), bin_of(x)).alias("bin"))
     found = probe.join(F.broadcast(near) if n <= MAX_BROADCAST else near, "bin", "left").groupBy(key)
-    return found.agg(F.min_by("v", F.struct(F.abs(F.col("v") - F.col("__x")), "v")).alias(out))
+    below, above = F.max(F.when(F.col("v") <= F.col("__x"), F.struct("v", "own"))), F.min(F.when(F.col("v") >= F.col("__x"), F.struct("v", "own")))
+    best = F.min_by("own", F.struct(F.abs(F.col("v") - F.col("__x")), "own" if not period else "v"))
+    found = found.agg(best.alias("nearest"), below.alias("b"), above.alias("a"), F.first("__x").alias("__x"))
+    return found.select(key, "nearest", F.col("b.own").alias("below"), F.col("a.own").alias("above"), F.col("b.v").alias("at_below"), F.col("a.v").alias("at_above"), F.col("__x").alias("at"))
+
+
+def nearest_on_axis(points: DataFrame, key: str, value: str, axis: DataFrame, out: str, period: float | None = None) -> DataFrame:
+    """(key, out): the axis value nearest to each point's, see nearest_values()."""
+    return nearest_values(points, key, value, axis, period).select(key, F.col("nearest").alias(out))
 
 
-def nearest_cell(points: DataFrame, key: str, cells: DataFrame) -> DataFrame:
-    """Points with cell_lon and cell_lat, the nearest value of each axis of the grid."""
-    lon = nearest_on_axis(points, key, "lon", cells.select("lon"), "cell_lon")
+def nearest_cell(points: DataFrame, key: str, cells: DataFrame, period: float | None = None) -> DataFrame:
+    """Points with cell_lon and cell_lat, the nearest value of each axis of the grid; longitudes go round after a period, if given."""
+    lon = nearest_on_axis(points, key, "lon", cells.select("lon"), "cell_lon", period)
     lat = nearest_on_axis(points, key, "lat", cells.select("lat"), "cell_lat")
     return points.join(lon, key).join(lat, key)
 
 
 def coord_join(df: DataFrame, cells: DataFrame, eps: float = 1e-16) -> DataFrame:
-    """Rows with the cells whose coordinates differ by less than eps; candidates share a millionth of a degree."""
-    bucket = lambda c: F.round(F.col(c) * 1_000_000).cast("long")
+    """Rows with the cells whose coordinates differ by less than eps.
+
+    Buckets are as wide as eps, a millionth of a degree at least; a cell stands in its own and in the two beside it, on
+    either axis, so that pairs across an edge meet, each in one bucket only.
+    """
+    width = max(eps, 1e-6)
+    bucket = lambda c: F.floor(F.col(c) / width)
+    beside = lambda c: F.explode(F.sequence(bucket(c) - 1, bucket(c) + 1))
     a = df.withColumns({"__x": bucket("lon"), "__y": bucket("lat")})
-    b = cells.withColumnsRenamed({"lon": "__lon", "lat": "__lat"}).withColumns({"__x": bucket("__lon"), "__y": bucket("__lat")})
+    b = cells.withColumnsRenamed({"lon": "__lon", "lat": "__lat"}).withColumn("__x", beside("__lon")).withColumn("__y", beside("__lat"))
     near = (F.abs(F.col("lon") - F.col("__lon")) < eps) & (F.abs(F.col("lat") - F.col("__lat")) < eps)
     return a.join(b, ["__x", "__y"]).filter(near).drop("__x", "__y", "__lon", "__lat")
 
 
+def _edge_rows(edges: DataFrame, band: float) -> DataFrame:
+    """edges(poly, x1, y1, x2, y2) once for each row of squares that they touch, with the columns from __west to __east that they touch there."""
+    rows = edges.withColumn("__b", F.explode(F.sequence(F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))))
+    low, high = F.greatest(F.least("y1", "y2"), F.col("__b") * band), F.least(F.greatest("y1", "y2"), (F.col("__b") + 1) * band)
+    west, east = (F.when(F.col("y1") == F.col("y2"), end("x1", "x2")).otherwise(end(_x_at(low), _x_at(high))) for end in (F.least, F.greatest))
+    return rows.withColumns({"__west": F.floor((west - ON_EDGE) / band), "__east": F.floor((east + ON_EDGE) / band)})
+
+
+def _x_at(y: Column) -> Column:
+    return F.col("x1") + (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0)) * (F.col("x2") - F.col("x1"))
+
+
+def polygon_cover(edges: DataFrame, band: float) -> DataFrame:
+    """(poly, __b, __c, full): the squares of a grid that a polygon covers in full, and those that its edges run through.
+
+    Between two squares with edges of one row lies inside or outside only; which of both the crossings of the row's
+    middle to the east of it tell.
+    """
+    middle = (F.col("__b") + 0.5) * band
+    crosses = (F.least("y1", "y2") <= middle) & (middle < F.greatest("y1", "y2")) & (F.col("__c") == F.least(F.greatest(F.floor(_x_at(middle) / band), "__west"), "__east"))
+    touched = _edge_rows(edges, band).withColumn("__c", F.explode(F.sequence("__west", "__east"))).groupBy("poly", "__b", "__c").agg(F.count(F.when(crosses, 1)).alias("n"))
+    row = Window.partitionBy("poly", "__b").orderBy("__c")  # the squares with edges of one row
+    beyond = F.sum("n").over(row.rowsBetween(1, Window.unboundedFollowing))
+    gaps = touched.select("poly", "__b", "__c", F.lead("__c").over(row).alias("next"), beyond.alias("beyond")).filter("next > __c + 1 AND beyond % 2 = 1")
+    return touched.select("poly", "__b", "__c", F.lit(False).alias("full")).union(gaps.select("poly", "__b", F.explode(F.sequence(F.col("__c") + 1, F.col("next") - 1)), F.lit(True)))
+
+
+#: Degrees from an edge at which a point is on it.
+ON_EDGE = 1e-12
+
+
 def points_in_polygons(points: DataFrame, keys: list[str], edges: DataFrame, band: float = 1.0) -> DataFrame:
-    """(keys, poly) of points within polygons: an odd number of edges crossed by a ray to the east. Edges are binned by latitude."""
-    slots = F.sequence(F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))
-    binned = edges.filter("y1 <> y2").withColumn("__b", F.explode(slots))
-    at = points.select(*keys, "lon", "lat").withColumn("__b", F.floor(F.col("lat") / band))
-    spans = (F.least("y1", "y2") <= F.col("lat")) & (F.col("lat") < F.greatest("y1", "y2"))
-    crossing = F.col("x1") + (F.col("lat") - F.col("y1")) / (F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))
-    hits = at.join(small(binned), "__b").filter(spans & (F.col("lon") < crossing))
-    return hits.groupBy(*keys, "poly").agg(F.count("*").alias("__n")).filter("__n % 2 = 1").drop("__n")
+    """(keys, poly), each once, of points strictly within polygons; points on an edge or corner are not.
+
+    edges(poly, x1, y1, x2, y2) are closed rings in any order; rings within rings are holes. Points in squares (of band
+    degrees) that a polygon covers in full need no test. Others are within if a ray to the east crosses an odd number of
+    the polygon's edges, of which they meet those of their own row.
+    """
+    at = points.select(*keys, F.col("lon").alias("__x"), F.col("lat").alias("__y"), F.floor(F.col("lat") / band).alias("__b"), F.floor(F.col("lon") / band).alias("__c"))
+    found = at.join(small(polygon_cover(edges, band)), ["__b", "__c"])
+    spans = (F.least("y1", "y2") <= F.col("__y")) & (F.col("__y") < F.greatest("y1", "y2"))
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    aside = F.abs((F.col("x2") - F.col("x1")) * (F.col("__y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("__x") - F.col("x1")))
+    beside = F.col("__x").between(F.least("x1", "x2") - ON_EDGE, F.greatest("x1", "x2") + ON_EDGE) & F.col("__y").between(F.least("y1", "y2") - ON_EDGE, F.greatest("y1", "y2") + ON_EDGE)
+    tested = found.filter("NOT full").join(small(_edge_rows(edges, band).drop("__west", "__east")), ["poly", "__b"]).groupBy(*keys, "__x", "__y", "poly")
+    tested = tested.agg(F.count(F.when(spans & (F.col("__x") < _x_at(F.col("__y"))), 1)).alias("n"), F.max(beside & (aside <= ON_EDGE * length)).alias("on"))
+    return found.filter("full").select(*keys, "poly").union(tested.filter("n % 2 = 1 AND NOT on").select(*keys, "poly")).distinct()
 
 
 def align_to_grid(grid: DataFrame, observed: DataFrame, keys: list[str], variable: str, value: str, variables: list[str]) -> DataFrame:

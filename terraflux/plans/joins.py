@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from terraflux import model
 from terraflux.functions import generators as gen
-from terraflux.operators import joins, regrid, sets
+from terraflux.functions import scalars
+from terraflux.operators import joins, nearest, regrid, sets
+from terraflux.operators import windows as win
 from terraflux.plans.fixtures import BOX  # noqa: F401
 from terraflux.plans.registry import Views, duck, query
 from terraflux.sources.scratch import scratch
@@ -51,11 +53,34 @@ def j6(v: Views) -> DataFrame:
     return joins.coord_join(v.v_grid, cells).select("lon", "lat", "month", "tas", "cell")
 
 
-@query("j7_points_in_polygons", duck("v_grid", "SELECT DISTINCT lon, lat, 1 AS poly FROM v_grid WHERE lon >= 112 AND lon < 118 AND lat >= -38 AND lat < -32"))
+@query("j7_points_in_polygons", duck("v_grid", "SELECT DISTINCT lon, lat, 1 AS poly FROM v_grid WHERE lon > 112 AND lon < 118 AND lat > -38 AND lat < -32"))
 def j7(v: Views) -> DataFrame:
     return joins.points_in_polygons(v.v_grid.select("lon", "lat").distinct().withColumns({"x": F.col("lon"), "y": F.col("lat")}), ["x", "y"], v.v_box).select(F.col("x").alias("lon"), F.col("y").alias("lat"), "poly")
 
 
+#: v_grid's coordinates read as those of a rotated pole.
+_ROTATED = """SELECT month, tas, lon, lat, round(pmod_lon, 9) AS glon, round(degrees(asin(sz)), 9) AS glat FROM (
+  SELECT *, (141.38 + degrees(atan2(cos(b) * sin(a), sp * cos(b) * cos(a) - cp * sin(b))) + 540) % 360 - 180 AS pmod_lon, sp * sin(b) + cp * cos(b) * cos(a) AS sz
+  FROM (SELECT *, radians(lon - 115 + 180) AS a, radians(lat + 35) AS b, sin(radians(-60.31)) AS sp, cos(radians(-60.31)) AS cp FROM v_grid))"""
+
+
+def _rotated(v: Views) -> DataFrame:
+    lon, lat = scalars.derotate(F.col("lon") - 115 + 180, F.col("lat") + 35, 321.38, -60.31)
+    return v.v_grid.select("month", "tas", "lon", "lat", F.round(lon, 9).alias("glon"), F.round(lat, 9).alias("glat"))
+
+
+_CHORD = "pow(cos(radians(b.{1})) * cos(radians(b.{0})) - cos(radians(a.lat)) * cos(radians(a.lon)), 2) + pow(cos(radians(b.{1})) * sin(radians(b.{0})) - cos(radians(a.lat)) * sin(radians(a.lon)), 2) + pow(sin(radians(b.{1})) - sin(radians(a.lat)), 2)"
+_SPHERE = f"""SELECT site, arg_min(glon, o) AS cell_lon, arg_min(glat, o) AS cell_lat, degrees(min(o[1])) AS distance FROM (
+  SELECT a.site, glon, glat, [round(2 * asin(least(sqrt({_CHORD.format("glon", "glat")}) / 2, 1)), 10), glat, glon] AS o FROM v_sites a, (SELECT DISTINCT glon, glat FROM ({_ROTATED})) b) GROUP BY site"""
+
+
+@query("j5_nearest_on_sphere", duck("v_sites v_grid", _SPHERE, "cell_lon cell_lat distance"))
+def j5_sphere(v: Views) -> DataFrame:
+    """The nearest cells of a rotated grid, which has no axes in longitude and latitude."""
+    cells = _rotated(v).select(F.col("glon").alias("lon"), F.col("glat").alias("lat")).distinct()
+    return nearest.nearest_on_sphere(v.v_sites.select("site", "lon", "lat"), cells).select("site", "cell_lon", "cell_lat", F.degrees("distance").alias("distance"))
+
+
 @query("j8_align_to_grid", duck("v_series v_raw", "SELECT s.site, s.t, purchase, other FROM v_series s LEFT JOIN (SELECT site, date_trunc('hour', ts) AS t, avg(value) FILTER (qc = 0) AS purchase, avg(value) FILTER (qc = 10) AS other FROM v_raw WHERE qc IN (0, 10) GROUP BY 1, 2) r ON s.site = r.site AND s.t = r.t", "purchase other"))
 def j8(v: Views) -> DataFrame:
     seen = v.v_raw.filter("qc IN (0, 10)").select("site", F.date_trunc("hour", "ts").alias("t"), F.when(F.col("qc") == 0, "purchase").otherwise("other").alias("variable"), "value")
@@ -168,3 +193,59 @@ _BILINEAR = """SELECT month, x AS lon, y AS lat, sum(tas * (1 - abs(lon - x) / 0
 def a21(v: Views) -> DataFrame:
     targets = gen.lonlat_grid(v.spark, 110.2, 0.7, 14, -39.9, 0.7, 14)
     return regrid.regrid_bilinear(v.v_grid, ["month"], "tas", 110, 0.5, -40, 0.5, targets)
+
+
+#: v_grid moved over the date line: longitudes 175 to 184.5 of a circle counted from 0.
+_EAST = "lon + 65"
+_TO_LON = ((-179.5, -181.5, -178.0), (-176.75, -178.0, -175.5), (172.0, 170.0, 174.0), (176.25, 174.0, 178.5))
+_TO_LAT = ((-39.0, -40.5, -37.6), (-35.5, -37.6, -33.1), (-31.0, -33.1, -30.0))
+_VALUES = lambda rows: "(VALUES " + ", ".join(f"({', '.join(f'CAST({x} AS DOUBLE)' for x in r)})" for r in rows) + ")"
+_BOUNDS = f"""SELECT month, x AS lon, y AS lat, sum(w * tas) / sum(w) AS tas, sum(w * huss) / sum(w) AS huss FROM (
+  SELECT month, tas, huss, x, y, greatest(least(lon + 65.25 + k, xb) - greatest(lon + 64.75 + k, xa), 0) * greatest(sin(radians(least(lat + 0.25, yb))) - sin(radians(greatest(lat - 0.25, ya))), 0) AS w
+  FROM v_grid, {_VALUES(_TO_LON)} a(x, xa, xb), {_VALUES(_TO_LAT)} b(y, ya, yb), (VALUES (-360), (0), (360)) c(k)) WHERE w > 1e-12 GROUP BY ALL"""
+
+
+def _axis(v: Views, rows: tuple) -> DataFrame:
+    return v.spark.createDataFrame(list(rows), "value double, low double, high double")
+
+
+@query("a20_regrid_bounds", duck("v_grid", _BOUNDS, "lon lat tas huss"))
+def a20_bounds(v: Views) -> DataFrame:
+    """A source in 0..360 on a target in -180..180 with cells of any width, both over the date line."""
+    grid = v.v_grid.withColumn("lon", F.col("lon") + 65)
+    axis = lambda c: win.axis_bounds(grid.select(c).distinct(), c).withColumnRenamed(c, "value")
+    return regrid.regrid_bounds(grid, ["month"], ["tas", "huss"], axis("lon"), axis("lat"), _axis(v, _TO_LON), _axis(v, _TO_LAT))
+
+
+_AXES = """SELECT month, x AS lon, y AS lat, sum(tas * w) AS tas FROM (
+  SELECT month, tas, x, y, greatest(1 - abs(lon + 65 - x - k) / 0.5, 0) * greatest(1 - abs(lat - y) / 0.5, 0) AS w
+  FROM v_grid, (SELECT -184.8 + 0.7 * i AS x FROM range(14) r(i)), (SELECT -39.9 + 0.7 * j AS y FROM range(14) r(j)), (VALUES (-360), (0), (360)) c(k)) WHERE w > 1e-9
+GROUP BY ALL HAVING sum(w) > 1 - 1e-6"""
+
+
+@query("a21_regrid_axes", duck("v_grid", _AXES, "lon lat tas"))
+def a21_axes(v: Views) -> DataFrame:
+    """Bilinear over the date line: targets run from -184.8, sources from 175."""
+    targets = gen.lonlat_grid(v.spark, -184.8, 0.7, 14, -39.9, 0.7, 14)
+    return regrid.regrid_axes(v.v_grid.withColumn("lon", F.col("lon") + 65), ["month"], "tas", targets)
+
+
+#: The area below an edge within a box, by cutting the edge at the box's sides; see regrid.corner_weights().
+_CORNERS = f"""
+g AS (SELECT DISTINCT CAST(round((lon - 110) / 0.5) AS INTEGER) AS c, CAST(round((lat + 40) / 0.5) AS INTEGER) AS r, glon, glat FROM ({_ROTATED})),
+d AS (SELECT *, coalesce(dx, lag(dx) OVER (PARTITION BY r ORDER BY c)) / 2 AS hx, coalesce(dy, lag(dy) OVER (PARTITION BY c ORDER BY r)) / 2 AS hy
+  FROM (SELECT *, lead(glon) OVER (PARTITION BY r ORDER BY c) - glon AS dx, lead(glat) OVER (PARTITION BY c ORDER BY r) - glat AS dy FROM g)),
+t AS (SELECT x, y, x - 0.75 AS x0, x + 0.75 AS x1, sin(radians(y - 0.75)) AS y0, sin(radians(y + 0.75)) AS y1 FROM (SELECT 130 + 1.5 * i AS x FROM range(20) a(i)), (SELECT -40 + 1.5 * j AS y FROM range(14) b(j))),
+p AS (SELECT c, r, x, y, x0, x1, y0, y1, sin(radians(glat - hy)) AS low, sin(radians(glat + hy)) AS high, greatest(least(glon + abs(hx), x1) - greatest(glon - abs(hx), x0), 0) AS wide FROM d, t),
+w AS (SELECT c, r, x, y, wide * greatest(least(greatest(low, high), y1) - greatest(least(low, high), y0), 0) AS w FROM p)
+"""
+
+
+@query("a20_regrid_corners", duck("v_grid", "SELECT 1").replace(" SELECT 1", f", {_CORNERS}, q_ AS (SELECT month, x AS lon, y AS lat, sum(w * tas) / sum(w) AS tas FROM ({_ROTATED}) v JOIN w ON w.c = CAST(round((v.lon - 110) / 0.5) AS INTEGER) AND w.r = CAST(round((v.lat + 40) / 0.5) AS INTEGER) WHERE w > 1e-13 GROUP BY ALL) SELECT * REPLACE (round(lon + 1e-9, 6) + 0.0 AS lon, round(lat + 1e-9, 6) + 0.0 AS lat, round(tas + 1e-9, 6) + 0.0 AS tas) FROM q_"))
+def a20_corners(v: Views) -> DataFrame:
+    """A rotated grid, whose cells have W11's corners, onto a regular one."""
+    place = lambda c, x0: F.rint((F.col(c) - x0) / 0.5).cast("int")
+    grid = _rotated(v).withColumns({"c": place("lon", 110), "r": place("lat", -40)})
+    corners = win.cell_corners(grid.select("r", "c", "glon", "glat").distinct(), "r", "c", "glon", "glat")
+    axis = lambda x0, n: v.spark.range(n).select((x0 + F.col("id") * 1.5).alias("value"), (x0 - 0.75 + F.col("id") * 1.5).alias("low"), (x0 + 0.75 + F.col("id") * 1.5).alias("high"))
+    return regrid.regrid_corners(grid.select("month", "r", "c", "tas"), ["month"], ["tas"], ["r", "c"], corners, axis(130.0, 20), axis(-40.0, 14))
