@@ -217,6 +217,15 @@ def clamp(value: Column, low: float | None, high: float | None) -> Column:
     return F.when(value.isNull() | F.isnan(value), value).otherwise(out)
 
 
-def leaf_area(cover: Column, k: float = 0.5, floor: float = 0.01) -> Column:
-    """Leaf area index of a cover fraction, -ln(1 - f) / k and the floor at least."""
-    return F.greatest(-F.log(1 - cover) / k, F.lit(floor))
+def leaf_area(cover: Column, k: float = 0.5, floor: float = 0.01, top: float = 12.0) -> Column:
+    """Leaf area index of a woody cover fraction, -ln(1 - f) / k within floor and top; full cover has the top, null stays null."""
+    return F.when(cover.isNotNull(), F.greatest(-F.log(F.greatest(1 - cover, F.exp(F.lit(-k * top)))) / k, F.lit(floor)))
+
+
+def grass_leaf_area(cover: Column, k: float = 0.5, least: float = 0.01, floor: float = 0.01) -> Column:
+    """Leaf area index of a grass cover fraction, -ln(1 - f / (1 - f)) / k and the floor at least.
+
+    The logarithm is of `least` at least, which half cover and more have.
+    """
+    open_ = F.when(cover < 1, 1 - cover / F.greatest(1 - cover, F.lit(1e-300))).otherwise(0.0)
+    return F.when(cover.isNotNull(), F.greatest(-F.log(F.greatest(open_, F.lit(least))) / k, F.lit(floor)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraflux.functions.scalars import basal_area, leaf_area, midpoint
+from terraflux.functions.scalars import basal_area, grass_leaf_area, leaf_area, midpoint
 from terraflux.model import FAILING_FLAGS
 
 #: Aggregators by name; each takes a column and skips missing values.
@@ -169,8 +169,8 @@ def fill_from_other_years(df: DataFrame, key: str, day: str, value: str) -> Data
 
 
 def lai_from_cover(df: DataFrame, key: list[str], wood: str, grass: str, forest: str) -> DataFrame:
-    """Leaf area of woody and grass cover, and their total by the share of forest."""
-    out = df.select(*key, leaf_area(F.col(wood)).alias("lai_wood"), leaf_area(F.col(grass)).alias("lai_grass"), F.least(F.col(forest), F.lit(1.0)).alias("__f"))
+    """Leaf area of woody and grass cover, each by its own formula, and their total by the share of forest."""
+    out = df.select(*key, leaf_area(F.col(wood)).alias("lai_wood"), grass_leaf_area(F.col(grass)).alias("lai_grass"), F.least(F.col(forest), F.lit(1.0)).alias("__f"))
     return out.withColumn("lai", F.col("lai_wood") * F.col("__f") + F.col("lai_grass") * (1 - F.col("__f"))).drop("__f")
 
 

@@ -255,13 +255,20 @@ def slice_series(df: DataFrame, key: str, index: str, value: str, i0: int, i1: i
     return grid.withColumn(index, source.cast("int")).join(df.select(key, F.col(index).cast("int").alias(index), value), [key, index], "left").select(key, F.col("__at").alias(index), value)
 
 
-def axis_bounds(axis: DataFrame, value: str) -> DataFrame:
-    """Bounds half a step either side; the last step is repeated and steps over the date line wrap. An axis is one ordered run."""
-    w = Window.partitionBy(F.lit(0)).orderBy(value)  # the distinct values of one coordinate
+def axis_bounds(axis: DataFrame, value: str, order: str | None = None, midpoint: bool = False) -> DataFrame:
+    """(value, low, high) of an axis in the order of a column, by default of its values; steps over the date line wrap.
+
+    Bounds lie half the step to the next value either side, and the last step is repeated. With midpoint they lie halfway
+    to both neighbours, so that a cell begins where the one before it ends (a bound may be beyond 180); the outer ones
+    lie as far out. An axis that crosses the date line needs an order of its own. A single value has no bounds.
+    """
+    w = Window.partitionBy(F.lit(0)).orderBy(order or value)  # the distinct values of one coordinate
     step = F.lead(value).over(w) - F.col(value)
     step = F.when(step > 180, step - 360).when(step < -180, step + 360).otherwise(step)
-    out = axis.withColumn("__d", step).withColumn("__d", F.coalesce("__d", F.lag("__d").over(w)))
-    return out.select(value, (F.col(value) - F.col("__d") / 2).alias("low"), (F.col(value) + F.col("__d") / 2).alias("high"))
+    out = axis.withColumn("__d", step).withColumn("__e", F.lag("__d").over(w)).withColumn("__before", F.lag(value).over(w))
+    up, down = F.coalesce("__d", "__e") / 2, F.coalesce("__e", "__d") / 2
+    low = F.coalesce(F.col("__before") + down, F.col(value) - up) if midpoint else F.col(value) - up
+    return out.select(value, low.alias("low"), (F.col(value) + up).alias("high"))
 
 
 def cell_corners(grid: DataFrame, row: str, column: str, lon: str, lat: str) -> DataFrame:
@@ -337,16 +344,30 @@ def spline_weights(month_starts: list[float], at: list[float]) -> list[tuple[int
     return out
 
 
-def monthly_weights(leap: bool = False, step_days: int = 1) -> list[tuple[int, int, float]]:
+def monthly_weights(leap: bool = False, step_days: float = 1) -> list[tuple[int, int, float]]:
     """(knot, step, weight) of a year of steps from mid-January; knots are the middles of the months from October to the March after next."""
     days = [31, 30, 31, 31, 29 if leap else 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31, 31, 29 if leap else 28, 31]
     middles = [sum(days[: i + 1]) - 15.5 for i in range(18)]
-    return spline_weights(middles, [middles[3] + step_days * i for i in range(int((middles[15] - middles[3]) / step_days))])
+    return spline_weights(middles, [middles[3] + step_days * i for i in range(round((middles[15] - middles[3]) / step_days))])
+
+
+def is_leap(year: Column) -> Column:
+    return (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+
+
+def on_spline(time: Column) -> tuple[Column, Column]:
+    """Year and step, in days, of spline_monthly() for a date: until 15 January those of the year before."""
+    own = F.make_date(F.year(time), F.lit(1), F.lit(16))
+    year = F.year(time) - F.when(time < own, 1).otherwise(0)
+    return year, F.datediff(time, F.make_date(year, F.lit(1), F.lit(16)))
 
 
-def spline_monthly(df: DataFrame, key: str, year: str, month: str, value: str, leap: bool = False, step_days: int = 1, low: float = 0.01, high: float = 12.0) -> DataFrame:
+def spline_monthly(df: DataFrame, key: str, year: str, month: str, value: str, leap: bool | None = None, step_days: float = 1, low: float = 0.01, high: float = 12.0) -> DataFrame:
     """Daily values of monthly ones by a cubic spline through the months' middles, per year with its own last and first three months
-    around it, within low and high. (key, year, step, value) with step in days from mid-January."""
-    weights = df.sparkSession.createDataFrame(monthly_weights(leap, step_days), "knot int, step int, w double")  # at most 18 rows a step
-    knots = df.withColumn("knot", F.explode(F.filter(F.array(F.col(month) + 2, F.col(month) - 10, F.col(month) + 14), lambda k: k.between(0, 17))))
-    return knots.join(F.broadcast(weights), "knot").groupBy(key, year, "step").agg(F.least(F.greatest(F.sum(F.col("w") * F.col(value)), F.lit(low)), F.lit(high)).alias(value))
+    around it, within low and high. (key, year, step, value): steps of step_days (1 / 48: half-hours) from noon of 16 January to that
+    of the next year, 366 days where the year is a leap year (or all, or none, as leap says)."""
+    rows = [(flag, *row) for flag in (False, True) for row in monthly_weights(flag, step_days)]  # at most 18 rows a step
+    weights = df.sparkSession.createDataFrame(rows, "__leap boolean, knot int, step int, w double")
+    of_year = F.lit(leap) if leap is not None else is_leap(F.col(year))
+    knots = df.withColumn("__leap", of_year).withColumn("knot", F.explode(F.filter(F.array(F.col(month) + 2, F.col(month) - 10, F.col(month) + 14), lambda k: k.between(0, 17))))
+    return knots.join(F.broadcast(weights), ["__leap", "knot"]).groupBy(key, year, "step").agg(F.least(F.greatest(F.sum(F.col("w") * F.col(value)), F.lit(low)), F.lit(high)).alias(value))

@@ -128,7 +128,7 @@ def a19(v: Views) -> DataFrame:
     return agg.fill_from_other_years(v.v_daily.withColumn("value", F.expr(_GAPS)), "cell", "day", "value").select("cell", "day", "value")
 
 
-@query("a22_lai_from_cover", duck("v_grid", "SELECT lon, lat, month, greatest(-ln(1 - w) / 0.5, 0.01) AS lai_wood, greatest(-ln(1 - g) / 0.5, 0.01) AS lai_grass, greatest(-ln(1 - w) / 0.5, 0.01) * least(f, 1) + greatest(-ln(1 - g) / 0.5, 0.01) * (1 - least(f, 1)) AS lai FROM (SELECT lon, lat, month, huss * 90 AS w, (tas + 10) / 60 AS g, huss * 150 AS f FROM v_grid)", "lai_wood lai_grass lai"))
+@query("a22_lai_from_cover", duck("v_grid", "SELECT lon, lat, month, greatest(-ln(greatest(1 - w, exp(-6))) / 0.5, 0.01) AS lai_wood, greatest(-ln(greatest(1 - g / (1 - g), 0.01)) / 0.5, 0.01) AS lai_grass, greatest(-ln(greatest(1 - w, exp(-6))) / 0.5, 0.01) * least(f, 1) + greatest(-ln(greatest(1 - g / (1 - g), 0.01)) / 0.5, 0.01) * (1 - least(f, 1)) AS lai FROM (SELECT lon, lat, month, huss * 90 AS w, (tas + 10) / 60 AS g, huss * 150 AS f FROM v_grid)", "lai_wood lai_grass lai"))
 def a22(v: Views) -> DataFrame:
     cover = v.v_grid.select("lon", "lat", "month", (F.col("huss") * 90).alias("w"), ((F.col("tas") + 10) / 60).alias("g"), (F.col("huss") * 150).alias("f"))
     return agg.lai_from_cover(cover, ["lon", "lat", "month"], "w", "g", "f")

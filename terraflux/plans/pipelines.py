@@ -190,7 +190,7 @@ def region_statistics(grid: DataFrame, edges: DataFrame, time: str, value: str)
     return joins.merge_variables(["cell"], *named).select("cell.lon", "cell.lat", "mean", "annual_mean", "annual_sum")
 
 
-@query("c7_region_statistics", duck("v_grid", "SELECT lon, lat, sum(s) / sum(n) AS mean, avg(s / n) AS annual_mean, avg(s) AS annual_sum FROM (SELECT lon, lat, year(month), sum(tas) AS s, count(tas) AS n FROM v_grid WHERE lon >= 112 AND lon < 118 AND lat >= -38 AND lat < -32 GROUP BY ALL) GROUP BY lon, lat", "mean annual_mean annual_sum"))
+@query("c7_region_statistics", duck("v_grid", "SELECT lon, lat, sum(s) / sum(n) AS mean, avg(s / n) AS annual_mean, avg(s) AS annual_sum FROM (SELECT lon, lat, year(month), sum(tas) AS s, count(tas) AS n FROM v_grid WHERE lon > 112 AND lon < 118 AND lat > -38 AND lat < -32 GROUP BY ALL) GROUP BY lon, lat", "mean annual_mean annual_sum"))
 def c7(v: Views) -> DataFrame:
     return region_statistics(v.v_grid, v.v_box, "month", "tas")
 
@@ -294,19 +294,30 @@ def land_surface_table(met: DataFrame, cover: DataFrame, seconds: int) -> DataFr
     years = filters.convert_units(win.full_years_only(whole.withColumn("day", F.to_date("t")), "cell", "day"), "value", "degC", "K")
     monthly = agg.lai_from_cover(cover, ["cell", "year", "month"], "wood", "grass", "forest").select("cell", "year", "month", "lai")
     leaves = win.spline_monthly(monthly, "cell", "year", "month", "lai")
-    placed = years.select("cell", "t", F.year("day").alias("year"), F.datediff("day", F.make_date(F.year("day"), F.lit(1), F.lit(16))).alias("step"))
-    lai = placed.join(leaves, ["cell", "year", "step"]).select("cell", "t", "lai")
-    return joins.merge_variables(["cell", "t"], years.select("cell", "t", F.col("value").alias("tas")), lai)
+    # the first 15 days of a year are on the spline of the year before; where a cell has none, on the end of their own year's
+    year, step = win.on_spline(F.col("day"))
+    own, length = F.year("day"), F.when(win.is_leap(F.year("day")), 366).otherwise(365)
+    first = joins.small(monthly.groupBy("cell").agg(F.min("year").alias("first")))
+    placed = years.join(first, "cell", "left").withColumn("early", (year < F.col("first")) & (own == F.col("first"))).select(
+        "cell", "t", F.col("value").alias("tas"), F.when(F.col("early"), own).otherwise(year).alias("year"), F.when(F.col("early"), F.dayofyear("day") - 16 + length).otherwise(step).alias("step")
+    )
+    return placed.join(leaves, ["cell", "year", "step"], "left").select("cell", "t", "tas", "lai")
 
 
 _MET = "SELECT cell, CAST(day AS TIMESTAMP) AS t, value FROM v_daily UNION ALL SELECT cell, CAST(day AS TIMESTAMP) + INTERVAL 12 HOUR, value * 1.1 FROM (SELECT *, max(day) OVER (PARTITION BY cell) AS last FROM v_daily) WHERE day < last"
-_COVER = "SELECT cell, year(day) AS year, month(day) AS month, greatest(-ln(1 - avg(value) / 60) / 0.5, 0.01) * 0.6 + greatest(-ln(1 - avg(value) / 100) / 0.5, 0.01) * 0.4 AS lai FROM v_daily GROUP BY ALL"
+_COVER = "SELECT cell, year(day) AS year, month(day) AS month, greatest(-ln(greatest(1 - avg(value) / 60, exp(-6))) / 0.5, 0.01) * 0.6 + greatest(-ln(greatest(1 - (avg(value) / 100) / (1 - avg(value) / 100), 0.01)) / 0.5, 0.01) * 0.4 AS lai FROM v_daily GROUP BY ALL"
 
 
-@query("c11_land_surface_table", duck("v_daily", f"""SELECT m.cell, m.t, m.value + 273.15 AS tas, s.lai FROM (
-  SELECT *, min(t) OVER (PARTITION BY cell) AS a, max(t) OVER (PARTITION BY cell) AS b FROM ({_MET} UNION ALL SELECT cell, CAST(max(day) AS TIMESTAMP) + INTERVAL 12 HOUR, arg_max(value, day) FROM v_daily GROUP BY cell)) m
-  LEFT JOIN ({spline_sql(f"({_COVER})", "cell", "lai")}) s ON s.cell = m.cell AND s.year = year(m.t) AND s.step = date_diff('day', make_date(year(m.t), 1, 16), CAST(m.t AS DATE))
-  WHERE CAST(a AS DATE) <= make_date(year(t), 1, 1) AND CAST(b AS DATE) >= make_date(year(t), 12, 31)""", "tas lai"))
+_LSM = f"""SELECT m.cell, m.t, m.value + 273.15 AS tas, s.lai FROM (
+  SELECT *, CAST(t AS DATE) AS day, CASE WHEN t >= make_date(y, 1, 16) OR y = first THEN y ELSE y - 1 END AS sy,
+         CASE WHEN t >= make_date(y, 1, 16) OR y > first THEN 0 WHEN y % 4 = 0 AND (y % 100 <> 0 OR y % 400 = 0) THEN 366 ELSE 365 END AS later
+  FROM (SELECT *, year(t) AS y, min(year(t)) OVER (PARTITION BY cell) AS first, min(t) OVER (PARTITION BY cell) AS a, max(t) OVER (PARTITION BY cell) AS b
+        FROM ({_MET} UNION ALL SELECT cell, CAST(max(day) AS TIMESTAMP) + INTERVAL 12 HOUR, arg_max(value, day) FROM v_daily GROUP BY cell))) m
+  LEFT JOIN ({spline_sql(f"({_COVER})", "cell", "lai")}) s ON s.cell = m.cell AND s.year = sy AND s.step = date_diff('day', make_date(sy, 1, 16), day) + later
+  WHERE CAST(a AS DATE) <= make_date(year(t), 1, 1) AND CAST(b AS DATE) >= make_date(year(t), 12, 31)"""
+
+
+@query("c11_land_surface_table", duck("v_daily", _LSM, "tas lai"))
 def c11(v: Views) -> DataFrame:
     """Half-days; each cell's last day lacks its second half."""
     daily = v.v_daily

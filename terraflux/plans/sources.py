@@ -99,6 +99,13 @@ def s10(v: Views) -> DataFrame:
     return scans.scan_csv(v.spark, path, "lon double, lat double, month date, tas double", sep="\t")
 
 
+@query("s10_write_year_day", duck("v_grid", "SELECT round(lon, 1) AS lon, round(lat, 1) AS lat, CAST(year(month) AS INTEGER) AS year, CAST(dayofyear(month) AS INTEGER) AS day, tas FROM v_grid WHERE tas > 8", "lon lat tas"))
+def s10_year_day(v: Views) -> DataFrame:
+    path = scratch(v.spark, "long")
+    sinks.write_long(v.v_grid.select("lon", "lat", "month", F.when(F.col("tas") > 8, F.col("tas")).alias("tas")), path, ["tas"], decimals=1, year_day="month")
+    return scans.scan_csv(v.spark, path, "lon double, lat double, year int, day int, tas double")
+
+
 _METRICS = "SELECT 'dead_height' AS file, start_visit AS date, plot, dead_kg, CASE WHEN height_m > 10 THEN height_m END AS height_m FROM v_stems WHERE dead_kg IS NOT NULL OR height_m > 10 UNION ALL SELECT 'dead', start_visit, plot, dead_kg, NULL FROM v_stems WHERE dead_kg IS NOT NULL"
 
 

@@ -81,6 +81,19 @@ def w10(v: Views) -> DataFrame:
     return win.axis_bounds(v.v_grid.select("lon").distinct(), "lon")
 
 
+#: An axis over the date line, in its own order: 175, 175.5, .. 179.5, -180, .. -175.5.
+_ROUND = "SELECT CAST((lon - 110) / 0.5 AS INTEGER) AS i, CASE WHEN lon >= 115 THEN lon - 295 ELSE lon + 65 END AS lon FROM (SELECT DISTINCT lon FROM v_grid)"
+_ROUND_STEPS = f"SELECT *, coalesce(d, lag(d) OVER (ORDER BY i)) / 2 AS up, coalesce(lag(d) OVER (ORDER BY i), d) / 2 AS down, lag(lon) OVER (ORDER BY i) AS before FROM (SELECT *, (lead(lon) OVER (ORDER BY i) - lon + 540) % 360 - 180 AS d FROM ({_ROUND}))"
+
+
+@query("w10_axis_over_date_line", duck("v_grid", f"SELECT 'half' AS form, lon, lon - up AS low, lon + up AS high FROM ({_ROUND_STEPS}) UNION ALL SELECT 'midpoint', lon, coalesce(before + down, lon - up), lon + up FROM ({_ROUND_STEPS})", "lon low high"))
+def w10_round(v: Views) -> DataFrame:
+    lon = F.when(F.col("lon") >= 115, F.col("lon") - 295).otherwise(F.col("lon") + 65)
+    axis = v.v_grid.select(((F.col("lon") - 110) / 0.5).cast("int").alias("i"), lon.alias("lon")).distinct()
+    forms = [win.axis_bounds(axis, "lon", "i", midpoint=m).select(F.lit(name).alias("form"), "*") for name, m in (("half", False), ("midpoint", True))]
+    return forms[0].union(forms[1])
+
+
 @query("w11_cell_corners", duck("v_grid", """SELECT CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, [round(lon - x, 6), round(lon + x, 6), round(lon + x, 6), round(lon - x, 6)] AS lons, [round(lat - y, 6), round(lat - y, 6), round(lat + y, 6), round(lat + y, 6)] AS lats FROM (
   SELECT *, coalesce(dx, lag(dx) OVER (PARTITION BY r ORDER BY c)) / 2 AS x, coalesce(dy, lag(dy) OVER (PARTITION BY c ORDER BY r)) / 2 AS y FROM (SELECT *, lead(lon) OVER (PARTITION BY r ORDER BY c) - lon AS dx, lead(lat) OVER (PARTITION BY c ORDER BY r) - lat AS dy FROM (
   SELECT DISTINCT (lat + 40) / 0.5 AS r, (lon - 110) / 0.5 AS c, lon + lat / 100 AS lon, lat FROM v_grid)))"""))
@@ -121,8 +134,8 @@ def w16(v: Views) -> DataFrame:
 
 def spline_sql(monthly: str, key: str, value: str) -> str:
     """DuckDB: (key, year, step, value) of spline_monthly() on monthly(key, year, month, value), its weights as a table."""
-    weights = ", ".join(f"({k}, {s}, {w!r})" for k, s, w in win.monthly_weights())
-    return f"""SELECT {key}, year, step, least(greatest(sum(w * {value}), 0.01), 12.0) AS {value} FROM (SELECT *, unnest([month + 2, month - 10, month + 14]) AS knot FROM {monthly}) JOIN (VALUES {weights}) w(knot, step, w) USING (knot) GROUP BY {key}, year, step"""
+    weights = ", ".join(f"({leap}, {k}, {s}, {w!r})" for leap in (False, True) for k, s, w in win.monthly_weights(leap))
+    return f"""SELECT {key}, year, step, least(greatest(sum(w * {value}), 0.01), 12.0) AS {value} FROM (SELECT *, unnest([month + 2, month - 10, month + 14]) AS knot FROM {monthly}) JOIN (VALUES {weights}) w(leap, knot, step, w) USING (knot) WHERE leap = (year % 4 = 0 AND (year % 100 <> 0 OR year % 400 = 0)) GROUP BY {key}, year, step"""
 
 
 @query("w17_spline_monthly", duck("v_daily", spline_sql("(SELECT cell, year(day) AS year, month(day) AS month, avg(value) / 10 AS lai FROM v_daily GROUP BY ALL)", "cell", "lai"), "lai"))

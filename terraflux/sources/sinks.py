@@ -15,9 +15,16 @@ def long_frame(df: DataFrame, values: list[str], decimals: int) -> DataFrame:
     return df.filter(reduce(Column.__and__, map(is_valid, values))).withColumns({c: F.round(c, decimals) for c in ("lon", "lat") if c in df.columns})
 
 
-def write_long(df: DataFrame, path: str, values: list[str], sep: str = ",", compression: str = "gzip", decimals: int = 2) -> None:
-    """Delimited text of the valid rows."""
-    long_frame(df, values, decimals).write.csv(path, sep=sep, header=True, compression=compression)
+def with_year_day(df: DataFrame, time: str) -> DataFrame:
+    """df with columns year and day (of the year, from 1) where its time column was."""
+    parts = [F.year(time).alias("year"), F.dayofyear(time).alias("day")]
+    return df.select(*[c for name in df.columns for c in (parts if name == time else [F.col(f"`{name}`")])])
+
+
+def write_long(df: DataFrame, path: str, values: list[str], sep: str = ",", compression: str = "gzip", decimals: int = 2, year_day: str | None = None) -> None:
+    """Delimited text of the valid rows; the time column named by year_day is written as year and day of the year."""
+    rows = long_frame(df, values, decimals)
+    (with_year_day(rows, year_day) if year_day else rows).write.csv(path, sep=sep, header=True, compression=compression)
 
 
 def metric_frame(df: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
