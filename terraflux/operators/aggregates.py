@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraflux.functions.scalars import basal_area, grass_leaf_area, leaf_area, midpoint
 from terraflux.model import FAILING_FLAGS
+from terraflux.operators import scan
 
 #: Aggregators by name; each takes a column and skips missing values.
 AGGREGATORS = {
@@ -37,10 +38,13 @@ def aggregate_period(df: DataFrame, keys: list[str], time: str, period: str, agg
     return df.groupBy(*keys, at).agg(*[AGGREGATORS[how](missing_as_null(c)).alias(c) for c, how in aggs.items()])
 
 
-def aggregate_ratio(df: DataFrame, key: str, order: str, value: str, ratio: int, how: str = "mean") -> DataFrame:
-    """A2: groups of ratio steps by position; the label is the first time, an incomplete last group is dropped, a NaN makes its group NaN."""
-    place = F.floor((F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1) / ratio)
-    grouped = df.withColumn("__g", place).groupBy(key, "__g").agg(F.min(order).alias(order), F.count("*").alias("__n"), AGGREGATORS[how](F.col(value)).alias(value))
+def aggregate_ratio(df: DataFrame, key: str, order: str, value: str, ratio: int, how: str = "mean", block: str | None = None) -> DataFrame:
+    """A2: groups of ratio steps by position; the label is the first time, an incomplete last group is dropped, a NaN makes its group NaN.
+
+    Positions are counted block by block (see operators.scan), so that no task holds a series.
+    """
+    placed = scan.counted(df, [key], order, "__i", block=block)
+    grouped = placed.withColumn("__g", F.floor((F.col("__i") - 1) / ratio)).groupBy(key, "__g").agg(F.min(order).alias(order), F.count("*").alias("__n"), AGGREGATORS[how](F.col(value)).alias(value))
     return grouped.filter(F.col("__n") == ratio).drop("__g", "__n")
 
 
@@ -150,10 +154,10 @@ def coverage(df: DataFrame, key: str, time: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(time).alias("first"), F.max(time).alias("last"))
 
 
-def modal_step(df: DataFrame, key: str, day: str) -> DataFrame:
-    """The most frequent step in days, the smallest of equally frequent ones; null for a single time."""
-    step = F.datediff(day, F.lag(day).over(Window.partitionBy(key).orderBy(day)))
-    return df.select(key, day).distinct().withColumn("step", step).groupBy(key).agg(F.mode("step", deterministic=True).alias("step"))
+def modal_step(df: DataFrame, key: str, day: str, block: str | None = None) -> DataFrame:
+    """The most frequent step in days, the smallest of equally frequent ones; null for a single time. Days are gone through block by block."""
+    days = scan.shifted(df.select(key, day, *([block] if block else [])).distinct(), [key], day, {"__before": (day, -1)}, block)
+    return days.withColumn("step", F.datediff(day, "__before")).groupBy(key).agg(F.mode("step", deterministic=True).alias("step"))
 
 
 def step_climatology(df: DataFrame, key: str, day: str, value: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Window operators: gaps, steps, boundaries, bounds, validation. All partition by series; W1 can split a long one."""
+"""Window operators: gaps, steps, boundaries, bounds, validation. Series are gone through block by block, see operators.scan."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraflux.functions.scalars import align_time
+from terraflux.operators import scan
 
 
 def _position(order: Column | str) -> Column:
@@ -65,33 +66,38 @@ def monthly_to_daily(df: DataFrame, key: str, month: str, value: str) -> DataFra
     return interpolate_gaps(full.withColumn("__year", F.year("day")), key, "__i", value, "__year").drop("__i", "__year")
 
 
-def neighbour_mean(df: DataFrame, key: str, index: str, value: str, n: int, reach: int | None = None) -> DataFrame:
+def neighbour_mean(df: DataFrame, key: str, index: str, value: str, n: int, reach: int | None = None, block: str | None = None) -> DataFrame:
     """Missing values become the mean of the n nearest valid ones of the series; of two equally near the later comes first.
 
     With fewer than n valid values they stay missing; with reach, also where n of them are not within reach positions.
-    Only the n valid values before and the n after can be the nearest, so a row's window goes by the rank of valid values.
+    Only the n valid values before and the n after can be the nearest. Valid values are numbered block by block; each
+    place between two of them gets its 2 n neighbours, and missing rows join the place that they stand in.
     """
-    valid = F.col(value).isNotNull()
-    rank = F.count(value).over(Window.partitionBy(key).orderBy(index).rowsBetween(Window.unboundedPreceding, 0))
-    rows = F.collect_list(F.when(valid, F.struct(F.col(index).alias("i"), F.col(value).alias("v")))).over(Window.partitionBy(key).orderBy("__r").rangeBetween(1 - n, n))
-    near = F.col("__w") if reach is None else F.filter("__w", lambda s: F.abs(s["i"] - F.col(index)) <= reach)
-    ranked = F.array_sort(F.transform(near, lambda s: F.struct(F.abs(s["i"] - F.col(index)).alias("d"), (-s["i"]).alias("o"), s["v"].alias("v"))))
-    mean = F.when(F.size(ranked) >= n, F.aggregate(F.slice(ranked, 1, n), F.lit(0.0), lambda a, s: a + s["v"]) / n)
-    return df.withColumn("__r", rank).withColumn("__w", rows).withColumn(value, F.coalesce(value, mean)).drop("__r", "__w")
+    ranked = scan.counted(df, [key], index, "__r", F.col(value), block)
+    valid, missing = ranked.filter(F.col(value).isNotNull()), ranked.filter(F.col(value).isNull())
+    places = valid.select(F.col(key).alias("__key"), F.struct(F.col(index).alias("i"), F.col(value).alias("v")).alias("s"), F.explode(F.sequence(F.greatest(F.col("__r") - n, F.lit(0)), F.col("__r") + (n - 1))).alias("__at"))
+    near = places.groupBy("__key", "__at").agg(F.collect_list("s").alias("__near"))  # 2 n of them at most
+    found = missing.join(near, missing[key].eqNullSafe(near["__key"]) & (F.col("__r") == F.col("__at")), "left")
+    within = F.col("__near") if reach is None else F.filter("__near", lambda s: F.abs(s["i"] - F.col(index)) <= reach)
+    best = F.array_sort(F.transform(within, lambda s: F.struct(F.abs(s["i"] - F.col(index)).alias("d"), (-s["i"]).alias("o"), s["v"].alias("v"))))
+    mean = F.when(F.size(best) >= n, F.aggregate(F.slice(best, 1, n), F.lit(0.0), lambda a, s: a + s["v"]) / n)
+    return valid.select(*df.columns).union(found.withColumn(value, mean.cast(df.schema[value].dataType)).select(*df.columns))
 
 
-def step_seconds(df: DataFrame, key: str, day: str) -> DataFrame:
-    """Seconds to the next row; the last row takes the one before, a lone row 0."""
-    w = Window.partitionBy(key).orderBy(day)
-    step = (F.datediff(F.lead(day).over(w), day) * 86400).cast("double")
-    return df.withColumn("step", step).withColumn("step", F.coalesce("step", F.lag("step").over(w), F.lit(0.0)))
+def step_seconds(df: DataFrame, key: str, day: str, block: str | None = None) -> DataFrame:
+    """Seconds to the next row; the last row takes the one before, a lone row 0. Rows are gone through block by block."""
+    out = scan.shifted(df, [key], day, {"__next": (day, 1), "__last": (day, -1)}, block)
+    seconds = lambda a, b: (F.datediff(b, a) * 86400).cast("double")
+    return out.withColumn("step", F.coalesce(seconds(day, "__next"), seconds("__last", day), F.lit(0.0))).drop("__next", "__last")
 
 
-def inspect_time(df: DataFrame, key: str, time: str) -> DataFrame:
-    """Per series its step, whether it is uniform, positive and divides a day, and the steps missing at both year ends."""
-    w = Window.partitionBy(key).orderBy(time)
-    seconds = F.unix_timestamp(F.col(time).cast("timestamp"))
-    steps = df.select(key, time, (seconds - F.lag(seconds).over(w)).alias("d"))
+def inspect_time(df: DataFrame, key: str, time: str, block: str | None = None) -> DataFrame:
+    """Per series its step, whether it is uniform, positive and divides a day, and the steps missing at both year ends.
+
+    Times are gone through block by block.
+    """
+    seconds = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
+    steps = scan.shifted(df.select(key, time, *([block] if block else [])), [key], time, {"__before": (time, -1)}, block).withColumn("d", seconds(time) - seconds("__before"))
     return _inspection(steps.groupBy(key).agg(F.min(time).alias("first"), F.max(time).alias("last"), F.count("*").alias("n"), F.min("d").alias("step"), F.max("d").alias("__max")), key)
 
 
@@ -131,7 +137,7 @@ def _refusal(key: str, start: str, end: str, max_pad: int) -> Column:
     )
 
 
-def time_plan(df: DataFrame, key: str, time: str, minutes: int, start: str = "pad", end: str = "ignore", max_pad: int = 1) -> DataFrame:
+def time_plan(df: DataFrame, key: str, time: str, minutes: int, start: str = "pad", end: str = "ignore", max_pad: int = 1, block: str | None = None) -> DataFrame:
     """Per series how to come to whole years and to output steps of some minutes: first, last, step, n0 and n1 steps to
     add, y0 and y1 years to drop, ratio of input steps in an output step, and begin, the first time of the output.
 
@@ -141,7 +147,7 @@ def time_plan(df: DataFrame, key: str, time: str, minutes: int, start: str = "pa
     """
     if df.isEmpty():
         raise ValueError("no time steps")
-    return plan_of(inspect_time(df, key, time), key, minutes, start, end, max_pad)
+    return plan_of(inspect_time(df, key, time, block), key, minutes, start, end, max_pad)
 
 
 def plan_of(plan: DataFrame, key: str, minutes: int, start: str = "pad", end: str = "ignore", max_pad: int = 1) -> DataFrame:
@@ -200,13 +206,13 @@ def align_series(df: DataFrame, key: str, time: str, mode: str, minutes: int) ->
     return df.join(check, F.col(key) == F.col("__key")).filter("__ok").drop("__key", "__ok")
 
 
-def apply_boundary(df: DataFrame, key: str, time: str, value: str, start: str = "ignore", end: str = "ignore", max_pad: int = 1, pad: str = "nearest", constant: float = 0.0) -> DataFrame:
+def apply_boundary(df: DataFrame, key: str, time: str, value: str, start: str = "ignore", end: str = "ignore", max_pad: int = 1, pad: str = "nearest", constant: float = 0.0, block: str | None = None) -> DataFrame:
     """Whole years at either end: "ignore", "trim" (drop the incomplete year), "pad" (add up to max_pad steps) or "error".
 
     pad and constant are those of pad_series(). A series that needs more padding than max_pad, any incomplete one with
     "error", and one with a single, repeated or uneven step or one that does not divide a day, stops the job.
     """
-    plan = inspect_time(df, key, time)
+    plan = inspect_time(df, key, time, block)
     refused = F.coalesce(_refusal(key, start, end, max_pad), F.when(F.lit(end == "pad") & (F.col("missing_end") > max_pad), F.concat(F.lit("more missing steps at the end than may be added in series "), F.col(key).cast("string"))))
     plan = plan.withColumn("__ok", F.when(refused.isNull(), "").otherwise(F.raise_error(refused).cast("string")))
     n0 = F.when(F.lit(start == "pad"), F.col("missing_start")).otherwise(0)
@@ -224,10 +230,13 @@ def _padded(df: DataFrame, key: str, time: str, value: str, how: str, constant:
     """df with __n0 steps before and __n1 after each series; every row carries both counts and the step."""
     pairs = lambda pick: pick(F.struct(time, value))
     ends = df.groupBy(key, "__n0", "__n1", "step").agg(pairs(F.min).alias("a"), pairs(F.max).alias("b"))
-    w = Window.partitionBy(key).orderBy(time)
-    inner = df.withColumn("__up", F.row_number().over(w)).withColumn("__down", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(time))))
-    second = inner.filter("__up = 2 OR __down = 2").groupBy(key).agg(F.max(F.when(F.col("__up") == 2, F.col(value))).alias("a2"), F.max(F.when(F.col("__down") == 2, F.col(value))).alias("b2"))
-    ends = ends.join(second, key, "left")
+    if how == "extrapolate":  # the second and the last but one are the outer ones of what lies between
+        inner = df.join(ends.select(F.col(key).alias("__key"), F.col(f"a.{time}").alias("__a"), F.col(f"b.{time}").alias("__b")), F.col(key).eqNullSafe(F.col("__key")))
+        later, earlier = F.when(F.col(time) > F.col("__a"), F.struct(time, value)), F.when(F.col(time) < F.col("__b"), F.struct(time, value))
+        second = inner.groupBy("__key").agg(F.min(later)[value].alias("a2"), F.max(earlier)[value].alias("b2"))
+        ends = ends.join(second, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    else:
+        ends = ends.withColumns({"a2": F.lit(None).cast("double"), "b2": F.lit(None).cast("double")})
 
     def side(n: str, edge: str, other: str, sign: int) -> DataFrame:
         rows = ends.filter(F.col(n) > 0).withColumn("k", F.explode(F.sequence(F.lit(1), F.col(n))))
@@ -290,10 +299,10 @@ def layer_thickness(layers: DataFrame, site: str, order: str, top: str, depth: f
     return out.withColumn("thickness", F.when(F.col("thickness") >= 0, F.col("thickness")).otherwise(F.raise_error(F.concat(F.lit("inverted layers at "), F.col(site).cast("string"))).cast("double")))
 
 
-def validate_sequence(catalog: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Files in order with whether each begins after the one before ends."""
-    w = Window.partitionBy(key).orderBy(start, end)
-    return catalog.withColumn("ok", F.coalesce(F.col(start) > F.lag(end).over(w), F.lit(True)) & (F.col(start) <= F.col(end)))
+def validate_sequence(catalog: DataFrame, key: str, start: str, end: str, block: str | None = None) -> DataFrame:
+    """Files in order with whether each begins after the one before ends. Files are gone through block by block."""
+    out = scan.shifted(catalog, [key], start, {"__end": (end, -1)}, block)
+    return out.withColumn("ok", F.coalesce(F.col(start) > F.col("__end"), F.lit(True)) & (F.col(start) <= F.col(end))).drop("__end")
 
 
 def full_years_only(df: DataFrame, key: str, day: str) -> DataFrame:
