@@ -12,7 +12,7 @@ from terraflux.plans.fixtures import CELLS
 from terraflux.plans.registry import Views, duck, query
 from terraflux.sources import scans, sinks
 from terraflux.sources.scratch import scratch
-from terraflux.streaming.append import append_new_files
+from terraflux.streaming.append import append_in_order, append_new_files
 
 
 @query("s1_scan_series", duck("", "SELECT l_suppkey, l_shipdate, l_quantity FROM lineitem", "l_quantity"))
@@ -38,6 +38,16 @@ def s3(v: Views) -> DataFrame:
     return scans.scan_csv(v.spark, path, "id bigint, site string, lai double", encoding="ISO-8859-1")
 
 
+@query("s3_scan_mixed_encodings", duck("v_modis", "SELECT id, 'Forêt ' || id AS site, lai FROM v_modis", "lai"))
+def s3_mixed(v: Views) -> DataFrame:
+    """A folder of files in UTF-8 and in ISO-8859-1."""
+    path = scratch(v.spark, "mixed")
+    rows = v.v_modis.select("id", F.concat(F.lit("Forêt "), F.col("id").cast("string")).alias("site"), "lai")
+    for encoding, half in (("UTF-8", 0), ("ISO-8859-1", 1)):
+        rows.filter(F.col("id") % 2 == half).write.mode("append").csv(path, header=True, encoding=encoding)
+    return scans.scan_csv(v.spark, path, "id bigint, site string, lai double", fallback="ISO-8859-1")
+
+
 @query("s4_scan_fixed_width", duck("v_modis", "SELECT id, round(lai, 4) AS lai, qc FROM v_modis", "lai"))
 def s4(v: Views) -> DataFrame:
     path = scratch(v.spark, "fixed")
@@ -212,3 +222,18 @@ def x1(v: Views) -> DataFrame:
         v.v_daily.filter(part).write.mode("append").parquet(f"{base}/in")
         out = append_new_files(v.spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", schema)
     return out
+
+
+@query("x1_append_in_order", duck("v_daily", "SELECT cell, date_diff('day', DATE '1992-01-01', day) * 1.0 AS t, value FROM v_daily", "t value"))
+def x1_in_order(v: Views) -> DataFrame:
+    """Files of consecutive days in two lots, the second in K and in hours since another day."""
+    base = scratch(v.spark, "in-order")
+    days = F.datediff("day", F.lit("1992-01-01").cast("date")).cast("double")
+    lots = [
+        v.v_daily.filter("year(day) < 1998").select("cell", "day", days.alias("t"), "value", F.lit("degC").alias("units"), F.lit("days since 1992-01-01").alias("since")),
+        v.v_daily.filter("year(day) >= 1998").select("cell", "day", (days * 24 + 48).alias("t"), (F.col("value") + 273.15).alias("value"), F.lit("K").alias("units"), F.lit("hours since 1991-12-30").alias("since")),
+    ]
+    for lot in lots:
+        lot.repartitionByRange(4, "day").drop("day").write.mode("append").parquet(f"{base}/in")
+        out = append_in_order(v.spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", "cell bigint, t double, value double, units string, since string", "cell", "t", units={"value": "units"}, time_units="since")
+    return out

@@ -15,15 +15,22 @@ def scan_series(spark: SparkSession, path: str | list[str], variables: list[str]
     return spark.read.parquet(*([path] if isinstance(path, str) else path)).select(*variables)
 
 
-def scan_csv(spark: SparkSession, path: str | list[str], schema: str, sep: str = ",", na_tokens: tuple[str, ...] = ("na",), date_format: str | None = None, encoding: str = "UTF-8", header: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str | list[str], schema: str, sep: str = ",", na_tokens: tuple[str, ...] = ("na",), date_format: str | None = None, encoding: str = "UTF-8", header: bool = True, fallback: str | None = None) -> DataFrame:
     """Delimited text with given columns; missing tokens count in any case, surrounding blanks do not.
 
-    Columns are read as text, then cast: what does not parse is null. Dates and timestamps follow date_format.
+    Columns are read as text, then cast: what does not parse is null. Dates and timestamps follow date_format. With a
+    fallback, files that are not valid UTF-8 in all their lines are read in that encoding, the others in UTF-8.
     """
     from pyspark.sql.types import StructType
 
     wanted = StructType.fromDDL(schema)
-    raw = spark.read.csv(path, schema=", ".join(f"`{f.name}` string" for f in wanted), sep=sep, header=header, encoding=encoding)
+    read = lambda paths, encoding: spark.read.csv(paths, schema=", ".join(f"`{f.name}` string" for f in wanted), sep=sep, header=header, encoding=encoding)
+    if fallback is None:
+        raw = read(path, encoding)
+    else:
+        files = encodings(spark, path, fallback).collect()  # a row per file
+        paths = {e: [r["path"] for r in files if r["encoding"] == e] for e in ("UTF-8", fallback)}
+        raw = reduce(DataFrame.union, [read(own, e) for e, own in paths.items() if own]) if files else read(path, encoding)
 
     def cast(name: str, kind: str) -> Column:
         text = F.trim(name)
@@ -37,6 +44,15 @@ def scan_csv(spark: SparkSession, path: str | list[str], schema: str, sep: str =
     return raw.select(*[cast(f"`{f.name}`", f.dataType.simpleString()).alias(f.name) for f in wanted])
 
 
+def encodings(spark: SparkSession, path: str | list[str], fallback: str) -> DataFrame:
+    """S3: (path, encoding) of each text file with a line: UTF-8 if the bytes of all its lines are valid, else the fallback.
+
+    Lines are read as they are, in splits like any text, so that no file is held whole.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("ok"))
+    return lines.groupBy("path").agg(F.when(F.every("ok"), "UTF-8").otherwise(fallback).alias("encoding"))
+
+
 def scan_fixed_width(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Columns separated by runs of blanks; lines whose first column does not parse (headers) are left out."""
     from pyspark.sql.types import StructType
