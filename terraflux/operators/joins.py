@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraflux import model
+from terraflux.sources.scratch import once
 
 #: Rows of a lookup table that may be broadcast; a larger one is joined by a shuffle.
 MAX_BROADCAST = 100_000
@@ -18,6 +19,11 @@ def small(df: DataFrame, limit: int = MAX_BROADCAST) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def small_once(df: DataFrame, name: str, limit: int = MAX_BROADCAST) -> DataFrame:
+    """small() of a table that is dear to work out: it is written first, so that counting it does not do so twice."""
+    return small(once(df, name), limit)
+
+
 def merge_variables(keys: list[str], *tables: DataFrame) -> DataFrame:
     """One wide table of all keys in any of the tables."""
     return reduce(lambda a, b: a.join(b, keys, "full_outer"), tables)
@@ -63,11 +69,12 @@ def nearest_values(points: DataFrame, key: str, value: str, axis: DataFrame, per
     values = axis.select(F.col(axis.columns[0]).cast("double").alias("own")).dropna().distinct()
     x = F.col(value).cast("double")
     if period:  # the axis three times over, and points within the middle one
-        once = F.pmod("own", F.lit(float(period)))
-        values = values.withColumn("v", F.explode(F.array(once - float(period), once, once + float(period))))
+        middle = F.pmod("own", F.lit(float(period)))
+        values = values.withColumn("v", F.explode(F.array(middle - float(period), middle, middle + float(period))))
         x = F.pmod(x, F.lit(float(period)))
     else:
         values = values.withColumn("v", F.col("own"))
+    values = once(values, "axis")
     n, edges = values.agg(F.count("*"), F.percentile_approx("v", [i / AXIS_BINS for i in range(1, AXIS_BINS)], 10_000)).first()
     if not n:
         return points.select(key, *[F.lit(None).cast("double").alias(c) for c in outs])

@@ -15,7 +15,7 @@ from terraflux.plans.fixtures import CELLS
 from terraflux.plans.registry import Views, duck, query
 from terraflux.plans.windows import FILLED, spline_sql
 from terraflux.sources import scans, sinks
-from terraflux.sources.scratch import scratch
+from terraflux.sources.scratch import once, scratch
 
 #: Forcing variables: aggregator, padding and its constant, units in and out, bounds in the units out.
 FORCING = {
@@ -34,7 +34,7 @@ def site_forcing(raw: DataFrame, step: int, minutes: int, variables: dict[str, t
     F8 aligns. No task needs a whole site.
     """
     masked = filters.qc_mask(raw, "value", "qc")
-    seen = masked.groupBy("site", F.col("ts").alias("t")).agg(F.avg("value").alias("value"))
+    seen = once(masked.groupBy("site", F.col("ts").alias("t")).agg(F.avg("value").alias("value")), "forcing-seen")  # inspected, and filled
     found = win.inspect_grid(seen, "site", "t", step * 60)
     plan = win.plan_of(found, "site", minutes, start, end, max_pad)
     series = generators.time_grid(found, ["site"], "first", "last", f"{step} minutes").join(seen, ["site", "t"], "left")
@@ -46,7 +46,7 @@ def site_forcing(raw: DataFrame, step: int, minutes: int, variables: dict[str, t
     grouped = begun.groupBy("site", "ratio", place.alias("g")).agg(F.min("t").alias("t"), F.count("*").alias("n"), *[agg.AGGREGATORS[v[0]](F.col(name)).alias(name) for name, v in variables.items()])
     out = grouped.filter("n = ratio").select("site", "t", *variables)
     out = out.withColumns({name: scalars.clamp(scalars.convert(F.col(name), v[3], v[4], minutes * 60.0), v[5], v[6]) for name, v in variables.items()})
-    return win.align_series(out, "site", "t", align, minutes)
+    return win.align_series(once(out, "forcing"), "site", "t", align, minutes)  # checked, and passed on
 
 
 #: Times ten days earlier and five minutes late, so that a year begins within the data and alignment has work to do.
@@ -115,7 +115,7 @@ def raster_samples(sites: DataFrame, raster: DataFrame, axes: tuple[DataFrame, D
     axes are the rasters' own longitudes and latitudes, given once, so that no raster is read to find them.
     """
     near = joins.nearest_on_axis(sites, "site", "lon", axes[0], "lon").join(joins.nearest_on_axis(sites, "site", "lat", axes[1], "lat"), "site")
-    sampled = raster.join(joins.small(near), ["lon", "lat"])
+    sampled = raster.join(joins.small_once(near, "near"), ["lon", "lat"])
     return filters.valid_only(filters.unpack(sampled, value, scale, 0.0, fills), [value]).select("site", "date", value)
 
 
@@ -130,7 +130,8 @@ def c4(v: Views) -> DataFrame:
     rows = v.v_grid.select("lon", "lat", F.when(F.col("tas") < 0, 65535.0).otherwise(F.round(F.col("tas") * 100)).alias("gpp"), name.alias("name"))
     rows.repartition("name").write.partitionBy("name").parquet(path)
     raster = v.spark.read.schema("lon double, lat double, gpp double").parquet(path).select("lon", "lat", "gpp", scans.date_of_name(scans.scanned_name(1)).alias("date"))
-    axes = (v.v_grid.select("lon").distinct(), v.v_grid.select("lat").distinct())
+    cells = once(v.spark.read.parquet(path).select("lon", "lat").distinct(), "cells")
+    axes = (cells.select("lon").distinct(), cells.select("lat").distinct())
     return sets.order_observations(raster_samples(v.v_sites, raster, axes, "gpp", 0.01, (65535.0, 65534.0)), "site", "date")
 
 
@@ -156,8 +157,9 @@ def gridded_site_climate(parts: list[tuple[DataFrame, str]], sites: DataFrame, s
     """
     unpacked = [(filters.unpack(df, "huss", scale, 0.0, fills), units) for df, units in parts]
     grid = sets.concat_time(unpacked, "tas")
-    axes = [regrid.target_axis(grid, c, 0.5, x0, 1.2).select(F.round(c, 6).alias(c)) for c, x0 in (("lon", 110), ("lat", -40))]
-    near = joins.small(joins.nearest_on_axis(sites, "site", "lon", axes[0], "lon").join(joins.nearest_on_axis(sites, "site", "lat", axes[1], "lat"), "site"))
+    cells = once(grid.select("lon", "lat").distinct(), "cells")  # the one other reading of the grid
+    axes = [regrid.target_axis(cells, c, 0.5, x0, 1.2).select(F.round(c, 6).alias(c)) for c, x0 in (("lon", 110), ("lat", -40))]
+    near = joins.small_once(joins.nearest_on_axis(sites, "site", "lon", axes[0], "lon").join(joins.nearest_on_axis(sites, "site", "lat", axes[1], "lat"), "site"), "near")
     wide = regrid.regrid_conservative(grid, ["month"], ["tas", "huss", "ps"], 0.5, 110, 1.2, -40, 1.2).withColumns({"lon": F.round("lon", 6), "lat": F.round("lat", 6)})
     out = wide.join(near, ["lon", "lat"])
     kelvin = filters.convert_units(out, "tas", "degC", "K").select("site", "month", "tas")
@@ -220,7 +222,8 @@ def benchmark_table(fluxes: DataFrame, leaves: DataFrame, greenness: DataFrame,
     layers of each site as an array (F20 names their columns), water (site, day, name, value) by layer, inventories
     (site, date and metrics, C5). J8 puts them on the axis; what lies outside is left out.
     """
-    names = tables.explode_layers(layers, "site", "layers").select("site", "name", F.col("column").alias("variable"))
+    fluxes = once(fluxes, "fluxes")  # spans, and values
+    names = once(tables.explode_layers(layers, "site", "layers").select("site", "name", F.col("column").alias("variable")), "layers")
     soil = water.join(joins.small(names), ["site", "name"])
     columns = [r[0] for r in names.select("variable").distinct().orderBy("variable").collect()]  # the few depths of all sites
     long = lambda df, day, value, name: df.select("site", F.col(day).alias("day"), F.lit(name).alias("variable"), F.col(value).alias("value"))
@@ -257,13 +260,13 @@ def c9(v: Views) -> DataFrame:
     modis = v.v_modis.withColumn("id", F.expr(_CODE("id")))
     leaves = leaf_area_observations(modis)
     green = modis.select(scalars.normalise_site(F.col("id")).alias("site"), "date", (F.col("lai") / 10).alias("ndvi"))
-    raw = v.v_raw.withColumn("site", scalars.normalise_site(F.expr(_SITE_OF)))
     layer = F.concat(F.lit("Sws_"), (F.col("event_id") % 3).cast("string"))
-    water = raw.groupBy("site", F.to_date("ts").alias("day"), layer.alias("name")).agg(F.avg(F.col("value") / 200).alias("value"))
+    daily = v.v_raw.groupBy(F.expr(_SITE_OF).alias("site"), F.to_date("ts").alias("day"), layer.alias("name")).agg(F.avg(F.col("value") / 200).alias("value"))
+    water = once(daily.withColumn("site", scalars.normalise_site(F.col("site"))), "water")  # values, and their sites
     own = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(depth).alias("depth")) for name, depth in _DEPTHS.items()])
     stems = v.v_stems.withColumns({"start_visit": F.expr(_VISIT), "end_visit": F.expr(f"{_VISIT} + 4"), "length": F.lit("50 m"), "width": F.lit("1000 cm")})
     plots = inventory(stems).withColumn("site", scalars.normalise_site(F.expr(_CODE("plot"))))
-    return benchmark_table(flux_observations(_flux_tables(v), "source", "umol/m2/s", "gC/m2"), leaves, green, raw.select("site").distinct().withColumn("layers", own), water, plots)
+    return benchmark_table(flux_observations(_flux_tables(v), "source", "umol/m2/s", "gC/m2"), leaves, green, water.select("site").distinct().withColumn("layers", own), water, plots)
 
 
 def wide_site_met(temperature: DataFrame, humidity: DataFrame, rain: DataFrame, names: list[str], pressure_pa: float, step: float) -> DataFrame:

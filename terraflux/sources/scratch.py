@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,6 +27,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def once(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: for what several steps of a job need, so that it is worked out once
+    and a lost executor costs nothing above it."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Deletes what this application has put into the shared folder. Results that are not written yet read from there."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own(spark))
