@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraflux.functions.scalars import basal_area, grass_leaf_area, leaf_area, midpoint
 from terraflux.model import FAILING_FLAGS
 from terraflux.operators import scan
+from terraflux.operators.joins import small
+from terraflux.sources.scratch import once
 
 #: Aggregators by name; each takes a column and skips missing values.
 AGGREGATORS = {
@@ -89,23 +92,86 @@ def annual_mean(df: DataFrame, time: str, value: str) -> DataFrame:
     return df.groupBy(F.year(time).alias("year")).agg(F.avg(value).alias(value))
 
 
-def plot_statistics(stems: DataFrame, area: str = "area_m2") -> DataFrame:
+#: Values of a group that a task may hold to find a percentile, and parts that a larger group's range is cut into.
+MAX_GROUP, BINS = 1_000_000, 1024
+
+
+def percentiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], max_group: int = MAX_GROUP) -> DataFrame:
+    """(keys, a column for each of wanted): exact percentiles, interpolated between the two values around them; wanted
+    maps a name to (column, share). Nulls and NaN do not count.
+
+    Groups of up to max_group rows are aggregated as they are. Of larger ones, the range that holds the two values is
+    found by counting in 1024 parts of it, again and again, for all groups at once; a task never holds a group.
+    """
+    key = F.struct(*[F.col(k) for k in keys])
+    rows = df.select(key.alias("__key"), *dict.fromkeys(c for c, _ in wanted.values()))
+    sizes = rows.groupBy("__key").agg(F.count("*").alias("__n"))
+    large = once(sizes.filter(F.col("__n") > max_group).select("__key"), "large-groups")
+    exact = lambda c, q: F.percentile(F.when(~F.isnan(c), F.col(c)), F.lit(q))
+    if large.isEmpty():
+        found = rows.groupBy("__key").agg(*[exact(c, q).alias(name) for name, (c, q) in wanted.items()])
+        return found.select("__key.*", *wanted)
+    on = lambda a, b: a["__key"].eqNullSafe(b["__key"])
+    near = small(large)
+    few = rows.join(near, on(rows, near), "left_anti").groupBy("__key").agg(*[exact(c, q).alias(name) for name, (c, q) in wanted.items()])
+    many = large
+    for name, (column, q) in wanted.items():
+        values = rows.join(near, on(rows, near), "left_semi").select("__key", F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+        one = _selected(values, q, max_group).withColumnRenamed("x", name).withColumnRenamed("__key", "__of")
+        many = many.join(one, many["__key"].eqNullSafe(one["__of"]), "left").drop("__of")
+    return few.unionByName(many).select("__key.*", *wanted)
+
+
+def _selected(values: DataFrame, q: float, max_group: int) -> DataFrame:
+    """(__key, x): the percentile of each group of values(__key, v), between the values at the places around it."""
+    ends = values.groupBy("__key").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    place = (F.col("n").cast("double") - 1) * q
+    ends = once(ends.select("*", place.alias("place")), "selection")
+    # for each of the two values its place, from 0, among those from lo to hi: at first all of the group's
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), end("place").cast("long").alias("at")) for i, end in enumerate((F.floor, F.ceil))])
+    state = ends.select("__key", "lo", "hi", "n", F.explode(sides).alias("s")).select("__key", "s.side", "lo", "hi", "n", "s.at")
+    done = []
+    while not state.isEmpty():  # a part never holds both ends of its range, so that ranges shrink
+        found = (F.col("n") <= max_group) | (F.col("lo") == F.col("hi"))
+        open_ = state.filter(~found)
+        inside = values.join(small(state.withColumnRenamed("__key", "__of")), values["__key"].eqNullSafe(F.col("__of"))).filter("v >= lo AND v <= hi")
+        last = inside.filter(found & (F.col("lo") < F.col("hi"))).groupBy("__key", "side", "at").agg(F.sort_array(F.collect_list("v")).alias("vs"))  # max_group of them at most
+        done.append(once(last.select("__key", "side", F.element_at("vs", (F.col("at") + 1).cast("int")).alias("x")).union(state.filter("lo = hi").select("__key", "side", "lo")), "selected"))
+        if open_.isEmpty():
+            break
+        part = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS), F.lit(BINS - 1))
+        counts = inside.filter(~found).groupBy("__key", "side", "at", part.alias("part")).agg(F.count("*").alias("here"), F.min("v").alias("low"), F.max("v").alias("high"))
+        so_far = F.sum("here").over(Window.partitionBy("__key", "side").orderBy("part"))  # BINS rows at most
+        kept = counts.withColumn("end", so_far).filter("end > at AND end - here <= at")
+        state = once(kept.select("__key", "side", F.col("low").alias("lo"), F.col("high").alias("hi"), F.col("here").alias("n"), (F.col("at") - F.col("end") + F.col("here")).alias("at")), "selection")
+    both = reduce(DataFrame.union, done).groupBy(F.col("__key").alias("__of")).agg(F.min(F.when(F.col("side") == 0, F.col("x"))).alias("x0"), F.min(F.when(F.col("side") == 1, F.col("x"))).alias("x1"))
+    joined = ends.join(both, ends["__key"].eqNullSafe(both["__of"]))
+    return joined.select("__key", (F.col("x0") + (F.col("x1") - F.col("x0")) * (F.col("place") - F.floor("place"))).alias("x"))
+
+
+def plot_statistics(stems: DataFrame, area: str = "area_m2", max_group: int = MAX_GROUP) -> DataFrame:
     """A row per plot and visit: live and dead biomass (kg/m2, a sum of 0 is missing), mean and 90th-percentile height (m),
     quadratic mean and 90th-percentile diameter (m), basal area (m2/ha) and the visit's middle date.
 
     Of plot, start_visit and end_visit, a column with any null is no part of the key; the plot and the first dates of a
     group are given all the same. Without an end the date is the start, without a start the end; a table in which all
-    three have nulls gives no rows. Percentiles are exact and interpolated; a group holds the stems of one plot visit.
+    three have nulls gives no rows. Percentiles are exact and interpolated, see percentiles(), which holds no large group.
     """
     keys = ("plot", "start_visit", "end_visit")
     holes = stems.agg(*[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"__no_{c}") for c in keys])  # one row
     stems = stems.join(F.broadcast(holes)).filter("NOT (__no_plot AND __no_start_visit AND __no_end_visit)")
-    own = [F.when(~F.col(f"__no_{c}"), F.col(c)).alias(f"__{c}") for c in keys]
-    groups = stems.groupBy(*own, *[f"__no_{c}" for c in keys[1:]]).agg(
+    own = [F.when(~F.col(f"__no_{c}"), F.col(c)) for c in keys]
+    ninetieth = [F.percentile(F.when(~F.isnan(c), F.col(c)), F.lit(0.9)).alias(name) for name, c in (("height_90", "height_m"), ("diameter_90", "diameter_cm"))]
+    stems = stems.withColumns({f"__{c}": col for c, col in zip(keys, own)})
+    by = [*[f"__{c}" for c in keys], *[f"__no_{c}" for c in keys[1:]]]
+    split = not stems.groupBy(*by).count().filter(F.col("count") > max_group).isEmpty()  # a group that no task should hold
+    groups = stems.groupBy(*by).agg(
         *[F.min(c).alias(c) for c in keys], F.min(area).alias("__area"), F.sum("live_kg").alias("live"), F.sum("dead_kg").alias("dead"), F.avg("height_m").alias("height"),
-        AGGREGATORS["quadratic_mean"](F.col("diameter_cm")).alias("diameter"), F.percentile("height_m", F.lit(0.9)).alias("height_90"),
-        F.percentile("diameter_cm", F.lit(0.9)).alias("diameter_90"), F.sum(basal_area(F.col("diameter_cm"))).alias("basal"),
+        AGGREGATORS["quadratic_mean"](F.col("diameter_cm")).alias("diameter"), F.sum(basal_area(F.col("diameter_cm"))).alias("basal"), *([] if split else ninetieth),
     )
+    if split:
+        tops = percentiles(stems, by, {"height_90": ("height_m", 0.9), "diameter_90": ("diameter_cm", 0.9)}, max_group).withColumnsRenamed({c: f"{c}_" for c in by})
+        groups = groups.join(tops, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in by]), "left")
     per_area = lambda c: F.nullif(F.col(c) / F.col("__area"), F.lit(0.0)).alias(c)
     date = F.when(F.col("__no_end_visit"), F.col("start_visit")).when(F.col("__no_start_visit"), F.col("end_visit")).otherwise(midpoint(F.col("start_visit"), F.col("end_visit")))
     return groups.select(

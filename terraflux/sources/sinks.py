@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terraflux.operators.filters import is_valid
@@ -39,11 +39,25 @@ def write_metric_tables(df: DataFrame, keys: list[str], tables: dict[str, list[s
 
 
 def write_cell_major(df: DataFrame, path: str, cell: str, time: str, partitions: int | None = None) -> None:
-    """Each cell's rows together and in time order, so that a reader of one cell touches few row groups."""
-    dealt = df.repartitionByRange(partitions, cell) if partitions else df.repartitionByRange(cell)
+    """Each cell's rows together and in time order, so that a reader of one cell touches few row groups.
+
+    Tasks are cut by cell and time, so that a cell with very many rows fills several files, one after another in time,
+    and no task has more than its share; see cell_layout().
+    """
+    dealt = df.repartitionByRange(partitions, cell, time) if partitions else df.repartitionByRange(cell, time)
     dealt.sortWithinPartitions(cell, time).write.parquet(path, compression="zstd")
 
 
+def cell_layout(spark: SparkSession, path: str, cell: str, time: str) -> DataFrame:
+    """(cell, n, files, together, ordered): in how many files a cell's rows lie, whether they are one run in each, and
+    whether the files follow one another in time. Read from the rows' places in their files."""
+    rows = spark.read.parquet(path).select(cell, time, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    own = rows.groupBy(cell, "file").agg(F.count("*").alias("n"), (F.max("at") - F.min("at") + 1).alias("span"), F.min(time).alias("a"), F.max(time).alias("b"))
+    before = F.lag("b").over(Window.partitionBy(cell).orderBy("a", "b"))  # a row per file
+    own = own.withColumn("ordered", F.coalesce(F.col("a") >= before, F.lit(True)))
+    return own.groupBy(cell).agg(F.sum("n").alias("n"), F.count("*").alias("files"), F.every(F.col("n") == F.col("span")).alias("together"), F.every("ordered").alias("ordered"))
+
+
 def annual_text(df: DataFrame, year: str, value: str) -> DataFrame:
     """Lines "%d %.2f"."""
     return df.select(F.format_string("%d %.2f", F.col(year), F.col(value)).alias("value"))
