@@ -29,7 +29,8 @@ _NAMED = r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key|private[_
 PATTERNS = {
     "secret": rf"(?<![A-Za-z]){_NAMED}(?=[A-Za-z_+/=.-]{{0,64}}\d)[A-Za-z0-9_+/=.-]{{8,256}}",
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    # what is written in one piece ends with it, whatever follows; only then are groups tried
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "ipv6": r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){2,7}(?![\w:.])",
     "iso_date": r"(?<![\d-])\d{4}-\d\d-\d\d(?![\d-])",
@@ -37,7 +38,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])",
     "abroad": r"(?<![\d+(])\+(?!1[ .(-])[1-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{1,12})){1,8}(?!\d)",
     "phone": r"(?<![\d+(])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?![ -]?\d)",
+    "card": r"(?<!\d)(?:\d{13,19}(?!\d)|\d{4}(?:[ -]\d{4}){3}(?![ -]?\d{1,3}(?!\d))(?!\d)|\d(?:[ -]?\d){12,18}(?![ -]?\d))",
 }
 KINDS = tuple(PATTERNS)
 #: The date pattern refers to its own group, the only one.
