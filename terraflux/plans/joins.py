@@ -217,10 +217,12 @@ def a20_bounds(v: Views) -> DataFrame:
     return regrid.regrid_bounds(grid, ["month"], ["tas", "huss"], axis("lon"), axis("lat"), _axis(v, _TO_LON), _axis(v, _TO_LAT))
 
 
-_AXES = """SELECT month, x AS lon, y AS lat, sum(tas * w) AS tas FROM (
-  SELECT month, tas, x, y, greatest(1 - abs(lon + 65 - x - k) / 0.5, 0) * greatest(1 - abs(lat - y) / 0.5, 0) AS w
-  FROM v_grid, (SELECT -184.8 + 0.7 * i AS x FROM range(14) r(i)), (SELECT -39.9 + 0.7 * j AS y FROM range(14) r(j)), (VALUES (-360), (0), (360)) c(k)) WHERE w > 1e-9
-GROUP BY ALL HAVING sum(w) > 1 - 1e-6"""
+#: The grid lines on either side of each target's, whatever lines the data have, and their weights.
+_SIDES = "SELECT t, own, CASE WHEN a = b THEN 1.0 WHEN s = b THEN (a - t) / (a - b) ELSE (t - b) / (a - b) END AS w FROM (SELECT t, max(s) FILTER (s <= t) AS b, min(s) FILTER (s >= t) AS a FROM {targets}, {lines} l GROUP BY t) JOIN {lines} l ON s = a OR s = b"
+_AXES = f"""SELECT month, x.t AS lon, y.t AS lat, sum(tas * x.w * y.w) AS tas FROM v_grid
+  JOIN ({_SIDES.format(targets="(SELECT -184.8 + 0.7 * i AS t FROM range(14) r(i))", lines="(SELECT DISTINCT lon + 65 + k AS s, lon AS own FROM v_grid, (VALUES (-360), (0), (360)) c(k))")}) x ON x.own = lon
+  JOIN ({_SIDES.format(targets="(SELECT -39.9 + 0.7 * j AS t FROM range(14) r(j))", lines="(SELECT DISTINCT lat AS s, lat AS own FROM v_grid)")}) y ON y.own = lat
+GROUP BY ALL HAVING sum(x.w * y.w) > 1 - 1e-6"""
 
 
 @query("a21_regrid_axes", duck("v_grid", _AXES, "lon lat tas"))
