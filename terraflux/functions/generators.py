@@ -32,7 +32,7 @@ def lonlat_grid(spark: SparkSession, x0: float, dx: float, nx: int, y0: float, d
 
 
 def repeat_first_year(df: DataFrame, key: str, day: str, n: int) -> DataFrame:
-    """Df with n copies of each key's first year before it; the 29th of February becomes the 28th in other years."""
+    """Df with n copies of each key's first year before it; the 29th of February becomes the 28th in other years, which is there twice then."""
     first = df.groupBy(key).agg(F.min(F.year(day)).alias("__first"))
     copies = df.join(first, key).filter(F.year(day) == F.col("__first")).withColumn("__k", F.explode(F.sequence(F.lit(1), F.lit(n))))
     moved = copies.withColumn(day, F.add_months(day, -12 * F.col("__k"))).select(*df.columns)

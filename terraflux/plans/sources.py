@@ -152,10 +152,10 @@ def s14(v: Views) -> DataFrame:
 
 @query("s15_file_digests", "SELECT sha256(text) AS sha256, count(*) AS n FROM documents GROUP BY 1", also="s15_file_digests_whole")
 def s15(v: Views) -> DataFrame:
-    """Every document, up to a hundred in a file."""
+    """Every document, up to a hundred in a file; each file is read as a row and in pieces, which must agree."""
     path = scratch(v.spark, "packed")
     sinks.write_packed_texts(v.documents, "text", path)
-    return scans.packed_digests(v.spark, path).groupBy("sha256").agg(F.count("*").alias("n"))
+    return scans.packed_digests(v.spark, path, streamed_above=0).groupBy("sha256").agg(F.count("*").alias("n"))
 
 
 @query("s16_wide_to_long", duck("v_wide", " UNION ALL ".join(f"SELECT day, 'site{c}' AS site, site{c} AS value FROM v_wide" for c in CELLS), "value"))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraflux.functions.scalars import make_time
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 
 def scan_series(spark: SparkSession, path: str | list[str], variables: list[str]) -> DataFrame:
     """The named columns of one or many files; others are not read."""
@@ -122,20 +127,58 @@ def file_metadata(attributes: DataFrame, file: str, name: str, value: str, names
     return attributes.groupBy(file).pivot(name, names).agg(F.min(value))
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256) of every file under a tree."""
+#: Files above so many bytes are not read into a row but in pieces.
+STREAMED_ABOVE = 64 << 20
+PIECE = 4 << 20
+
+
+def file_digests(spark: SparkSession, path: str, streamed_above: int = STREAMED_ABOVE) -> DataFrame:
+    """(path, sha256) of every file under a tree, of any length; files without bytes, which scans pass over, have no row.
+
+    The listing alone deals files to tasks by their lengths, and the bound on the length reaches the scan: short files
+    are read as rows, longer ones are named to the task, which reads them piece by piece.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"))
+    short = files.filter(F.col("length") <= streamed_above).select("path", F.sha2("content", 256).alias("sha256"))
+    long = files.filter(F.col("length") > streamed_above).select("path")
+    return short.union(long.mapInArrow(_streamed_digests, "path string, sha256 string"))
+
+
+def _streamed_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import pyarrow as pa
+
+    for batch in batches:
+        paths = batch.column(0)
+        yield pa.RecordBatch.from_arrays([paths, pa.array([sha256_of(p.as_py()) for p in paths], pa.string())], ["path", "sha256"])
 
 
-def packed_digests(spark: SparkSession, path: str) -> DataFrame:
+def sha256_of(path: str) -> str:
+    """The digest of one file, of which no more than a piece is in memory. Paths of other file systems go through pyarrow."""
+    import hashlib
+    from urllib.parse import quote
+
+    if path.startswith("file:"):
+        stream = open("/" + path.removeprefix("file:").lstrip("/"), "rb", buffering=0)
+    else:
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@%"))
+        stream = system.open_input_stream(inner)
+    digest = hashlib.sha256()
+    with stream:
+        while piece := stream.read(PIECE):
+            digest.update(piece)
+    return digest.hexdigest()
+
+
+def packed_digests(spark: SparkSession, path: str, streamed_above: int = STREAMED_ABOVE) -> DataFrame:
     """S15 on files of write_packed_texts(): a row per text with its digest, null for a null text. The file's own digest must be the same on both reads."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
     lines = F.split(F.expr("substring(string(content), 1, length(string(content)) - 1)"), "\x1e")  # without the last mark
     plain = lambda s: F.replace(F.replace(s, F.lit("\x1f1"), F.lit("\x1e")), F.lit("\x1f0"), F.lit("\x1f"))
     texts = F.transform(lines, lambda s: F.sha2(F.when(s != "\x1f2", plain(s)), 256))
     own = files.filter("length > 0").select("path", F.sha2("content", 256).alias("own"), texts.alias("texts"))
-    seen = own.join(file_digests(spark, path), "path", "left")
+    seen = own.join(file_digests(spark, path, streamed_above), "path", "left")
     same = F.assert_true(F.coalesce(F.col("own") == F.col("sha256"), F.lit(False)), F.concat(F.lit("file changed while it was read: "), F.col("path")))
     return seen.filter(same.isNull()).select(F.explode("texts").alias("sha256"))
 
@@ -151,8 +194,11 @@ def arrays_to_long(df: DataFrame, keys: list[str], axis: str, values: str, index
 
 
 def long_to_arrays(df: DataFrame, keys: list[str], axis: str, value: str, full: DataFrame) -> DataFrame:
-    """A dense array per key over all values of the axis table full, missing ones null, in the axis' order."""
-    axis_values = full.agg(F.collect_set(axis).alias("__axis"))  # one row with the values of one coordinate
+    """A dense array per key over all values of the axis table full, missing ones null, in the axis' order.
+
+    The axis travels as one row, which is no longer than each row of the result.
+    """
+    axis_values = full.agg(F.collect_set(axis).alias("__axis"))
     grid = df.select(*keys).distinct().join(F.broadcast(axis_values)).withColumn(axis, F.explode("__axis")).drop("__axis")
     dense = grid.join(df, [*keys, axis], "left")
     return dense.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(axis, value))).alias("x")).select(*keys, F.col("x").getField(axis).alias(axis), F.col("x").getField(value).alias(value))
