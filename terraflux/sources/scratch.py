@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_FOLDER: ContextVar[str] = ContextVar("folder", default="")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; where that is unset, as in tests on one machine, a new one of our own.
 
@@ -24,7 +30,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, below one of this application, which clear_scratch() deletes."""
-    return f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own(spark)}/{_FOLDER.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def step_scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is put into the shared folder inside is deleted at the end: for a step whose result is written before that.
+
+    Only this step's own files go, whatever else runs in the application.
+    """
+    token = _FOLDER.set(f"{_FOLDER.get()}{name}-{uuid.uuid4().hex}/")
+    folder = f"{_own(spark)}/{_FOLDER.get()}".rstrip("/")
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+        drop(spark, folder)
 
 
 def once(df: DataFrame, name: str) -> DataFrame:
@@ -37,7 +58,12 @@ def once(df: DataFrame, name: str) -> DataFrame:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Deletes what this application has put into the shared folder. Results that are not written yet read from there."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    drop(spark, _own(spark))
+
+
+def drop(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of scratch files; one that is not there is no error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

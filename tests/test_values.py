@@ -127,3 +127,20 @@ def test_dates_of_names(spark):
 def test_plot_area_falls_back_on_its_plot(spark):
     df = spark.createDataFrame([(1, "20 m", "10 m"), (1, None, "10 m"), (2, "5 m", None), (2, "5 m", "100 cm")], "plot int, length string, width string")
     assert sorted(r.area_m2 for r in tables.plot_area(df, "plot", "length", "width").collect()) == [5, 5, 200, 200]
+
+
+def test_scratch_files_of_a_step_go_with_it(spark):
+    import os
+
+    from terraflux.sources.scratch import once, scratch, step_scratch
+
+    kept = once(spark.range(3), "kept")
+    with step_scratch(spark, "outer"):
+        outer = scratch(spark, "a")
+        spark.range(1).write.parquet(outer)
+        with step_scratch(spark, "inner"):
+            inner = once(spark.range(5), "b")
+            assert inner.count() == 5 and scratch(spark, "c").startswith(os.path.dirname(outer))
+        assert os.path.exists(outer)
+    assert kept.count() == 3 and not os.path.exists(os.path.dirname(outer))
+    assert os.path.dirname(scratch(spark, "d")) == os.path.dirname(os.path.dirname(outer))
