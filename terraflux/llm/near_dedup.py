@@ -173,10 +173,13 @@ def _across_pivots(open_: DataFrame, percent: int) -> DataFrame:
         out = rows.select("pivot", *[F.col(c).alias(f"{c}_{name}") for c in kept], "alone", F.posexplode(first).alias("at", "e"))
         return out.withColumn(f"at_{name}", F.col("at") + F.col("alone")).drop("at", "alone")
 
-    pairs = side(ordered.filter("NOT linked"), "probe", "x").join(side(ordered, "head", "y"), ["pivot", "e"])
+    # a member goes to the other components of its element alone, so that members of one component never meet
+    left, right = side(ordered.filter("NOT linked"), "probe", "x"), side(ordered, "head", "y")
+    others = left.select("pivot", "e", "component_x").distinct().join(right.select("pivot", "e", "component_y").distinct(), ["pivot", "e"]).filter("component_x <> component_y")
+    pairs = left.join(others, ["pivot", "e", "component_x"]).join(right, ["pivot", "e", "component_y"])
     enough = 2 * top * F.least(F.expr("n_d_x - at_x"), F.expr("n_d_y - at_y")) >= top * F.expr("n_d_x + n_d_y") - _allowed("n_x", "n_y", percent)
     once = F.expr("linked_y OR (id_x < id_y AND at_x < head_x)")
-    found = pairs.filter(F.col("component_x") != F.col("component_y")).filter(once).filter(_sizes_allow("n_x", "n_y", percent)).filter(enough)
+    found = pairs.filter(once).filter(_sizes_allow("n_x", "n_y", percent)).filter(enough)
     return found.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
