@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from terraflux.llm import decontamination, exact_dedup, mixing, near_dedup, quality
-from terraflux.llm.common import cut, table
+from terraflux.llm.common import table
+from terraflux.sources.scratch import drop, scratch, step_scratch
 
 #: The columns of documents.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -54,7 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Each stage's rows are written before the next begins; its working tables, and the rows that it was given, go then."""
+    docs, given = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch(spark, f"pipeline-{name}")
+        with step_scratch(spark, f"pipeline-work-{name}"):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        if given:
+            drop(spark, given)
+        docs, given = spark.read.schema(kept.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
