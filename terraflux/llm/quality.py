@@ -8,11 +8,14 @@ documents' ids, and the shards' weights are averaged. Scoring is a sparse dot pr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +25,12 @@ from terraflux.llm.words import Words, chunks, mix
 BITS = 18
 #: Labelled documents that training takes at most (by the hash of their id, so give or take a few), and their shards.
 MAX_TRAIN, SHARDS, EPOCHS = 24_000, 4, 3
-#: Bytes of text that training takes at most (likewise); fewer documents are drawn if they are long. A shard needs about eight times its texts.
+#: Bytes of text that training takes at most (likewise); fewer documents are drawn if they are long. A shard holds eight bytes for each distinct feature of each text.
 MAX_TRAIN_BYTES = 96_000_000
+#: Bytes of text whose words are looked at together.
+CHUNK = 250_000
+#: Rows that a worker hands on at a time.
+SLICE = 500
 #: Learning rate and its offset, L1 and L2 of the leader's regularisation.
 ALPHA, BETA, L1, L2 = 0.1, 1.0, 0.05, 0.1
 
@@ -52,8 +59,8 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return slots, words.first * len(found)
 
 
-def train(examples: list[tuple[np.ndarray, int]], epochs: int) -> tuple[np.ndarray, float]:
-    """Weights and bias after FTRL-proximal over (slots, label) in the given order."""
+def train(examples: Iterable[tuple[np.ndarray, int]], epochs: int) -> tuple[np.ndarray, float]:
+    """Weights and bias after FTRL-proximal over (slots, label) in the given order; of an example its distinct slots are held."""
     z, n = np.zeros(1 + (1 << BITS)), np.zeros(1 + (1 << BITS))
 
     def weights(at: np.ndarray) -> np.ndarray:
@@ -63,9 +70,10 @@ def train(examples: list[tuple[np.ndarray, int]], epochs: int) -> tuple[np.ndarr
     ready = []
     for slots, label in examples:
         at, count = np.unique(slots, return_counts=True)
-        ready.append((np.append(at, 1 << BITS), np.append(count / max(1, len(slots)) ** 0.5, 1.0), label))
+        ready.append((np.append(at, 1 << BITS).astype(np.int32), count.astype(np.int32), len(slots), label))
     for _ in range(epochs):
-        for at, x, label in ready:
+        for at, count, size, label in ready:
+            x = np.append(count / max(1, size) ** 0.5, 1.0)
             w = weights(at)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
@@ -96,18 +104,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, max_b
     size = drawn(share).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     sample = drawn(share * min(1.0, max_bytes / max(1, size)))
 
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.select(["place", "doc_id", "text", "quality"]).sort_by([("place", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
-        examples = []
-        labels_ = rows["quality"].to_pylist()
-        for begin, texts in chunks(rows["text"].to_pylist()):
-            slots, first = features(texts)
-            examples += [(slots[first[i] : first[i + 1]], labels_[begin + i]) for i in range(len(texts))]
-        w, bias = train(examples, epochs)
-        at = np.flatnonzero(w)
-        return pa.table({"slot": pa.array(np.append(at, -1), pa.int32()), "w": np.append(w[at], bias)})
-
-    summed = sample.groupBy("shard").applyInArrow(run, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w"), F.count("*").alias("n"))
+    # a row at a time and in order, so that a worker holds the features of one shard and no texts
+    dealt = sample.select("shard", "text", "quality", "place", "doc_id").repartition("shard").sortWithinPartitions("shard", "place", "doc_id", F.asc_nulls_last("text"))
+    learned = dealt.select("shard", "text", "quality").mapInArrow(partial(_learned, epochs=epochs), "slot int, w double")
+    summed = learned.groupBy("slot").agg(F.sum("w").alias("w"), F.count("*").alias("n"))
     found = summed.toArrow()  # at most a row per slot
     slot, total, n = (found[c].to_numpy() for c in ("slot", "w", "n"))
     shards = max(1, int(n[slot == -1].sum()))
@@ -116,17 +116,53 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, max_b
     return w, float(total[slot == -1].sum() / shards)
 
 
+def _learned(batches: Iterator[pa.RecordBatch], epochs: int) -> Iterator[pa.RecordBatch]:
+    """The weights other than 0 of each shard, its bias at slot -1, of rows (shard, text, quality) in the order of shards and of training."""
+    rows = (row for batch in batches for row in zip(batch.column(0), batch.column(1), batch.column(2)))
+    for _, own in groupby(rows, lambda row: row[0].as_py()):
+        w, bias = train(_examples(own), epochs)
+        at = np.flatnonzero(w)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(w[at], bias))], ["slot", "w"])
+
+
+def _examples(rows: Iterator[tuple[pa.Scalar, ...]]) -> Iterator[tuple[np.ndarray, int]]:
+    labels = deque()
+
+    def texts() -> Iterator[str | None]:
+        for _, text, label in rows:
+            labels.append(label.as_py())
+            yield text.as_py()
+
+    for _, held in chunks(texts(), CHUNK):
+        slots, first = features(held)
+        for begin, end in zip(first, first[1:]):
+            yield slots[begin:end], labels.popleft()
+
+
+def _score(texts: pa.Array, w: np.ndarray, bias: float) -> pa.Array:
+    out = []
+    for _, held in chunks((text.as_py() for text in texts), CHUNK):
+        slots, first = features(held)
+        n = np.diff(first)
+        sums = np.zeros(len(n))
+        if len(slots):  # by text, so that a score does not depend on its neighbours
+            sums[n > 0] = np.add.reduceat(w[slots].astype(np.float64), first[:-1][n > 0])
+        out.append(1 / (1 + np.exp(-np.clip(bias + sums / np.sqrt(np.maximum(n, 1)), -35, 35))))
+    return pa.array(np.round(np.concatenate(out), 6) if out else [], pa.float64())
+
+
 def _scores(batches: Iterator[pa.RecordBatch], w: np.ndarray, bias: float) -> Iterator[pa.RecordBatch]:
+    """(doc_id, score) of rows (doc_id, text)."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), _score(batch.column(1), w, bias)], [batch.schema.names[0], "score"])
+
+
+def _passed(batches: Iterator[pa.RecordBatch], w: np.ndarray, bias: float, text: int) -> Iterator[pa.RecordBatch]:
+    """Rows, as one struct whose field of that number is the text, that score 0.5 or more; a text travels once."""
     for batch in batches:
-        out = []
-        for _, texts in chunks(batch.column(batch.num_columns - 1).to_pylist()):
-            slots, first = features(texts)
-            n = np.diff(first)
-            sums = np.zeros(len(n))
-            if len(slots):  # by text, so that a score does not depend on its neighbours
-                sums[n > 0] = np.add.reduceat(w[slots].astype(np.float64), first[:-1][n > 0])
-            out.append(1 / (1 + np.exp(-np.clip(bias + sums / np.sqrt(np.maximum(n, 1)), -35, 35))))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.round(np.concatenate(out), 6) if out else [], pa.float64())], [*batch.schema.names[:-1], "score"])
+        passed = pc.greater_equal(_score(batch.column(0).field(text), w, bias), 0.5)
+        for begin in range(0, batch.num_rows, SLICE):
+            yield batch.slice(begin, SLICE).filter(passed.slice(begin, SLICE))
 
 
 def score(docs: DataFrame, w: np.ndarray, bias: float) -> DataFrame:
@@ -141,9 +177,9 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts score the bias alone; repeated rows stay or go together; without any label all rows stay.
     """
     w, bias = fit(docs, labels)
-    scored = docs.select(F.struct("*").alias("row"), "text")
-    kind = docs.schema.simpleString()
-    return scored.mapInArrow(partial(_scores, w=w, bias=bias), f"row {kind}, score double").filter("score >= 0.5").select("row.*")
+    text = docs.columns.index("text") if "text" in docs.columns else [name.lower() for name in docs.columns].index("text")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.mapInArrow(partial(_passed, w=w, bias=bias, text=text), f"row {docs.schema.simpleString()}").select("row.*")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def chunks(texts: list[str | None], size: int = 2_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: Iterable[str | None], size: int = 2_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, encoded texts) of runs of texts of about size bytes; null is empty."""
     first, held, n = 0, [], 0
     for i, text in enumerate(texts):
