@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -103,85 +102,111 @@ def day_number(calendar: str, year, month, day):  # noqa: ANN001, ANN201
     return _if(civil, _number("proleptic_gregorian", year, month, day), _number("julian", year, month, day) - _SWITCH_JULIAN + _SWITCH)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value worked out once, however often body uses it; else the expression would grow with each use."""
-    return F.transform(F.array(value), body)[0]
+def _let(value: Column | str, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value worked out once, however often body uses it.
 
+    A column given by its name is a value already. An expression becomes the variable of a lambda function, which Spark
+    does not compile: of large tables, select it into a column and give that column's name.
+    """
+    return body(F.col(value)) if isinstance(value, str) else F.transform(F.array(value), body)[0]
 
-def _ymd(year: Column, month: Column, day: Column) -> Column:
-    return F.struct(year.cast("int").alias("year"), month.cast("int").alias("month"), day.cast("int").alias("day"))
 
-
-def _date(calendar: str, n: Column) -> Column:
+def _date(calendar: str, n: Column) -> tuple[Column, Column, Column]:
+    """Year, month and day in closed form: n stands in them three or five times, and nothing grows by that."""
     if calendar == "360_day":
-        return _let(n + 60, lambda n: _ymd(_div(n, 360), _div(F.pmod(n, F.lit(360)), 30) + 1, F.pmod(n, F.lit(30)) + 1))
-
-    def of_year(y: Column) -> Column:
-        months = lambda d: _let(_div(5 * d + 2, 153), lambda m: _ymd(y + _div(m, 10), (m + 2) % 12 + 1, d - _div(153 * m + 2, 5) + 1))
-        return _let(n - _before(calendar, y), months)
-
-    if calendar == "proleptic_gregorian":  # a year has 365.2425 days; the guess is the year or the one after it
-        return _let(_let(_div(400 * n + 146_000, 146_097), lambda guess: _if(_before(calendar, guess) > n, guess - 1, guess)), of_year)
-    return _let(_div(4 * n + 3, 1461) if calendar == "julian" else _div(n, _before(calendar, 1)), of_year)
-
-
-def date_of(calendar: str, n: Column) -> Column:
+        return _div(n + 60, 360), _div(F.pmod(n + 60, F.lit(360)), 30) + 1, F.pmod(n + 60, F.lit(30)) + 1
+    if calendar == "proleptic_gregorian":  # quarter days of 400 years, then of 4
+        century = 4 * n + 3
+        left = 4 * _div(F.pmod(century, F.lit(146_097)), 4) + 3
+        year, day = 100 * _div(century, 146_097) + _div(left, 1461), _div(F.pmod(left, F.lit(1461)), 4)
+    elif calendar == "julian":
+        left = 4 * n + 3
+        year, day = _div(left, 1461), _div(F.pmod(left, F.lit(1461)), 4)
+    else:
+        size = _before(calendar, 1)
+        year, day = _div(n, size), F.pmod(n, F.lit(size))
+    months = 5 * day + 2  # 153 for a month from March on
+    return year + _div(months, 1530), (_div(months, 153) + 2) % 12 + 1, _div(F.pmod(months, F.lit(153)), 5) + 1
+
+
+def _date_of(calendar: str, n: Column) -> list[Column]:
+    """Year, month and day as columns of their own."""
+    if calendar == "standard":
+        either = zip(_date("proleptic_gregorian", n), _date("julian", n - _SWITCH + _SWITCH_JULIAN))
+        found = [_if(n >= _SWITCH, civil, julian) for civil, julian in either]
+    else:
+        found = _date(calendar, n)
+    return [x.cast("int").alias(p) for x, p in zip(found, PARTS)]
+
+
+def date_of(calendar: str, n: Column | str) -> Column:
     """A struct of year, month and day of a day_number()."""
     calendar = calendar_name(calendar)
-    if calendar != "standard":
-        return _let(n, lambda n: _date(calendar, n))
-    return _let(n, lambda n: _if(n >= _SWITCH, _date("proleptic_gregorian", n), _date("julian", n - _SWITCH + _SWITCH_JULIAN)))
+    return _let(n, lambda n: F.struct(*_date_of(calendar, n)))
 
 
-def decode(value: Column, units: str, calendar: str = "standard") -> Column:
-    """Parts of a numeric time; null of null, NaN and infinities."""
+def decode(value: Column | str, units: str, calendar: str = "standard") -> Column:
+    """Parts of a numeric time; null of null, NaN and infinities. See _let() of names."""
+    calendar = calendar_name(calendar)
     size, date, micros = parse_units(units)
     per_day, epoch = DAY // size, day_number(calendar, *date)
 
-    def parts(date: Column, clock: Column) -> Column:
-        clocks = (_div(clock, 3_600_000_000), _div(clock, 60_000_000) % 60, _div(clock, 1_000_000) % 60, clock % 1_000_000)
-        return F.struct(*[date[p].alias(p) for p in PARTS[:3]], *[c.cast("int").alias(p) for c, p in zip(clocks, PARTS[3:])])
-
-    def split(number: Column) -> Column:
+    def split(value: Column) -> Column:
+        number = value.cast("double")
         whole = F.floor(number)
         clock = F.pmod(whole, F.lit(per_day)) * size + F.round((number - whole) * size).cast("long") + micros
-        moment = F.struct((_div(whole, per_day) + epoch).alias("n"), clock.alias("clock"))
-        return _let(moment, lambda m: parts(date_of(calendar, m["n"] + _div(m["clock"], DAY)), F.pmod(m["clock"], F.lit(DAY))))
+        rest = F.pmod(clock, F.lit(DAY))
+        clocks = (_div(rest, 3_600_000_000), _div(rest, 60_000_000) % 60, _div(rest, 1_000_000) % 60, rest % 1_000_000)
+        day = _date_of(calendar, _div(whole, per_day) + epoch + _div(clock, DAY))
+        return F.when(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < 1e15), F.struct(*day, *[c.cast("int").alias(p) for c, p in zip(clocks, PARTS[3:])]))
 
-    number = value.cast("double")
-    return F.when(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < 1e15), _let(number, split))
+    return _let(value, split)
 
 
 def _number_of(calendar: str, parts: Column) -> Column:
     return day_number(calendar, *[parts[p].cast("long") for p in PARTS[:3]])
 
 
-def is_valid(parts: Column, calendar: str = "standard") -> Column:
-    """Whether the calendar has the date of parts; null of null."""
-    def same(p: Column) -> Column:
-        return p["month"].between(1, 12) & _let(date_of(calendar, _number_of(calendar, p)), lambda d: reduce(Column.__and__, [d[x] == p[x] for x in PARTS[:3]]))
+def _length(calendar: str, year: Column, month: Column) -> Column:
+    """Days of a month."""
+    if calendar == "360_day":
+        return F.lit(30)
+    julian = year % 4 == 0
+    civil = julian & ((year % 100 != 0) | (year % 400 == 0))
+    leap = {"noleap": F.lit(False), "all_leap": F.lit(True), "julian": julian, "proleptic_gregorian": civil, "standard": _if(year <= 1582, julian, civil)}[calendar]
+    return F.when(month == 2, _if(leap, F.lit(29), F.lit(28))).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+
+
+def _has(calendar: str, parts: Column) -> Column:
+    year, month, day = (parts[p].cast("long") for p in PARTS[:3])
+    known = month.between(1, 12) & day.between(F.lit(1), _length(calendar, year, month))
+    return known & ~((year * 100 + month) * 100 + day).between(15821005, 15821014) if calendar == "standard" else known
 
-    return F.when(parts.isNotNull(), _let(parts, same))
 
+def is_valid(parts: Column | str, calendar: str = "standard") -> Column:
+    """Whether the calendar has the date of parts; null of null."""
+    calendar = calendar_name(calendar)
+    return _let(parts, lambda p: F.when(p.isNotNull(), _has(calendar, p)))
 
-def encode(parts: Column, units: str, calendar: str = "standard", strict: bool = False) -> Column:
-    """The numeric time of parts; of a date that the calendar lacks null, or with strict the end of the job."""
+
+def encode(parts: Column | str, units: str, calendar: str = "standard", strict: bool = False) -> Column:
+    """The numeric time of parts; of a date that the calendar lacks null, or with strict the end of the job. See _let() of names."""
+    calendar = calendar_name(calendar)
     size, date, micros = parse_units(units)
     epoch = day_number(calendar, *date)
 
     def number(p: Column) -> Column:
         clock = ((p["hour"].cast("long") * 60 + p["minute"]) * 60 + p["second"]) * 1_000_000 + p["microsecond"] - micros
-        moment = F.struct((_number_of(calendar, p) - epoch).alias("days"), clock.alias("clock"))
-        rest = lambda m: F.pmod(m["clock"], F.lit(DAY))
-        value = _let(moment, lambda m: (m["days"] + _div(m["clock"], DAY)).cast("double") * (DAY // size) + _div(rest(m), size) + (rest(m) % size) / F.lit(float(size)))
+        days, rest = _number_of(calendar, p) - epoch + _div(clock, DAY), F.pmod(clock, F.lit(DAY))
+        value = days.cast("double") * (DAY // size) + _div(rest, size) + (rest % size) / F.lit(float(size))
         name = F.format_string("%d-%02d-%02d", *[p[x] for x in PARTS[:3]])
         lacks = F.raise_error(F.concat(F.lit(f"the {calendar} calendar has no "), name)).cast("double") if strict else F.lit(None).cast("double")
-        return F.when(is_valid(p, calendar), value).otherwise(lacks)
+        return F.when(p.isNotNull(), F.when(_has(calendar, p), value).otherwise(lacks))
 
-    return F.when(parts.isNotNull(), _let(parts, number))
+    return _let(parts, number)
 
 
-def rebase(value: Column, units: str, calendar: str, to_units: str, to_calendar: str | None = None, strict: bool = False) -> Column:
+def rebase(value: Column | str, units: str, calendar: str, to_units: str, to_calendar: str | None = None, strict: bool = False) -> Column:
     """The numeric time in other units and, if given, another calendar: the same date there, see encode() of one that it lacks."""
     return encode(decode(value, units, calendar), to_units, to_calendar or calendar, strict)
 

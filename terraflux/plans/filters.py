@@ -195,11 +195,13 @@ def f7_calendars(v: Views) -> DataFrame:
     days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1990-01-01").cast("date"))
     hours = v.orders.select("o_orderkey", (days * 24 + F.col("o_orderkey") % 24).cast("double").alias("hours"))
     since, to = "hours since 1990-01-01", "days since 1850-01-01 00:00:00"
+    times = hours.select("hours").distinct()  # many rows have the same time: each is worked out once
     read = [
-        hours.select("o_orderkey", F.lit(c).alias("calendar"), calendars.decode(F.col("hours"), since, c).alias("p"), calendars.rebase(F.col("hours"), since, c, to).alias("own_days"), calendars.rebase(F.col("hours"), since, c, to, "standard").alias("civil_days"))
-        .withColumn("doy", calendars.day_of_year(F.col("p"), c)) for c in ("360_day", "noleap", "all_leap", "julian", "standard")
+        times.select(F.col("hours").alias("time"), F.lit(c).alias("calendar"), calendars.decode("hours", since, c).alias("p"))
+        .select("*", calendars.encode("p", to, c).alias("own_days"), calendars.encode("p", to, "standard").alias("civil_days"), calendars.day_of_year(F.col("p"), c).alias("doy")) for c in ("360_day", "noleap", "all_leap", "julian", "standard")
     ]
-    return reduce(DataFrame.union, read).select("o_orderkey", "calendar", "p.year", "p.month", "p.day", "p.hour", "doy", "own_days", "civil_days")
+    known = reduce(DataFrame.union, read).select("time", "calendar", "p.year", "p.month", "p.day", "p.hour", "doy", "own_days", "civil_days")
+    return hours.join(known, F.col("hours").eqNullSafe(F.col("time"))).drop("hours", "time")
 
 
 @query("f8_align_time", duck("v_raw", "SELECT event_id, date_trunc('day', ts) + INTERVAL 1 MINUTE * CAST(round_even(date_diff('second', date_trunc('day', ts), ts) / 1800.0, 0) * 30 AS INTEGER) AS half FROM v_raw"))
